@@ -317,4 +317,23 @@ SELECT {TUMBLING_COLS} FROM batch""",
     "approx_within_tolerance": f"""WITH {TX}
 SELECT store_id, COUNT(DISTINCT customer_id) AS exact_customers, TRUE AS within_tolerance
 FROM tx GROUP BY store_id""",
+
+    "stored_summary_last_hour": _totals(_hour()),
+
+    "stored_top_products": _top_products(),
+
+    "stream_store_summary": f"""WITH {SUMMARY}
+SELECT {SUMMARY_COLS} FROM summary
+WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+
+    "stream_product_performance": f"""WITH {STAR_ITEMS}
+SELECT {PP_COLS} FROM pp
+WHERE window_start + INTERVAL '5 minutes' <=
+      (SELECT MAX(i.event_time) FROM items i JOIN prod p ON i.product_id = p.product_id) - INTERVAL '1 minute'""",
+
+    "stream_realtime_metrics": f"""WITH {_q3_rows()}
+SELECT window_start, window_start + INTERVAL '30 seconds' AS window_end, transactions_per_window,
+       CAST(revenue_per_window AS DOUBLE) AS revenue_per_window,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
+FROM m WHERE window_start + INTERVAL '30 seconds' <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
 }

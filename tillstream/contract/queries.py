@@ -17,9 +17,13 @@ from pyspark.sql.types import DecimalType, TimestampType
 from tillstream.contract import params as P
 from tillstream.functions.timebounds import TimeRange, in_range, trailing
 from tillstream.operators import insight, keyed, rollups, windows
-from tillstream.session import configure
+from tillstream.session import configure, scratch_path
+from tillstream.sinks.parquet import write_table
+from tillstream.sources.streams import text_stream
+from tillstream.sources.tables import read_products, read_summary
+from tillstream.streaming import jobs, progress
 from tillstream.sinks.contracts import conform
-from tillstream.schemas import TRANSACTIONS, TRANSACTIONS_SUMMARY
+from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
 
@@ -253,6 +257,81 @@ def q_approx_within_tolerance(spark, sf):
     return check.select("store_id", "exact_customers", "within_tolerance")
 
 
+# --- stored tables (K1/K2 batch write, S6/S7 pruned scans) -------------------
+
+def q_stored_summary_last_hour(spark, sf):
+    """Q4 read back from the date-partitioned ``transactions_summary`` table."""
+    path = scratch_path(spark, "tables", TRANSACTIONS_SUMMARY.name)
+    write_table(event_summary(spark, sf), path, TRANSACTIONS_SUMMARY)
+    rng = _hour()
+    return plain(rollups.summary_totals(read_summary(spark, path, rng), rng))
+
+
+def q_stored_top_products(spark, sf):
+    """Q6 read back from the date-partitioned ``product_performance`` table."""
+    path = scratch_path(spark, "tables", PRODUCT_PERFORMANCE.name)
+    write_table(star_products(spark, sf), path, PRODUCT_PERFORMANCE)
+    rng = _hour(P.STAR_AS_OF)
+    return plain(rollups.top_products(read_products(spark, path, rng), rng))
+
+
+# --- streams (file source standing in for the topic) --------------------------
+
+def _stage(spark: SparkSession, name: str, messages: DataFrame, files: int | None = None) -> str:
+    """Write topic messages as text files, one message per line."""
+    root = scratch_path(spark, "streams", name)
+    values = messages.select("value")
+    if files:
+        values = values.repartition(files)
+    values.write.text(f"{root}/in")
+    return root
+
+
+def _stream(spark: SparkSession, name: str, messages: DataFrame, build) -> DataFrame:
+    root = _stage(spark, name, messages)
+    df = build(text_stream(spark, f"{root}/in"))
+    jobs.run_until_caught_up(df, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+def q_stream_store_summary(spark, sf):
+    """Q1 as a stream: closed windows (end <= max event time - watermark)."""
+    return plain(_stream(spark, "store_window_summary", testdata.event_messages(spark, sf),
+                         jobs.store_summary_stream))
+
+
+def q_stream_product_performance(spark, sf):
+    return plain(_stream(spark, "product_window_performance", testdata.item_messages(spark, sf),
+                         jobs.product_stream))
+
+
+def q_stream_realtime_metrics(spark, sf):
+    out = _stream(spark, "realtime_window_metrics", testdata.event_messages(spark, sf),
+                  jobs.metrics_stream)
+    return plain(windows.flatten_window(out))
+
+
+PROGRESS_FILES = 4
+
+
+def _progress(spark, sf) -> DataFrame:
+    """Run the store summary stream over several files, one file per
+    micro-batch, and return its progress reports."""
+    root = _stage(spark, "progress", testdata.event_messages(spark, sf), PROGRESS_FILES)
+    raw = text_stream(spark, f"{root}/in", max_files_per_trigger=1)
+    q = jobs.run_until_caught_up(jobs.store_summary_stream(raw), f"{root}/out", f"{root}/checkpoint",
+                                 query_name="store_window_summary")
+    return progress.progress_frame(spark, [q])
+
+
+def q_stream_progress(spark, sf):
+    return plain(progress.stream_progress(_progress(spark, sf)))
+
+
+def q_processing_latency(spark, sf):
+    return plain(progress.processing_latency(_progress(spark, sf)))
+
+
 _QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.functions.timebounds import TimeRange, in_range
@@ -29,12 +30,43 @@ def _date_bound(rng: TimeRange) -> TimeRange:
     return TimeRange(start, end)
 
 
+# Bounded ranges up to this many days list only their own day directories.
+MAX_GLOB_DAYS = 366
+
+
+def _empty(spark: SparkSession, table: str) -> DataFrame:
+    from tillstream.schemas import CONTRACTS
+    date_col = TIME_COLUMN[table][1]
+    ddl = ", ".join(f"`{c.name}` {c.dtype}" for c in CONTRACTS[table].columns)
+    return spark.createDataFrame([], f"{ddl}, `{date_col}` date")
+
+
+def _scan(spark: SparkSession, path: str, table: str, days: TimeRange) -> DataFrame:
+    """Scan listing only the day partitions of a bounded range.
+
+    Partition discovery of a path-based table lists every partition directory
+    (a listing job with one task per directory); a glob over the touched days
+    keeps the listing proportional to the range instead of the table's age.
+    """
+    n_days = (days.end - days.start).days if days.start and days.end else None
+    if n_days is None or n_days > MAX_GLOB_DAYS:
+        return spark.read.parquet(path)
+    date_col = TIME_COLUMN[table][1]
+    names = ",".join((days.start.date() + dt.timedelta(days=i)).isoformat() for i in range(n_days))
+    try:
+        return spark.read.option("basePath", path).parquet(f"{path}/{date_col}={{{names}}}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return _empty(spark, table)
+        raise
+
+
 def read_table(spark: SparkSession, path: str, table: str, rng: TimeRange | None = None) -> DataFrame:
-    df = spark.read.parquet(path)
     if rng is None:
-        return df
+        return spark.read.parquet(path)
     ts_col, date_col = TIME_COLUMN[table]
     days = _date_bound(rng)
+    df = _scan(spark, path, table, days)
     date_pred = F.lit(True)
     if days.start is not None:
         date_pred = date_pred & (F.col(date_col) >= F.lit(days.start.date()))

@@ -69,6 +69,7 @@ def star_products(spark: SparkSession, sf: str, rng: TimeRange | None = None) ->
     items = testdata.star_item_rows(spark, sf, scan_rng, with_product=False)
     perf = windows.product_window_performance(items, watermark=None,
                                               products=testdata.products(spark, sf))
+    perf = testdata.product_key_as_id(perf)
     return perf if rng is None else perf.where(in_range("window_start", rng))
 
 

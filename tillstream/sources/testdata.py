@@ -112,7 +112,7 @@ def star_item_rows(spark: SparkSession, sf_dir: str, rng: TimeRange | None = Non
     items = lines.join(orders, lines.l_orderkey == orders.o_orderkey, "inner").select(
         "event_time",
         F.col("l_orderkey").cast("string").alias("transaction_id"),
-        F.col("l_partkey").cast("string").alias("product_id"),
+        F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
         F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 2).alias("unit_price"),
         F.col("l_extendedprice").alias("revenue"),
@@ -123,13 +123,22 @@ def star_item_rows(spark: SparkSession, sf_dir: str, rng: TimeRange | None = Non
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Product dimension: ``product_id, product_name, category``."""
+    """Product dimension: ``product_id, product_name, category``.
+
+    ``product_id`` stays the numeric part key through joins and aggregation
+    (cheaper to hash and compare than text); ``product_key_as_id`` turns it
+    into the message model's string id at the output.
+    """
     return table(spark, sf_dir, "part").select(
-        F.col("p_partkey").cast("string").alias("product_id"),
+        F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.col("p_type").alias("category"))
 
 
+def product_key_as_id(df: DataFrame) -> DataFrame:
+    return df.withColumn("product_id", F.col("product_id").cast("string"))
+
+
 def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each line item as a one-item transaction message.
 
@@ -137,7 +146,7 @@ def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     gives the same product results as one message per order, without grouping
     an order's lines into one array.
     """
-    items = star_item_rows(spark, sf_dir)
+    items = product_key_as_id(star_item_rows(spark, sf_dir))
     item = F.struct("product_id", "product_name", "category", "quantity",
                     "unit_price", F.col("revenue").alias("total"))
     payload = F.struct(

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import windows
-from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS_SUMMARY
+from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import stream_to_table
 from tillstream.sources.decode import transactions_from_messages
@@ -52,6 +52,23 @@ def metrics_stream(raw: DataFrame, watermark: str = windows.DEFAULT_WATERMARK) -
     return windows.realtime_window_metrics(transactions_from_messages(raw), watermark=watermark)
 
 
+RAW_COLUMNS = ("transaction_id", "timestamp", "store_id", "customer_id", "customer_type",
+               "total_amount", "payment_method", "discount_applied", "final_amount")
+
+
+def raw_transactions_stream(raw: DataFrame, watermark: str = windows.DEFAULT_WATERMARK) -> DataFrame:
+    """Valid transactions without items, one row per transaction id.
+
+    ``dropDuplicatesWithinWatermark`` keeps the first copy of an id and forgets
+    it once the watermark has passed, so the de-duplication state stays bounded
+    on an endless stream (a replayed message within the delay is dropped).
+    """
+    tx = transactions_from_messages(raw).withWatermark("event_time", watermark)
+    return (tx.dropDuplicatesWithinWatermark(["transaction_id"])
+              .drop("timestamp").withColumnRenamed("event_time", "timestamp")
+              .select(*RAW_COLUMNS))
+
+
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                    partition_by: tuple[str, ...] = (), query_name: str | None = None) -> StreamingQuery:
     """Start an append-mode stream into a Parquet folder."""
@@ -75,8 +92,10 @@ def run_until_caught_up(df: DataFrame, path: str, checkpoint: str, **kw) -> Stre
 
 
 def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], paths: StreamPaths,
-                         triggers: dict[str, dict] | None = None) -> list[StreamingQuery]:
-    """Start the three queries on one message source.
+                         triggers: dict[str, dict] | None = None,
+                         raw_transactions: bool = False) -> list[StreamingQuery]:
+    """Start the three queries on one message source (and, optionally,
+    the raw transactions table).
 
     ``source`` builds a fresh streaming DataFrame (``kafka_stream`` or
     ``text_stream``) for each query; each query has its own checkpoint.
@@ -93,6 +112,11 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
                        paths.checkpoint("realtime_metrics"), triggers["realtime_window_metrics"],
                        query_name="realtime_window_metrics"),
     ]
+    if raw_transactions:
+        queries.append(stream_to_table(
+            raw_transactions_stream(source()), paths.table(TRANSACTIONS.name),
+            paths.checkpoint(TRANSACTIONS.name), TRANSACTIONS,
+            triggers["store_window_summary"], "raw_transactions"))
     return queries
 
 

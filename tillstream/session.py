@@ -25,6 +25,24 @@ RUNTIME_SQL_CONF = {
 }
 
 
+# Streaming state defaults, applied only where the session leaves them unset:
+# window state (open windows x stores / products) lives in RocksDB off the JVM
+# heap, and checkpoints write changelogs instead of full snapshots per batch.
+STREAMING_SQL_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def configure_streaming(spark: SparkSession) -> SparkSession:
+    """Fill in streaming state settings the cluster has not chosen itself."""
+    for key, value in STREAMING_SQL_CONF.items():
+        if spark.conf.get(key, None) is None:
+            spark.conf.set(key, value)
+    return spark
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the engine's semantics depend on."""
     for key, value in RUNTIME_SQL_CONF.items():
@@ -59,16 +77,25 @@ def checkpoint_root(spark: SparkSession) -> str:
     registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getConf().get("spark.checkpoint.dir", None)
     if not root:
         root = tempfile.mkdtemp(prefix="tillstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if context is not None and context.getCheckpointDir() is None:
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None on a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique location below the checkpoint root."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])

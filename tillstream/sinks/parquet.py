@@ -67,6 +67,8 @@ def stream_to_table(df: DataFrame, path: str, checkpoint: str, contract: TableCo
     """K1/K2: append a streaming aggregate into a partitioned Parquet table
     through the native file sink. Contract violations are dropped from the
     table stream (``IdempotentBatchWriter`` keeps them in a reject table)."""
+    from tillstream.session import configure_streaming
+    configure_streaming(df.sparkSession)
     good, _ = prepare(df, contract)
     writer: DataStreamWriter = (good.writeStream.format("parquet")
                                 .outputMode("append")

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Topic names of the three message streams.
 TOPICS = {
     "transactions": "retail-transactions",
     "inventory": "inventory-updates",

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import windows
+from tillstream.session import configure_streaming
 from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import stream_to_table
@@ -72,6 +73,7 @@ def raw_transactions_stream(raw: DataFrame, watermark: str = windows.DEFAULT_WAT
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                    partition_by: tuple[str, ...] = (), query_name: str | None = None) -> StreamingQuery:
     """Start an append-mode stream into a Parquet folder."""
+    configure_streaming(df.sparkSession)
     writer = (df.writeStream.format("parquet").outputMode("append")
               .option("checkpointLocation", checkpoint))
     if partition_by:
@@ -100,6 +102,7 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
     ``source`` builds a fresh streaming DataFrame (``kafka_stream`` or
     ``text_stream``) for each query; each query has its own checkpoint.
     """
+    configure_streaming(spark)
     triggers = {**TRIGGERS, **(triggers or {})}
     queries = [
         stream_to_table(store_summary_stream(source()), paths.table(TRANSACTIONS_SUMMARY.name),

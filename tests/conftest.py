@@ -31,3 +31,9 @@ def spark():
 def scratch(spark):
     """A fresh folder for one test (below /tmp; tests only)."""
     return tempfile.mkdtemp(prefix="tillstream-test-")
+
+
+@pytest.fixture(scope="session")
+def spark_hyp(spark):
+    """The session fixture under a name hypothesis tests can share."""
+    return spark

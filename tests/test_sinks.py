@@ -102,3 +102,25 @@ def test_jdbc_insert_if_absent_on_embedded_derby(spark, scratch):
     jdbc_insert_if_absent(batch, opts, ["window_start", "store_id"], time_column="window_start")
     rows = {r.store_id: r.total_transactions for r in jdbc_read(spark, opts).collect()}
     assert rows == {"s": 1, "u": 2}
+
+
+def test_merge_touches_only_batch_days_and_is_idempotent(spark, scratch):
+    from tillstream.operators.windows import store_tumbling_summary
+    from tillstream.schemas import TUMBLING_SUMMARY
+    from tillstream.sinks.parquet import merge_into_table
+    from tillstream.sources import testdata
+    tx = testdata.event_transactions(spark, SF001)
+    path = f"{scratch}/t"
+    write_table(store_tumbling_summary(tx.where("event_time < '2024-01-20'"), watermark=None),
+                path, TUMBLING_SUMMARY)
+    untouched = glob.glob(f"{path}/window_date=2024-01-05/*.parquet")
+    before = {f: os.path.getmtime(f) for f in untouched}
+    batch = store_tumbling_summary(tx.where("event_time >= '2024-01-19'"), watermark=None)
+    merge_into_table(batch, path, TUMBLING_SUMMARY, f"{scratch}/stage1")
+    cols = ["window_start", "store_id", "total_transactions", "total_revenue", "unique_customers"]
+    first = sorted(spark.read.parquet(path).select(*cols).collect())
+    merge_into_table(batch, path, TUMBLING_SUMMARY, f"{scratch}/stage2")
+    assert sorted(spark.read.parquet(path).select(*cols).collect()) == first
+    assert {f: os.path.getmtime(f) for f in untouched} == before and before
+    full = store_tumbling_summary(tx, watermark=None).select(*cols)
+    assert sorted(full.collect()) == first

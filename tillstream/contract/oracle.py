@@ -336,4 +336,10 @@ SELECT window_start, window_start + INTERVAL '30 seconds' AS window_end, transac
        CAST(revenue_per_window AS DOUBLE) AS revenue_per_window,
        CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
 FROM m WHERE window_start + INTERVAL '30 seconds' <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+
+    "merged_summary_table": f"""{MERGE_SIDES}
+SELECT {TUMBLING_COLS} FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE e.window_start = b.window_start AND e.store_id = b.store_id)
+UNION ALL
+SELECT {TUMBLING_COLS} FROM batch""",
 }

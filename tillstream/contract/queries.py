@@ -18,12 +18,12 @@ from tillstream.contract import params as P
 from tillstream.functions.timebounds import TimeRange, in_range, trailing
 from tillstream.operators import insight, keyed, rollups, windows
 from tillstream.session import configure, scratch_path
-from tillstream.sinks.parquet import write_table
+from tillstream.sinks.parquet import merge_into_table, write_table
 from tillstream.sources.streams import text_stream
 from tillstream.sources.tables import read_products, read_summary
 from tillstream.streaming import jobs, progress
 from tillstream.sinks.contracts import conform
-from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY
+from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
 
@@ -253,6 +253,17 @@ def q_upsert_summary(spark, sf):
     return plain(keyed.upsert(existing, batch, TRANSACTIONS_SUMMARY.key))
 
 
+def q_merged_summary_table(spark, sf):
+    """K7 on files: the stored table holds the earlier windows, the batch is
+    merged in (batch wins), only the batch's days are rewritten."""
+    existing, batch = _merge_sides(spark, sf)
+    path = scratch_path(spark, "tables", "tumbling_summary")
+    write_table(existing, path, TUMBLING_SUMMARY)
+    merge_into_table(batch, path, TUMBLING_SUMMARY, scratch_path(spark, "staging", "tumbling_summary"))
+    cols = [c.name for c in TUMBLING_SUMMARY.columns if c.name != "created_at"]
+    return plain(spark.read.parquet(path).select(*cols))
+
+
 def q_approx_within_tolerance(spark, sf):
     check = insight.approx_distinct_check(testdata.event_transactions(spark, sf))
     return check.select("store_id", "exact_customers", "within_tolerance")

@@ -117,6 +117,14 @@ TRANSACTIONS_SUMMARY = TableContract(
     partition_by=("window_date",),
 )
 
+# The tumbling-window variant of the summary (no per-window mean).
+TUMBLING_SUMMARY = TableContract(
+    "tumbling_summary",
+    tuple(c for c in TRANSACTIONS_SUMMARY.columns if c.name != "avg_transaction_value"),
+    key=TRANSACTIONS_SUMMARY.key,
+    partition_by=("window_date",),
+)
+
 PRODUCT_PERFORMANCE = TableContract(
     "product_performance",
     (
@@ -163,5 +171,5 @@ TRANSACTIONS = TableContract(
     partition_by=("event_date",),
 )
 
-CONTRACTS = {c.name: c for c in (TRANSACTIONS_SUMMARY, PRODUCT_PERFORMANCE,
+CONTRACTS = {c.name: c for c in (TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY, PRODUCT_PERFORMANCE,
                                  REALTIME_METRICS, TRANSACTIONS)}

@@ -18,6 +18,7 @@ from tillstream.schemas import PRODUCT_PERFORMANCE, REALTIME_METRICS, TRANSACTIO
 
 TIME_COLUMN = {
     TRANSACTIONS_SUMMARY.name: ("window_start", "window_date"),
+    "tumbling_summary": ("window_start", "window_date"),
     PRODUCT_PERFORMANCE.name: ("window_start", "window_date"),
     REALTIME_METRICS.name: ("metric_time", "metric_date"),
     TRANSACTIONS.name: ("timestamp", "event_date"),

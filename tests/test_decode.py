@@ -39,3 +39,38 @@ def test_data_quality_counts(spark):
     parsed = _parse(spark, [GOOD, GOOD, GOOD, "{bad"])
     r = data_quality(parsed).first()
     assert (r.total_records, r.valid_records, r.invalid_records, str(r.quality_pct)) == (4, 3, 1, "75.00")
+
+
+def test_inventory_and_customer_messages(spark):
+    inv = spark.createDataFrame([
+        ('{"event_id":"i1","timestamp":"2025-01-01T00:00:01","store_id":"s","product_id":"P1",'
+         '"product_name":"n","event_type":"restock","quantity_change":-5,"current_stock":40,'
+         '"reorder_level":50,"alert":true}',),
+        ('{"event_id":"i2","timestamp":"2025-01-01T00:00:01","store_id":"s"}',),
+    ], "value string")
+    rows = parse_messages(inv, "inventory").collect()
+    assert [r.is_valid for r in rows] == [True, False]
+    assert (rows[0].quantity_change, rows[0].alert) == (-5, True)
+    cust = spark.createDataFrame([
+        ('{"event_id":"c1","timestamp":"2025-01-01T00:00:01","customer_id":"C1","event_type":"login",'
+         '"store_id":"s","session_duration":30,"page_views":3,"device":"mobile","channel":"app"}',),
+    ], "value string")
+    r = parse_messages(cust, "customer_events").first()
+    assert r.is_valid and r.page_views == 3
+
+
+def test_console_sink_runs(spark, scratch):
+    import json as _json
+    from tillstream.operators.windows import realtime_window_metrics
+    from tillstream.sources.decode import transactions_from_messages
+    from tillstream.sources.streams import text_stream
+    from tillstream.streaming.jobs import run_to_console
+    import os
+    os.makedirs(f"{scratch}/in")
+    with open(f"{scratch}/in/a.txt", "w") as fh:
+        fh.write(_json.dumps({"transaction_id": "t", "timestamp": "2025-01-01T00:00:01", "store_id": "s",
+                              "customer_id": "c", "total_amount": 1.0, "final_amount": 1.0}) + "\n")
+    q = run_to_console(realtime_window_metrics(transactions_from_messages(text_stream(spark, f"{scratch}/in"))),
+                       {"availableNow": True})
+    q.awaitTermination()
+    assert q.exception() is None

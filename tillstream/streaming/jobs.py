@@ -83,6 +83,18 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | No
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
+def run_to_console(df: DataFrame, trigger: dict | None = None, truncate: bool = False,
+                   query_name: str | None = None) -> StreamingQuery:
+    """K4: print each micro-batch's emitted rows (monitoring; no checkpoint
+    is needed for a console sink, none is kept)."""
+    configure_streaming(df.sparkSession)
+    writer = (df.writeStream.format("console").outputMode("append")
+              .option("truncate", str(truncate).lower()))
+    if query_name:
+        writer = writer.queryName(query_name)
+    return writer.trigger(**(trigger or TRIGGERS["realtime_window_metrics"])).start()
+
+
 def run_until_caught_up(df: DataFrame, path: str, checkpoint: str, **kw) -> StreamingQuery:
     """Process everything available now (plus the closing no-data batch that
     emits windows the watermark has passed), then stop."""

@@ -234,7 +234,7 @@ def q_metrics_long(spark, sf):
 def q_raw_transactions(spark, sf):
     tx = testdata.star_transactions(spark, sf).withColumnRenamed("event_time", "timestamp")
     good, _ = conform(tx, TRANSACTIONS, stamp=False)
-    return plain(good.dropDuplicates(["transaction_id"]))
+    return plain(good)
 
 
 def _merge_sides(spark, sf):

@@ -162,9 +162,15 @@ def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star_transactions(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None) -> DataFrame:
-    """Scalar transaction fields of the star mapping (items dropped)."""
+    """Scalar transaction fields of the star mapping (items dropped), one row
+    per transaction id.
+
+    Orders are de-duplicated on the order key while the rows are narrowest;
+    that shuffle is on the same key the join with the per-order line totals
+    needs, so the de-duplication adds no exchange of its own at scale.
+    """
     orders = _orders(spark, sf_dir, rng).select(
-        "o_orderkey", "o_custkey", "o_orderpriority", "event_time_ntz")
+        "o_orderkey", "o_custkey", "o_orderpriority", "event_time_ntz").dropDuplicates(["o_orderkey"])
     line_money = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         F.col("l_extendedprice").cast(MONEY).alias("ext"),

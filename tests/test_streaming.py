@@ -111,3 +111,12 @@ def test_all_retail_streams_together(spark, scratch):
     raw = spark.read.parquet(paths.table("transactions"))
     ids = [r.transaction_id for r in raw.collect()]
     assert sorted(ids) == sorted({"a", "b", "c", "late", "ok", "z"})
+
+
+def test_run_entry_point_once(spark, scratch):
+    from tillstream.streaming import run
+    _write_files(f"{scratch}/in", FILES)
+    qs = run.main(["--source", "files", "--input", f"{scratch}/in", "--root", f"{scratch}/out", "--once"],
+                  spark=spark)
+    assert len(qs) == 3 and all(q.exception() is None for q in qs)
+    assert spark.read.parquet(f"{scratch}/out/tables/transactions_summary").count() > 0

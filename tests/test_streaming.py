@@ -63,6 +63,18 @@ def test_late_row_dropped_after_one_more_batch(spark, scratch):
     prog = stream_progress(progress_frame(spark, [q])).first()
     assert prog.rows_dropped_by_watermark == 1
     assert prog.input_rows == 7
+    assert (prog.total_records, prog.valid_records) == (7, 7)
+
+
+def test_stream_counts_rejected_messages(spark, scratch):
+    _write_files(f"{scratch}/in", FILES[:2])
+    with open(f"{scratch}/in/part-bad.txt", "w") as fh:
+        fh.write("{bad\n" + _msg("x", "nope", 1.0) + "\n")
+    raw = text_stream(spark, f"{scratch}/in")
+    q = jobs.run_until_caught_up(windows.store_tumbling_summary(transactions_from_messages(raw)),
+                                 f"{scratch}/out", f"{scratch}/ck")
+    prog = stream_progress(progress_frame(spark, [q])).first()
+    assert (prog.total_records, prog.valid_records) == (5, 3)
 
 
 def test_stream_equals_batch_on_closed_windows(spark, scratch):

@@ -23,6 +23,8 @@ PROGRESS_SCHEMA = StructType([
     StructField("rows_dropped_by_watermark", LongType()),
     StructField("state_rows", LongType()),
     StructField("watermark", StringType()),
+    StructField("total_records", LongType()),
+    StructField("valid_records", LongType()),
 ])
 
 
@@ -32,10 +34,13 @@ def _row(name: str | None, p: dict) -> tuple:
     dropped = sum(int(o.get("numRowsDroppedByWatermark", 0) or 0) for o in ops)
     state = sum(int(o.get("numRowsTotal", 0) or 0) for o in ops)
     num = lambda v: None if v is None or v != v else float(v)  # noqa: E731  (NaN -> NULL)
+    quality = (p.get("observedMetrics") or {}).get("data_quality") or {}
+    quality = quality.asDict() if hasattr(quality, "asDict") else dict(quality)
     return (name, int(p["batchId"]), p.get("timestamp"), int(p.get("numInputRows", 0)),
             num(p.get("inputRowsPerSecond")), num(p.get("processedRowsPerSecond")),
             int(dur.get("triggerExecution", 0)), int(dur.get("addBatch", 0)),
-            dropped, state, (p.get("eventTime") or {}).get("watermark"))
+            dropped, state, (p.get("eventTime") or {}).get("watermark"),
+            quality.get("total_records"), quality.get("valid_records"))
 
 
 def progress_frame(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
@@ -54,6 +59,8 @@ def stream_progress(progress: DataFrame) -> DataFrame:
         F.sum("rows_dropped_by_watermark").alias("rows_dropped_by_watermark"),
         F.max_by("state_rows", "batch_id").alias("state_rows"),
         F.max("timestamp").alias("last_update"),
+        F.sum("total_records").alias("total_records"),
+        F.sum("valid_records").alias("valid_records"),
     )
 
 

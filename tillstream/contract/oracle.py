@@ -342,4 +342,9 @@ SELECT {TUMBLING_COLS} FROM existing e
 WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE e.window_start = b.window_start AND e.store_id = b.store_id)
 UNION ALL
 SELECT {TUMBLING_COLS} FROM batch""",
+
+    "sketch_customers_last_hour": f"""WITH {TX}
+SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
+FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}
+GROUP BY store_id""",
 }

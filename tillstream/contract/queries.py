@@ -218,6 +218,16 @@ def q_summary_exact(spark, sf):
     return plain(insight.summary_exact(testdata.event_transactions(spark, sf, rng)))
 
 
+def q_sketch_customers_last_hour(spark, sf):
+    """Distinct customers per store over the trailing hour from stored
+    per-minute sketches (the exact answer the sum of per-window counts
+    overstates)."""
+    rng = _hour()
+    tx = testdata.event_transactions(spark, sf, rng.widen(after=dt.timedelta(minutes=1)))
+    sketched = windows.store_tumbling_summary(tx, watermark=None, sketch=True)
+    return rollups.distinct_customers(sketched, rng)
+
+
 def q_range_store_filter(spark, sf):
     rng = _hour(span=P.RANGE_FILTER_SPAN)
     summary = event_summary(spark, sf, rng, store=P.RANGE_FILTER_STORE)

@@ -180,3 +180,14 @@ def hourly_change(summary: DataFrame, rng: TimeRange | None = None) -> DataFrame
         round_half_up_ratio(F.abs(cents("revenue") - cents("prev_revenue")) * 100,
                             cents("prev_revenue"), 1, "decimal(20,1)").alias("revenue_change_pct"),
     )
+
+
+def distinct_customers(sketched: DataFrame, rng: TimeRange | None = None,
+                       by: tuple[str, ...] = ("store_id",)) -> DataFrame:
+    """X6 via sketches: distinct customers over the windows in ``rng`` as the
+    estimate of the union of the stored per-window HLL sketches (a customer
+    seen in many windows counts once). Partial unions run map-side, so only
+    one sketch per key and task is shuffled."""
+    s = _in(sketched, rng)
+    return s.groupBy(*by).agg(
+        F.hll_sketch_estimate(F.hll_union_agg("customer_sketch")).alias("distinct_customers"))

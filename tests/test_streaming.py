@@ -132,3 +132,19 @@ def test_run_entry_point_once(spark, scratch):
                   spark=spark)
     assert len(qs) == 3 and all(q.exception() is None for q in qs)
     assert spark.read.parquet(f"{scratch}/out/tables/transactions_summary").count() > 0
+
+
+def test_backfill_twice_equals_once(spark, scratch):
+    _write_files(f"{scratch}/in", FILES)
+    paths = jobs.StreamPaths(f"{scratch}/root")
+    raw = spark.read.text(f"{scratch}/in")
+    jobs.backfill(spark, raw, paths)
+    cols = ["window_start", "store_id", "total_transactions", "total_revenue"]
+    first = sorted(spark.read.parquet(paths.table("transactions_summary")).select(*cols).collect())
+    jobs.backfill(spark, raw, paths)
+    again = sorted(spark.read.parquet(paths.table("transactions_summary")).select(*cols).collect())
+    # six messages, each in two sliding windows, which fall into 8 distinct windows
+    assert again == first and len(first) == 8
+    assert sum(r.total_transactions for r in first) == 2 * 6
+    metrics = spark.read.parquet(paths.table("realtime_metrics"))
+    assert metrics.count() == 3 * 5  # three metrics for each of five 30-second windows

@@ -12,7 +12,7 @@ of adding duplicate keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tillstream.schemas import TableContract
@@ -105,16 +105,20 @@ class IdempotentBatchWriter:
             batch.unpersist()
 
 
-def merge_into_table(batch: DataFrame, path: str, contract: TableContract, staging: str) -> None:
+def merge_into_table(batch: DataFrame, path: str, contract: TableContract, staging: str) -> DataFrame:
     """K7: keyed upsert of ``batch`` into a stored table, touching only the
-    day partitions the batch covers.
-
-    The stored rows of those days are read (pruned scan), merged with the
-    batch (batch wins on a key conflict), written to ``staging`` (a folder
-    below the checkpoint root: it cuts the lineage, and a table cannot be
-    overwritten while it is being read), and the staged days then replace
-    their partitions with dynamic overwrite. Days not in the batch are never
-    read or rewritten. Re-running the same merge leaves the table unchanged.
+    day partitions the batch covers. Returns the batch's contract rejects.
+
+    1. The batch is computed once and written to ``staging/batch`` (a folder
+       below the checkpoint root): later steps read it back instead of
+       recomputing it, and the lineage is cut there.
+    2. The stored rows of the batch's days are read (pruned scan) and merged
+       with it (the batch wins on a key conflict); the result is written to
+       ``staging/merged``, because a table cannot be overwritten while it is
+       being read.
+    3. The merged days replace their partitions (dynamic overwrite). Days not
+       in the batch are never read or rewritten, and re-running the merge
+       leaves the table unchanged.
     """
     import datetime as dt
 
@@ -127,19 +131,24 @@ def merge_into_table(batch: DataFrame, path: str, contract: TableContract, stagi
     spark = batch.sparkSession
     date_col = _date_col(contract)
     good, bad = prepare(batch, contract)
-    span = good.agg(F.min(date_col).alias("lo"), F.max(date_col).alias("hi")).first()
-    if span["lo"] is None:
-        return
+    # row count and day span are observed during the staging write itself
+    # (above the range exchange, so the partitioner's sampling pass is not counted)
+    obs = Observation()
+    observed = clustered(good, contract).observe(
+        obs, F.count(F.lit(1)).alias("n"), F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
+    observed.write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/batch")
+    span = obs.get
+    if not span["n"]:
+        return bad
+    staged = spark.read.parquet(f"{staging}/batch")
     rng = TimeRange(dt.datetime.combine(span["lo"], dt.time()),
                     dt.datetime.combine(span["hi"], dt.time()) + dt.timedelta(days=1))
     try:
-        existing = read_table(spark, path, contract.name, rng)
-    except AnalysisException:
-        existing = None  # the table does not exist yet
-    if existing is not None and "created_at" in existing.columns:
-        existing = existing.select(*good.columns)
-    merged = good if existing is None else upsert(existing, good, contract.key)
-    clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(staging)
-    staged = spark.read.parquet(staging)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy(date_col).parquet(path))
+        existing = read_table(spark, path, contract.name, rng).select(*staged.columns)
+        merged = upsert(existing, staged, contract.key)
+    except AnalysisException:  # the table does not exist yet
+        merged = staged
+    clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/merged")
+    (spark.read.parquet(f"{staging}/merged").write.mode("overwrite")
+          .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    return bad

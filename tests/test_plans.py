@@ -46,3 +46,19 @@ def test_products_aggregate_before_dimension_join(spark):
     # the dimension join is above the aggregate in the tree
     join = min(i for i, ln in enumerate(lines) if "Join" in ln)
     assert join < agg and part_scan
+
+
+def test_store_and_range_filters_reach_the_scan(spark):
+    plan = plan_text(E.queries()["range_store_filter"](spark, SF001))
+    pushed = [ln for ln in plan.splitlines() if "PushedFilters" in ln][0]
+    assert "EqualTo(event_type,purchase)" in pushed
+    assert "GreaterThanOrEqual(ts," in pushed and "LessThan(ts," in pushed
+
+
+def test_window_aggregations_combine_map_side(spark):
+    for name in ("store_window_summary", "store_tumbling_summary", "realtime_window_metrics",
+                 "product_window_performance", "activity_heatmap"):
+        plan = plan_text(E.queries()[name](spark, SF001), "simple")
+        # a partial aggregate sits below (after, in the text) the first exchange
+        first_exchange = plan.index("Exchange")
+        assert "partial_" in plan[first_exchange:], name

@@ -148,3 +148,24 @@ def test_backfill_twice_equals_once(spark, scratch):
     assert sum(r.total_transactions for r in first) == 2 * 6
     metrics = spark.read.parquet(paths.table("realtime_metrics"))
     assert metrics.count() == 3 * 5  # three metrics for each of five 30-second windows
+
+
+def test_foreach_batch_writer_stream_and_restart(spark, scratch):
+    from tillstream.schemas import TRANSACTIONS_SUMMARY
+    from tillstream.sinks.parquet import IdempotentBatchWriter
+    _write_files(f"{scratch}/in", FILES)
+    writer = IdempotentBatchWriter(f"{scratch}/t", TRANSACTIONS_SUMMARY)
+
+    def run():
+        df = windows.store_window_summary(transactions_from_messages(text_stream(spark, f"{scratch}/in", 1)))
+        q = jobs.run_with_batch_writer(df, writer, f"{scratch}/ck", {"availableNow": True})
+        q.awaitTermination()
+        assert q.exception() is None
+
+    run()
+    cols = ["window_start", "store_id", "total_transactions", "total_revenue"]
+    first = sorted(spark.read.parquet(f"{scratch}/t").select(*cols).collect())
+    assert {(str(r.window_start)[11:19], r.total_transactions) for r in first} == {
+        ("23:59:30", 2), ("00:00:00", 3), ("00:00:30", 1), ("00:09:00", 1), ("00:09:30", 2), ("00:10:00", 1)}
+    run()  # restart from the checkpoint: nothing new, nothing duplicated
+    assert sorted(spark.read.parquet(f"{scratch}/t").select(*cols).collect()) == first

@@ -83,6 +83,20 @@ def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | No
     return writer.trigger(**(trigger or {"availableNow": True})).start(path)
 
 
+def run_with_batch_writer(df: DataFrame, writer, checkpoint: str, trigger: dict | None = None,
+                          query_name: str | None = None) -> StreamingQuery:
+    """Append-mode stream whose micro-batches go to ``writer(batch_df,
+    batch_id)`` (``sinks.parquet.IdempotentBatchWriter``,
+    ``sinks.jdbc.JdbcBatchWriter``). A batch replayed after a failure calls
+    the writer again with the same id; both writers make that a no-op."""
+    configure_streaming(df.sparkSession)
+    w = (df.writeStream.outputMode("append").foreachBatch(writer)
+         .option("checkpointLocation", checkpoint))
+    if query_name:
+        w = w.queryName(query_name)
+    return w.trigger(**(trigger or TRIGGERS["store_window_summary"])).start()
+
+
 def run_to_console(df: DataFrame, trigger: dict | None = None, truncate: bool = False,
                    query_name: str | None = None) -> StreamingQuery:
     """K4: print each micro-batch's emitted rows (monitoring; no checkpoint

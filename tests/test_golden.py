@@ -67,3 +67,15 @@ def test_inserting_seeds_twice_changes_nothing(seeds):
     after = keyed.table_after_insert(summary, summary, ["window_start", "store_id"])
     assert sorted(after.collect()) == sorted(summary.collect())
     assert keyed.insert_if_absent(summary, summary, ["window_start", "store_id"]).count() == 0
+
+
+def test_metrics_response_matches_hand_computed(seeds):
+    from tillstream.operators.dashboard import metrics_response
+    summary, products = seeds
+    r = metrics_response(summary, products, T)
+    assert r["summary"] == {"total_transactions": 77, "total_revenue": 4222.21,
+                            "avg_transaction_value": 55.385, "total_customers": 66}
+    assert [s["store_id"] for s in r["stores"]] == ["London-Central", "Manchester-North"]
+    assert r["products"][0] == {"product_name": "Organic Milk", "category": "Dairy",
+                                "quantity": "125", "revenue": "311.25"}
+    assert r["recent_activity"] == 0

@@ -79,3 +79,12 @@ def test_metrics_response_matches_hand_computed(seeds):
     assert r["products"][0] == {"product_name": "Organic Milk", "category": "Dairy",
                                 "quantity": "125", "revenue": "311.25"}
     assert r["recent_activity"] == 0
+
+
+def test_export_last_day_keeps_seed_rows(seeds, scratch):
+    from tillstream.sinks.export import export_last_day
+    summary, products = seeds
+    later = T + dt.timedelta(seconds=1)
+    assert export_last_day(summary, products, later, f"{scratch}/csv", "csv") == 2
+    m = export_last_day(summary, products, later, f"{scratch}/json").first()
+    assert (m.transactions_summary, m.product_performance, m.total_records) == (2, 2, 4)

@@ -49,3 +49,18 @@ def export_json(summary: DataFrame, products: DataFrame, path: str) -> DataFrame
         (F.col("transactions_summary") + F.col("product_performance")).alias("total_records"))
     manifest.write.mode("overwrite").json(f"{path}/manifest")
     return manifest
+
+
+def export_last_day(summary: DataFrame, products: DataFrame, as_of, path: str, fmt: str = "json",
+                    until=None):
+    """The export request: the last 24 hours of both tables (Q10 newest
+    windows first, Q11 highest revenue first). CSV holds the summary rows only,
+    as the reference's CSV export does; JSON holds both plus the manifest.
+    Returns the row count (CSV) or the manifest DataFrame (JSON)."""
+    from tillstream.functions.timebounds import trailing
+    from tillstream.operators import rollups
+    rng = trailing(as_of, "24h", until)
+    t = rollups.export_transactions(summary, rng)
+    if fmt == "csv":
+        return export_csv(t, path)
+    return export_json(t, rollups.export_products(products, rng), path)

@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType, TimestampType
 from tillstream.contract import params as P
 from tillstream.functions.timebounds import TimeRange, in_range, trailing
 from tillstream.operators import insight, keyed, rollups, windows
-from tillstream.session import configure, scratch_path
+from tillstream.session import configure, default_parallelism, scratch_path
 from tillstream.sinks.parquet import merge_into_table, write_table
 from tillstream.sources.streams import text_stream
 from tillstream.sources.tables import read_products, read_summary
@@ -312,7 +312,8 @@ def _stage(spark: SparkSession, name: str, messages: DataFrame, files: int | Non
 def _stream(spark: SparkSession, name: str, messages: DataFrame, build) -> DataFrame:
     root = _stage(spark, name, messages)
     df = build(text_stream(spark, f"{root}/in"))
-    jobs.run_until_caught_up(df, f"{root}/out", f"{root}/checkpoint")
+    jobs.run_until_caught_up(df, f"{root}/out", f"{root}/checkpoint",
+                             state_partitions=default_parallelism(spark))
     return spark.read.parquet(f"{root}/out")
 
 
@@ -342,6 +343,7 @@ def _progress(spark, sf) -> DataFrame:
     root = _stage(spark, "progress", testdata.event_messages(spark, sf), PROGRESS_FILES)
     raw = text_stream(spark, f"{root}/in", max_files_per_trigger=1)
     q = jobs.run_until_caught_up(jobs.store_summary_stream(raw), f"{root}/out", f"{root}/checkpoint",
+                                 state_partitions=default_parallelism(spark),
                                  query_name="store_window_summary")
     return progress.progress_frame(spark, [q])
 

@@ -7,6 +7,7 @@ host's zone or across DST changes.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -96,6 +97,30 @@ def _context(spark: SparkSession):
         return None
 
 
+@contextlib.contextmanager
+def temporary_conf(spark: SparkSession, values: dict[str, str]):
+    """Set runtime SQL settings for the duration of a block, then restore."""
+    old = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield spark
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    """Total task slots of the cluster (cores), or the shuffle setting."""
+    context = _context(spark)
+    if context is not None:
+        return int(context.defaultParallelism)
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique location below the checkpoint root."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])

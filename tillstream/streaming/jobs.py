@@ -109,11 +109,20 @@ def run_to_console(df: DataFrame, trigger: dict | None = None, truncate: bool =
     return writer.trigger(**(trigger or TRIGGERS["realtime_window_metrics"])).start()
 
 
-def run_until_caught_up(df: DataFrame, path: str, checkpoint: str, **kw) -> StreamingQuery:
+def run_until_caught_up(df: DataFrame, path: str, checkpoint: str,
+                        state_partitions: int | None = None, **kw) -> StreamingQuery:
     """Process everything available now (plus the closing no-data batch that
-    emits windows the watermark has passed), then stop."""
-    q = run_to_parquet(df, path, checkpoint, {"availableNow": True}, **kw)
-    q.awaitTermination()
+    emits windows the watermark has passed), then stop.
+
+    ``state_partitions`` fixes the number of state-store partitions of a new
+    checkpoint (it cannot change later; AQE does not coalesce stateful
+    shuffles). Unset, the session's ``spark.sql.shuffle.partitions`` applies.
+    """
+    from tillstream.session import temporary_conf
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with temporary_conf(df.sparkSession, conf):
+        q = run_to_parquet(df, path, checkpoint, {"availableNow": True}, **kw)
+        q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
     return q

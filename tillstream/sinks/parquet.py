@@ -37,9 +37,12 @@ def clustered(df: DataFrame, contract: TableContract, partitions: int | None = N
     day holding a large share of the rows is split across tasks by key.
     """
     date_col = _date_col(contract)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, date_col, *contract.key)
-              .sortWithinPartitions(date_col, *contract.key))
+    # Without an explicit count AQE coalesces the range shuffle to its
+    # advisory partition size: few files for a small table, files of about
+    # that size for a large one.
+    ranged = (df.repartitionByRange(partitions, date_col, *contract.key) if partitions
+              else df.repartitionByRange(date_col, *contract.key))
+    return ranged.sortWithinPartitions(date_col, *contract.key)
 
 
 def write_table(df: DataFrame, path: str, contract: TableContract, mode: str = "append",

@@ -124,3 +124,15 @@ def test_merge_touches_only_batch_days_and_is_idempotent(spark, scratch):
     assert {f: os.path.getmtime(f) for f in untouched} == before and before
     full = store_tumbling_summary(tx, watermark=None).select(*cols)
     assert sorted(full.collect()) == first
+
+
+def test_duplicate_product_key_goes_to_rejects(spark):
+    from tillstream.schemas import PRODUCT_PERFORMANCE
+    rows = [(T0, "P1", "Milk", "Dairy", 1, 1.0), (T0, "P1", "Milk 2l", "Dairy", 2, 2.0),
+            (T0, "P2", "Bread", "Bakery", 3, 3.0)]
+    df = spark.createDataFrame(rows, "window_start timestamp, product_id string, product_name string, "
+                                     "category string, quantity_sold bigint, revenue double")
+    good, bad = conform(df, PRODUCT_PERFORMANCE, stamp=False)
+    assert [r.product_id for r in good.collect()] == ["P2"]
+    assert sorted((r.product_name, r.reject_reason) for r in bad.collect()) == [
+        ("Milk", "duplicate key"), ("Milk 2l", "duplicate key")]

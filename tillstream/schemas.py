@@ -93,6 +93,9 @@ class TableContract:
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
     partition_by: tuple[str, ...] = field(default_factory=tuple)
+    # True when rows are produced under a wider group key than the table key,
+    # so key uniqueness is not guaranteed by construction and is checked.
+    check_unique: bool = False
 
     @property
     def names(self) -> list[str]:
@@ -138,6 +141,7 @@ PRODUCT_PERFORMANCE = TableContract(
     ),
     key=("window_start", "product_id"),
     partition_by=("window_date",),
+    check_unique=True,  # grouped by (window, id, name, category), keyed by (window, id)
 )
 
 REALTIME_METRICS = TableContract(

@@ -27,11 +27,14 @@ def _value(df: DataFrame, col) -> Column:
     return c.alias(col.name)
 
 
-def conform(df: DataFrame, contract: TableContract, stamp: bool = True) -> tuple[DataFrame, DataFrame]:
+def conform(df: DataFrame, contract: TableContract, stamp: bool = True,
+            check_unique: bool = True) -> tuple[DataFrame, DataFrame]:
     """Return ``(rows that satisfy the contract, rejected rows + reason)``.
 
     With ``stamp=False`` the ``created_at`` column is left out (deterministic
-    output for comparisons).
+    output for comparisons). For contracts with ``check_unique`` the rows of a
+    duplicated table key also go to the reject set (batch input only; a
+    stream's native sink passes ``check_unique=False``).
     """
     cols = [c for c in contract.columns if stamp or c.name != "created_at"]
     shaped = df.select(*[_value(df, c) for c in cols])
@@ -43,11 +46,15 @@ def conform(df: DataFrame, contract: TableContract, stamp: bool = True) -> tuple
             reasons.append(F.when(F.length(F.col(c.name)) > c.max_length,
                                   F.lit(f"{c.name} longer than {c.max_length}")))
     if not reasons:
-        return shaped, shaped.limit(0).withColumn(REJECT_REASON, F.lit(None).cast("string"))
-    reason = reduce(lambda a, b: F.coalesce(a, b), reasons)
-    tagged = shaped.withColumn(REJECT_REASON, reason)
-    good = tagged.where(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
-    bad = tagged.where(F.col(REJECT_REASON).isNotNull())
+        good, bad = shaped, shaped.limit(0).withColumn(REJECT_REASON, F.lit(None).cast("string"))
+    else:
+        reason = reduce(lambda a, b: F.coalesce(a, b), reasons)
+        tagged = shaped.withColumn(REJECT_REASON, reason)
+        good = tagged.where(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
+        bad = tagged.where(F.col(REJECT_REASON).isNotNull())
+    if contract.check_unique and check_unique and contract.key:
+        good, dups = split_key_violations(good, contract.key)
+        bad = bad.unionByName(dups)
     return good, bad
 
 
@@ -56,3 +63,18 @@ def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
     from tillstream.sources.tables import TIME_COLUMN
     ts_col, date_col = TIME_COLUMN[contract.name]
     return df.withColumn(date_col, F.to_date(F.col(ts_col)))
+
+
+def split_key_violations(df: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Rows whose key occurs once, and the rows of keys that occur more than
+    once (all copies, with a reason) - instead of storing a duplicate key.
+
+    Counting per key aggregates map-side first, and the duplicated keys are
+    matched back with semi/anti joins, so a key holding a large share of the
+    rows is never gathered into one task.
+    """
+    key = list(key)
+    dup = df.groupBy(*key).count().where(F.col("count") > 1).select(*key)
+    good = df.join(dup, key, "left_anti")
+    bad = df.join(dup, key, "left_semi").withColumn(REJECT_REASON, F.lit("duplicate key"))
+    return good, bad

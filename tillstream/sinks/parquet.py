@@ -25,7 +25,7 @@ def _date_col(contract: TableContract) -> str:
 
 
 def prepare(df: DataFrame, contract: TableContract, stamp: bool = True) -> tuple[DataFrame, DataFrame]:
-    good, bad = conform(df, contract, stamp=stamp)
+    good, bad = conform(df, contract, stamp=stamp, check_unique=not df.isStreaming)
     return with_partition_date(good, contract), bad
 
 

@@ -53,7 +53,11 @@ def conform(df: DataFrame, contract: TableContract, stamp: bool = True,
         good = tagged.where(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
         bad = tagged.where(F.col(REJECT_REASON).isNotNull())
     if contract.check_unique and check_unique and contract.key:
-        good, dups = split_key_violations(good, contract.key)
+        # The check reads its input twice; a reliable checkpoint (below the
+        # shared spark.checkpoint.dir) computes it once and cuts the lineage.
+        from tillstream.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        good, dups = split_key_violations(good.checkpoint(eager=True), contract.key)
         bad = bad.unionByName(dups)
     return good, bad
 

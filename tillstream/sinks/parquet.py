@@ -45,13 +45,24 @@ def clustered(df: DataFrame, contract: TableContract, partitions: int | None = N
     return ranged.sortWithinPartitions(date_col, *contract.key)
 
 
+def write_sizing(spark):
+    """Settings for partitioned table writes, where each task pays a fixed
+    cost per day file: AQE's parallelism-first coalescing may go down to
+    small partitions so a small table still gets one writer per core. At scale
+    the coalescing target is bound by the advisory size and this has no effect.
+    """
+    from tillstream.session import temporary_conf
+    return temporary_conf(spark, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB"})
+
+
 def write_table(df: DataFrame, path: str, contract: TableContract, mode: str = "append",
                 stamp: bool = True, max_records_per_file: int = 5_000_000) -> DataFrame:
     """Batch write of contract rows; returns the reject set (lazy)."""
     good, bad = prepare(df, contract, stamp)
-    (clustered(good, contract)
-         .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-         .partitionBy(_date_col(contract)).parquet(path))
+    with write_sizing(df.sparkSession):
+        (clustered(good, contract)
+             .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
+             .partitionBy(_date_col(contract)).parquet(path))
     return bad
 
 
@@ -139,7 +150,8 @@ def merge_into_table(batch: DataFrame, path: str, contract: TableContract, stagi
     obs = Observation()
     observed = clustered(good, contract).observe(
         obs, F.count(F.lit(1)).alias("n"), F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
-    observed.write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/batch")
+    with write_sizing(spark):
+        observed.write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/batch")
     span = obs.get
     if not span["n"]:
         return bad
@@ -151,7 +163,8 @@ def merge_into_table(batch: DataFrame, path: str, contract: TableContract, stagi
         merged = upsert(existing, staged, contract.key)
     except AnalysisException:  # the table does not exist yet
         merged = staged
-    clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/merged")
+    with write_sizing(spark):
+        clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/merged")
     (spark.read.parquet(f"{staging}/merged").write.mode("overwrite")
           .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
     return bad

@@ -62,3 +62,14 @@ def test_window_aggregations_combine_map_side(spark):
         # a partial aggregate sits below (after, in the text) the first exchange
         first_exchange = plan.index("Exchange")
         assert "partial_" in plan[first_exchange:], name
+
+
+def test_trailing_star_query_filters_lineitem_at_runtime(spark):
+    """lineitem has no time column; at scale the join gets a runtime bloom
+    filter on l_orderkey built from the hour's orders, applied before the
+    shuffle (thresholds scaled down to the test data)."""
+    from test_skew import conf
+    with conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                      "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}):
+        plan = plan_text(E.queries()["top_products"](spark, SF001), "extended")
+    assert "might_contain" in plan and "xxhash64(l_orderkey" in plan

@@ -111,8 +111,8 @@ class IdempotentBatchWriter:
             good = good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             overwrite_partitions(good, self.path, self.contract, ("batch_id",))
             rejects = bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            (rejects.select("batch_id", REJECT_REASON, F.to_json(F.struct(*self.contract.names[:-1]))
-                            .alias("row"))
+            row_cols = [c for c in self.contract.names if c in bad.columns and c != "created_at"]
+            (rejects.select("batch_id", REJECT_REASON, F.to_json(F.struct(*row_cols)).alias("row"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(self.path + "_rejects"))
         finally:

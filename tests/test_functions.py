@@ -43,3 +43,9 @@ def test_broadcast_only_when_bounded(spark):
         assert "BroadcastHashJoin" not in plan_text(with_big)
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_trailing_defaults_to_now():
+    before = dt.datetime.now().replace(microsecond=0)
+    r = trailing(None, "1h")
+    assert before - dt.timedelta(hours=1) <= r.start <= dt.datetime.now() - dt.timedelta(hours=1)

@@ -43,11 +43,15 @@ class TimeRange:
 
 
 def trailing(as_of, span: dt.timedelta | str, until=None) -> TimeRange:
-    """``[as_of - span, until)``: the reference's ``>= NOW() - INTERVAL`` with
-    an explicit optional upper bound (historical data runs past ``as_of``)."""
+    """``[as_of - span, until)``: ``>= NOW() - INTERVAL`` with an explicit
+    optional upper bound (historical data runs past ``as_of``).
+
+    ``as_of=None`` means now, as local wall-clock time: event times are
+    zoneless local times, read as-is in the UTC session.
+    """
     if isinstance(span, str):
         span = SPANS[span]
-    as_of = _as_datetime(as_of)
+    as_of = _as_datetime(as_of) if as_of is not None else dt.datetime.now().replace(microsecond=0)
     return TimeRange(as_of - span, _as_datetime(until) if until is not None else None)
 
 

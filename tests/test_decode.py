@@ -74,3 +74,14 @@ def test_console_sink_runs(spark, scratch):
                        {"availableNow": True})
     q.awaitTermination()
     assert q.exception() is None
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(max_size=40), min_size=1, max_size=10))
+def test_arbitrary_text_never_raises_and_is_never_valid(spark_hyp, values):
+    rows = _parse(spark_hyp, values).select("is_valid").collect()
+    assert len(rows) == len(values)
+    assert not any(r.is_valid for r in rows)

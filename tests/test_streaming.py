@@ -169,3 +169,13 @@ def test_foreach_batch_writer_stream_and_restart(spark, scratch):
         ("23:59:30", 2), ("00:00:00", 3), ("00:00:30", 1), ("00:09:00", 1), ("00:09:30", 2), ("00:10:00", 1)}
     run()  # restart from the checkpoint: nothing new, nothing duplicated
     assert sorted(spark.read.parquet(f"{scratch}/t").select(*cols).collect()) == first
+
+
+def test_sketch_summary_runs_on_a_stream(spark, scratch):
+    from tillstream.operators import rollups
+    _write_files(f"{scratch}/in", FILES)
+    raw = text_stream(spark, f"{scratch}/in", 1)
+    df = windows.store_tumbling_summary(transactions_from_messages(raw), sketch=True)
+    jobs.run_until_caught_up(df, f"{scratch}/out", f"{scratch}/ck")
+    est = rollups.distinct_customers(spark.read.parquet(f"{scratch}/out")).first()
+    assert est.distinct_customers == 1  # every message has customer "c"

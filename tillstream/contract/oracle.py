@@ -347,4 +347,12 @@ SELECT {TUMBLING_COLS} FROM batch""",
 SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
 FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}
 GROUP BY store_id""",
+
+    "stream_raw_transactions": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, ts AS "timestamp",
+       event_type AS store_id, CAST(user_id AS VARCHAR) AS customer_id,
+       CAST(NULL AS VARCHAR) AS customer_type,
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS total_amount,
+       CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS DOUBLE) AS discount_applied,
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS final_amount
+FROM events""",
 }

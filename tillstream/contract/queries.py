@@ -334,6 +334,15 @@ def q_stream_realtime_metrics(spark, sf):
     return plain(windows.flatten_window(out))
 
 
+def q_stream_raw_transactions(spark, sf):
+    """K11 as a stream: valid transactions, items dropped, one row per id
+    (de-duplicated within the watermark), in the table's types."""
+    def build(raw):
+        good, _ = conform(jobs.raw_transactions_stream(raw), TRANSACTIONS, stamp=False)
+        return good
+    return plain(_stream(spark, "raw_transactions", testdata.event_messages(spark, sf), build))
+
+
 PROGRESS_FILES = 4
 
 

@@ -140,9 +140,8 @@ def test_duplicate_product_key_goes_to_rejects(spark):
 
 def test_decimal_overflow_raises_instead_of_storing_wrong_values(spark):
     import pytest
-    from pyspark.errors import ArithmeticException, SparkException
     df = _summary(spark, [(T0, T0, "s", 1, 1.0e11, 1.0, 1)])  # does not fit DECIMAL(12,2)
     good, _ = conform(df, TRANSACTIONS_SUMMARY, stamp=False)
-    with pytest.raises((ArithmeticException, SparkException, Exception)) as e:
+    with pytest.raises(Exception) as e:
         good.collect()
     assert "NUMERIC_VALUE_OUT_OF_RANGE" in str(e.value) or "overflow" in str(e.value).lower()

@@ -85,3 +85,14 @@ def test_arbitrary_text_never_raises_and_is_never_valid(spark_hyp, values):
     rows = _parse(spark_hyp, values).select("is_valid").collect()
     assert len(rows) == len(values)
     assert not any(r.is_valid for r in rows)
+
+
+def test_reject_reasons(spark):
+    from tillstream.operators.insight import reject_reasons
+    parsed = _parse(spark, [
+        GOOD, "{bad", "", None,
+        '{"transaction_id":"t2","timestamp":"2025-01-01T00:00:05","store_id":"s","total_amount":1.0,"final_amount":1.0}',
+        '{"transaction_id":"t3","timestamp":"nope","store_id":"s","customer_id":"c","total_amount":1.0,"final_amount":1.0}',
+    ])
+    got = {r.reason: r.messages for r in reject_reasons(parsed).collect()}
+    assert got == {"unparseable": 3, "missing customer_id": 1, "bad timestamp": 1}

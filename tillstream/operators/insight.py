@@ -92,6 +92,15 @@ def data_quality(parsed: DataFrame) -> DataFrame:
     )
 
 
+def reject_reasons(parsed: DataFrame, kind: str = "transactions") -> DataFrame:
+    """X3 detail: rejected messages per reason (first failing rule)."""
+    from tillstream.schemas import REQUIRED
+    from tillstream.sources.decode import reject_reason
+    return (parsed.where(~F.col("is_valid"))
+            .groupBy(reject_reason(REQUIRED[kind]).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("messages")))
+
+
 def approx_distinct_check(tx: DataFrame, key: str = "store_id", tolerance: float = 0.15) -> DataFrame:
     """G4 check: the approximate distinct customer count per key lies within
     ``tolerance`` of the exact one."""

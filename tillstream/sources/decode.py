@@ -30,6 +30,16 @@ def validity(required: tuple[str, ...]) -> Column:
     return reduce(lambda a, b: a & b, checks)
 
 
+def reject_reason(required: tuple[str, ...]) -> Column:
+    """The first rule a message breaks (NULL for a valid message):
+    ``unparseable`` when nothing decoded, ``missing <field>``, or
+    ``bad timestamp`` when the time text does not parse."""
+    rules = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in required]
+    rules.append(F.when(F.col("event_time").isNull(), F.lit("bad timestamp")))
+    nothing = reduce(lambda a, b: a & b, [F.col(c).isNull() for c in required])
+    return F.when(nothing, F.lit("unparseable")).otherwise(F.coalesce(*rules))
+
+
 def parse_messages(raw: DataFrame, kind: str = "transactions", value_col: str = "value",
                    keep: tuple[str, ...] = ()) -> DataFrame:
     """Decode one topic's messages and add ``processing_time`` (P4),

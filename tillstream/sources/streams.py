@@ -18,16 +18,21 @@ TOPICS = {
 
 
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, kind: str = "transactions",
-                 starting_offsets: str = "latest", **options: str) -> DataFrame:
+                 starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
+                 **options: str) -> DataFrame:
     """``key, value, topic, partition, offset, timestamp`` rows of one topic.
 
-    Needs the spark-sql-kafka package on the cluster's classpath.
+    ``max_offsets_per_trigger`` bounds a micro-batch, so catching up after a
+    stop proceeds in batches of known size instead of one batch holding the
+    whole backlog. Needs the spark-sql-kafka package on the cluster's classpath.
     """
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", bootstrap_servers)
               .option("subscribe", TOPICS[kind])
               .option("startingOffsets", starting_offsets)
               .option("failOnDataLoss", "true"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for key, value in options.items():
         reader = reader.option(key, value)
     return reader.load()

@@ -22,6 +22,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--source", choices=("kafka", "files"), default="kafka")
     p.add_argument("--bootstrap-servers", default=None, help="Kafka bootstrap servers")
     p.add_argument("--starting-offsets", default="latest")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=None,
+                   help="upper bound of messages per micro-batch (Kafka)")
     p.add_argument("--input", default=None, help="folder of message files (--source files)")
     p.add_argument("--root", default=None, help="output + checkpoint root (shared storage)")
     p.add_argument("--raw-transactions", action="store_true", help="also keep the raw transactions table")
@@ -37,7 +39,8 @@ def main(argv=None, spark: SparkSession | None = None) -> list:
         if not args.bootstrap_servers:
             raise SystemExit("--bootstrap-servers is required for --source kafka")
         source = lambda: kafka_stream(spark, args.bootstrap_servers,
-                                      starting_offsets=args.starting_offsets)
+                                      starting_offsets=args.starting_offsets,
+                                      max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
         if not args.input:
             raise SystemExit("--input is required for --source files")

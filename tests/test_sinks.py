@@ -145,3 +145,19 @@ def test_decimal_overflow_raises_instead_of_storing_wrong_values(spark):
     with pytest.raises(Exception) as e:
         good.collect()
     assert "NUMERIC_VALUE_OUT_OF_RANGE" in str(e.value) or "overflow" in str(e.value).lower()
+
+
+def test_stored_sketches_answer_distinct_customers(spark, scratch):
+    from tillstream.operators import rollups
+    from tillstream.operators.windows import store_tumbling_summary
+    from tillstream.schemas import TUMBLING_SUMMARY
+    from tillstream.sources import testdata
+    from tillstream.sources.tables import read_table
+    tx = testdata.event_transactions(spark, SF001)
+    sketched = store_tumbling_summary(tx, watermark=None, sketch=True)
+    write_table(sketched, f"{scratch}/t", TUMBLING_SUMMARY)
+    rng = TimeRange(dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12))
+    stored = read_table(spark, f"{scratch}/t", "tumbling_summary", rng)
+    got = {r.store_id: r.distinct_customers for r in rollups.distinct_customers(stored, rng).collect()}
+    want = {r.store_id: r.distinct_customers for r in rollups.distinct_customers(sketched, rng).collect()}
+    assert got == want and got

@@ -270,7 +270,7 @@ def q_merged_summary_table(spark, sf):
     path = scratch_path(spark, "tables", "tumbling_summary")
     write_table(existing, path, TUMBLING_SUMMARY)
     merge_into_table(batch, path, TUMBLING_SUMMARY, scratch_path(spark, "staging", "tumbling_summary"))
-    cols = [c.name for c in TUMBLING_SUMMARY.columns if c.name != "created_at"]
+    cols = [c.name for c in TUMBLING_SUMMARY.columns if c.name not in ("created_at", "customer_sketch")]
     return plain(spark.read.parquet(path).select(*cols))
 
 

@@ -123,7 +123,9 @@ TRANSACTIONS_SUMMARY = TableContract(
 # The tumbling-window variant of the summary (no per-window mean).
 TUMBLING_SUMMARY = TableContract(
     "tumbling_summary",
-    tuple(c for c in TRANSACTIONS_SUMMARY.columns if c.name != "avg_transaction_value"),
+    tuple(c for c in TRANSACTIONS_SUMMARY.columns if c.name not in ("avg_transaction_value", "created_at"))
+    + (Column("customer_sketch", "binary"),   # HLL sketch of the window's customers (optional)
+       Column("created_at", "timestamp", default="current_timestamp()")),
     key=TRANSACTIONS_SUMMARY.key,
     partition_by=("window_date",),
 )

@@ -343,6 +343,11 @@ WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE e.window_start = b.window_start AN
 UNION ALL
 SELECT {TUMBLING_COLS} FROM batch""",
 
+    "stored_sketch_customers": f"""WITH {TX}
+SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
+FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}
+GROUP BY store_id""",
+
     "sketch_customers_last_hour": f"""WITH {TX}
 SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
 FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}

@@ -25,7 +25,7 @@ from tillstream.sinks.parquet import merge_into_table, write_table
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
 from tillstream.sources.streams import text_stream
-from tillstream.sources.tables import read_products, read_summary
+from tillstream.sources.tables import read_products, read_summary, read_table
 from tillstream.streaming import jobs, progress
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -297,6 +297,16 @@ def q_stored_top_products(spark, sf):
     return plain(rollups.top_products(read_products(spark, path, rng), rng))
 
 
+def q_stored_sketch_customers(spark, sf):
+    """Distinct customers per store over the trailing hour from the stored
+    per-minute sketches of the whole events table (no raw-event rescan)."""
+    path = scratch_path(spark, "tables", TUMBLING_SUMMARY.name)
+    tx = testdata.event_transactions(spark, sf)
+    write_table(windows.store_tumbling_summary(tx, watermark=None, sketch=True), path, TUMBLING_SUMMARY)
+    rng = _hour()
+    return rollups.distinct_customers(read_table(spark, path, TUMBLING_SUMMARY.name, rng), rng)
+
+
 # --- streams (file source standing in for the topic) --------------------------
 
 def _stage(spark: SparkSession, name: str, messages: DataFrame, files: int | None = None) -> str:

@@ -158,6 +158,8 @@ _day_names = ", ".join(f"'{d}'" for d in ["Mon", "Tue", "Wed", "Thu", "Fri", "Sa
 ORACLE: dict[str, str] = {
     "store_window_summary": f"WITH {SUMMARY} SELECT {SUMMARY_COLS} FROM summary",
 
+    "store_window_summary_exact": f"WITH {SUMMARY} SELECT {SUMMARY_COLS} FROM summary",
+
     "store_tumbling_summary": f"WITH {TX},\n{_tumbling('t', 'TRUE')} SELECT {TUMBLING_COLS} FROM t",
 
     "product_window_performance": f"WITH {STAR_ITEMS} SELECT {PP_COLS} FROM pp",

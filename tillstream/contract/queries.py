@@ -89,6 +89,13 @@ def q_store_window_summary(spark, sf):
     return plain(event_summary(spark, sf))
 
 
+def q_store_window_summary_exact(spark, sf):
+    """Q1 on a table with the exact distinct customer count (G6; streams
+    need the mergeable approximate one)."""
+    tx = testdata.event_transactions(spark, sf)
+    return plain(windows.store_window_summary(tx, watermark=None, distinct="exact"))
+
+
 def q_store_tumbling_summary(spark, sf):
     tx = testdata.event_transactions(spark, sf)
     return plain(windows.store_tumbling_summary(tx, watermark=None))

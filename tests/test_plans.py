@@ -73,3 +73,12 @@ def test_trailing_star_query_filters_lineitem_at_runtime(spark):
                       "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1KB"}):
         plan = plan_text(E.queries()["top_products"](spark, SF001), "extended")
     assert "might_contain" in plan and "xxhash64(l_orderkey" in plan
+
+
+def test_exact_distinct_shuffles_by_customer_first(spark):
+    """count(distinct customer) per (window, store): the first exchange is on
+    (window, store, customer) after a map-side de-duplication, so a hot store's
+    customers are spread over tasks before the per-store count."""
+    plan = plan_text(E.queries()["store_window_summary_exact"](spark, SF001), "simple")
+    exchanges = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert any("customer_id" in ln for ln in exchanges), exchanges

@@ -29,9 +29,14 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
-def jdbc_append(df: DataFrame, options: dict[str, str], batch_size: int = 10_000) -> None:
-    """K3: append rows (one connection per task, batched inserts)."""
-    (df.write.format("jdbc").options(**options).option("batchsize", str(batch_size))
+def jdbc_append(df: DataFrame, options: dict[str, str], batch_size: int = 10_000,
+                max_connections: int = 32) -> None:
+    """K3: append rows with batched inserts. Each writing task holds one
+    connection; ``max_connections`` caps them (Spark coalesces to that many
+    partitions) so a large cluster does not open thousands at once."""
+    (df.write.format("jdbc").options(**options)
+       .option("batchsize", str(batch_size))
+       .option("numPartitions", str(max_connections))
        .mode("append").save())
 
 

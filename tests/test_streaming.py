@@ -179,3 +179,14 @@ def test_sketch_summary_runs_on_a_stream(spark, scratch):
     jobs.run_until_caught_up(df, f"{scratch}/out", f"{scratch}/ck")
     est = rollups.distinct_customers(spark.read.parquet(f"{scratch}/out")).first()
     assert est.distinct_customers == 1  # every message has customer "c"
+
+
+def test_await_all_waits_for_every_query(spark, scratch):
+    _write_files(f"{scratch}/in", FILES)
+    once = {"availableNow": True}
+    qs = [jobs.run_to_parquet(windows.store_tumbling_summary(
+              transactions_from_messages(text_stream(spark, f"{scratch}/in"))),
+              f"{scratch}/out{i}", f"{scratch}/ck{i}", once) for i in range(2)]
+    jobs.await_all(spark, qs)
+    assert not any(q.isActive for q in qs)
+    assert all(spark.read.parquet(f"{scratch}/out{i}").count() == 3 for i in range(2))

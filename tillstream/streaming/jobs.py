@@ -158,13 +158,18 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
     return queries
 
 
-def await_all(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait on all queries at once: the first failure ends the wait and is
-    raised, instead of hiding behind an earlier query's endless wait."""
-    spark.streams.awaitAnyTermination(timeout)
-    for q in queries:
-        if q.exception() is not None:
-            raise q.exception()
+def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
+    """Wait until every query has stopped; the first failure ends the wait
+    and is raised (instead of hiding behind another query's endless wait).
+    A query that stops normally does not end the wait for the others."""
+    while True:
+        for q in queries:
+            if q.exception() is not None:
+                raise q.exception()
+        if not any(q.isActive for q in queries):
+            return
+        spark.streams.awaitAnyTermination()
+        spark.streams.resetTerminated()
 
 
 def backfill(spark: SparkSession, raw: DataFrame, paths: StreamPaths) -> None:

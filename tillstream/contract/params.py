@@ -26,3 +26,7 @@ def sql_ts(t: dt.datetime) -> str:
 
 # A trailing hour after the end of the events (the "no data" dashboard state).
 EMPTY_AS_OF = dt.datetime(2024, 3, 1, 0, 0, 0)
+
+# The incremental stream query stages the events in time slices at these
+# bounds and restarts the stream from its checkpoint after each slice.
+STREAM_SLICE_BOUNDS = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 24))

@@ -64,9 +64,11 @@ def event_transactions(spark: SparkSession, sf_dir: str, rng: TimeRange | None =
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The events as retail-transactions topic messages (``key``, ``value``)."""
+def event_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None) -> DataFrame:
+    """The events (of ``rng``) as retail-transactions topic messages (``key``, ``value``)."""
     ev = table(spark, sf_dir, "events")
+    if rng is not None:
+        ev = ev.where(_raw_range(F.col("ts"), rng))
     payload = F.struct(
         F.col("event_id").cast("string").alias("transaction_id"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),

@@ -161,3 +161,12 @@ def test_stored_sketches_answer_distinct_customers(spark, scratch):
     got = {r.store_id: r.distinct_customers for r in rollups.distinct_customers(stored, rng).collect()}
     want = {r.store_id: r.distinct_customers for r in rollups.distinct_customers(sketched, rng).collect()}
     assert got == want and got
+
+
+def test_batch_writer_keeps_rejects_with_reasons(spark, scratch):
+    writer = IdempotentBatchWriter(f"{scratch}/t", TRANSACTIONS_SUMMARY)
+    writer(_summary(spark, [(T0, T0, "s", 1, 1.0, 1.0, 1), (T0, T0, None, 2, 2.0, 1.0, 1)]), 0)
+    assert spark.read.parquet(f"{scratch}/t").count() == 1
+    rejects = spark.read.parquet(f"{scratch}/t_rejects").collect()
+    assert [(r.batch_id, r.reject_reason) for r in rejects] == [(0, "store_id is null")]
+    assert json.loads(rejects[0].row)["total_transactions"] == 2

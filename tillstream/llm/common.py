@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,5 +48,14 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), f"{SPACE}+"), "")
 
 
+def per_process(key: Any, make: Callable[[], Any]) -> Any:
+    """One object per Python worker, kept from task to task (task code itself is
+    unpickled anew for every task, so its globals do not last)."""
+    store = sys.modules.setdefault("__ts_per_process__", types.ModuleType("__ts_per_process__")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 def sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)

@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality_rules, url_filter
+from . import packing, quality_rules, simhash, url_filter
 from .common import sql_list, table
 
+def token_file(name: str = "byte_bpe_50k.json") -> str:
+    """Path of a public vocabulary file (never copied into this repository)."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -95,9 +102,21 @@ FROM judged
 """
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document packed into sequences of 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), token_file())
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document: 3-word shingles, 2 bits."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op5_packing": op5_packing,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
 ORACLE = {

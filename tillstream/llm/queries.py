@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, quality_rules, simhash, url_filter
+from . import line_dedup, packing, quality_rules, simhash, url_filter
 from .common import sql_list, table
 
 def token_file(name: str = "byte_bpe_50k.json") -> str:
@@ -102,6 +102,50 @@ FROM judged
 """
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text without the line chunks that occur before it."""
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def line_dedup_sql(source: str = "documents") -> str:
+    """Chunks by the same rolling hash, compared by their whole text."""
+    w, d = line_dedup.WINDOW, line_dedup.DIVISOR
+    rolled = " + ".join(f"coalesce(lag(h, {k}) OVER lines, 0) * {pow(line_dedup.BASE, k, line_dedup.PRIME)}"
+                        for k in range(w))
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {source}),
+lines AS (
+  SELECT rid, doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line
+  FROM (SELECT rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM d)),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
+cut AS (
+  SELECT rid, doc_id, i, line,
+         CASE WHEN i >= {w} AND ({rolled}) % {line_dedup.PRIME} % {d} = 0 THEN 1 ELSE 0 END AS last
+  FROM hashed WINDOW lines AS (PARTITION BY rid ORDER BY i)),
+numbered AS (
+  SELECT *, coalesce(sum(last) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+  FROM cut),
+chunks AS (
+  SELECT rid, doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
+         count(*) FILTER (WHERE regexp_matches(line, '[^ 	-]')) AS worded
+  FROM numbered GROUP BY rid, doc_id, chunk),
+firsts AS (
+  SELECT *, min(doc_id) OVER (PARTITION BY body) AS first_doc,
+         row_number() OVER (PARTITION BY rid, body ORDER BY chunk) AS k,
+         (worded >= {line_dedup.MIN_LINES} OR (worded > 0 AND length(body) >= {line_dedup.LONG_LINE})) AS worth
+  FROM chunks),
+kept AS (
+  SELECT rid, sum(n) AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0) AS n_removed_lines,
+         coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone), '') AS body
+  FROM (SELECT *, worth AND (k > 1 OR coalesce(doc_id IS DISTINCT FROM first_doc AND first_doc IS NOT NULL, FALSE)) AS gone
+        FROM firsts)
+  GROUP BY rid)
+SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE body END AS text,
+       n_lines::BIGINT AS n_lines, n_removed_lines::BIGINT AS n_removed_lines
+FROM d JOIN kept USING (rid)
+"""
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), token_file())
@@ -115,6 +159,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op3_quality_rules": op3_quality_rules,
+    "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
@@ -122,4 +167,5 @@ QUERIES = {
 ORACLE = {
     "op1_url_filters": _op1_sql(),
     "op3_quality_rules": quality_sql(),
+    "op4_line_dedup": line_dedup_sql(),
 }

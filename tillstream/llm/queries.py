@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import line_dedup, packing, quality_rules, simhash, url_filter
-from .common import sql_list, table
+from . import line_dedup, mixing, packing, quality_rules, simhash, url_filter
+from .common import sql_list, table, written
 
 def token_file(name: str = "byte_bpe_50k.json") -> str:
     """Path of a public vocabulary file (never copied into this repository)."""
@@ -127,7 +128,8 @@ numbered AS (
   FROM cut),
 chunks AS (
   SELECT rid, doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
-         count(*) FILTER (WHERE regexp_matches(line, '[^ 	-]')) AS worded
+         count(*) FILTER (WHERE regexp_matches(line, '[^ 	-
+]')) AS worded
   FROM numbered GROUP BY rid, doc_id, chunk),
 firsts AS (
   SELECT *, min(doc_id) OVER (PARTITION BY body) AS first_doc,
@@ -151,6 +153,57 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"), token_file())
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix takes of every document, and when it first does."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
+    sized = written(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sized")
+    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", "taken",
+                                     F.get(F.col("placements.position"), 0).alias("position"))
+
+
+def _time_sql(share: str, weight: str) -> str:
+    cases = []
+    for w, knots in mixing.SCHEDULES.items():
+        of = ""
+        for t0, before, factor, slope in reversed(mixing.pieces_of(knots)):
+            at = f"({t0}::DOUBLE + 2 * ({share} - {before}::DOUBLE) / ({factor}::DOUBLE + sqrt({factor * factor}::DOUBLE + {2 * slope}::DOUBLE * ({share} - {before}::DOUBLE))))"
+            of += f" WHEN {share} >= {before}::DOUBLE THEN {at}"
+        cases.append(f"WHEN {weight} = {w} THEN CASE{of} END")
+    return f"CASE {' '.join(cases)} END"
+
+
+def _op6_sql() -> str:
+    n, r = len(mixing.WEIGHTS), mixing.MOST_REPEATS
+    taken = " + ".join(f"greatest(0, least(size, need - ({e} * source_size + start)))" for e in range(r))
+    return f"""
+WITH RECURSIVE sized AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+sources AS (
+  SELECT source, source_size, [{', '.join(map(str, mixing.WEIGHTS))}][((k - 1) % {n}) + 1] AS weight
+  FROM (SELECT source, sum(size)::BIGINT AS source_size,
+               row_number() OVER (ORDER BY source COLLATE "binary" NULLS LAST) AS k
+        FROM sized GROUP BY source)),
+level AS (
+  SELECT 0 AS step, (SELECT sum(source_size)::BIGINT / sum(weight)::BIGINT FROM sources) AS level
+  UNION ALL
+  SELECT step + 1, (SELECT (sum(source_size) - coalesce(sum({r} * source_size) FILTER (WHERE {r} * source_size < weight * level.level), 0))::BIGINT
+                           / (sum(weight) FILTER (WHERE NOT {r} * source_size < weight * level.level))::BIGINT FROM sources)
+  FROM level WHERE step < 30),
+aims AS (
+  SELECT source, source_size, weight,
+         least(({r} * source_size)::DOUBLE, weight * (SELECT level FROM level WHERE step = 30)) AS target
+  FROM sources),
+placed AS (
+  SELECT s.*, a.source_size, a.weight, a.target, floor(a.target + 0.5)::BIGINT AS need,
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, 'null')), s.doc_id, s.size
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
+shares AS (SELECT *, ({taken})::BIGINT AS taken, start / nullif(need, 0) AS share FROM placed)
+SELECT doc_id, size, source_size, target, taken,
+       CASE WHEN taken > 0 THEN {_time_sql('share', 'weight')} END AS position
+FROM shares
+"""
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 2 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -161,6 +214,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
+    "op6_source_mixing": op6_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
 
@@ -168,4 +222,5 @@ ORACLE = {
     "op1_url_filters": _op1_sql(),
     "op3_quality_rules": quality_sql(),
     "op4_line_dedup": line_dedup_sql(),
+    "op6_source_mixing": _op6_sql(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality_rules, simhash, url_filter
+from . import line_dedup, mixing, packing, quality_rules, simhash, token_count, url_filter, warc
 from .common import sql_list, table, written
 
 def token_file(name: str = "byte_bpe_50k.json") -> str:
@@ -49,6 +49,27 @@ LEFT JOIN (SELECT * FROM hits WHERE tier = 1 AND k = 1) p USING (rid)
 """
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, normalised, and read back by the index."""
+    return warc.store_and_read(table(spark, sf_dir, "pages"), "page_id", "url", "html")
+
+
+OP2_SQL = f"""
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest, row_number() OVER () AS rid
+  FROM pages),
+f AS (
+  SELECT *, first_value(rid) OVER w AS first_rid, first_value(page_id) OVER w AS first_page,
+         payload_bytes >= {warc.REVISIT_BYTES} AND page_id IS NOT NULL AS large
+  FROM p WINDOW w AS (PARTITION BY payload_digest, page_id IS NULL ORDER BY page_id, rid))
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN large AND rid <> first_rid THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN large AND rid <> first_rid THEN first_page END AS refers_to
+FROM f
+"""
+
+
 OP3_COLUMNS = ("doc_id", *quality_rules.STATS, "base_failed", "kept",
                *quality_rules.MORE_STATS, "failed_rules")
 
@@ -209,17 +230,27 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram tokens of every document, with the score of its best segmentation."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return (docs.withColumn("counted", token_count.token_count(F.col("text"), token_file("piece_bpe_32k.model")))
+            .select("doc_id", "counted.*"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_warc": op2_warc,
     "op3_quality_rules": op3_quality_rules,
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_source_mixing": op6_source_mixing,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_token_counts": op10_token_counts,
 }
 
 ORACLE = {
     "op1_url_filters": _op1_sql(),
+    "op2_warc": OP2_SQL,
     "op3_quality_rules": quality_sql(),
     "op4_line_dedup": line_dedup_sql(),
     "op6_source_mixing": _op6_sql(),

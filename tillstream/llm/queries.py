@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality_rules, simhash, token_count, url_filter, warc
+from . import ann, language_id, line_dedup, mixing, packing, quality_rules, simhash, token_count, url_filter, warc
 from .common import sql_list, table, written
 
 def token_file(name: str = "byte_bpe_50k.json") -> str:
@@ -225,6 +225,17 @@ FROM shares
 """
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most probable language of every page; text models from a sample of the documents."""
+    languages, model = language_id.train(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    return language_id.identify(table(spark, sf_dir, "pages"), languages, model)
+
+
+def op8_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """20 nearest vectors found of every vector whose id is divisible by 20."""
+    return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), lambda i: i % 20 == 0)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, 2 bits."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -244,6 +255,8 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op5_packing": op5_packing,
     "op6_source_mixing": op6_source_mixing,
+    "op7_language_id": op7_language_id,
+    "op8_ann_search": op8_ann_search,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
 }

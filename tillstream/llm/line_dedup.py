@@ -39,6 +39,10 @@ def _line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line.cast("binary")), 1, 7), 16, 10).cast("long")
 
 
+def _chunk_hash(chunk: Column) -> Column:
+    return F.xxhash64(chunk)
+
+
 def _ends(hashes: Column, window: int, divisor: int) -> Column:
     """Line counts at which chunks end: after a boundary, and at the end."""
     def boundary(end: Column) -> Column:
@@ -72,7 +76,7 @@ def repeated_chunks(docs: DataFrame, doc_id: str, text: str, window: int, diviso
     seen = written(
         docs.select(F.col(doc_id).alias("id"), F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
         .where(_worth(chunk, min_lines, long_line))
-        .select("id", F.xxhash64(chunk).alias("hash")), "chunk_hashes")
+        .select("id", _chunk_hash(chunk).alias("hash")), "chunk_hashes")
     again = written(seen.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
                     .where("n > 1").select("hash", "first"), "repeated_hashes")
     return (seen.join(again, "hash").groupBy("id")
@@ -81,15 +85,14 @@ def repeated_chunks(docs: DataFrame, doc_id: str, text: str, window: int, diviso
 
 def _unequal(marked: DataFrame, doc_id: str, text: str, window: int, divisor: int) -> DataFrame:
     """Byte comparison: (id, hash) of repeated chunks that differ from the first occurrence."""
-    def first_of(h: Column) -> Column:
-        return F.get(F.filter(F.col(_FOUND), lambda f: f["hash"] == h), 0)
-
+    hashes, firsts_of = F.col(_FOUND)["hash"], F.col(_FOUND)["first"]
     chunk = (marked.where(F.size(_FOUND) > 0)
              .select(F.col(doc_id).alias("id"), _FOUND,
                      F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
-             .withColumn("hash", F.xxhash64("chunk"))
-             .where(F.exists(_FOUND, lambda f: f["hash"] == F.col("hash")))
-             .select("id", "hash", "chunk", first_of(F.col("hash"))["first"].alias("first")))
+             .select("id", "chunk", _FOUND, F.array_position(hashes, _chunk_hash(F.col("chunk"))).alias("at"))
+             .where("at > 0")
+             .select("id", "chunk", F.get(hashes, F.col("at").cast("int") - 1).alias("hash"),
+                     F.get(firsts_of, F.col("at").cast("int") - 1).alias("first")))
     firsts = written(chunk.where(F.col("id") == F.col("first"))
                      .groupBy("hash").agg(F.min("chunk").alias("original")), "first_chunks")
     others = chunk.where(~F.col("id").eqNullSafe(F.col("first")))
@@ -110,12 +113,13 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
         told = marked.join(unequal, marked[doc_id].eqNullSafe(unequal["id"]), "left").drop(unequal["id"])
 
     def removed(chunk: Column, place: Column, chunks: Column) -> Column:
-        entry = let(F.xxhash64(chunk), lambda h: F.get(
-            F.filter(F.col(_FOUND), lambda f: f["hash"] == h), 0))
-        elsewhere = let(entry, lambda f: f["first"].isNotNull() & ~F.col(doc_id).eqNullSafe(f["first"])
-                        & ~F.coalesce(F.array_contains(_TOLD, f["hash"]), F.lit(False)))
-        earlier = entry.isNotNull() & (F.array_position(chunks, chunk) <= place)
-        return F.coalesce(elsewhere, F.lit(False)) | earlier
+        def judged(at: Column) -> Column:
+            first = F.get(F.col(_FOUND)["first"], at - 1)
+            untrue = F.coalesce(F.array_contains(_TOLD, F.get(F.col(_FOUND)["hash"], at - 1)), F.lit(False))
+            elsewhere = first.isNotNull() & ~F.col(doc_id).eqNullSafe(first) & ~untrue
+            return (at > 0) & (F.coalesce(elsewhere, F.lit(False)) | (F.array_position(chunks, chunk) <= place))
+
+        return let(F.array_position(F.col(_FOUND)["hash"], _chunk_hash(chunk)).cast("int"), judged)
 
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
     kept = let(chunks_of(F.col(text), window, divisor),

@@ -57,7 +57,8 @@ def _ends(hashes: Column, window: int, divisor: int) -> Column:
 def chunks_of(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Column:
     """Array of chunk texts; joined by line breaks they give the text back."""
     def cut(lines: Column) -> Column:
-        return let(_ends(F.transform(lines, _line_hash), window, divisor), lambda ends: F.transform(
+        ends_of = lambda hashes: _ends(hashes, window, divisor)
+        return let(let(F.transform(lines, _line_hash), ends_of), lambda ends: F.transform(
             ends, lambda e, k: let(F.coalesce(F.get(ends, k - 1), F.lit(0)), lambda start: F.array_join(
                 F.slice(lines, start + 1, e - start), "\n"))))
 

@@ -1,10 +1,12 @@
 """Line dedup: content-defined chunks of lines, repeated ones removed.
 
 Lines are hashed, a rolling hash over the last lines' hashes chooses the chunk
-boundaries, so an insertion moves only the boundaries next to it. A chunk of
-several lines with words (or one long line) that occurs again anywhere is
-removed everywhere but at its first place in order of (doc_id, position) - after
-a byte comparison with that first occurrence, never on its hash alone.
+boundaries, so an insertion moves only the boundaries next to it. A chunk that
+occurs again anywhere stands only at its first place in order of (doc_id,
+position) and is repeated elsewhere - after a byte comparison with that first
+occurrence, never on its hash alone. What is removed are runs of repeated
+chunks with several lines (a chunk of several lines with words, or repeated
+chunks side by side) or with one long line; a short line alone stays.
 
 Only hashes are shuffled to find what repeats (partial counts combine the
 copies of a hot chunk map-side). Document texts move once, to meet their list
@@ -29,7 +31,7 @@ WINDOW = 2
 DIVISOR = 2
 #: Rolling hash: line hashes of 28 bits, a base and a prime modulus (products stay below 2^63).
 BASE, PRIME = 1_000_003, 2_147_483_647
-#: A chunk needs this many lines with a word, or one line this long (characters).
+#: A lone repeated chunk needs this many lines with a word, or this many characters.
 MIN_LINES, LONG_LINE = 2, 300
 
 _CHUNKS, _FOUND, _TOLD = f"{RESERVED}chunks", f"{RESERVED}found", f"{RESERVED}told"
@@ -65,18 +67,18 @@ def chunks_of(text: Column, window: int = WINDOW, divisor: int = DIVISOR) -> Col
     return let(F.split(F.coalesce(text, F.lit("")), "\n"), cut)
 
 
-def _worth(chunk: Column, min_lines: int, long_line: int) -> Column:
+def _alone(chunk: Column, min_lines: int, long_line: int) -> Column:
+    """Whether a repeated chunk goes without a repeated neighbour."""
     worded = F.size(F.filter(F.split(chunk, "\n"), lambda x: x.rlike(NOT_SPACE)))
-    return (worded >= min_lines) | ((worded > 0) & (F.length(chunk) >= long_line))
+    return (worded >= min_lines) | (F.length(chunk) >= long_line)
 
 
-def repeated_chunks(docs: DataFrame, doc_id: str, text: str, window: int, divisor: int,
-                    min_lines: int, long_line: int) -> DataFrame:
+def repeated_chunks(docs: DataFrame, doc_id: str, text: str, window: int, divisor: int) -> DataFrame:
     """Per doc_id: its repeated chunks as ``found``, an array of (hash, first doc_id)."""
     chunk = F.col("chunk")
     seen = written(
         docs.select(F.col(doc_id).alias("id"), F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
-        .where(_worth(chunk, min_lines, long_line))
+        .where(chunk.rlike(NOT_SPACE))
         .select("id", _chunk_hash(chunk).alias("hash")), "chunk_hashes")
     again = written(seen.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
                     .where("n > 1").select("hash", "first"), "repeated_hashes")
@@ -105,7 +107,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
                 divisor: int = DIVISOR, min_lines: int = MIN_LINES, long_line: int = LONG_LINE) -> DataFrame:
     """``docs`` with ``text`` less its repeated chunks, and ``n_lines``,
     ``n_removed_lines`` (lines of the text given, and those removed)."""
-    found = repeated_chunks(docs, doc_id, text, window, divisor, min_lines, long_line)
+    found = repeated_chunks(docs, doc_id, text, window, divisor)
     marked = written(docs.join(found, docs[doc_id].eqNullSafe(found["id"]), "left").drop(found["id"]), "marked")
     unequal = written(_unequal(marked, doc_id, text, window, divisor), "unequal")
     if unequal.isEmpty():  # no hash was shared by different texts
@@ -113,7 +115,7 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     else:
         told = marked.join(unequal, marked[doc_id].eqNullSafe(unequal["id"]), "left").drop(unequal["id"])
 
-    def removed(chunk: Column, place: Column, chunks: Column) -> Column:
+    def repeated(chunk: Column, place: Column, chunks: Column) -> Column:
         def judged(at: Column) -> Column:
             first = F.get(F.col(_FOUND)["first"], at - 1)
             untrue = F.coalesce(F.array_contains(_TOLD, F.get(F.col(_FOUND)["hash"], at - 1)), F.lit(False))
@@ -123,8 +125,16 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
         return let(F.array_position(F.col(_FOUND)["hash"], _chunk_hash(chunk)).cast("int"), judged)
 
     lines = F.size(F.split(F.coalesce(F.col(text), F.lit("")), "\n"))
-    kept = let(chunks_of(F.col(text), window, divisor),
-               lambda c: F.filter(c, lambda x, k: ~removed(x, k, c)))
+
+    def kept_of(chunks: Column) -> Column:
+        def kept(flags: Column) -> Column:
+            beside = lambda k: F.coalesce(F.get(flags, k), F.lit(False))
+            return F.filter(chunks, lambda x, k: ~(F.get(flags, k) & (
+                beside(k - 1) | beside(k + 1) | _alone(x, min_lines, long_line))))
+
+        return let(F.transform(chunks, lambda x, k: repeated(x, k, chunks)), kept)
+
+    kept = let(chunks_of(F.col(text), window, divisor), kept_of)
     has = F.size(F.coalesce(F.col(_FOUND), F.array())) > 0
     out = told.withColumn(_CHUNKS, F.when(has, kept))
     left = F.when(has, F.array_join(_CHUNKS, "\n")).otherwise(F.col(text))

@@ -154,14 +154,17 @@ chunks AS (
   FROM numbered GROUP BY rid, doc_id, chunk),
 firsts AS (
   SELECT *, min(doc_id) OVER (PARTITION BY body) AS first_doc,
-         row_number() OVER (PARTITION BY rid, body ORDER BY chunk) AS k,
-         (worded >= {line_dedup.MIN_LINES} OR (worded > 0 AND length(body) >= {line_dedup.LONG_LINE})) AS worth
+         row_number() OVER (PARTITION BY rid, body ORDER BY chunk) AS k
   FROM chunks),
+flagged AS (
+  SELECT *, worded > 0 AND (k > 1 OR (first_doc IS NOT NULL AND doc_id IS DISTINCT FROM first_doc)) AS flag
+  FROM firsts),
 kept AS (
   SELECT rid, sum(n) AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0) AS n_removed_lines,
          coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone), '') AS body
-  FROM (SELECT *, worth AND (k > 1 OR coalesce(doc_id IS DISTINCT FROM first_doc AND first_doc IS NOT NULL, FALSE)) AS gone
-        FROM firsts)
+  FROM (SELECT *, flag AND (worded >= {line_dedup.MIN_LINES} OR length(body) >= {line_dedup.LONG_LINE}
+                            OR coalesce(lag(flag) OVER beside, FALSE) OR coalesce(lead(flag) OVER beside, FALSE)) AS gone
+        FROM flagged WINDOW beside AS (PARTITION BY rid ORDER BY chunk))
   GROUP BY rid)
 SELECT doc_id, CASE WHEN text IS NULL THEN NULL ELSE body END AS text,
        n_lines::BIGINT AS n_lines, n_removed_lines::BIGINT AS n_removed_lines

@@ -39,6 +39,8 @@ SAMPLE_ROWS, PARTITION_ROWS, MOST_PARTITIONS = 16_384, 640, 256
 NEIGHBOURS, HELD_OUT, RECALL = 20, 0.1, 0.93
 #: Rows and queries of a block, queries scored at once.
 BLOCK_ROWS, BLOCK_QUERIES, STEP = 8_192, 4_096, 256
+#: Tasks that pairs of blocks are spread over at most.
+MOST_TASKS = 20_000
 
 
 def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
@@ -253,7 +255,10 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
             "score": pa.array(np.concatenate([f[2] for f in found]) if found else [], type=pa.float64()),
         })
 
-    found = (query_side.groupBy(*keys).cogroup(row_side.groupBy(*keys))
+    # A stated number of partitions: few bytes make much work here, so blocks are not merged into few tasks.
+    tasks = min(MOST_TASKS, int((row_blocks * query_blocks).sum()))
+    spread = lambda df: df.repartition(tasks, *keys).groupBy(*keys)
+    found = (spread(query_side).cogroup(spread(row_side))
              .applyInArrow(rerank, f"query_id {kind}, {vec_id} {kind}, score double"))
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), vec_id)
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

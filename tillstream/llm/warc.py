@@ -42,6 +42,8 @@ ARCHIVE_BYTES = 32 << 20
 #: Payloads of at least this size are stored once.
 REVISIT_BYTES = 100
 READ_BYTES = 1 << 20
+#: Tasks that archives are spread over at most.
+MOST_TASKS = 20_000
 GZIP = 31  # zlib's window bits for gzip members
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -211,7 +213,8 @@ def normalise(archives: DataFrame, out_dir: str, changes: DataFrame | None = Non
 
     ``archives``: column ``archive``, one row each. ``changes``: (archive,
     ordinal, refers_to) of records to store as revisits. A group is one
-    archive, bounded by its size.
+    archive, bounded by its size; a stated number of partitions keeps the few
+    bytes of places from being merged into a few tasks.
     """
     if changes is None:
         changes = archives.select("archive", F.lit(None).cast("long").alias("ordinal"),
@@ -241,7 +244,12 @@ def normalise(archives: DataFrame, out_dir: str, changes: DataFrame | None = Non
         return pd.DataFrame(rows, columns=[x.split()[0] for x in INDEX.split(", ")])
 
     return (archives.select("archive").join(changes, "archive", "left")
-            .groupBy("archive").applyInPandas(run, INDEX))
+            .repartition(_tasks(archives), "archive").groupBy("archive").applyInPandas(run, INDEX))
+
+
+def _tasks(archives: DataFrame) -> int:
+    """Tasks for work by archive: one each, up to ``MOST_TASKS``."""
+    return max(1, min(MOST_TASKS, archives.select("archive").distinct().count()))
 
 
 def read(index: DataFrame) -> DataFrame:
@@ -279,7 +287,7 @@ def read(index: DataFrame) -> DataFrame:
         if source is not None:
             source.close()
 
-    return (index.select("archive", "offset", "length").repartition("archive")
+    return (index.select("archive", "offset", "length").repartition(_tasks(index), "archive")
             .sortWithinPartitions("archive", "offset").mapInArrow(run, RECORD))
 
 

@@ -1,0 +1,139 @@
+"""Language ID, nearest neighbours and token counts: held-out accuracy, recall, exactness."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import SF001, SF01
+from tillstream.llm import ann as A
+from tillstream.llm import language_id as L
+from tillstream.llm import token_count as T
+from tillstream.llm.queries import token_file
+
+
+@pytest.fixture(scope="module")
+def trained(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    return L.train(docs.where("doc_id % 5 <> 0"))
+
+
+def test_held_out_accuracy(spark, trained):
+    """Texts the models have not seen, in pages without a declaration on one host."""
+    languages, model = trained
+    assert languages == ["de", "en", "es", "fr"]
+    held = (spark.read.parquet(f"{SF01}/documents.parquet").where("doc_id % 5 = 0 AND n_chars > 100")
+            .select(F.col("doc_id").alias("page_id"), "lang",
+                    F.lit("http://one.example.com/").alias("url"),
+                    F.concat(F.lit("<html><style>der die das</style><p>"), "text", F.lit("</p></html>")).alias("html")))
+    got = L.identify(held.drop("lang"), languages, model).join(held.select("page_id", F.col("lang").alias("truth")), "page_id")
+    right, n = got.select(F.sum((F.col("lang") == F.col("truth")).cast("int")), F.count("*")).first()
+    assert n > 100 and right / n > 0.97
+
+
+def test_evidence_is_fused(spark, trained):
+    """Without text, the host decides; a lone host leans on its domain; own markup counts."""
+    languages, model = trained
+    docs = {x: spark.read.parquet(f"{SF01}/documents.parquet").where(f"lang = '{x}' AND n_chars > 500").first().text for x in languages}
+    rows = [(i, f"http://{x}.example.org/{i}", f'<html lang="{x}"><p>{docs[x]}</p>') for x in languages for i in range(12)]
+    rows += [(100, "http://fr.example.org/", ""), (101, "http://de.example.org/", None), (102, None, '<HTML class=a LANG=es>'),
+             (103, None, None), (None, "http://es.example.org:80/", "<p>"), (104, "http://es.example.org/", "x" * 100_000)]
+    df = spark.createDataFrame(rows + rows[-1:], "page_id long, url string, html string").withColumn("host", F.lit(3))
+    got = L.identify(df, languages, model).collect()
+    by = {r.page_id: r for r in got}
+    assert len(got) == len(rows) + 1
+    assert (by[100].lang, by[101].lang, by[102].lang, by[None].lang) == ("fr", "de", "es", "es")
+    assert by[103].lang in languages and by[100].text_lang is None and by[102].declared == "es"
+    assert all(0 < r.probability <= 1 for r in got)
+    assert L.identify(df.limit(0), languages, model).count() == 0
+    assert L.identify(df, [], np.zeros((L.BUCKETS, 0))).first().lang is None
+    assert L.train(spark.createDataFrame([], "doc_id long, text string, lang string"))[0] == []
+
+
+def brute_neighbours(x, ids, k=20):
+    out = {}
+    for i in np.flatnonzero(ids % 20 == 0):
+        others = np.flatnonzero(ids != ids[i])
+        s = (x[others] * x[i]).sum(axis=1)
+        out[ids[i]] = [int(ids[others[j]]) for j in np.lexsort((ids[others], -s))[:k]]
+    return out
+
+
+def table(spark, x, ids):
+    return spark.createDataFrame([(int(i), [float(c) for c in v]) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+
+
+def found(df):
+    out = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        out.setdefault(r.query_id, []).append(r.vec_id)
+        assert r["rank"] == len(out[r.query_id])
+    return out
+
+
+def test_recall_with_learned_partitions(spark):
+    rows = spark.read.parquet(f"{SF001}/embeddings.parquet").orderBy("vec_id").collect()
+    x, ids = np.array([r.embedding for r in rows], dtype=np.float64), np.array([r.vec_id for r in rows])
+    df = spark.read.parquet(f"{SF001}/embeddings.parquet")
+    truth = brute_neighbours(x, ids)
+    got = found(A.search(df, lambda i: i % 20 == 0, partition_rows=60, block_rows=40, block_queries=10))
+    assert set(got) == set(truth)
+    assert np.mean([len(set(got[q]) & set(truth[q])) / 20 for q in truth]) >= 0.9
+    assert found(A.search(df, lambda i: i % 20 == 0)) == truth  # one partition: exact
+
+
+def test_clustered_vectors_need_few_partitions(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(16, 24))
+    x = (centres[rng.integers(16, size=3000)] + 0.2 * rng.normal(size=(3000, 24))).astype(np.float32)
+    router, probes = A.fit_router(x, 16)
+    assert probes <= 4
+
+
+def test_ties_copies_and_unusable_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = np.repeat(rng.normal(size=(3, 8)).astype(np.float32), 100, axis=0)
+    ids = rng.permutation(300)
+    df = table(spark, x, ids)
+    bad = spark.createDataFrame([(1000, None), (1020, [0.0] * 8), (1040, [1.0] * 7 + [None]), (1060, [1.0] * 7 + [float("nan")]),
+                                 (1080, [1.0] * 7 + [float("inf")]), (1100, [1.0]), (1120, []), (None, [1.0] * 8)],
+                                "vec_id long, embedding array<float>")
+    truth = brute_neighbours(x.astype(np.float64), ids)
+    both = df.union(bad).union(df.limit(7)).withColumns({"id": F.lit(1), "rank": F.lit(2), "score": F.lit("s")})
+    assert found(A.search(both, lambda i: i % 20 == 0, block_rows=30, block_queries=2)) == truth
+    assert A.search(bad, lambda i: i % 20 == 0).count() == 0 and A.search(df.limit(0), lambda i: i % 20 == 0).count() == 0
+    few = df.where("vec_id in (0, 7, 20)")
+    assert {q: sorted(v) for q, v in found(A.search(few, lambda i: i % 20 == 0)).items()} == {0: [7, 20], 20: [0, 7]}
+
+
+def tokenizer(vocabulary, byte_fallback):
+    from tokenizers import Tokenizer, models, pre_tokenizers
+    out = Tokenizer(models.Unigram(vocabulary, unk_id=0, byte_fallback=byte_fallback))
+    out.pre_tokenizer = pre_tokenizers.Metaspace(prepend_scheme="always", split=True)
+    return lambda t: len(out.encode(t, add_special_tokens=False).ids)
+
+
+def test_counts_equal_the_tokenizer(spark):
+    vocabulary, special = T.sentencepiece_vocabulary(token_file("piece_bpe_32k.model"))
+    assert len(special) == 259 and T.UnigramCounter(vocabulary, special).count("<unk>")[0] > 1
+    exact = tokenizer(vocabulary, True)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    odd = [None, "", " ", "  a  b ", "▁a ▁▁b", "tab\tline\n", "日本 🎉🎉x͸", "word" * 50_000]
+    df = docs.union(spark.createDataFrame([(1000 + i, t) for i, t in enumerate(odd)] + [(None, "one")], docs.schema))
+    got = df.union(df.where("doc_id >= 1000")).select("doc_id", "text", T.token_count(F.col("text"), token_file("piece_bpe_32k.model")).alias("c")).collect()
+    assert len(got) == df.count() + len(odd)
+    assert [(r.doc_id, r.c.n_tokens) for r in got] == [(r.doc_id, exact(r.text or "")) for r in got]
+    assert df.limit(0).select(T.token_count(F.col("text"), token_file("piece_bpe_32k.model"))).count() == 0
+
+
+def test_ties_and_unknowns_follow_the_tokenizer():
+    """Small vocabularies with whole-number scores, full of ties and unknown characters."""
+    rnd = random.Random(3)
+    for _ in range(80):
+        pieces = {"".join(rnd.choice("abc▁é") for _ in range(rnd.randint(1, 4))): float(-rnd.randint(1, 4)) for _ in range(14)}
+        vocabulary = [("<unk>", 0.0), *pieces.items()]
+        exact, counter = tokenizer(vocabulary, False), T.UnigramCounter(vocabulary, frozenset({"<unk>"}), cache=5)
+        for _ in range(60):
+            text = "".join(rnd.choice("abc éz  ") for _ in range(rnd.randint(0, 14)))
+            assert counter.count(text)[0] == exact(text), (vocabulary, text)

@@ -28,14 +28,18 @@ CACHE = 400_000
 
 
 class UnigramCounter:
-    """Counts pieces of the best segmentation under ``vocabulary`` (piece, score) pairs."""
+    """Counts pieces of the best segmentation under ``vocabulary`` (piece, score) pairs.
 
-    def __init__(self, vocabulary: list[tuple[str, float]], cache: int = CACHE):
+    ``special`` pieces (control, unknown, bytes) never match text that spells them.
+    """
+
+    def __init__(self, vocabulary: list[tuple[str, float]], special: frozenset[str] = frozenset(),
+                 cache: int = CACHE):
         import ahocorasick
 
         self.matches = ahocorasick.Automaton()
         for piece, score in vocabulary:
-            if piece:
+            if piece and piece not in special:
                 self.matches.add_word(piece, (len(piece), float(score)))
         self.matches.make_automaton()
         pieces = {p for p, _ in vocabulary}
@@ -88,19 +92,21 @@ class UnigramCounter:
         return total, score
 
 
-def sentencepiece_vocabulary(path: str) -> list[tuple[str, float]]:
-    """(piece, score) of a SentencePiece model file, in id order."""
+def sentencepiece_vocabulary(path: str) -> tuple[list[tuple[str, float]], frozenset[str]]:
+    """(piece, score) of a SentencePiece model file in id order, and its special pieces."""
     import sentencepiece
 
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    ids = range(model.get_piece_size())
+    special = (i for i in ids if model.is_control(i) or model.is_unknown(i) or model.is_byte(i))
+    return [(model.id_to_piece(i), model.get_score(i)) for i in ids], frozenset(map(model.id_to_piece, special))
 
 
 def token_count(text: Column, model: str) -> Column:
     """Struct (n_tokens, score) of each text under the vocabulary of a SentencePiece file."""
     @F.pandas_udf("n_tokens long, score double")
     def of(texts: pd.Series) -> pd.DataFrame:
-        counter = per_process(("unigram", model), lambda: UnigramCounter(sentencepiece_vocabulary(model)))
+        counter = per_process(("unigram", model), lambda: UnigramCounter(*sentencepiece_vocabulary(model)))
         return pd.DataFrame([counter.count(t) for t in texts], columns=["n_tokens", "score"])
 
     return of(text)

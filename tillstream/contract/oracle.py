@@ -63,6 +63,11 @@ summary AS (
          COUNT(DISTINCT customer_id) AS unique_customers
   FROM w GROUP BY window_start, store_id)"""
 
+# The same over messages of which some have no readable time (dropped) or no store.
+BAD_SUMMARY = SUMMARY.replace("event_type AS store_id", "CASE WHEN event_id % 89 <> 0 THEN event_type END AS store_id", 1) \
+    .replace("FROM events)", "FROM events WHERE event_id % 97 <> 0)", 1)
+BAD_CLOSED = "window_end <= (SELECT MAX(ts) FROM events WHERE event_id % 97 <> 0) - INTERVAL '1 minute'"
+
 SUMMARY_COLS = """window_start, window_end, store_id, total_transactions,
   CAST(total_revenue AS DOUBLE) AS total_revenue,
   CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, unique_customers"""
@@ -257,15 +262,14 @@ SELECT g.day_of_week, ([{_day_names}])[g.day_of_week] AS day_name, g.hour,
        CAST(COALESCE(c.revenue, 0) AS DOUBLE) AS revenue
 FROM g LEFT JOIN c ON g.day_of_week = c.day_of_week AND g.hour = c.hour""",
 
-    "data_quality": """SELECT COUNT(*) AS total_records,
-       CAST(COUNT(*) FILTER (WHERE event_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
-                             AND user_id IS NOT NULL AND value IS NOT NULL) AS BIGINT) AS valid_records,
-       CAST(COUNT(*) FILTER (WHERE NOT (event_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
-                                        AND user_id IS NOT NULL AND value IS NOT NULL)) AS BIGINT) AS invalid_records,
-       CASE WHEN COUNT(*) > 0 THEN CAST((2 * COUNT(*) FILTER (WHERE event_id IS NOT NULL AND ts IS NOT NULL
-              AND event_type IS NOT NULL AND user_id IS NOT NULL AND value IS NOT NULL) * 10000 + COUNT(*))
+    "data_quality": """WITH m AS (
+  SELECT event_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL AND user_id IS NOT NULL
+         AND value IS NOT NULL AND event_id % 97 <> 0 AND event_id % 89 <> 0 AS ok FROM events)
+SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE ok) AS valid_records,
+       COUNT(*) FILTER (WHERE NOT ok) AS invalid_records,
+       CASE WHEN COUNT(*) > 0 THEN CAST((2 * COUNT(*) FILTER (WHERE ok) * 10000 + COUNT(*))
               // (2 * COUNT(*)) AS DOUBLE) / 100 END AS quality_pct
-FROM events""",
+FROM m""",
 
     "summary_exact": f"""WITH {TX}
 SELECT COUNT(transaction_id) AS total_transactions,
@@ -324,20 +328,64 @@ FROM tx GROUP BY store_id""",
 
     "stored_top_products": _top_products(),
 
-    "stream_store_summary": f"""WITH {SUMMARY}
-SELECT {SUMMARY_COLS} FROM summary
-WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+    "stream_store_summary": f"""WITH {BAD_SUMMARY}
+SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, TRUE AS unique_within_tolerance
+FROM summary WHERE store_id IS NOT NULL AND {BAD_CLOSED}""",
+
+    "stream_rejected_rows": f"""WITH {BAD_SUMMARY}
+SELECT 'store_id is null' AS reject_reason, COUNT(*) AS rows,
+       CAST(SUM(total_transactions) AS BIGINT) AS transactions
+FROM summary WHERE store_id IS NULL AND {BAD_CLOSED}""",
+
+    "streamed_then_backfilled_summary": f"""WITH {SUMMARY}
+SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
+FROM summary WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+
+    "stream_progress": """SELECT 'store_window_summary' AS query_name, COUNT(*) AS input_rows, COUNT(*) AS total_records,
+       COUNT(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 <> 0) AS valid_records,
+       CAST(0 AS BIGINT) AS rows_dropped_by_watermark
+FROM events""",
+
+    "processing_latency": """WITH d AS (
+  SELECT date_diff('day', o_orderdate, l_shipdate) AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT COUNT(x) AS rows, CAST((2 * SUM(x) + COUNT(x)) // (2 * COUNT(x)) AS BIGINT) AS avg_latency,
+       CAST(quantile_disc(x, 0.95) AS BIGINT) AS p95_latency, CAST(quantile_disc(x, 0.99) AS BIGINT) AS p99_latency
+FROM d""",
+
+    "data_flow_stopped": "SELECT FALSE AS data_flow",
+
+    "exported_csv": f"""WITH {SUMMARY}
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, store_id, total_transactions,
+       CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, unique_customers
+FROM summary WHERE {_hour(span=dt.timedelta(hours=24))}""",
+
+    "exported_json": f"""WITH {STAR_ITEMS}
+SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, product_id, product_name, category,
+       quantity_sold, CAST(revenue AS DOUBLE) AS revenue
+FROM pp WHERE {_hour(P.STAR_AS_OF, dt.timedelta(hours=24))}""",
+
+    "export_manifest": f"""WITH {SUMMARY}, {STAR_ITEMS},
+n AS (SELECT (SELECT COUNT(*) FROM summary WHERE {_hour(span=dt.timedelta(hours=24))}) AS transactions_summary,
+             (SELECT COUNT(*) FROM pp WHERE {_hour(P.STAR_AS_OF, dt.timedelta(hours=24))}) AS product_performance)
+SELECT *, transactions_summary + product_performance AS total_records FROM n""",
 
     "stream_product_performance": f"""WITH {STAR_ITEMS}
 SELECT {PP_COLS} FROM pp
 WHERE window_start + INTERVAL '5 minutes' <=
       (SELECT MAX(i.event_time) FROM items i JOIN prod p ON i.product_id = p.product_id) - INTERVAL '1 minute'""",
 
-    "stream_realtime_metrics": f"""WITH {_q3_rows()}
-SELECT window_start, window_start + INTERVAL '30 seconds' AS window_end, transactions_per_window,
-       CAST(revenue_per_window AS DOUBLE) AS revenue_per_window,
-       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
-FROM m WHERE window_start + INTERVAL '30 seconds' <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+    "stream_realtime_metrics": f"""WITH {_q3_rows()},
+c AS (SELECT * FROM m WHERE window_start + INTERVAL '30 seconds' <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute')
+SELECT window_start AS metric_time, 'transactions_per_window' AS metric_name,
+       CAST(CAST(transactions_per_window AS DECIMAL(10,2)) AS DOUBLE) AS metric_value, 'all' AS dimension FROM c
+UNION ALL
+SELECT window_start, 'revenue_per_window', CAST(CAST(revenue_per_window AS DECIMAL(10,2)) AS DOUBLE), 'all' FROM c
+UNION ALL
+SELECT window_start, 'avg_transaction_value', CAST(avg_transaction_value AS DOUBLE), 'all' FROM c""",
 
     "merged_summary_table": f"""{MERGE_SIDES}
 SELECT {TUMBLING_COLS} FROM existing e
@@ -346,14 +394,12 @@ UNION ALL
 SELECT {TUMBLING_COLS} FROM batch""",
 
     "stored_sketch_customers": f"""WITH {TX}
-SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
-FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}
-GROUP BY store_id""",
+SELECT store_id, COUNT(DISTINCT customer_id) AS exact_customers, TRUE AS within_tolerance
+FROM tx WHERE {_hour(col='event_time')} GROUP BY store_id""",
 
     "sketch_customers_last_hour": f"""WITH {TX}
-SELECT store_id, COUNT(DISTINCT customer_id) AS distinct_customers
-FROM tx WHERE {_in('time_bucket(INTERVAL 1 minute, event_time)', P.EVENTS_AS_OF - dt.timedelta(hours=1), P.EVENTS_AS_OF)}
-GROUP BY store_id""",
+SELECT store_id, COUNT(DISTINCT customer_id) AS exact_customers, TRUE AS within_tolerance
+FROM tx WHERE {_hour(col='event_time')} GROUP BY store_id""",
 
     "stream_raw_transactions": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, ts AS "timestamp",
        event_type AS store_id, CAST(user_id AS VARCHAR) AS customer_id,

@@ -24,6 +24,11 @@ VELOCITY_MINUTES = 20
 def sql_ts(t: dt.datetime) -> str:
     return f"TIMESTAMP '{t.isoformat(sep=' ')}'"
 
+# Events of this span are partly kept from a stream whose windows a re-load of the
+# whole day then puts right.
+LOST_START, LOST_END = dt.datetime(2024, 1, 15, 1), dt.datetime(2024, 1, 15, 23)
+BACKFILL_START, BACKFILL_END = dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 16)
+
 # A trailing hour after the end of the events (the "no data" dashboard state).
 EMPTY_AS_OF = dt.datetime(2024, 3, 1, 0, 0, 0)
 

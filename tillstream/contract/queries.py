@@ -17,9 +17,11 @@ from pyspark.sql.types import DecimalType, TimestampType
 from tillstream.contract import params as P
 from tillstream.functions.timebounds import TimeRange, in_range, trailing
 from tillstream.operators import insight, keyed, rollups, windows
-from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY
+from tillstream.schemas import (PRODUCT_PERFORMANCE, REALTIME_METRICS, SPARSE_PRODUCTS, TRANSACTIONS,
+                                TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY)
 from tillstream.session import configure, default_parallelism, scratch_path
-from tillstream.sinks.contracts import conform
+from tillstream.sinks.contracts import REJECT_REASON, conform
+from tillstream.sinks.export import export_csv, export_json
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import merge_into_table, write_table
 from tillstream.sources import testdata
@@ -135,6 +137,12 @@ def q_recent_activity(spark, sf):
     return rollups.recent_activity(event_summary(spark, sf, rng), rng)
 
 
+def q_data_flow_stopped(spark, sf):
+    """F4 where nothing has arrived."""
+    rng = _hour(P.EMPTY_AS_OF, span="5m")
+    return rollups.data_flow(event_summary(spark, sf, rng), rng)
+
+
 def q_data_flow(spark, sf):
     rng = _hour(span="5m")
     return rollups.data_flow(event_summary(spark, sf, rng), rng)
@@ -217,7 +225,7 @@ def q_activity_heatmap(spark, sf):
 
 
 def q_data_quality(spark, sf):
-    parsed = parse_messages(testdata.event_messages(spark, sf), "transactions")
+    parsed = parse_messages(testdata.event_messages(spark, sf, bad=True), "transactions")
     return plain(insight.data_quality(parsed))
 
 
@@ -226,14 +234,22 @@ def q_summary_exact(spark, sf):
     return plain(insight.summary_exact(testdata.event_transactions(spark, sf, rng)))
 
 
+def _within_tolerance(estimates: DataFrame, tx: DataFrame, rng: TimeRange) -> DataFrame:
+    """Exact distinct customers per store of ``rng`` and whether the estimate lies within 5 %."""
+    exact = (tx.where(in_range("event_time", rng)).groupBy("store_id")
+             .agg(F.count_distinct("customer_id").alias("exact_customers")))
+    within = F.abs(F.col("distinct_customers") - F.col("exact_customers")) <= F.col("exact_customers") * 0.05
+    return (exact.join(estimates, "store_id", "left")
+            .select("store_id", "exact_customers", F.coalesce(within, F.lit(False)).alias("within_tolerance")))
+
+
 def q_sketch_customers_last_hour(spark, sf):
-    """Distinct customers per store over the trailing hour from stored
-    per-minute sketches (the exact answer the sum of per-window counts
-    overstates)."""
+    """Distinct customers per store over the trailing hour from per-minute
+    sketches (an estimate; the sum of per-window counts overstates)."""
     rng = _hour()
-    tx = testdata.event_transactions(spark, sf, rng.widen(after=dt.timedelta(minutes=1)))
+    tx = testdata.event_transactions(spark, sf, rng)
     sketched = windows.store_tumbling_summary(tx, watermark=None, sketch=True)
-    return rollups.distinct_customers(sketched, rng)
+    return _within_tolerance(rollups.distinct_customers(sketched, rng), tx, rng)
 
 
 def q_range_store_filter(spark, sf):
@@ -297,99 +313,169 @@ def q_stored_summary_last_hour(spark, sf):
 
 
 def q_stored_top_products(spark, sf):
-    """Q6 read back from the date-partitioned ``product_performance`` table."""
-    path = scratch_path(spark, "tables", PRODUCT_PERFORMANCE.name)
-    write_table(star_products(spark, sf), path, PRODUCT_PERFORMANCE)
+    """Q6 read back from the month-partitioned ``product_performance`` table
+    (the star's orders are spread thinly over years)."""
+    path = scratch_path(spark, "tables", SPARSE_PRODUCTS.name)
+    write_table(star_products(spark, sf), path, SPARSE_PRODUCTS)
     rng = _hour(P.STAR_AS_OF)
-    return plain(rollups.top_products(read_products(spark, path, rng), rng))
+    return plain(rollups.top_products(read_products(spark, path, rng, SPARSE_PRODUCTS.partition_unit), rng))
 
 
 def q_stored_sketch_customers(spark, sf):
-    """Distinct customers per store over the trailing hour from the stored
-    per-minute sketches of the whole events table (no raw-event rescan)."""
+    """The same from the stored per-minute sketches of the whole events table
+    (no raw-event rescan for the estimate)."""
     path = scratch_path(spark, "tables", TUMBLING_SUMMARY.name)
     tx = testdata.event_transactions(spark, sf)
     write_table(windows.store_tumbling_summary(tx, watermark=None, sketch=True), path, TUMBLING_SUMMARY)
     rng = _hour()
-    return rollups.distinct_customers(read_table(spark, path, TUMBLING_SUMMARY.name, rng), rng)
+    stored = read_table(spark, path, TUMBLING_SUMMARY.name, rng)
+    return _within_tolerance(rollups.distinct_customers(stored, rng), tx, rng)
 
 
-# --- streams (file source standing in for the topic) --------------------------
+# --- exports (K8, K9) read back -------------------------------------------------
 
-def _stage(spark: SparkSession, name: str, messages: DataFrame, files: int | None = None) -> str:
-    """Write topic messages as text files, one message per line."""
-    root = scratch_path(spark, "streams", name)
-    values = messages.select("value")
-    if files:
-        values = values.repartition(files)
-    values.write.text(f"{root}/in")
-    return root
+def q_exported_csv(spark, sf):
+    """K8: the 24-hour CSV export, read back (times are text)."""
+    rng, path = _hour(span="24h"), scratch_path(spark, "exports", "csv")
+    rows = rollups.export_transactions(event_summary(spark, sf, rng), rng)
+    export_csv(rows, path)
+    ddl = ", ".join(f"{f.name} {'string' if f.name.startswith('window') else _plain_type(f)}" for f in rows.schema)
+    return spark.read.schema(ddl).option("header", True).csv(path)
 
 
-def _stream(spark: SparkSession, name: str, messages: DataFrame, build) -> DataFrame:
-    root = _stage(spark, name, messages)
-    df = build(text_stream(spark, f"{root}/in"))
-    jobs.run_until_caught_up(df, f"{root}/out", f"{root}/checkpoint",
-                             state_partitions=default_parallelism(spark))
-    return spark.read.parquet(f"{root}/out")
+def _plain_type(field) -> str:
+    return "double" if isinstance(field.dataType, DecimalType) else field.dataType.simpleString()
 
 
-def q_stream_store_summary(spark, sf):
-    """Q1 as an incremental stream: the messages arrive in time slices and
-    the query restarts from its checkpoint after each one (state carried
-    across restarts). Result: the closed windows (end <= max event time -
-    watermark), as in the batch result."""
-    root = scratch_path(spark, "streams", "store_window_summary")
+def _exported_json(spark, sf) -> str:
+    path = scratch_path(spark, "exports", "json")
+    day, star = _hour(span="24h"), _hour(P.STAR_AS_OF, "24h")
+    export_json(rollups.export_transactions(event_summary(spark, sf, day), day),
+                rollups.export_products(star_products(spark, sf, star), star), path)
+    return path
+
+
+def q_exported_json(spark, sf):
+    """K9: the product rows of the 24-hour JSON export, read back."""
+    return spark.read.schema("window_start string, product_id string, product_name string, category string, "
+                             "quantity_sold bigint, revenue double").json(
+                                 f"{_exported_json(spark, sf)}/product_performance")
+
+
+def q_export_manifest(spark, sf):
+    """K9: the record counts in the JSON export's manifest, read back."""
+    return spark.read.schema("transactions_summary bigint, product_performance bigint, total_records bigint").json(
+        f"{_exported_json(spark, sf)}/manifest")
+
+
+# --- streams (file source standing in for the topic) through the stored tables --
+
+def _paths(spark: SparkSession, name: str) -> jobs.StreamPaths:
+    return jobs.StreamPaths(scratch_path(spark, "streams", name))
+
+
+def _in_slices(spark, paths: jobs.StreamPaths, messages, build, contract, name) -> None:
+    """The messages arrive in time slices, in order, each in several files; the
+    query restarts from its checkpoint after each slice (state is carried over)."""
     edges = [None, *P.STREAM_SLICE_BOUNDS, None]
     for lo, hi in zip(edges, edges[1:]):
-        slice_msgs = testdata.event_messages(spark, sf, TimeRange(lo, hi))
-        slice_msgs.select("value").write.mode("append").text(f"{root}/in")
-        df = jobs.store_summary_stream(text_stream(spark, f"{root}/in"))
-        jobs.run_until_caught_up(df, f"{root}/out", f"{root}/checkpoint",
-                                 state_partitions=default_parallelism(spark))
-    return plain(spark.read.parquet(f"{root}/out"))
+        messages(TimeRange(lo, hi)).select("value").write.mode("append").text(f"{paths.root}/in")
+        jobs.catch_up(build(text_stream(spark, f"{paths.root}/in")), paths, contract, name,
+                      state_partitions=default_parallelism(spark))
 
 
-def q_stream_product_performance(spark, sf):
-    return plain(_stream(spark, "product_window_performance", testdata.item_messages(spark, sf),
-                         jobs.product_stream))
+def _streamed_summary(spark, sf) -> jobs.StreamPaths:
+    """Q1 as an incremental stream over messages of which some are bad."""
+    paths = _paths(spark, "store_window_summary")
+    _in_slices(spark, paths, lambda rng: testdata.event_messages(spark, sf, rng, bad=True),
+               jobs.store_summary_stream, TRANSACTIONS_SUMMARY, "store_window_summary")
+    return paths
 
 
-def q_stream_realtime_metrics(spark, sf):
-    out = _stream(spark, "realtime_window_metrics", testdata.event_messages(spark, sf),
-                  jobs.metrics_stream)
-    return plain(windows.flatten_window(out))
+def q_stream_store_summary(spark, sf):
+    """K1: the closed windows (end <= max event time - watermark) of the
+    incremental stream, as in the batch result; distinct customers are
+    approximate on a stream and compared with the exact count."""
+    paths = _streamed_summary(spark, sf)
+    streamed = read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name))
+    good = testdata.event_transactions(spark, sf).where(
+        (F.col("transaction_id").cast("bigint") % 97 != 0) & (F.col("transaction_id").cast("bigint") % 89 != 0))
+    exact = windows.store_window_summary(good, watermark=None).select(
+        "window_start", "store_id", F.col("unique_customers").alias("exact_customers"))
+    near = F.abs(F.col("unique_customers") - F.col("exact_customers")) <= F.greatest(
+        F.lit(1.0), F.col("exact_customers") * 0.15)
+    return plain(streamed.join(exact, ["window_start", "store_id"], "left").select(
+        "window_start", "window_end", "store_id", "total_transactions", "total_revenue",
+        "avg_transaction_value", F.coalesce(near, F.lit(False)).alias("unique_within_tolerance")))
+
+
+def q_stream_rejected_rows(spark, sf):
+    """K5 on a stream: rows that break the table contract, by reason, from the
+    reject table (windows of messages without a store)."""
+    path = _streamed_summary(spark, sf).table(TRANSACTIONS_SUMMARY.name)
+    return (spark.read.parquet(f"{path}_rejects").groupBy(REJECT_REASON)
+            .agg(F.count(F.lit(1)).alias("rows"),
+                 F.sum(F.get_json_object("row", "$.total_transactions").cast("bigint")).alias("transactions")))
 
 
-def q_stream_raw_transactions(spark, sf):
-    """K11 as a stream: valid transactions, items dropped, one row per id
-    (de-duplicated within the watermark), in the table's types."""
-    def build(raw):
-        good, _ = conform(jobs.raw_transactions_stream(raw), TRANSACTIONS, stamp=False)
-        return good
-    return plain(_stream(spark, "raw_transactions", testdata.event_messages(spark, sf), build))
+def q_stream_product_performance(spark, sf):
+    """K2: orders with all their items, through the stored product table."""
+    paths = _paths(spark, "product_window_performance")
+    testdata.item_messages(spark, sf).select("value").write.text(f"{paths.root}/in")
+    jobs.catch_up(jobs.product_stream(text_stream(spark, f"{paths.root}/in")), paths, SPARSE_PRODUCTS,
+                  "product_window_performance", state_partitions=default_parallelism(spark))
+    cols = [c.name for c in PRODUCT_PERFORMANCE.columns if c.name != "created_at"]
+    return plain(read_products(spark, paths.table(PRODUCT_PERFORMANCE.name)).select(*cols))
 
 
-PROGRESS_FILES = 4
+def q_stream_realtime_metrics(spark, sf):
+    """Long-form window metrics of an incremental stream, from their table."""
+    paths = _paths(spark, "realtime_window_metrics")
+    _in_slices(spark, paths, lambda rng: testdata.event_messages(spark, sf, rng),
+               lambda raw: metrics_long(jobs.metrics_stream(raw)), REALTIME_METRICS, "realtime_window_metrics")
+    return plain(read_table(spark, paths.table(REALTIME_METRICS.name), REALTIME_METRICS.name).select(
+        "metric_time", "metric_name", "metric_value", "dimension"))
 
 
-def _progress(spark, sf) -> DataFrame:
-    """Run the store summary stream over several files, one file per
-    micro-batch, and return its progress reports."""
-    root = _stage(spark, "progress", testdata.event_messages(spark, sf), PROGRESS_FILES)
-    raw = text_stream(spark, f"{root}/in", max_files_per_trigger=1)
-    q = jobs.run_until_caught_up(jobs.store_summary_stream(raw), f"{root}/out", f"{root}/checkpoint",
-                                 state_partitions=default_parallelism(spark),
-                                 query_name="store_window_summary")
-    return progress.progress_frame(spark, [q])
+def q_stream_raw_transactions(spark, sf):
+    """Every transaction once, although the messages arrive in unordered
+    files, one a micro-batch, and every tenth message twice."""
+    paths = _paths(spark, "raw_transactions")
+    messages = testdata.event_messages(spark, sf)
+    again = messages.where(F.col("key").cast("bigint") % 10 == 0)
+    messages.unionByName(again).select("value").repartition(4).write.text(f"{paths.root}/in")
+    jobs.catch_up(jobs.raw_transactions_stream(text_stream(spark, f"{paths.root}/in", max_files_per_trigger=1)),
+                  paths, TRANSACTIONS, "raw_transactions")
+    cols = [c.name for c in TRANSACTIONS.columns if c.name != "created_at"]
+    return plain(read_table(spark, paths.table(TRANSACTIONS.name), TRANSACTIONS.name).select(*cols))
+
+
+def q_streamed_then_backfilled_summary(spark, sf):
+    """K7 over a streamed table: a third of one day's events reach the stream
+    not at all; a re-load of that day puts its windows right."""
+    paths = _paths(spark, "backfilled")
+    lost = testdata.event_time_between(P.LOST_START, P.LOST_END) & (F.col("event_id") % 3 == 0)
+    testdata.event_messages(spark, sf, where=~lost).select("value").write.text(f"{paths.root}/in")
+    jobs.catch_up(jobs.store_summary_stream(text_stream(spark, f"{paths.root}/in")), paths, TRANSACTIONS_SUMMARY,
+                  "store_window_summary", state_partitions=default_parallelism(spark))
+    jobs.backfill(spark, testdata.event_messages(spark, sf), paths, TimeRange(P.BACKFILL_START, P.BACKFILL_END))
+    return plain(read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name)).select(
+        "window_start", "window_end", "store_id", "total_transactions", "total_revenue", "avg_transaction_value"))
 
 
 def q_stream_progress(spark, sf):
-    return plain(progress.stream_progress(_progress(spark, sf)))
+    """Figures of the incremental stream over all its runs, from the progress table."""
+    paths = _streamed_summary(spark, sf)
+    figures = progress.stream_progress(progress.read_progress(spark, paths.progress(TRANSACTIONS_SUMMARY.name)))
+    return figures.select("query_name", "input_rows", "total_records", "valid_records", "rows_dropped_by_watermark")
 
 
 def q_processing_latency(spark, sf):
-    return plain(progress.processing_latency(_progress(spark, sf)))
+    """X1 on two stored times, here the order's and its lines' shipping: average, P95 and P99 in days."""
+    orders = testdata.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lines = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
+    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
+    return progress.processing_latency(rows, "o_orderdate", "l_shipdate", unit_ms=86_400_000)
 
 
 _QUERIES: dict[str, Query] = {

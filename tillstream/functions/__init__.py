@@ -4,5 +4,5 @@ from tillstream.functions.money import (  # noqa: F401
     MONEY, money, money_sum, exact_mean, mean_of_means, round_half_up_ratio,
 )
 from tillstream.functions.timebounds import (  # noqa: F401
-    TimeRange, trailing, in_range, to_output_time, parse_event_time, ts_literal,
+    TimeRange, trailing, in_range, parse_event_time, ts_literal,
 )

@@ -44,16 +44,13 @@ def mean_of_means(c: Column | str, dtype: str = MEAN_OF_MEANS) -> Column:
 def round_half_up_ratio(num: Column, den: Column, scale: int, dtype: str) -> Column:
     """round_half_up(num / den, scale) for non-negative integers, exactly.
 
-    Integer quotient and remainder (no floating point, no intermediate decimal
-    rounding); NULL when ``den`` is 0 or NULL (a plain division raises under
-    ANSI mode).
+    Integral division of decimals without a fraction (``div``: no floating
+    point, no intermediate rounding); NULL when ``den`` is 0 or NULL (a plain
+    division raises under ANSI mode).
     """
-    factor = 10 ** scale
-    a = (num * F.lit(factor)).cast("bigint")
-    den = den.cast("bigint")
-    r = a % den
-    q = ((a - r) / den).cast("bigint")
-    units = F.when(den > 0, q + F.when(F.lit(2) * r >= den, 1).otherwise(0))
+    twice = num.cast("decimal(30,0)") * F.lit(2 * 10 ** scale) + den.cast("decimal(30,0)")
+    whole = den.cast("decimal(30,0)") * F.lit(2)
+    units = F.when(den > 0, F.call_function("div", twice, F.when(den > 0, whole)))
     if scale == 0:
         return units.cast(dtype)
-    return (units.cast("decimal(38,0)") / F.lit(factor)).cast(dtype)
+    return (units.cast("decimal(38,0)") / F.lit(10 ** scale)).cast(dtype)

@@ -64,9 +64,3 @@ def parse_event_time(c: Column | str) -> Column:
     """ISO-8601 text -> TIMESTAMP, NULL when malformed (never raises)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.try_to_timestamp(c)
-
-
-def to_output_time(c: Column | str) -> Column:
-    """Zoneless output form of an event time (TIMESTAMP_NTZ)."""
-    c = F.col(c) if isinstance(c, str) else c
-    return c.cast("timestamp_ntz")

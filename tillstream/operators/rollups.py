@@ -158,8 +158,9 @@ def hourly_change(summary: DataFrame, rng: TimeRange | None = None) -> DataFrame
     """U4: change of the trailing-hour totals against the hour before.
 
     The trailing hour at each full hour ``h`` is the set of windows starting in
-    ``[h - 1h, h)``. Each hour is matched with its predecessor by an equi-join
-    on ``hour - 1h`` (distributed; no global ordering window). The change is
+    ``[h - 1h, h)``. Hours are summed once; each then stands for itself and, an
+    hour later, as the predecessor, and one more aggregate brings the two
+    together (one scan, no join, no global ordering window). The change is
     ``|cur - prev| / prev * 100`` rounded half up to one decimal, NULL when
     the previous hour is empty.
     """
@@ -167,11 +168,14 @@ def hourly_change(summary: DataFrame, rng: TimeRange | None = None) -> DataFrame
     hourly = s.groupBy(F.date_trunc("hour", "window_start").alias("hour_start")).agg(
         F.sum("total_transactions").cast("bigint").alias("transactions"),
         F.sum("total_revenue").cast(TOTAL).alias("revenue"))
-    prev = hourly.select(
-        (F.col("hour_start") + F.expr("INTERVAL 1 HOUR")).alias("hour_start"),
-        F.col("transactions").alias("prev_transactions"),
-        F.col("revenue").alias("prev_revenue"))
-    joined = hourly.join(prev, "hour_start", "left")
+    roles = hourly.select("transactions", "revenue", F.inline(F.array(
+        F.struct(F.col("hour_start"), F.lit(True).alias("own")),
+        F.struct((F.col("hour_start") + F.expr("INTERVAL 1 HOUR")).alias("hour_start"), F.lit(False).alias("own")))))
+    one = lambda c, own: F.max(F.when(F.col("own") == own, F.col(c)))
+    joined = roles.groupBy("hour_start").agg(
+        one("transactions", True).alias("transactions"), one("revenue", True).alias("revenue"),
+        one("transactions", False).alias("prev_transactions"), one("revenue", False).alias("prev_revenue"),
+    ).where(F.col("transactions").isNotNull())
     cents = lambda c: (F.col(c) * 100).cast("bigint")
     return joined.select(
         "hour_start", "transactions", "revenue", "prev_transactions", "prev_revenue",

@@ -28,26 +28,18 @@ def _with_watermark(df: DataFrame, watermark: str | None) -> DataFrame:
 SKETCH_LG_K = 12  # HLL sketch size 2^12 registers (about 1.6 % standard error)
 
 
-def distinct_count(c: str, mode: str) -> Column:
-    """Distinct count of ``c`` in a group.
-
-    ``approx`` (default): estimate of a DataSketches HLL sketch. It is
-    mergeable and allowed on streams; small sets are kept as exact coupons, so
-    per-window counts come out exact, and large ones have about 1.6 % error.
-    ``hllpp``: Spark's ``approx_count_distinct`` (HyperLogLog++, 5 % default
-    error; two customers of a window can collide into one). ``exact``:
-    ``count(distinct)`` (batch only).
-    """
-    if mode == "exact":
-        return F.count_distinct(F.col(c))
-    if mode == "hllpp":
-        return F.approx_count_distinct(F.col(c))
-    return F.hll_sketch_estimate(F.hll_sketch_agg(F.col(c), SKETCH_LG_K))
+def distinct_count(c: str, mode: str | None, streaming: bool) -> Column:
+    """Distinct count of ``c`` in a group: ``exact`` (``count(distinct)``, the
+    default on tables) or ``approx`` (``approx_count_distinct``, HyperLogLog++
+    with 5 % default error; the default on streams, where a distinct count is
+    not allowed). Both aggregate in whole-stage codegen."""
+    mode = mode or ("approx" if streaming else "exact")
+    return F.approx_count_distinct(F.col(c)) if mode == "approx" else F.count_distinct(F.col(c))
 
 
 def store_window_summary(tx: DataFrame, window: str = "1 minute", slide: str | None = "30 seconds",
                          watermark: str | None = DEFAULT_WATERMARK,
-                         distinct: str = "approx") -> DataFrame:
+                         distinct: str | None = None) -> DataFrame:
     """Q1: per (sliding) window x store -> the ``transactions_summary`` row."""
     df = _with_watermark(tx, watermark)
     win = F.window("event_time", window, slide) if slide else F.window("event_time", window)
@@ -55,7 +47,7 @@ def store_window_summary(tx: DataFrame, window: str = "1 minute", slide: str | N
         F.count("transaction_id").alias("total_transactions"),
         money_sum("final_amount", MONEY).alias("total_revenue"),
         exact_mean("final_amount", MEAN).alias("avg_transaction_value"),
-        distinct_count("customer_id", distinct).alias("unique_customers"),
+        distinct_count("customer_id", distinct, tx.isStreaming).alias("unique_customers"),
     )
     return agg.select(
         F.col("window.start").alias("window_start"),
@@ -66,7 +58,7 @@ def store_window_summary(tx: DataFrame, window: str = "1 minute", slide: str | N
 
 def store_tumbling_summary(tx: DataFrame, window: str = "1 minute",
                            watermark: str | None = DEFAULT_WATERMARK,
-                           distinct: str = "approx", sketch: bool = False) -> DataFrame:
+                           distinct: str | None = None, sketch: bool = False) -> DataFrame:
     """Q16: tumbling window x store, count / sum / distinct customers.
 
     Each transaction lands in exactly one window, so sums over these rows are
@@ -79,7 +71,7 @@ def store_tumbling_summary(tx: DataFrame, window: str = "1 minute",
     measures = [
         F.count("transaction_id").alias("total_transactions"),
         money_sum("final_amount", MONEY).alias("total_revenue"),
-        distinct_count("customer_id", distinct).alias("unique_customers"),
+        distinct_count("customer_id", distinct, tx.isStreaming).alias("unique_customers"),
     ]
     if sketch:
         measures.append(F.hll_sketch_agg("customer_id", SKETCH_LG_K).alias("customer_sketch"))

@@ -8,7 +8,7 @@ therefore an explicit rule (``REQUIRED`` below, applied in
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 
 from pyspark.sql import types as T
 
@@ -92,7 +92,8 @@ class TableContract:
     name: str
     columns: tuple[Column, ...]
     key: tuple[str, ...] = ()
-    partition_by: tuple[str, ...] = field(default_factory=tuple)
+    # Span of one date partition: "day", or "month" for tables with little data a day.
+    partition_unit: str = "day"
     # True when rows are produced under a wider group key than the table key,
     # so key uniqueness is not guaranteed by construction and is checked.
     check_unique: bool = False
@@ -117,7 +118,6 @@ TRANSACTIONS_SUMMARY = TableContract(
         Column("created_at", "timestamp", default="current_timestamp()"),
     ),
     key=("window_start", "store_id"),
-    partition_by=("window_date",),
 )
 
 # The tumbling-window variant of the summary (no per-window mean).
@@ -127,7 +127,6 @@ TUMBLING_SUMMARY = TableContract(
     + (Column("customer_sketch", "binary"),   # HLL sketch of the window's customers (optional)
        Column("created_at", "timestamp", default="current_timestamp()")),
     key=TRANSACTIONS_SUMMARY.key,
-    partition_by=("window_date",),
 )
 
 PRODUCT_PERFORMANCE = TableContract(
@@ -142,7 +141,6 @@ PRODUCT_PERFORMANCE = TableContract(
         Column("created_at", "timestamp", default="current_timestamp()"),
     ),
     key=("window_start", "product_id"),
-    partition_by=("window_date",),
     check_unique=True,  # grouped by (window, id, name, category), keyed by (window, id)
 )
 
@@ -156,7 +154,6 @@ REALTIME_METRICS = TableContract(
         Column("created_at", "timestamp", default="current_timestamp()"),
     ),
     key=("metric_time", "metric_name", "dimension"),
-    partition_by=("metric_date",),
 )
 
 TRANSACTIONS = TableContract(
@@ -174,8 +171,10 @@ TRANSACTIONS = TableContract(
         Column("created_at", "timestamp", default="current_timestamp()"),
     ),
     key=("transaction_id",),
-    partition_by=("event_date",),
 )
 
+# The product table of sparse data: a month a partition instead of many tiny days.
+SPARSE_PRODUCTS = replace(PRODUCT_PERFORMANCE, partition_unit="month")
+
 CONTRACTS = {c.name: c for c in (TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY, PRODUCT_PERFORMANCE,
                                  REALTIME_METRICS, TRANSACTIONS)}

@@ -8,7 +8,6 @@ host's zone or across DST changes.
 from __future__ import annotations
 
 import contextlib
-import os
 import tempfile
 import uuid
 
@@ -73,15 +72,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
     Streaming checkpoints, staged tables and lineage cuts all live below it so
-    that a lost executor (or driver restart) finds them again. Only when the
-    session leaves it unset (local tests) is a fresh scratch folder created and
-    registered.
+    that a lost executor (or driver restart) finds them again. Only where the
+    session leaves it unset and runs in one local process (tests) is a fresh
+    scratch folder created and registered; elsewhere that is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not root and context is not None:
         root = context.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tillstream-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if context is not None and context.getCheckpointDir() is None:
@@ -124,14 +126,3 @@ def default_parallelism(spark: SparkSession) -> int:
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique location below the checkpoint root."""
     return "/".join([checkpoint_root(spark), *parts, uuid.uuid4().hex])
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file-system helpers in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def ensure_dir(path: str) -> str:
-    if "://" not in path and not path.startswith("file:"):
-        os.makedirs(path, exist_ok=True)
-    return path

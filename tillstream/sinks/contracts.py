@@ -33,8 +33,7 @@ def conform(df: DataFrame, contract: TableContract, stamp: bool = True,
 
     With ``stamp=False`` the ``created_at`` column is left out (deterministic
     output for comparisons). For contracts with ``check_unique`` the rows of a
-    duplicated table key also go to the reject set (batch input only; a
-    stream's native sink passes ``check_unique=False``).
+    duplicated table key also go to the reject set (of a table or one micro-batch).
     """
     cols = [c for c in contract.columns if stamp or c.name != "created_at"]
     shaped = df.select(*[_value(df, c) for c in cols])
@@ -53,11 +52,7 @@ def conform(df: DataFrame, contract: TableContract, stamp: bool = True,
         good = tagged.where(F.col(REJECT_REASON).isNull()).drop(REJECT_REASON)
         bad = tagged.where(F.col(REJECT_REASON).isNotNull())
     if contract.check_unique and check_unique and contract.key:
-        # The check reads its input twice; a reliable checkpoint (below the
-        # shared spark.checkpoint.dir) computes it once and cuts the lineage.
-        from tillstream.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        good, dups = split_key_violations(good.checkpoint(eager=True), contract.key)
+        good, dups = split_key_violations(good, contract.key)
         bad = bad.unionByName(dups)
     return good, bad
 
@@ -66,19 +61,22 @@ def with_partition_date(df: DataFrame, contract: TableContract) -> DataFrame:
     """Add the date partition column (``window_date`` etc.) from the time column."""
     from tillstream.sources.tables import TIME_COLUMN
     ts_col, date_col = TIME_COLUMN[contract.name]
-    return df.withColumn(date_col, F.to_date(F.col(ts_col)))
+    return df.withColumn(date_col, F.trunc(F.col(ts_col), "month") if contract.partition_unit == "month"
+                         else F.to_date(F.col(ts_col)))
 
 
 def split_key_violations(df: DataFrame, key: list[str] | tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """Rows whose key occurs once, and the rows of keys that occur more than
     once (all copies, with a reason) - instead of storing a duplicate key.
 
-    Counting per key aggregates map-side first, and the duplicated keys are
-    matched back with semi/anti joins, so a key holding a large share of the
-    rows is never gathered into one task.
+    The rows of single keys come out of one aggregate per key (count and the
+    row, combined map-side); the duplicates' rows are matched back only where
+    the caller reads them.
     """
     key = list(key)
+    rest = [c for c in df.columns if c not in key]
+    counted = df.groupBy(*key).agg(F.count(F.lit(1)).alias("__n"), F.first(F.struct(*rest)).alias("__row"))
+    good = counted.where("__n = 1").select(*key, "__row.*").select(*df.columns)
     dup = df.groupBy(*key).count().where(F.col("count") > 1).select(*key)
-    good = df.join(dup, key, "left_anti")
     bad = df.join(dup, key, "left_semi").withColumn(REJECT_REASON, F.lit("duplicate key"))
-    return good, bad
+    return good, bad.select(*df.columns, REJECT_REASON)

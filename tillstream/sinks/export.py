@@ -7,16 +7,23 @@ same pass (no second scan) and go into a one-row manifest.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import DecimalType, TimestampNTZType, TimestampType
 
 
+def _time_text(c: Column) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, with six decimals where there is a fraction of a second."""
+    whole = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    micros = F.date_format(c, "SSSSSS")
+    return F.when(micros == "000000", whole).otherwise(F.concat(whole, F.lit("."), micros))
+
+
 def export_frame(df: DataFrame) -> DataFrame:
     """Timestamps as text, decimals as floating point."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (TimestampType, TimestampNTZType)):
-            cols.append(F.date_format(F.col(f.name), "yyyy-MM-dd HH:mm:ss").alias(f.name))
+            cols.append(_time_text(F.col(f.name)).alias(f.name))
         elif isinstance(f.dataType, DecimalType):
             cols.append(F.col(f.name).cast("double").alias(f.name))
         else:
@@ -31,8 +38,10 @@ def _write_counted(df: DataFrame, writer) -> int:
 
 
 def export_csv(summary: DataFrame, path: str) -> int:
-    """K8: the transactions summary as CSV with a header row; returns rows."""
-    return _write_counted(summary, lambda d: d.write.mode("overwrite").option("header", True).csv(path))
+    """K8: the transactions summary as CSV with a header row (none without rows,
+    as the files of an empty table are empty); returns rows."""
+    return _write_counted(summary, lambda d: d.write.mode("overwrite").option(
+        "header", not d.isEmpty()).csv(path))
 
 
 def export_json(summary: DataFrame, products: DataFrame, path: str) -> DataFrame:

@@ -1,23 +1,26 @@
 """Parquet table sinks (K1, K2, K10, K11 storage; K7 for re-loads).
 
-Tables are partitioned by the date of their time column and sorted by key
-within each file, so trailing-range reads prune directories and row groups.
-
-Streams write either through the native file sink (exactly-once through its
-commit log next to the data) or through ``IdempotentBatchWriter`` in
-``foreachBatch``: each micro-batch lands in its own ``batch_id`` partition
-with dynamic partition overwrite, so a replayed batch replaces itself instead
-of adding duplicate keys.
+One layout for every writer and reader: ``<table>/<date>=…/batch_id=…``. A
+micro-batch of a stream owns its ``batch_id`` partitions and overwrites them
+(a replayed batch replaces itself, so no commit log is needed next to the
+data); batch writes, merges and compactions own ``batch_id = -1``. Files are
+sorted by key, so trailing ranges prune directories and row groups. Rows that
+break the contract go to ``<table>_rejects`` with their reason.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.schemas import TableContract
 from tillstream.sinks.contracts import REJECT_REASON, conform, with_partition_date
-from tillstream.sources.tables import TIME_COLUMN
+from tillstream.sources.tables import BATCH_ID, TIME_COLUMN, stored_rows
+
+#: ``batch_id`` of rows that no stream wrote.
+BASE = -1
 
 
 def _date_col(contract: TableContract) -> str:
@@ -25,7 +28,7 @@ def _date_col(contract: TableContract) -> str:
 
 
 def prepare(df: DataFrame, contract: TableContract, stamp: bool = True) -> tuple[DataFrame, DataFrame]:
-    good, bad = conform(df, contract, stamp=stamp, check_unique=not df.isStreaming)
+    good, bad = conform(df, contract, stamp=stamp)
     return with_partition_date(good, contract), bad
 
 
@@ -60,111 +63,151 @@ def write_table(df: DataFrame, path: str, contract: TableContract, mode: str = "
     """Batch write of contract rows; returns the reject set (lazy)."""
     good, bad = prepare(df, contract, stamp)
     with write_sizing(df.sparkSession):
-        (clustered(good, contract)
+        (clustered(good, contract).withColumn(BATCH_ID, F.lit(BASE).cast("bigint"))
              .write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-             .partitionBy(_date_col(contract)).parquet(path))
+             .partitionBy(_date_col(contract), BATCH_ID).parquet(path))
     return bad
 
 
-def overwrite_partitions(df: DataFrame, path: str, contract: TableContract,
-                         extra_partitions: tuple[str, ...] = ()) -> None:
+def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    (df.sortWithinPartitions(*contract.key)
-       .write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy(_date_col(contract), *extra_partitions)
-       .parquet(path))
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partitions).parquet(path))
 
 
-def stream_to_table(df: DataFrame, path: str, checkpoint: str, contract: TableContract,
-                    trigger: dict | None = None, query_name: str | None = None) -> StreamingQuery:
-    """K1/K2: append a streaming aggregate into a partitioned Parquet table
-    through the native file sink. Contract violations are dropped from the
-    table stream (``IdempotentBatchWriter`` keeps them in a reject table)."""
-    from tillstream.session import configure_streaming
-    configure_streaming(df.sparkSession)
-    good, _ = prepare(df, contract)
-    writer: DataStreamWriter = (good.writeStream.format("parquet")
-                                .outputMode("append")
-                                .option("checkpointLocation", checkpoint)
-                                .partitionBy(_date_col(contract)))
-    if query_name:
-        writer = writer.queryName(query_name)
-    writer = writer.trigger(**(trigger or {"processingTime": "10 seconds"}))
-    return writer.start(path)
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = _file_system(spark, path)
+    return files.exists(place)
 
 
 class IdempotentBatchWriter:
     """``foreachBatch`` target writing batch ``n`` to partitions
     ``<date>/batch_id=n`` with dynamic overwrite, and its contract rejects to
     ``<path>_rejects``. Writing the same batch twice leaves the table as it was.
+
+    ``insert_only``: rows whose key an earlier batch stored on the same day are
+    left out (raw messages delivered twice, however late).
     """
 
-    def __init__(self, path: str, contract: TableContract):
-        self.path = path
-        self.contract = contract
+    def __init__(self, path: str, contract: TableContract, insert_only: bool = False):
+        self.path, self.contract, self.insert_only = path, contract, insert_only
+
+    def _new(self, good: DataFrame, batch_id: int) -> DataFrame:
+        from tillstream.operators.keyed import insert_if_absent
+        spark, date_col = good.sparkSession, _date_col(self.contract)
+        if not exists(spark, self.path):
+            return good.dropDuplicates(list(self.contract.key))
+        days = [r[0] for r in good.select(date_col).distinct().collect()]
+        stored = stored_rows(spark, self.path, self.contract.name).where(
+            F.col(date_col).isin(days) & (F.col(BATCH_ID) != batch_id))
+        return insert_if_absent(stored, good, self.contract.key).select(*good.columns)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good, bad = prepare(batch, self.contract)
-            good = good.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            overwrite_partitions(good, self.path, self.contract, ("batch_id",))
-            rejects = bad.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            if self.insert_only:
+                good = self._new(good, batch_id)
+            tagged = good.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+            # one file a day (or a few, by size) instead of one for each state partition
+            overwrite_partitions(clustered(tagged, self.contract), self.path, _date_col(self.contract), BATCH_ID)
+            rejects = bad.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
             row_cols = [c for c in self.contract.names if c in bad.columns and c != "created_at"]
-            (rejects.select("batch_id", REJECT_REASON, F.to_json(F.struct(*row_cols)).alias("row"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(self.path + "_rejects"))
+            overwrite_partitions(
+                rejects.select(BATCH_ID, REJECT_REASON, F.to_json(F.struct(*row_cols)).alias("row")),
+                self.path + "_rejects", BATCH_ID)
         finally:
             batch.unpersist()
 
 
-def merge_into_table(batch: DataFrame, path: str, contract: TableContract, staging: str) -> DataFrame:
-    """K7: keyed upsert of ``batch`` into a stored table, touching only the
-    day partitions the batch covers. Returns the batch's contract rejects.
-
-    1. The batch is computed once and written to ``staging/batch`` (a folder
-       below the checkpoint root): later steps read it back instead of
-       recomputing it, and the lineage is cut there.
-    2. The stored rows of the batch's days are read (pruned scan) and merged
-       with it (the batch wins on a key conflict); the result is written to
-       ``staging/merged``, because a table cannot be overwritten while it is
-       being read.
-    3. The merged days replace their partitions (dynamic overwrite). Days not
-       in the batch are never read or rewritten, and re-running the merge
-       leaves the table unchanged.
+def stream_to_table(df: DataFrame, path: str, checkpoint: str, contract: TableContract,
+                    trigger: dict | None = None, query_name: str | None = None,
+                    insert_only: bool = False, progress=None) -> StreamingQuery:
+    """Append a stream to a stored table, its rejects to the
+    reject table, and (``progress``, a ``streaming.progress.ProgressLog``) its
+    progress reports to the progress table."""
+    from tillstream.session import configure_streaming
+    configure_streaming(df.sparkSession)
+    writer = IdempotentBatchWriter(path, contract, insert_only)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writer(batch, batch_id)
+        if progress is not None:
+            progress.save()
+
+    out = df.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", checkpoint)
+    if query_name:
+        out = out.queryName(query_name)
+    query = out.trigger(**(trigger or {"processingTime": "10 seconds"})).start()
+    if progress is not None:
+        progress.follow(query)
+    return query
+
+
+def _replace_days(spark: SparkSession, merged: DataFrame, path: str, contract: TableContract,
+                  staging: str, old: list) -> None:
+    """Put ``merged`` (whole days) in place of the partitions ``old`` of those days.
+
+    The new rows are staged first (a table is not overwritten while it is
+    read), then replace the days' base partitions, then the days' stream
+    partitions go. If that is cut short, a repeated run finds rows of a key
+    twice and keeps the base one.
     """
-    import datetime as dt
+    date_col = _date_col(contract)
+    with write_sizing(spark):
+        clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/merged")
+    overwrite_partitions(spark.read.parquet(f"{staging}/merged").withColumn(BATCH_ID, F.lit(BASE).cast("bigint"))
+                         .sortWithinPartitions(date_col, *contract.key), path, date_col, BATCH_ID)
+    for day, batch_id in old:
+        place, files = _file_system(spark, f"{path}/{date_col}={day}/{BATCH_ID}={batch_id}")
+        files.delete(place, True)
+
 
-    from pyspark.errors import AnalysisException
+def _days_of(spark: SparkSession, path: str, contract: TableContract, days: list) -> tuple[DataFrame, list]:
+    """Stored rows of ``days`` (one a key, the base row first) and their stream partitions."""
+    date_col, key = _date_col(contract), list(contract.key)
+    rows = stored_rows(spark, path, contract.name).where(F.col(date_col).isin(days))
+    old = [(r[0], r[1]) for r in rows.where(F.col(BATCH_ID) != BASE).select(date_col, BATCH_ID).distinct().collect()]
+    rest = [c for c in rows.columns if c not in (*key, BATCH_ID)]
+    one = rows.groupBy(*key).agg(F.min_by(F.struct(*rest), BATCH_ID).alias("row")).select(*key, "row.*")
+    return one, old
 
-    from tillstream.functions.timebounds import TimeRange
+
+def merge_into_table(batch: DataFrame, path: str, contract: TableContract, staging: str) -> DataFrame:
+    """K7: keyed upsert of ``batch`` into a stored table (the batch wins on a
+    key conflict), rewriting only the days that the batch has rows in. Returns
+    the batch's contract rejects.
+
+    The batch is computed once, into ``staging/batch``; its distinct days (at
+    most one value a day) select the partitions that are read and replaced.
+    """
     from tillstream.operators.keyed import upsert
-    from tillstream.sources.tables import read_table
 
     spark = batch.sparkSession
     date_col = _date_col(contract)
     good, bad = prepare(batch, contract)
-    # row count and day span are observed during the staging write itself
-    # (above the range exchange, so the partitioner's sampling pass is not counted)
-    obs = Observation()
-    observed = clustered(good, contract).observe(
-        obs, F.count(F.lit(1)).alias("n"), F.min(date_col).alias("lo"), F.max(date_col).alias("hi"))
     with write_sizing(spark):
-        observed.write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/batch")
-    span = obs.get
-    if not span["n"]:
+        clustered(good, contract).write.mode("overwrite").parquet(f"{staging}/batch")
+    staged = spark.read.schema(good.schema).parquet(f"{staging}/batch")
+    days = [r[0] for r in staged.select(date_col).distinct().collect()]
+    if not days:
         return bad
-    staged = spark.read.parquet(f"{staging}/batch")
-    rng = TimeRange(dt.datetime.combine(span["lo"], dt.time()),
-                    dt.datetime.combine(span["hi"], dt.time()) + dt.timedelta(days=1))
-    try:
-        existing = read_table(spark, path, contract.name, rng).select(*staged.columns)
-        merged = upsert(existing, staged, contract.key)
-    except AnalysisException:  # the table does not exist yet
-        merged = staged
-    with write_sizing(spark):
-        clustered(merged, contract).write.mode("overwrite").partitionBy(date_col).parquet(f"{staging}/merged")
-    (spark.read.parquet(f"{staging}/merged").write.mode("overwrite")
-          .option("partitionOverwriteMode", "dynamic").partitionBy(date_col).parquet(path))
+    merged, old = staged.dropDuplicates(list(contract.key)), []
+    if exists(spark, path):
+        stored, old = _days_of(spark, path, contract, days)
+        merged = upsert(stored.select(*staged.columns), staged, contract.key)
+    _replace_days(spark, merged, path, contract, staging, old)
     return bad
+
+
+def compact(spark: SparkSession, path: str, contract: TableContract, days: list[dt.date], staging: str) -> None:
+    """Merge the small files that a stream's triggers left on closed ``days`` into
+    the days' base partitions (files of about the advisory size, sorted by key)."""
+    rows, old = _days_of(spark, path, contract, days)
+    if old:
+        _replace_days(spark, rows.select(*contract.names, _date_col(contract)), path, contract, staging, old)

@@ -3,7 +3,8 @@
 Malformed input never raises: ``{bad`` or ``[1]`` parse to a struct of NULLs,
 empty/NULL text to a NULL struct, a wrongly typed field to NULL, an unparseable
 timestamp to NULL (``try_to_timestamp``). The validity rule catches all of
-these, so every message is either aggregated or counted as rejected.
+these and counts the message; only one without an event time is left out of
+the window aggregates.
 """
 
 from __future__ import annotations
@@ -50,10 +51,6 @@ def parse_messages(raw: DataFrame, kind: str = "transactions", value_col: str =
               .withColumn("is_valid", validity(REQUIRED[kind])))
 
 
-def valid_only(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("is_valid"))
-
-
 QUALITY_METRICS = "data_quality"
 
 
@@ -68,13 +65,20 @@ def observe_quality(parsed: DataFrame, name: str = QUALITY_METRICS) -> DataFrame
 
 
 def transactions_from_messages(raw: DataFrame, value_col: str = "value",
-                               observe: bool | None = None) -> DataFrame:
-    """Valid transactions with the column names the window operators use.
+                               fields: tuple[str, ...] | None = None) -> DataFrame:
+    """Transactions with the column names the window operators use.
 
-    On a stream (or with ``observe=True``) the rejected messages are counted
-    through ``observe_quality`` before they are filtered out.
+    Only ``fields`` are decoded (default: all). A message is dropped only where
+    its event time is missing, because no window can hold it; one that lacks an
+    id still counts with what it has. On a stream whose fields include the
+    required ones, total and valid messages are observed in the same pass.
     """
-    parsed = parse_messages(raw, "transactions", value_col)
-    if observe if observe is not None else raw.isStreaming:
-        parsed = observe_quality(parsed)
-    return valid_only(parsed)
+    kind = "transactions"
+    names = set(fields or MESSAGE_SCHEMAS[kind].names) | {"timestamp"}
+    schema = StructType([f for f in MESSAGE_SCHEMAS[kind] if f.name in names])
+    parsed = (decode(raw, schema, value_col)
+              .withColumn("processing_time", F.current_timestamp())
+              .withColumn("event_time", parse_event_time("timestamp")))
+    if raw.isStreaming and set(REQUIRED[kind]) <= names:
+        parsed = observe_quality(parsed.withColumn("is_valid", validity(REQUIRED[kind])))
+    return parsed.where(F.col("event_time").isNotNull())

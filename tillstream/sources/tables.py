@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.functions.timebounds import TimeRange, in_range
@@ -25,49 +24,38 @@ TIME_COLUMN = {
 }
 
 
-def _date_bound(rng: TimeRange) -> TimeRange:
+def _date_bound(rng: TimeRange, unit: str = "day") -> TimeRange:
     start = dt.datetime.combine(rng.start.date(), dt.time()) if rng.start else None
+    if start and unit == "month":
+        start = start.replace(day=1)
     end = (dt.datetime.combine(rng.end.date(), dt.time()) + dt.timedelta(days=1)) if rng.end else None
     return TimeRange(start, end)
 
 
-# Bounded ranges up to this many days list only their own day directories.
-MAX_GLOB_DAYS = 366
+#: Second partition column of every stored table (``sinks.parquet``).
+BATCH_ID = "batch_id"
 
 
-def _empty(spark: SparkSession, table: str) -> DataFrame:
+def stored_rows(spark: SparkSession, path: str, table: str) -> DataFrame:
+    """All rows of a stored table with its partition columns.
+
+    The contract's schema is given, so a file without one of its columns has
+    NULL there, and a table without files is empty; a missing table raises.
+    """
     from tillstream.schemas import CONTRACTS
-    date_col = TIME_COLUMN[table][1]
     ddl = ", ".join(f"`{c.name}` {c.dtype}" for c in CONTRACTS[table].columns)
-    return spark.createDataFrame([], f"{ddl}, `{date_col}` date")
+    return spark.read.schema(f"{ddl}, `{TIME_COLUMN[table][1]}` date, `{BATCH_ID}` bigint").parquet(path)
 
 
-def _scan(spark: SparkSession, path: str, table: str, days: TimeRange) -> DataFrame:
-    """Scan listing only the day partitions of a bounded range.
-
-    Partition discovery of a path-based table lists every partition directory
-    (a listing job with one task per directory); a glob over the touched days
-    keeps the listing proportional to the range instead of the table's age.
-    """
-    n_days = (days.end - days.start).days if days.start and days.end else None
-    if n_days is None or n_days > MAX_GLOB_DAYS:
-        return spark.read.parquet(path)
-    date_col = TIME_COLUMN[table][1]
-    names = ",".join((days.start.date() + dt.timedelta(days=i)).isoformat() for i in range(n_days))
-    try:
-        return spark.read.option("basePath", path).parquet(f"{path}/{date_col}={{{names}}}")
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-            return _empty(spark, table)
-        raise
-
-
-def read_table(spark: SparkSession, path: str, table: str, rng: TimeRange | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, table: str, rng: TimeRange | None = None,
+               unit: str = "day") -> DataFrame:
+    """Rows of ``rng``: the date predicate prunes partitions (of ``unit``), the
+    time predicate row groups."""
+    df = stored_rows(spark, path, table).drop(BATCH_ID)
     if rng is None:
-        return spark.read.parquet(path)
+        return df
     ts_col, date_col = TIME_COLUMN[table]
-    days = _date_bound(rng)
-    df = _scan(spark, path, table, days)
+    days = _date_bound(rng, unit)
     date_pred = F.lit(True)
     if days.start is not None:
         date_pred = date_pred & (F.col(date_col) >= F.lit(days.start.date()))
@@ -80,5 +68,5 @@ def read_summary(spark: SparkSession, path: str, rng: TimeRange | None = None) -
     return read_table(spark, path, TRANSACTIONS_SUMMARY.name, rng)
 
 
-def read_products(spark: SparkSession, path: str, rng: TimeRange | None = None) -> DataFrame:
-    return read_table(spark, path, PRODUCT_PERFORMANCE.name, rng)
+def read_products(spark: SparkSession, path: str, rng: TimeRange | None = None, unit: str = "day") -> DataFrame:
+    return read_table(spark, path, PRODUCT_PERFORMANCE.name, rng, unit)

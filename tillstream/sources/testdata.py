@@ -64,15 +64,30 @@ def event_transactions(spark: SparkSession, sf_dir: str, rng: TimeRange | None =
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None) -> DataFrame:
-    """The events (of ``rng``) as retail-transactions topic messages (``key``, ``value``)."""
+def event_time_between(start: dt.datetime, end: dt.datetime) -> Column:
+    """Condition on the raw event time."""
+    return _raw_range(F.col("ts"), TimeRange(start, end))
+
+
+def event_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None,
+                   bad: bool = False, where: Column | None = None) -> DataFrame:
+    """The events (of ``rng``) as retail-transactions topic messages (``key``, ``value``).
+
+    ``bad``: every 97th id has an unreadable timestamp, every 89th no store.
+    """
     ev = table(spark, sf_dir, "events")
     if rng is not None:
         ev = ev.where(_raw_range(F.col("ts"), rng))
+    if where is not None:
+        ev = ev.where(where)
+    time, store = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("event_type")
+    if bad:
+        time = F.when(F.col("event_id") % 97 == 0, F.lit("nope")).otherwise(time)
+        store = F.when(F.col("event_id") % 89 != 0, store)
     payload = F.struct(
         F.col("event_id").cast("string").alias("transaction_id"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
-        F.col("event_type").alias("store_id"),
+        time.alias("timestamp"),
+        store.alias("store_id"),
         F.col("user_id").cast("string").alias("customer_id"),
         F.col("value").alias("total_amount"),
         F.col("value").alias("final_amount"),
@@ -142,25 +157,24 @@ def product_key_as_id(df: DataFrame) -> DataFrame:
 
 
 def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each line item as a one-item transaction message.
-
-    Per-product aggregates only see exploded items, so one message per line
-    gives the same product results as one message per order, without grouping
-    an order's lines into one array.
-    """
+    """Each order as one transaction message with all its line items (an order
+    has a handful of lines, so its array is small)."""
     items = product_key_as_id(star_item_rows(spark, sf_dir))
     item = F.struct("product_id", "product_name", "category", "quantity",
                     "unit_price", F.col("revenue").alias("total"))
+    orders = items.groupBy("transaction_id", "event_time").agg(
+        F.collect_list(item).alias("items"),
+        F.sum(F.col("revenue").cast(MONEY)).cast("double").alias("revenue"))
     payload = F.struct(
         "transaction_id",
         F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
         F.lit("star").alias("store_id"),
         F.col("transaction_id").alias("customer_id"),
-        F.array(item).alias("items"),
+        "items",
         F.col("revenue").alias("total_amount"),
         F.col("revenue").alias("final_amount"),
     )
-    return items.select(F.col("transaction_id").alias("key"), F.to_json(payload).alias("value"))
+    return orders.select(F.col("transaction_id").alias("key"), F.to_json(payload).alias("value"))
 
 
 def star_transactions(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None) -> DataFrame:

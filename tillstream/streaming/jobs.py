@@ -7,18 +7,21 @@ all queries awaited together so a failure in any of them surfaces.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tillstream.operators import windows
 from tillstream.session import configure_streaming
-from tillstream.schemas import PRODUCT_PERFORMANCE, TRANSACTIONS, TRANSACTIONS_SUMMARY
+from tillstream.functions.timebounds import TimeRange, in_range, parse_event_time, ts_literal
+from tillstream.schemas import PRODUCT_PERFORMANCE, REALTIME_METRICS, REQUIRED, TRANSACTIONS, TRANSACTIONS_SUMMARY, TableContract
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import stream_to_table
 from tillstream.sources.decode import transactions_from_messages
+from tillstream.streaming.progress import ProgressLog
 
 # Trigger intervals of the three queries (store summary, products, metrics).
 TRIGGERS = {
@@ -39,35 +42,39 @@ class StreamPaths:
     def checkpoint(self, name: str) -> str:
         return f"{self.root}/checkpoints/{name}"
 
+    def progress(self, name: str) -> str:
+        return f"{self.root}/progress/{name}"
+
+
+# What each stream decodes of a message (the store summary also checks all required fields).
+PRODUCT_FIELDS = ("timestamp", "items")
+METRIC_FIELDS = ("timestamp", "transaction_id", "final_amount")
+
 
 def store_summary_stream(raw: DataFrame, watermark: str | None = windows.DEFAULT_WATERMARK) -> DataFrame:
-    return windows.store_window_summary(transactions_from_messages(raw), watermark=watermark)
+    tx = transactions_from_messages(raw, fields=REQUIRED["transactions"])
+    return windows.store_window_summary(tx, watermark=watermark)
 
 
 def product_stream(raw: DataFrame, watermark: str | None = windows.DEFAULT_WATERMARK) -> DataFrame:
-    items = windows.explode_items(transactions_from_messages(raw))
+    items = windows.explode_items(transactions_from_messages(raw, fields=PRODUCT_FIELDS))
     return windows.product_window_performance(items, watermark=watermark)
 
 
 def metrics_stream(raw: DataFrame, watermark: str | None = windows.DEFAULT_WATERMARK) -> DataFrame:
-    return windows.realtime_window_metrics(transactions_from_messages(raw), watermark=watermark)
+    return windows.realtime_window_metrics(transactions_from_messages(raw, fields=METRIC_FIELDS),
+                                           watermark=watermark)
 
 
 RAW_COLUMNS = ("transaction_id", "timestamp", "store_id", "customer_id", "customer_type",
                "total_amount", "payment_method", "discount_applied", "final_amount")
 
 
-def raw_transactions_stream(raw: DataFrame, watermark: str = windows.DEFAULT_WATERMARK) -> DataFrame:
-    """Valid transactions without items, one row per transaction id.
-
-    ``dropDuplicatesWithinWatermark`` keeps the first copy of an id and forgets
-    it once the watermark has passed, so the de-duplication state stays bounded
-    on an endless stream (a replayed message within the delay is dropped).
-    """
-    tx = transactions_from_messages(raw).withWatermark("event_time", watermark)
-    return (tx.dropDuplicatesWithinWatermark(["transaction_id"])
-              .drop("timestamp").withColumnRenamed("event_time", "timestamp")
-              .select(*RAW_COLUMNS))
+def raw_transactions_stream(raw: DataFrame) -> DataFrame:
+    """Transactions without items. No watermark, so late messages are kept;
+    one row per id is the keyed write's part (``stream_to_table(insert_only=True)``)."""
+    tx = transactions_from_messages(raw, fields=RAW_COLUMNS)
+    return tx.drop("timestamp").withColumnRenamed("event_time", "timestamp").select(*RAW_COLUMNS)
 
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
@@ -139,23 +146,36 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
     """
     configure_streaming(spark)
     triggers = {**TRIGGERS, **(triggers or {})}
-    queries = [
-        stream_to_table(store_summary_stream(source()), paths.table(TRANSACTIONS_SUMMARY.name),
-                        paths.checkpoint(TRANSACTIONS_SUMMARY.name), TRANSACTIONS_SUMMARY,
-                        triggers["store_window_summary"], "store_window_summary"),
-        stream_to_table(product_stream(source()), paths.table(PRODUCT_PERFORMANCE.name),
-                        paths.checkpoint(PRODUCT_PERFORMANCE.name), PRODUCT_PERFORMANCE,
-                        triggers["product_window_performance"], "product_window_performance"),
-        run_to_parquet(metrics_long(metrics_stream(source())), paths.table("realtime_metrics"),
-                       paths.checkpoint("realtime_metrics"), triggers["realtime_window_metrics"],
-                       query_name="realtime_window_metrics"),
+    jobs = [
+        ("store_window_summary", store_summary_stream, TRANSACTIONS_SUMMARY),
+        ("product_window_performance", product_stream, PRODUCT_PERFORMANCE),
+        ("realtime_window_metrics", lambda raw: metrics_long(metrics_stream(raw)), REALTIME_METRICS),
     ]
     if raw_transactions:
-        queries.append(stream_to_table(
-            raw_transactions_stream(source()), paths.table(TRANSACTIONS.name),
-            paths.checkpoint(TRANSACTIONS.name), TRANSACTIONS,
-            triggers["store_window_summary"], "raw_transactions"))
-    return queries
+        jobs.append(("raw_transactions", raw_transactions_stream, TRANSACTIONS))
+    return [start_stream(build(source()), paths, contract, name,
+                         triggers.get(name, triggers["store_window_summary"])).query
+            for name, build, contract in jobs]
+
+
+def start_stream(df: DataFrame, paths: StreamPaths, contract: TableContract, name: str,
+                 trigger: dict | None = None) -> ProgressLog:
+    """One stream into its stored table, with its progress log (whose ``query`` it is)."""
+    log = ProgressLog(df.sparkSession, paths.progress(contract.name))
+    stream_to_table(df, paths.table(contract.name), paths.checkpoint(contract.name), contract, trigger,
+                    name, insert_only=contract is TRANSACTIONS, progress=log)
+    return log
+
+
+def catch_up(df: DataFrame, paths: StreamPaths, contract: TableContract, name: str,
+             state_partitions: int | None = None) -> ProgressLog:
+    """``start_stream`` over everything available now, to its end (see ``run_until_caught_up``)."""
+    from tillstream.session import temporary_conf
+    conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
+    with temporary_conf(df.sparkSession, conf):
+        log = start_stream(df, paths, contract, name, {"availableNow": True})
+        log.finish()
+    return log
 
 
 def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
@@ -172,23 +192,33 @@ def await_all(spark: SparkSession, queries: list[StreamingQuery]) -> None:
         spark.streams.resetTerminated()
 
 
-def backfill(spark: SparkSession, raw: DataFrame, paths: StreamPaths) -> None:
-    """Re-load a bounded set of messages (``kafka_batch`` or ``spark.read.text``)
+#: Window starts of all stored tables lie on a grid that divides this.
+GRID = dt.timedelta(minutes=5)
+
+
+def backfill(spark: SparkSession, raw: DataFrame, paths: StreamPaths, rng: TimeRange) -> None:
+    """Re-load the messages of ``rng`` (``kafka_batch`` or ``spark.read.text``)
     into the stored tables with the same operators as the streams.
 
-    Each table is merged by key (the re-loaded row wins) and only the days
-    present in the re-load are rewritten, so running a backfill twice, or
-    over a range the streams already wrote, never duplicates a key.
+    ``raw`` must hold all messages of the range; others are left out. Only
+    windows wholly inside the range are replaced (the re-loaded row wins): one
+    that the range cuts would be rebuilt from a part of its events. The bounds
+    must lie on the tables' common window grid. Tables are merged by key and
+    only days with re-loaded windows are rewritten.
     """
-    from tillstream.schemas import REALTIME_METRICS
     from tillstream.session import scratch_path
     from tillstream.sinks.parquet import merge_into_table
 
+    for t in (rng.start, rng.end):
+        if t is None or (t - dt.datetime.min) % GRID:
+            raise ValueError(f"a re-load needs bounds on full {GRID} steps, not {t}")
+    tx = raw.where(in_range(parse_event_time(F.get_json_object(F.col("value").cast("string"), "$.timestamp")), rng))
     outputs = [
-        (store_summary_stream(raw, watermark=None), TRANSACTIONS_SUMMARY),
-        (product_stream(raw, watermark=None), PRODUCT_PERFORMANCE),
-        (metrics_long(metrics_stream(raw, watermark=None)), REALTIME_METRICS),
+        (store_summary_stream(tx, watermark=None), TRANSACTIONS_SUMMARY, "window_start", "1 MINUTE"),
+        (product_stream(tx, watermark=None), PRODUCT_PERFORMANCE, "window_start", "5 MINUTES"),
+        (metrics_long(metrics_stream(tx, watermark=None)), REALTIME_METRICS, "metric_time", "30 SECONDS"),
     ]
-    for df, contract in outputs:
-        merge_into_table(df, paths.table(contract.name), contract,
+    for df, contract, start, length in outputs:
+        whole = (F.col(start) >= ts_literal(rng.start)) & (F.col(start) + F.expr(f"INTERVAL {length}") <= ts_literal(rng.end))
+        merge_into_table(df.where(whole), paths.table(contract.name), contract,
                          scratch_path(spark, "staging", contract.name))

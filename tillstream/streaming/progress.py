@@ -1,15 +1,16 @@
-"""Stream progress as DataFrames (X5 stream_progress, X1 processing_latency).
+"""Stream progress and latency as DataFrames (X5 stream_progress, X1 processing_latency).
 
-A query keeps its last ``spark.sql.streaming.numRecentProgressUpdates``
-progress reports (a small, bounded list); they become a DataFrame so the
-figures the dashboard used to make up are computed with Spark aggregates.
+Spark keeps only a query's last reports. ``ProgressLog`` stores every batch's
+report as a row of a table below the output root, at each batch and once more
+when the query has ended, so the figures cover all batches of all runs. A
+batch that is replayed replaces its row.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 PROGRESS_SCHEMA = StructType([
     StructField("query_name", StringType()),
@@ -43,10 +44,39 @@ def _row(name: str | None, p: dict) -> tuple:
             quality.get("total_records"), quality.get("valid_records"))
 
 
-def progress_frame(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    rows = [_row(q.name, p) for q in queries for p in q.recentProgress]
-    return spark.createDataFrame(rows, PROGRESS_SCHEMA).withColumn(
-        "timestamp", F.to_timestamp("timestamp"))
+class ProgressLog:
+    """The progress table of one query at ``path``, partitioned by batch."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path
+        self.query: StreamingQuery | None = None
+        self.saved = -1
+
+    def follow(self, query: StreamingQuery) -> None:
+        self.query = query
+
+    def save(self) -> None:
+        """Store the reports not stored yet (a handful: this runs at every batch)."""
+        if self.query is None:
+            return
+        rows = [_row(self.query.name, p) for p in self.query.recentProgress if int(p["batchId"]) > self.saved]
+        if rows:
+            (self.spark.createDataFrame(list({r[1]: r for r in rows}.values()), PROGRESS_SCHEMA)
+             .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("batch_id").parquet(self.path))
+            self.saved = max(r[1] for r in rows)
+
+    def finish(self) -> None:
+        """Wait for the query's end, raise its failure, store its last reports."""
+        self.query.awaitTermination()
+        self.save()
+        if self.query.exception() is not None:
+            raise self.query.exception()
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.schema(PROGRESS_SCHEMA).parquet(path)
+            .withColumn("timestamp", F.to_timestamp("timestamp")))
 
 
 def stream_progress(progress: DataFrame) -> DataFrame:
@@ -64,9 +94,8 @@ def stream_progress(progress: DataFrame) -> DataFrame:
     )
 
 
-def processing_latency(progress: DataFrame) -> DataFrame:
-    """Per query, batch processing time (trigger start to sink commit):
-    average, P95 and P99 in milliseconds, over batches that read data."""
+def batch_times(progress: DataFrame) -> DataFrame:
+    """Per query: run time of the batches that read data (trigger start to sink commit)."""
     data = progress.where(F.col("num_input_rows") > 0)
     return data.groupBy("query_name").agg(
         F.count(F.lit(1)).alias("batches"),
@@ -74,3 +103,22 @@ def processing_latency(progress: DataFrame) -> DataFrame:
         F.percentile_approx("trigger_ms", 0.95).alias("p95_ms"),
         F.percentile_approx("trigger_ms", 0.99).alias("p99_ms"),
     )
+
+
+def processing_latency(rows: DataFrame, event_time: str, write_time: str, unit_ms: int = 1) -> DataFrame:
+    """Write time less event time over stored rows: rows, average (rounded
+    half up to whole units), P95 and P99 (values that occur) in units of ``unit_ms``.
+
+    Rows without either time are left out.
+    """
+    from tillstream.functions.money import round_half_up_ratio
+    millis = lambda c: F.unix_millis(F.col(c).cast("timestamp"))
+    each = rows.select(F.floor((millis(write_time) - millis(event_time)) / unit_ms).cast("bigint").alias("latency"))
+    # Spark's exact percentiles keep counts per distinct value, combined map-side.
+    at = lambda p: F.expr(f"CAST(percentile_disc({p}) WITHIN GROUP (ORDER BY latency) AS BIGINT)")
+    n = F.count("latency")
+    low = F.least(F.min("latency"), F.lit(0))  # the exact rounding is for non-negative numbers
+    return each.agg(
+        n.alias("rows"),
+        (round_half_up_ratio(F.sum("latency") - low * n, n, 0, "bigint") + low).alias("avg_latency"),
+        at(0.95).alias("p95_latency"), at(0.99).alias("p99_latency"))

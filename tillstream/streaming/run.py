@@ -1,20 +1,25 @@
-"""Entry point for a deployment (``spark-submit -m tillstream.streaming.run``).
+"""Entry point for a deployment (``spark-submit tillstream/streaming/run.py``).
 
 Starts the store summary, product performance and realtime metrics streams
 (optionally the raw transactions table) on one message source and waits on
-all of them. Outputs and checkpoints go below ``--root``, by default the
-cluster's ``spark.checkpoint.dir``.
+all of them. Outputs and checkpoints go below ``--root``, or below the
+cluster's ``spark.checkpoint.dir``; without either the program ends, because a
+restart has to find its tables and state where they were.
 """
 
 from __future__ import annotations
 
 import argparse
+import os
+import sys
 
-from pyspark.sql import SparkSession
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
-from tillstream.session import checkpoint_root, configure
-from tillstream.sources.streams import kafka_stream, text_stream
-from tillstream.streaming.jobs import TRIGGERS, StreamPaths, await_all, start_retail_streams
+from pyspark.sql import SparkSession  # noqa: E402
+
+from tillstream.session import configure  # noqa: E402
+from tillstream.sources.streams import kafka_stream, text_stream  # noqa: E402
+from tillstream.streaming.jobs import TRIGGERS, StreamPaths, await_all, start_retail_streams  # noqa: E402
 
 
 def parse_args(argv=None) -> argparse.Namespace:
@@ -34,7 +39,10 @@ def parse_args(argv=None) -> argparse.Namespace:
 def main(argv=None, spark: SparkSession | None = None) -> list:
     args = parse_args(argv)
     spark = configure(spark or SparkSession.builder.appName("tillstream-streams").getOrCreate())
-    root = args.root or f"{checkpoint_root(spark)}/tillstream"
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not (args.root or shared):
+        raise SystemExit("--root or spark.checkpoint.dir is required")
+    root = args.root or f"{shared.rstrip('/')}/tillstream"
     if args.source == "kafka":
         if not args.bootstrap_servers:
             raise SystemExit("--bootstrap-servers is required for --source kafka")

@@ -66,6 +66,16 @@ def test_round_half_up_ratio_is_exact(spark_hyp, pairs, scale):
     assert [Fraction(g) for g in got] == want
 
 
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10**13), st.integers(1, 10**13)), min_size=1, max_size=20))
+def test_round_half_up_ratio_is_exact_for_large_counts(spark_hyp, pairs):
+    pairs = [*pairs, (6181015002081500, 77014643953410)]
+    df = spark_hyp.createDataFrame(pairs, "num bigint, den bigint")
+    got = [r[0] for r in df.select(round_half_up_ratio(F.col("num"), F.col("den"), 2, "decimal(38,2)")).collect()]
+    want = [(Fraction(n * 100, d) + Fraction(1, 2)).__floor__() / Fraction(100) for n, d in pairs]
+    assert [Fraction(g) for g in got] == want
+
+
 def test_sketch_union_counts_each_customer_once(spark):
     from conftest import SF01
     from tillstream.operators import rollups

@@ -8,7 +8,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, SF01
 from tillstream.contract.queries import event_summary
 from tillstream.functions.timebounds import TimeRange
 from tillstream.operators.keyed import upsert
@@ -113,7 +113,7 @@ def test_merge_touches_only_batch_days_and_is_idempotent(spark, scratch):
     path = f"{scratch}/t"
     write_table(store_tumbling_summary(tx.where("event_time < '2024-01-20'"), watermark=None),
                 path, TUMBLING_SUMMARY)
-    untouched = glob.glob(f"{path}/window_date=2024-01-05/*.parquet")
+    untouched = glob.glob(f"{path}/window_date=2024-01-05/*/*.parquet")
     before = {f: os.path.getmtime(f) for f in untouched}
     batch = store_tumbling_summary(tx.where("event_time >= '2024-01-19'"), watermark=None)
     merge_into_table(batch, path, TUMBLING_SUMMARY, f"{scratch}/stage1")
@@ -170,3 +170,70 @@ def test_batch_writer_keeps_rejects_with_reasons(spark, scratch):
     rejects = spark.read.parquet(f"{scratch}/t_rejects").collect()
     assert [(r.batch_id, r.reject_reason) for r in rejects] == [(0, "store_id is null")]
     assert json.loads(rejects[0].row)["total_transactions"] == 2
+
+
+def test_merge_leaves_days_without_rows_alone(spark, scratch):
+    from tillstream.schemas import TUMBLING_SUMMARY
+    from tillstream.sinks.parquet import merge_into_table
+    days = [dt.datetime(2025, 1, d) for d in (2, 15, 28)]
+    row = lambda t, n: (t, t, "s", n, 1.0, 1.0, 1)
+    write_table(_summary(spark, [row(t, 1) for t in days]), f"{scratch}/t", TUMBLING_SUMMARY)
+    middle = {f: os.path.getmtime(f) for f in glob.glob(f"{scratch}/t/window_date=2025-01-15/*/*.parquet")}
+    merge_into_table(_summary(spark, [row(days[0], 5), row(days[2], 6)]), f"{scratch}/t", TUMBLING_SUMMARY, f"{scratch}/s")
+    assert middle and {f: os.path.getmtime(f) for f in middle} == middle
+    assert sorted(r.total_transactions for r in spark.read.parquet(f"{scratch}/t").collect()) == [1, 5, 6]
+
+
+def test_merge_into_a_table_without_a_contract_column(spark, scratch):
+    from tillstream.schemas import TUMBLING_SUMMARY
+    from tillstream.sinks.parquet import merge_into_table
+    old = _summary(spark, [(T0 + dt.timedelta(minutes=i), T0, "s", 1, 1.0, 1.0, 1) for i in range(36)])
+    (old.withColumn("window_date", F.to_date("window_start")).withColumn("batch_id", F.lit(-1).cast("bigint"))
+     .drop("avg_transaction_value").withColumn("total_revenue", F.col("total_revenue").cast("decimal(12,2)"))
+     .write.partitionBy("window_date", "batch_id").parquet(f"{scratch}/t"))
+    merge_into_table(_summary(spark, [(T0, T0, "s", 9, 1.0, 1.0, 1)]), f"{scratch}/t", TUMBLING_SUMMARY, f"{scratch}/s")
+    rows = spark.read.parquet(f"{scratch}/t").collect()
+    assert len(rows) == 36 and sum(r.total_transactions for r in rows) == 35 + 9
+
+
+def test_compaction_keeps_rows_and_leaves_one_partition_a_day(spark, scratch):
+    from tillstream.sinks.parquet import compact
+    from tillstream.sources.tables import read_table
+    writer = IdempotentBatchWriter(f"{scratch}/t", TRANSACTIONS_SUMMARY)
+    for i in range(3):
+        writer(_summary(spark, [(T0 + dt.timedelta(minutes=i), T0, "s", i, 1.0, 1.0, 1)]), i)
+    before = sorted(read_table(spark, f"{scratch}/t", TRANSACTIONS_SUMMARY.name).collect())
+    compact(spark, f"{scratch}/t", TRANSACTIONS_SUMMARY, [T0.date()], f"{scratch}/s")
+    assert sorted(read_table(spark, f"{scratch}/t", TRANSACTIONS_SUMMARY.name).collect()) == before
+    assert [os.path.basename(p) for p in glob.glob(f"{scratch}/t/window_date=2025-01-01/*")] == ["batch_id=-1"]
+
+
+def test_a_missing_table_raises(spark, scratch):
+    import pytest
+    for days in (1, 400):
+        with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+            read_summary(spark, f"{scratch}/none", TimeRange(T0, T0 + dt.timedelta(days=days))).collect()
+
+
+def test_exports_keep_fractions_and_empty_csv_is_empty(spark, scratch):
+    from tillstream.sinks.export import export_frame
+    df = spark.createDataFrame([(T0,), (T0 + dt.timedelta(microseconds=120),)], "created_at timestamp")
+    assert [r[0] for r in export_frame(df).collect()] == ["2025-01-01 00:00:00", "2025-01-01 00:00:00.000120"]
+    assert export_csv(_summary(spark, []), f"{scratch}/e") == 0
+    assert all(os.path.getsize(f) == 0 for f in glob.glob(f"{scratch}/e/part-*"))
+
+
+def test_export_order(spark):
+    """O2 and O3: newest windows first; highest revenue first."""
+    from tillstream.contract import QUERIES
+    times = [r.window_start for r in QUERIES["export_transactions"](spark, SF001).collect()]
+    assert times == sorted(times, reverse=True) and times
+    revenue = [r.revenue for r in QUERIES["export_products"](spark, SF01).collect()]
+    assert revenue == sorted(revenue, reverse=True) and revenue
+
+
+def test_orders_carry_several_items(spark):
+    from tillstream.sources import testdata
+    sizes = testdata.item_messages(spark, SF001).select(
+        F.size(F.from_json(F.get_json_object("value", "$.items"), "array<string>")).alias("n"))
+    assert sizes.agg(F.max("n")).first()[0] > 1

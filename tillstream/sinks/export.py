@@ -40,8 +40,8 @@ def _write_counted(df: DataFrame, writer) -> int:
 def export_csv(summary: DataFrame, path: str) -> int:
     """K8: the transactions summary as CSV with a header row (none without rows,
     as the files of an empty table are empty); returns rows."""
-    return _write_counted(summary, lambda d: d.write.mode("overwrite").option(
-        "header", not d.isEmpty()).csv(path))
+    header = not summary.isEmpty()
+    return _write_counted(summary, lambda d: d.write.mode("overwrite").option("header", header).csv(path))
 
 
 def export_json(summary: DataFrame, products: DataFrame, path: str) -> DataFrame:

@@ -36,13 +36,17 @@ def parse_args(argv=None) -> argparse.Namespace:
     return p.parse_args(argv)
 
 
-def main(argv=None, spark: SparkSession | None = None) -> list:
-    args = parse_args(argv)
-    spark = configure(spark or SparkSession.builder.appName("tillstream-streams").getOrCreate())
+def root_of(args: argparse.Namespace, spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not (args.root or shared):
         raise SystemExit("--root or spark.checkpoint.dir is required")
-    root = args.root or f"{shared.rstrip('/')}/tillstream"
+    return args.root or f"{shared.rstrip('/')}/tillstream"
+
+
+def main(argv=None, spark: SparkSession | None = None) -> list:
+    args = parse_args(argv)
+    spark = configure(spark or SparkSession.builder.appName("tillstream-streams").getOrCreate())
+    root = root_of(args, spark)
     if args.source == "kafka":
         if not args.bootstrap_servers:
             raise SystemExit("--bootstrap-servers is required for --source kafka")

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from tillstream.functions.timebounds import TimeRange, trailing
-from tillstream.plans import broadcast_if_small, plan_text
+from tillstream.plans import broadcast_bounded, plan_text
 from tillstream.sources.tables import _date_bound
 
 T = dt.datetime(2024, 1, 15, 12, 0)
@@ -31,18 +31,18 @@ def test_time_range_predicate_is_half_open(spark):
     assert df.where(rng.predicate(F.col("t"))).count() == 2
 
 
-def test_broadcast_only_when_bounded(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
+def test_month_bounds_cover_the_range():
+    d = _date_bound(TimeRange(dt.datetime(2024, 1, 14, 23, 30), dt.datetime(2024, 2, 1)), "month")
+    assert (d.start, d.end) == (dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 2))
+
+
+def test_broadcast_needs_a_bound(spark):
+    import pytest
     left = spark.range(5000).withColumnRenamed("id", "k")
-    with_small = left.join(broadcast_if_small(small, 100), left.k == F.col("id"))
-    with_big = left.join(broadcast_if_small(big, 100), left.k == F.col("id"))
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert "BroadcastHashJoin" in plan_text(with_small)
-        assert "BroadcastHashJoin" not in plan_text(with_big)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joined = left.join(broadcast_bounded(spark.range(10), 10), F.col("k") == F.col("id"))
+    assert "BroadcastHashJoin" in plan_text(joined)
+    with pytest.raises(ValueError):
+        broadcast_bounded(left, 2_000_000)
 
 
 def test_trailing_defaults_to_now():

@@ -15,7 +15,7 @@ from tillstream.operators.keyed import upsert
 from tillstream.schemas import TRANSACTIONS_SUMMARY
 from tillstream.sinks.contracts import conform
 from tillstream.sinks.export import export_csv, export_json
-from tillstream.sinks.jdbc import jdbc_append, jdbc_insert_if_absent, jdbc_options, jdbc_read
+from tillstream.sinks.jdbc import JdbcBatchWriter, jdbc_append, jdbc_insert_if_absent, jdbc_options, jdbc_read
 from tillstream.sinks.parquet import IdempotentBatchWriter, write_table
 from tillstream.sources.tables import read_summary
 from tillstream.plans import plan_text
@@ -98,7 +98,7 @@ def test_jdbc_insert_if_absent_on_embedded_derby(spark, scratch):
     jdbc_append(base, opts)
     batch = _summary(spark, [(T0, T0, "s", 9, 1.0, 1.0, 1), (T0, T0, "u", 2, 1.0, 1.0, 1)]).select(
         "window_start", "store_id", "total_transactions")
-    jdbc_insert_if_absent(batch, opts, ["window_start", "store_id"], time_column="window_start")
+    JdbcBatchWriter(opts, ["window_start", "store_id"], time_column="window_start")(batch, 0)
     jdbc_insert_if_absent(batch, opts, ["window_start", "store_id"], time_column="window_start")
     rows = {r.store_id: r.total_transactions for r in jdbc_read(spark, opts).collect()}
     assert rows == {"s": 1, "u": 2}

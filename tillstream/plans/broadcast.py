@@ -2,9 +2,7 @@
 
 ``broadcast_bounded`` is for sides whose row count is bounded by construction
 (a 168-cell grid, an aggregate keyed by such a grid) and states the bound.
-``broadcast_if_small`` proves the bound at run time with a bounded count
-(``limit(n + 1)`` stops early) and otherwise leaves the choice to the planner,
-which falls back to a shuffle join. Everything else is left to
+Everything else is left to
 ``spark.sql.autoBroadcastJoinThreshold`` + AQE, which broadcast only sides
 whose measured size is under the threshold.
 """
@@ -19,10 +17,3 @@ def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     if max_rows > 1_000_000:
         raise ValueError(f"bound {max_rows} too large to broadcast")
     return F.broadcast(df)
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` when it has at most ``max_rows`` rows, else return it
-    unchanged (the planner then shuffles both sides)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

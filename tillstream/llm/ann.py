@@ -36,9 +36,11 @@ from .common import written
 #: Rows the index is fitted on (about; all rows of smaller tables), and rows a partition is meant to have.
 SAMPLE_ROWS, PARTITION_ROWS, MOST_PARTITIONS = 16_384, 640, 256
 #: Graph neighbours, share of the sample held out, recall aimed at on it.
-NEIGHBOURS, HELD_OUT, RECALL = 20, 0.1, 0.93
+NEIGHBOURS, HELD_OUT, RECALL = 20, 0.1, 0.95
 #: Rows and queries of a block, queries scored at once.
 BLOCK_ROWS, BLOCK_QUERIES, STEP = 8_192, 4_096, 256
+#: Most probable partitions whose k-th best score bounds what the others still return.
+FIRST = 2
 #: Tasks that pairs of blocks are spread over at most.
 MOST_TASKS = 20_000
 
@@ -174,18 +176,18 @@ def _matrix(table: pa.Table, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def best_in_block(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, row_ids: np.ndarray,
-                  k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, ids, scores) of each query's best ``k`` rows, ties to the smaller id.
+def best_in_block(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray, rows: np.ndarray,
+                  row_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(query id, ids, scores) of each query's best ``k`` rows that reach its bound, ties to the smaller id.
 
     A matrix product preselects; whatever lies within rounding of the k-th best
     is scored again in one fixed order of summation, so equal vectors tie.
     """
     for a in range(0, len(queries), STEP):
         rough = queries[a:a + STEP] @ rows.T
-        for q, own, score in zip(queries[a:a + STEP], query_ids[a:a + STEP], rough):
+        for q, own, bound, score in zip(queries[a:a + STEP], query_ids[a:a + STEP], bounds[a:a + STEP], rough):
             score[row_ids == own] = -np.inf
-            limit = np.partition(score, -k)[-k] if len(score) > k else -np.inf
+            limit = max(bound, np.partition(score, -k)[-k] if len(score) > k else -np.inf)
             pick = np.flatnonzero((score >= limit - 1e-9 * max(1.0, abs(limit))) & (score > -np.inf)) \
                 if limit > -np.inf else np.flatnonzero(score > -np.inf)
             exact = (rows[pick] * q).sum(axis=1)
@@ -231,23 +233,18 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
             out.append(order[:max(probes, enough)].astype(np.int32))
         return pd.Series(out, dtype=object)
 
-    routed = written(base.where(is_query(F.col("id"))).withColumn("part", F.explode(route("vec"))), "routed")
-    asked = np.zeros(parts, dtype=np.int64)
-    for r in routed.groupBy("part").count().collect():
-        asked[r["part"]] = r["count"]
+    routed = written(base.where(is_query(F.col("id"))).select("*", F.posexplode(route("vec")).alias("pos", "part")),
+                     "routed")
     row_blocks = np.maximum(1, -(-sizes // block_rows))
-    query_blocks = np.maximum(1, -(-asked // block_queries))
     many = lambda counts: F.element_at(F.array(*[F.lit(int(c)) for c in counts]), F.col("part") + 1)
     own = lambda counts: F.pmod(F.xxhash64("id"), many(counts)).cast("int")
     every = lambda counts: F.explode(F.sequence(F.lit(0), many(counts) - 1))
     keys = ["part", "row_block", "query_block"]
-    row_side = filed.withColumn("row_block", own(row_blocks)).withColumn("query_block", every(query_blocks))
-    query_side = routed.withColumn("query_block", own(query_blocks)).withColumn("row_block", every(row_blocks))
 
     def rerank(q: pa.Table, v: pa.Table) -> pa.Table:
-        found = list(best_in_block(_matrix(q, width), q.column("id").to_numpy(),
-                                   _matrix(v, width), v.column("id").to_numpy(), k)) \
-            if q.num_rows and v.num_rows else []
+        found = list(best_in_block(
+            _matrix(q, width), q.column("id").to_numpy(), q.column("bound").to_numpy(),
+            _matrix(v, width), v.column("id").to_numpy(), k)) if q.num_rows and v.num_rows else []
         return pa.table({
             "query_id": pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]) if found else [],
                                  type=q.schema.field("id").type),
@@ -255,11 +252,27 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
             "score": pa.array(np.concatenate([f[2] for f in found]) if found else [], type=pa.float64()),
         })
 
-    # A stated number of partitions: few bytes make much work here, so blocks are not merged into few tasks.
-    tasks = min(MOST_TASKS, int((row_blocks * query_blocks).sum()))
-    spread = lambda df: df.repartition(tasks, *keys).groupBy(*keys)
-    found = (spread(query_side).cogroup(spread(row_side))
-             .applyInArrow(rerank, f"query_id {kind}, {vec_id} {kind}, score double"))
+    def best_of(queries: DataFrame) -> DataFrame:
+        """Candidates of (id, vec, part, bound) rows, from blocks of their partitions."""
+        asked = np.zeros(parts, dtype=np.int64)
+        for r in queries.groupBy("part").count().collect():
+            asked[r["part"]] = r["count"]
+        query_blocks = np.maximum(1, -(-asked // block_queries))
+        row_side = filed.withColumn("row_block", own(row_blocks)).withColumn("query_block", every(query_blocks))
+        query_side = queries.withColumn("query_block", own(query_blocks)).withColumn("row_block", every(row_blocks))
+        # A stated number of partitions: few bytes make much work here, so blocks are not merged into few tasks.
+        tasks = min(MOST_TASKS, int((row_blocks * query_blocks).sum()))
+        spread = lambda df: df.repartition(tasks, *keys).groupBy(*keys)
+        return (spread(query_side).cogroup(spread(row_side))
+                .applyInArrow(rerank, f"query_id {kind}, {vec_id} {kind}, score double"))
+
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), vec_id)
-    return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", vec_id, "score"))
+    top = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    nothing = F.lit(float("-inf"))
+    first = written(top(best_of(routed.where(F.col("pos") < FIRST).select("id", "vec", "part", nothing.alias("bound")))),
+                    "first_found")
+    # The other partitions return only what can still be among a query's k best.
+    bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
+    rest = best_of(written(routed.where(F.col("pos") >= FIRST).drop("pos").join(bounds, "id", "left")
+                           .select("id", "vec", "part", F.coalesce("bound", nothing).alias("bound")), "bounded"))
+    return top(first.drop("rank").unionByName(rest)).select("query_id", "rank", vec_id, "score")

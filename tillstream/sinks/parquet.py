@@ -88,7 +88,8 @@ def exists(spark: SparkSession, path: str) -> bool:
 class IdempotentBatchWriter:
     """``foreachBatch`` target writing batch ``n`` to partitions
     ``<date>/batch_id=n`` with dynamic overwrite, and its contract rejects to
-    ``<path>_rejects``. Writing the same batch twice leaves the table as it was.
+    ``<path>_rejects`` (which exists once there are any). Writing the same batch
+    twice leaves the table as it was.
 
     ``insert_only``: rows whose key an earlier batch stored on the same day are
     left out (raw messages delivered twice, however late).
@@ -114,13 +115,16 @@ class IdempotentBatchWriter:
             if self.insert_only:
                 good = self._new(good, batch_id)
             tagged = good.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-            # one file a day (or a few, by size) instead of one for each state partition
-            overwrite_partitions(clustered(tagged, self.contract), self.path, _date_col(self.contract), BATCH_ID)
-            rejects = bad.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
-            row_cols = [c for c in self.contract.names if c in bad.columns and c != "created_at"]
-            overwrite_partitions(
-                rejects.select(BATCH_ID, REJECT_REASON, F.to_json(F.struct(*row_cols)).alias("row")),
-                self.path + "_rejects", BATCH_ID)
+            # By day, rebalanced by size: one file a day (or a few), not one for each state partition.
+            by_day = tagged.hint("rebalance", _date_col(self.contract)).sortWithinPartitions(
+                _date_col(self.contract), *self.contract.key)
+            overwrite_partitions(by_day, self.path, _date_col(self.contract), BATCH_ID)
+            if not bad.isEmpty():
+                rejects = bad.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
+                row_cols = [c for c in self.contract.names if c in bad.columns and c != "created_at"]
+                overwrite_partitions(
+                    rejects.select(BATCH_ID, REJECT_REASON, F.to_json(F.struct(*row_cols)).alias("row")),
+                    self.path + "_rejects", BATCH_ID)
         finally:
             batch.unpersist()
 

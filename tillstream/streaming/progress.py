@@ -1,9 +1,9 @@
 """Stream progress and latency as DataFrames (X5 stream_progress, X1 processing_latency).
 
 Spark keeps only a query's last reports. ``ProgressLog`` stores every batch's
-report as a row of a table below the output root, at each batch and once more
-when the query has ended, so the figures cover all batches of all runs. A
-batch that is replayed replaces its row.
+report as a row of a table below the output root, every few batches (before
+Spark drops any) and when the query has ended, so the figures cover all batches
+of all runs. A batch that is replayed replaces its row.
 """
 
 from __future__ import annotations
@@ -55,12 +55,16 @@ class ProgressLog:
     def follow(self, query: StreamingQuery) -> None:
         self.query = query
 
-    def save(self) -> None:
-        """Store the reports not stored yet (a handful: this runs at every batch)."""
+    def save(self, least: int | None = None) -> None:
+        """Store the reports not stored yet, once there are ``least`` of them
+        (default: ten, or half of what Spark keeps if that is less)."""
         if self.query is None:
             return
+        if least is None:
+            kept = int(self.spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+            least = max(1, min(10, kept // 2))
         rows = [_row(self.query.name, p) for p in self.query.recentProgress if int(p["batchId"]) > self.saved]
-        if rows:
+        if len(rows) >= least:
             (self.spark.createDataFrame(list({r[1]: r for r in rows}.values()), PROGRESS_SCHEMA)
              .coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy("batch_id").parquet(self.path))
@@ -69,7 +73,7 @@ class ProgressLog:
     def finish(self) -> None:
         """Wait for the query's end, raise its failure, store its last reports."""
         self.query.awaitTermination()
-        self.save()
+        self.save(least=1)
         if self.query.exception() is not None:
             raise self.query.exception()
 

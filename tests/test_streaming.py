@@ -170,6 +170,7 @@ def test_run_entry_point_once(spark, scratch):
                   spark=spark)
     assert len(qs) == 3 and all(q.exception() is None for q in qs)
     assert spark.read.parquet(f"{scratch}/out/tables/transactions_summary").count() > 0
+    assert read_progress(spark, f"{scratch}/out/progress/transactions_summary").where("num_input_rows > 0").count() > 0
 
 
 DAY = TimeRange(dt.datetime(2025, 1, 1), dt.datetime(2025, 1, 2))

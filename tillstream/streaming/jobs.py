@@ -137,12 +137,14 @@ def run_until_caught_up(df: DataFrame, path: str, checkpoint: str,
 
 def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], paths: StreamPaths,
                          triggers: dict[str, dict] | None = None,
-                         raw_transactions: bool = False) -> list[StreamingQuery]:
+                         raw_transactions: bool = False,
+                         logs: list[ProgressLog] | None = None) -> list[StreamingQuery]:
     """Start the three queries on one message source (and, optionally,
     the raw transactions table).
 
     ``source`` builds a fresh streaming DataFrame (``kafka_stream`` or
     ``text_stream``) for each query; each query has its own checkpoint.
+    ``logs`` receives the progress logs, to ``save(least=1)`` at the end.
     """
     configure_streaming(spark)
     triggers = {**TRIGGERS, **(triggers or {})}
@@ -153,9 +155,12 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
     ]
     if raw_transactions:
         jobs.append(("raw_transactions", raw_transactions_stream, TRANSACTIONS))
-    return [start_stream(build(source()), paths, contract, name,
-                         triggers.get(name, triggers["store_window_summary"])).query
-            for name, build, contract in jobs]
+    started = [start_stream(build(source()), paths, contract, name,
+                            triggers.get(name, triggers["store_window_summary"]))
+               for name, build, contract in jobs]
+    if logs is not None:
+        logs.extend(started)
+    return [log.query for log in started]
 
 
 def start_stream(df: DataFrame, paths: StreamPaths, contract: TableContract, name: str,

@@ -58,15 +58,20 @@ def main(argv=None, spark: SparkSession | None = None) -> list:
             raise SystemExit("--input is required for --source files")
         source = lambda: text_stream(spark, args.input)
     triggers = {k: {"availableNow": True} for k in TRIGGERS} if args.once else None
+    logs: list = []
     queries = start_retail_streams(spark, source, StreamPaths(root), triggers,
-                                   raw_transactions=args.raw_transactions)
-    if args.once:
-        for q in queries:
-            q.awaitTermination()
-            if q.exception() is not None:
-                raise q.exception()
-    else:
-        await_all(spark, queries)
+                                   raw_transactions=args.raw_transactions, logs=logs)
+    try:
+        if args.once:
+            for q in queries:
+                q.awaitTermination()
+                if q.exception() is not None:
+                    raise q.exception()
+        else:
+            await_all(spark, queries)
+    finally:
+        for log in logs:
+            log.save(least=1)
     return queries
 
 

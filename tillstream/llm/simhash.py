@@ -189,12 +189,26 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """One document of each component: the one of the smallest id (of repeated rows, one)."""
+    """One document of each component: the one of the smallest id (of repeated rows, one).
+
+    Only ids and fingerprints are stored and compared; the documents move once,
+    to meet the ids kept. An id that several rows have is told apart by the
+    fingerprint of those rows, which is then taken again.
+    """
     fp = f"{RESERVED}fp"
-    marked = written(docs.withColumn(fp, fingerprint(F.col(text), shingle)), "fingerprinted")
-    of = fingerprint_components(marked, doc_id, fp, max_bits).withColumnRenamed("fp", fp)
-    first = F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(fp).alias("fp")))
-    kept = written(marked.select(doc_id, fp).join(of, fp)
-                   .groupBy("component").agg(first.alias("first")).select("first.id", "first.fp"), "kept")
-    return (marked.join(kept, marked[doc_id].eqNullSafe(kept["id"]) & (marked[fp] == kept["fp"]), "left_semi")
-            .dropDuplicates([doc_id, fp]).drop(fp))
+    prints = written(docs.select(F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
+    of = fingerprint_components(prints, "id", "fp", max_bits)
+    pairs = prints.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n"))
+    rows = pairs.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("rows"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fp").alias("fp")))
+    kept = pairs.join(of, "fp").groupBy("component").agg(first.alias("first")).select("first.id", "first.fp")
+    kept = written(kept.join(rows, F.col("id").eqNullSafe(F.col("of_id"))).select("id", "fp", "rows"), "kept")
+    alone = written(kept.where("rows = 1").select("id"), "kept_ids")
+    shared = written(kept.where("rows > 1"), "kept_of_repeated_ids")
+    out = docs.join(alone, docs[doc_id].eqNullSafe(alone["id"]), "left_semi")
+    if shared.isEmpty():
+        return out
+    again = docs.join(shared, docs[doc_id].eqNullSafe(shared["id"]), "left_semi").withColumn(
+        fp, fingerprint(F.col(text), shingle))
+    again = again.join(shared, again[doc_id].eqNullSafe(shared["id"]) & (again[fp] == shared["fp"]), "left_semi")
+    return out.unionByName(again.dropDuplicates([doc_id, fp]).drop(fp))

@@ -91,6 +91,15 @@ def test_clustered_vectors_need_few_partitions(spark):
     assert probes <= 4
 
 
+@pytest.mark.parametrize(("n", "distinct"), [(1000, 1), (1400, 2), (2700, 16), (2000, 60)])
+def test_large_tables_of_few_distinct_vectors(spark, n, distinct):
+    """Over PARTITION_ROWS rows, but fewer distinct vectors than the partitions that rows alone would ask for."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(distinct, 8)).astype(np.float32)[rng.integers(distinct, size=n)]
+    got = found(A.search(table(spark, x, np.arange(n)), lambda i: i % 20 == 0))
+    assert got == brute_neighbours(x.astype(np.float64), np.arange(n))
+
+
 def test_ties_copies_and_unusable_vectors(spark):
     rng = np.random.default_rng(4)
     x = np.repeat(rng.normal(size=(3, 8)).astype(np.float32), 100, axis=0)

@@ -123,6 +123,15 @@ class Router:
                     q -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
         return Router(w)
 
+    @staticmethod
+    def single(width: int) -> Router:
+        """Files everything under one partition."""
+        return Router([np.zeros((width, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)])
+
+    @property
+    def parts(self) -> int:
+        return len(self.layers[-1])
+
     def scores(self, x: np.ndarray) -> np.ndarray:
         w = self.layers
         return np.maximum(x.astype(np.float32) @ w[0] + w[1], 0) @ w[2] + w[3]
@@ -133,12 +142,19 @@ class Router:
 
 
 def fit_router(sample: np.ndarray, parts: int, recall: float = RECALL, seed: int = 7) -> tuple[Router, int]:
-    """(router, partitions to probe) from a sample of vectors, one per row."""
+    """(router, partitions to probe) from a sample of vectors, one per row.
+
+    Of ``parts`` partitions as many are made as the distinct vectors not held
+    out fill with ``NEIGHBOURS`` each; too few of them make one.
+    """
     x = np.unique(sample.astype(np.float32), axis=0)
     rng = np.random.default_rng(seed)
     x = x[rng.permutation(len(x))]
     held = max(1, int(len(x) * HELD_OUT))
     test, x = x[:held], x[held:]
+    parts = min(parts, len(x) // NEIGHBOURS)
+    if parts < 2:
+        return Router.single(sample.shape[1]), 1
     near = neighbour_graph(x, NEIGHBOURS)
     label = balanced_partition(x, near, parts, rng)
     shares = np.zeros((len(x), parts), dtype=np.float32)
@@ -212,8 +228,9 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
         grain = 1 << 30
         chosen = base.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < int(grain * min(1.0, sample_rows / n)))
         router, probes = fit_router(_stack(chosen.select("vec").toPandas()["vec"]), parts, recall)
+        parts = router.parts
     else:
-        router, probes = Router([np.zeros((width, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1)]), 1
+        router, probes = Router.single(width), 1
 
     @F.pandas_udf("int")
     def file_under(vectors: pd.Series) -> pd.Series:

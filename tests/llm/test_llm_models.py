@@ -83,6 +83,18 @@ def test_recall_with_learned_partitions(spark):
     assert found(A.search(df, lambda i: i % 20 == 0)) == truth  # one partition: exact
 
 
+def test_recall_on_rows_outside_the_sample(spark):
+    """A few tight clusters and vectors all around: a sample finds neighbours of the latter too easily."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(8, 16))
+    x = np.concatenate([centres[rng.integers(8, size=4800)] + 0.1 * rng.normal(size=(4800, 16)), rng.normal(size=(1200, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x, ids = x[rng.permutation(6000)].astype(np.float32), np.arange(6000)
+    truth = brute_neighbours(x.astype(np.float64), ids)
+    got = found(A.search(table(spark, x, ids), lambda i: i % 20 == 0, sample_rows=800, partition_rows=400))
+    assert np.mean([len(set(got[q]) & set(truth[q])) / 20 for q in truth]) >= 0.94
+
+
 def test_clustered_vectors_need_few_partitions(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(16, 24))

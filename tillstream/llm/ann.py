@@ -5,8 +5,9 @@ along the graph under a capacity), and a small classifier learns, for a
 vector, how its neighbours spread over the partitions. Every vector of the
 table is filed under its most probable partition; a query is routed to its
 several most probable ones and reranked there by exact inner products. How
-many partitions are probed is calibrated on held-out sample vectors to a
-recall target.
+many partitions are probed is calibrated to a recall target: on held-out
+sample vectors, and by rows that the router has not seen against all rows of
+the table; the larger number counts.
 
 Partitions are scored in blocks: a partition of more rows than a block is
 split by id, so copies of one vector (all in one partition) are spread over
@@ -37,6 +38,8 @@ from .common import written
 SAMPLE_ROWS, PARTITION_ROWS, MOST_PARTITIONS = 16_384, 640, 256
 #: Graph neighbours, share of the sample held out, recall aimed at on it.
 NEIGHBOURS, HELD_OUT, RECALL = 20, 0.1, 0.95
+#: Rows outside the sample (about) whose neighbours among all rows calibrate the search.
+CALIBRATION_ROWS = 1_024
 #: Rows and queries of a block, queries scored at once.
 BLOCK_ROWS, BLOCK_QUERIES, STEP = 8_192, 4_096, 256
 #: Most probable partitions whose k-th best score bounds what the others still return.
@@ -211,6 +214,42 @@ def best_in_block(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray
             yield own, row_ids[pick][order], exact[order]
 
 
+def probes_over_all(router: Router, filed: DataFrame, unseen: DataFrame, k: int, recall: float) -> int:
+    """Partitions to probe so that ``unseen`` rows (id, vec) find that share of their ``k`` nearest of all rows."""
+    asked = unseen.toPandas()
+    if asked.empty:
+        return 1
+    x, place = _stack(asked["vec"]).astype(np.float32), {key: i for i, key in enumerate(asked["id"])}
+    keys = asked["id"].to_numpy()
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = np.full((len(x), k), -np.inf, dtype=np.float32)
+        part = np.full((len(x), k), -1, dtype=np.int32)
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            rows, ids = _matrix(table, x.shape[1]).astype(np.float32), table.column("id").to_numpy()
+            own = table.column("part").to_numpy()
+            for a in range(0, len(rows), BLOCK_QUERIES):
+                s = x @ rows[a:a + BLOCK_QUERIES].T
+                for j in np.flatnonzero(np.isin(ids[a:a + BLOCK_QUERIES], keys)):
+                    s[place[ids[a + j]], j] = -np.inf
+                both = np.concatenate([score, s], axis=1)
+                best = np.argpartition(-both, k - 1, axis=1)[:, :k]
+                score = np.take_along_axis(both, best, axis=1)
+                part = np.where(best < k, np.take_along_axis(part, np.minimum(best, k - 1), axis=1),
+                                own[a + np.maximum(best - k, 0)])
+        asker, at = np.nonzero(score > -np.inf)
+        yield pa.record_batch({"asker": asker.astype(np.int32), "score": score[asker, at], "part": part[asker, at]})
+
+    best = Window.partitionBy("asker").orderBy(F.desc("score"), "part")
+    found = (filed.select("id", "vec", "part").mapInArrow(nearest, "asker int, score float, part int")
+             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+             .select("asker", "part").toPandas())  # at most k rows of each
+    when = np.argsort(router.ranked(x), axis=1)[found["asker"], found["part"]]
+    reached = np.cumsum(np.bincount(when, minlength=router.parts)) / max(1, len(when))
+    return int(np.argmax(reached >= recall)) + 1
+
+
 def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str = "vec_id",
            vector: str = "embedding", k: int = 20, recall: float = RECALL,
            partition_rows: int = PARTITION_ROWS, sample_rows: int = SAMPLE_ROWS,
@@ -226,7 +265,9 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
     width = len(base.first()["vec"]) if n else 0
     if parts > 1:
         grain = 1 << 30
-        chosen = base.where(F.pmod(F.xxhash64("id"), F.lit(grain)) < int(grain * min(1.0, sample_rows / n)))
+        drawn = F.pmod(F.xxhash64("id"), F.lit(grain))
+        chosen = base.where(drawn < int(grain * min(1 - HELD_OUT, sample_rows / n)))
+        unseen = base.where(drawn >= int(grain * (1 - min(HELD_OUT, CALIBRATION_ROWS / n))))
         router, probes = fit_router(_stack(chosen.select("vec").toPandas()["vec"]), parts, recall)
         parts = router.parts
     else:
@@ -238,6 +279,8 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
             else pd.Series([], dtype="int32")
 
     filed = written(base.withColumn("part", file_under("vec")), "filed")
+    if parts > 1:
+        probes = max(probes, probes_over_all(router, filed, unseen, k, recall))
     sizes = np.zeros(parts, dtype=np.int64)
     for r in filed.groupBy("part").count().collect():  # at most MOST_PARTITIONS rows
         sizes[r["part"]] = r["count"]

@@ -62,6 +62,20 @@ def test_shifted_passages_go(spark):
     assert sum(out[100 + i] for i in range(12)) > 0.7 * 20 * 12
 
 
+def test_rows_of_one_id_keep_their_own_lists(spark):
+    """Rows without an id, or that share one, hold only the repeated chunks of their own text."""
+    rnd = random.Random(3)
+    line = lambda: " ".join(f"w{rnd.randrange(10 ** 6)}" for _ in range(9))
+    texts = ["\n".join(line() for _ in range(8)) for _ in range(60)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(k, t + "\nend") for t in texts for k in (None, 700)]
+    rows += [(None, texts[0]), (None, texts[0]), (700, None), (None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("r"))
+    found = L.repeated_chunks(df, "doc_id", "text", L.WINDOW, L.DIVISOR)
+    assert max(len(r[L._FOUND]) for r in found.collect()) <= 9
+    out = L.dedup_lines(df).select("doc_id", "text", "n_lines", "n_removed_lines", "row").collect()
+    assert sorted((tuple(r)[:4] for r in out), key=str) == lines_by_sql(rows) and {r.row for r in out} == {"r"}
+
+
 def test_bytes_decide_not_hashes(spark, monkeypatch):
     monkeypatch.setattr(L, "_chunk_hash", lambda c: F.lit(1).cast("long"))
     rows = [(1, "aa bb\ncc dd\nee\nff"), (2, "gg hh\nii jj\nkk\nll"), (3, "mm nn\noo pp\nqq\nrr")]

@@ -10,7 +10,9 @@ chunks side by side) or with one long line; a short line alone stays.
 
 Only hashes are shuffled to find what repeats (partial counts combine the
 copies of a hot chunk map-side). Document texts move once, to meet their list
-of repeated chunks, and only repeated chunks' texts move to be compared.
+of repeated chunks, and only repeated chunks' texts move to be compared. Lists
+belong to rows (doc_id and a hash of the text; equal rows share theirs), so
+that of a null or repeated id is no longer than the row's own chunks.
 
 Defined results: a null text stays null and an empty one empty; rows sharing a
 doc_id count as one document, so what one of them keeps the others keep too; a
@@ -73,34 +75,46 @@ def _alone(chunk: Column, min_lines: int, long_line: int) -> Column:
     return (worded >= min_lines) | (F.length(chunk) >= long_line)
 
 
+def _row_hash(text: Column) -> Column:
+    """What tells rows of one doc_id apart."""
+    return F.xxhash64(text)
+
+
+def _of_row(docs: DataFrame, found: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """``docs`` with what was ``found`` for each row, by (id, row)."""
+    same = docs[doc_id].eqNullSafe(found["id"]) & (_row_hash(docs[text]) == found["row"])
+    return docs.join(found, same, "left").drop(found["id"], found["row"])
+
+
 def repeated_chunks(docs: DataFrame, doc_id: str, text: str, window: int, divisor: int) -> DataFrame:
-    """Per doc_id: its repeated chunks as ``found``, an array of (hash, first doc_id)."""
+    """Per row, by (id, row): its repeated chunks as ``found``, an array of (hash, first doc_id)."""
     chunk = F.col("chunk")
     seen = written(
-        docs.select(F.col(doc_id).alias("id"), F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
+        docs.select(F.col(doc_id).alias("id"), _row_hash(F.col(text)).alias("row"),
+                    F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
         .where(chunk.rlike(NOT_SPACE))
-        .select("id", _chunk_hash(chunk).alias("hash")), "chunk_hashes")
+        .select("id", "row", _chunk_hash(chunk).alias("hash")), "chunk_hashes")
     again = written(seen.groupBy("hash").agg(F.count("*").alias("n"), F.min("id").alias("first"))
                     .where("n > 1").select("hash", "first"), "repeated_hashes")
-    return (seen.join(again, "hash").groupBy("id")
+    return (seen.join(again, "hash").groupBy("id", "row")
             .agg(F.collect_set(F.struct("hash", "first")).alias(_FOUND)))
 
 
 def _unequal(marked: DataFrame, doc_id: str, text: str, window: int, divisor: int) -> DataFrame:
-    """Byte comparison: (id, hash) of repeated chunks that differ from the first occurrence."""
+    """Byte comparison: per row, hashes of repeated chunks that differ from the first occurrence."""
     hashes, firsts_of = F.col(_FOUND)["hash"], F.col(_FOUND)["first"]
     chunk = (marked.where(F.size(_FOUND) > 0)
-             .select(F.col(doc_id).alias("id"), _FOUND,
+             .select(F.col(doc_id).alias("id"), _row_hash(F.col(text)).alias("row"), _FOUND,
                      F.explode(chunks_of(F.col(text), window, divisor)).alias("chunk"))
-             .select("id", "chunk", _FOUND, F.array_position(hashes, _chunk_hash(F.col("chunk"))).alias("at"))
+             .select("id", "row", "chunk", _FOUND, F.array_position(hashes, _chunk_hash(F.col("chunk"))).alias("at"))
              .where("at > 0")
-             .select("id", "chunk", F.get(hashes, F.col("at").cast("int") - 1).alias("hash"),
+             .select("id", "row", "chunk", F.get(hashes, F.col("at").cast("int") - 1).alias("hash"),
                      F.get(firsts_of, F.col("at").cast("int") - 1).alias("first")))
     firsts = written(chunk.where(F.col("id") == F.col("first"))
                      .groupBy("hash").agg(F.min("chunk").alias("original")), "first_chunks")
     others = chunk.where(~F.col("id").eqNullSafe(F.col("first")))
     return (others.join(firsts, "hash").where(F.col("chunk") != F.col("original"))
-            .groupBy("id").agg(F.collect_set("hash").alias(_TOLD)))
+            .groupBy("id", "row").agg(F.collect_set("hash").alias(_TOLD)))
 
 
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = WINDOW,
@@ -108,12 +122,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", win
     """``docs`` with ``text`` less its repeated chunks, and ``n_lines``,
     ``n_removed_lines`` (lines of the text given, and those removed)."""
     found = repeated_chunks(docs, doc_id, text, window, divisor)
-    marked = written(docs.join(found, docs[doc_id].eqNullSafe(found["id"]), "left").drop(found["id"]), "marked")
+    marked = written(_of_row(docs, found, doc_id, text), "marked")
     unequal = written(_unequal(marked, doc_id, text, window, divisor), "unequal")
     if unequal.isEmpty():  # no hash was shared by different texts
         told = marked.withColumn(_TOLD, F.array().cast("array<bigint>"))
     else:
-        told = marked.join(unequal, marked[doc_id].eqNullSafe(unequal["id"]), "left").drop(unequal["id"])
+        told = _of_row(marked, unequal, doc_id, text)
 
     def repeated(chunk: Column, place: Column, chunks: Column) -> Column:
         def judged(at: Column) -> Column:

@@ -9,7 +9,7 @@ from tillstream.llm.queries import ORACLE, QUERIES
 
 
 def test_registered():
-    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 11)] == [1] * 10
+    assert [sum(q.startswith(f"op{n}_") for q in QUERIES) for n in range(1, 14)] == [1] * 13
     assert set(QUERIES) | {"pipeline"} <= set(E.queries())
     assert set(ORACLE) <= set(E.oracle_sql())
 

@@ -35,7 +35,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "llm", name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._ts_path = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``written`` that no frame still in use reads.
+
+    For what a function has itself superseded; what its result reads must stay.
+    """
+    for df in tables:
+        spark, path = df.sparkSession, df._ts_path
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, language_id, line_dedup, mixing, packing, quality_rules, simhash, token_count, url_filter, warc
+from . import (ann, conversation_repair, language_id, line_dedup, minhash, mixing, packing, quality_rules, simhash,
+               token_count, url_filter, warc, whitening)
 from .common import sql_list, table, written
 
 def token_file(name: str = "byte_bpe_50k.json") -> str:
@@ -251,6 +252,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "counted.*"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: 4-word shingles, similarity 0.8."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest audit and digest of the repaired rows of every damaged conversation."""
+    rows = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    audits, repaired = conversation_repair.repair(conversation_repair.damage(rows))
+    return conversation_repair.of_every(rows, audits, conversation_repair.digests(repaired))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whitened components of every usable vector, fitted on all of them."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_warc": op2_warc,
@@ -262,6 +280,9 @@ QUERIES = {
     "op8_ann_search": op8_ann_search,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_minhash_near_dedup": op11_minhash_near_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 ORACLE = {

@@ -32,7 +32,7 @@ def line_rows():
         rows.append((i, "\n".join(own[:at] + (passage if i % 3 == 0 else []) + own[at:])))
     rows += [(50, None), (51, ""), (52, "\n\n\n"), (53, "\n".join(passage * 3)), (54, rows[0][1]), (0, rows[0][1]),
              (None, rows[3][1]), (None, "only\nhere\nonly\nhere\nonly\nhere"), (55, "x" * 400), (56, "x" * 400),
-             (57, "x" * 399), (58, "\n".join(passage + ["tail"] * 3000)), (0, "another\ntext\nof the\nsame id")]
+             (57, "x" * 399), (59, "w " * 50), (60, "own line\n" + "w " * 50 + "\nend"), (61, "v " * 49), (62, "a\n" + "v " * 49 + "\nb"), (58, "\n".join(passage + ["tail"] * 3000)), (0, "another\ntext\nof the\nsame id")]
     return rows
 
 
@@ -62,6 +62,26 @@ def test_shifted_passages_go(spark):
     assert sum(out[100 + i] for i in range(12)) > 0.7 * 20 * 12
 
 
+@pytest.mark.parametrize("words", [12, 30, 60])
+@pytest.mark.parametrize("n_lines", [1, 2, 3, 4, 5])
+def test_short_passages_go_whole(spark, n_lines, words):
+    """Passages of 1 to 5 lines and over 50 words between differing lines are found wherever they stand."""
+    rnd = random.Random(n_lines * 100 + words)
+    word = lambda: f"w{rnd.randrange(10 ** 6)}"
+    line = lambda n: " ".join(word() for _ in range(n))
+    around = lambda: [line(rnd.choice([2, 5, 9, 40])) for _ in range(rnd.randrange(4))]
+    passages = [[line(words) for _ in range(n_lines)] for _ in range(20)]
+    if n_lines * words <= 50:
+        pytest.skip("a passage of over 50 words is meant")
+    rows = [(k * 100 + i, [around(), p, around()]) for i, p in enumerate(passages) for k in (0, 1)]
+    df = spark.createDataFrame([(i, "\n".join(sum(parts, []))) for i, parts in rows], "doc_id long, text string")
+    left = {r.doc_id: (r.text or "").split("\n") for r in L.dedup_lines(df).collect()}
+    whole = sum(not set(parts[1]) & set(left[i]) for i, parts in rows if i >= 100)
+    assert whole >= 0.9 * len(passages)
+    assert all(set(parts[0] + parts[2]) <= set(left[i]) for i, parts in rows)  # what is their own stays
+    assert all("\n".join(left[i]) == "\n".join(sum(parts, [])) for i, parts in rows if i < 100)
+
+
 def test_rows_of_one_id_keep_their_own_lists(spark):
     """Rows without an id, or that share one, hold only the repeated chunks of their own text."""
     rnd = random.Random(3)
@@ -70,7 +90,7 @@ def test_rows_of_one_id_keep_their_own_lists(spark):
     rows = [(i, t) for i, t in enumerate(texts)] + [(k, t + "\nend") for t in texts for k in (None, 700)]
     rows += [(None, texts[0]), (None, texts[0]), (700, None), (None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("row", F.lit("r"))
-    found = L.repeated_chunks(df, "doc_id", "text", L.WINDOW, L.DIVISOR)
+    found = L.repeated_chunks(df, "doc_id", "text", L.chunks_of(F.col("text")))
     assert max(len(r[L._FOUND]) for r in found.collect()) <= 9
     out = L.dedup_lines(df).select("doc_id", "text", "n_lines", "n_removed_lines", "row").collect()
     assert sorted((tuple(r)[:4] for r in out), key=str) == lines_by_sql(rows) and {r.row for r in out} == {"r"}

@@ -140,17 +140,20 @@ WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {source}),
 lines AS (
   SELECT rid, doc_id, generate_subscripts(ls, 1) AS i, unnest(ls) AS line
   FROM (SELECT rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM d)),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM lines),
+hashed AS (
+  SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words FROM lines),
 cut AS (
-  SELECT rid, doc_id, i, line,
-         CASE WHEN i >= {w} AND ({rolled}) % {line_dedup.PRIME} % {d} = 0 THEN 1 ELSE 0 END AS last
+  SELECT rid, doc_id, i, line, n_words,
+         CASE WHEN (i >= {w} AND ({rolled}) % {line_dedup.PRIME} % {d} = 0) OR n_words >= {line_dedup.OWN_WORDS}
+                   OR coalesce(lead(n_words) OVER lines >= {line_dedup.OWN_WORDS}, FALSE) THEN 1 ELSE 0 END AS last
   FROM hashed WINDOW lines AS (PARTITION BY rid ORDER BY i)),
 numbered AS (
   SELECT *, coalesce(sum(last) OVER (PARTITION BY rid ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
   FROM cut),
 chunks AS (
   SELECT rid, doc_id, chunk, string_agg(line, chr(10) ORDER BY i) AS body, count(*) AS n,
-         count(*) FILTER (WHERE regexp_matches(line, '[^ 	-
+         sum(n_words) AS n_words, count(*) FILTER (WHERE regexp_matches(line, '[^ 	-
 ]')) AS worded
   FROM numbered GROUP BY rid, doc_id, chunk),
 firsts AS (
@@ -163,7 +166,7 @@ flagged AS (
 kept AS (
   SELECT rid, sum(n) AS n_lines, coalesce(sum(n) FILTER (WHERE gone), 0) AS n_removed_lines,
          coalesce(string_agg(body, chr(10) ORDER BY chunk) FILTER (WHERE NOT gone), '') AS body
-  FROM (SELECT *, flag AND (worded >= {line_dedup.MIN_LINES} OR length(body) >= {line_dedup.LONG_LINE}
+  FROM (SELECT *, flag AND (worded >= {line_dedup.MIN_LINES} OR n_words >= {line_dedup.MIN_WORDS}
                             OR coalesce(lag(flag) OVER beside, FALSE) OR coalesce(lead(flag) OVER beside, FALSE)) AS gone
         FROM flagged WINDOW beside AS (PARTITION BY rid ORDER BY chunk))
   GROUP BY rid)

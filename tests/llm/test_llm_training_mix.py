@@ -136,6 +136,20 @@ def test_mix_meets_targets(spark, bucket_rows):
     assert M.plan(df.limit(0)).count() == 0
 
 
+def test_rows_without_an_id_are_spread(spark):
+    """A third of all rows in one source and without an id: no bucket holds much more than it should."""
+    rows = [(None, "hot", 5, f"t{i}") for i in range(3000)] + [(i, f"s{i % 40}", 5, f"u{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long, text_md5 string")
+    bits = 6  # 3000 rows in buckets of 50
+    sizes = Counter(r[0] for r in df.where("source = 'hot'").select(
+        M._bucket(M.order_key("doc_id", "text_md5"), F.lit(bits))).collect())
+    assert len(sizes) == 2 ** bits and max(sizes.values()) < 2 * 3000 / 2 ** bits + 20
+    out = M.by_position(M.plan(df, apart="text_md5", bucket_rows=50))
+    rows = out.collect()
+    told = [r.position for r in rows if r.position is not None]
+    assert len(rows) == 9000 and told == sorted(told) and all(r.position is None for r in rows[len(told):])
+
+
 def test_positions_follow_the_schedules(spark):
     """At every time the share of a source's demand that is placed is the integral of its schedule."""
     df = spark.createDataFrame([(i, s, 1) for s in "abc" for i in range(1000)], "doc_id long, source string, size long")

@@ -8,13 +8,16 @@ time t; inverting it at a document's cumulative place gives its position in
 training, and documents are range-sorted by position.
 
 Cumulative places are two-level: totals per (source, hash bucket) are prefixed
-per source, then each bucket is summed within itself. A hot source is spread
-over as many buckets as its rows need, and no source is gathered in one task.
+per source, then each bucket is summed within itself. Every source has as many
+buckets as its own rows need (a power of two, without a limit), and the hash is
+of the id and of what tells rows of one id apart: neither a hot source nor rows
+without an id are gathered in one task.
 
 Defined results: a null text has size 0 and is never taken; a null source is
 a source of its own, last in order; repeated rows are documents of their own
-(equal rows are interchangeable); null ids are ordered as the text 'null'; an
-empty table gives an empty result; clashing input columns are replaced.
+(equal rows are interchangeable); a null id or ``apart`` counts as the text
+'null'; very long texts are counted whole; an empty table gives an empty result;
+clashing input columns are replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import RESERVED, let, words_of, written
+from .common import RESERVED, discard, let, words_of, written
 
 #: Times a source's words, or a document, may be used.
 MOST_REPEATS = 3
@@ -32,7 +35,7 @@ WEIGHTS = (1, 2, 3)
 #: early, heavy ones late; each is scaled to integrate to 1.
 SCHEDULES = {1: ((0.0, 1.5), (1.0, 0.5)), 2: ((0.0, 1.0), (1.0, 1.0)), 3: ((0.0, 0.5), (0.5, 1.0), (1.0, 1.5))}
 #: Rows a hash bucket holds on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 _ID, _KEY, _BUCKET = f"{RESERVED}source", f"{RESERVED}key", f"{RESERVED}bucket"
 
@@ -104,32 +107,46 @@ def targets(sources: DataFrame, weights=WEIGHTS, repeats: int = MOST_REPEATS) ->
     return weighed.withColumn("target", target).withColumn("need", F.floor(F.col("target") + 0.5).cast("long"))
 
 
+def order_key(doc_id: str, apart: str | None) -> Column:
+    """32 hex digits by which a source's rows are ordered."""
+    told = [F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in (doc_id, apart) if c]
+    return F.md5(F.concat_ws(":", *told).cast("binary"))
+
+
+def _bucket(key: Column, bits: Column) -> Column:
+    """The first ``bits`` (at most 32) bits of a hex key."""
+    return F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("long") / F.pow(F.lit(2), 32 - bits)).cast("long")
+
+
 def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str = "size",
-         weights=WEIGHTS, repeats: int = MOST_REPEATS, schedules=SCHEDULES,
+         apart: str | None = None, weights=WEIGHTS, repeats: int = MOST_REPEATS, schedules=SCHEDULES,
          bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``docs`` with ``source_size``, ``target``, ``taken`` (words, repeats
     counted) and ``placements``: an array of (epoch, words, position), position
     being the time in [0, 1] at which that copy is trained on.
 
-    ``size``: a column with each document's number of words. The copy that
-    crosses its source's target contributes only the words up to it.
+    ``size``: a column with each document's number of words. ``apart``: a column
+    that tells rows of one id apart (a hash of the text). The copy that crosses
+    its source's target contributes only the words up to it.
     """
-    order = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("null")).cast("binary"))
-    stats = written(docs.select(F.col(source).alias("source"), F.substring(order, 1, 4).alias("key"),
+    order = order_key(doc_id, apart)
+    stats = written(docs.select(F.col(source).alias("source"), F.substring(order, 1, 8).alias("key"),
                                 F.col(size).alias("size")), "sizes")
-    rows = stats.count()
-    bits = min(16, max(0, (rows // bucket_rows).bit_length()))
-    bucket = lambda key: F.shiftright(F.conv(F.substring(key, 1, 4), 16, 10).cast("int"), 16 - bits)
-    per_bucket = written(stats.groupBy("source", bucket(F.col("key")).alias("bucket"))
+    bits = F.greatest(F.lit(0), F.least(F.lit(32), F.ceil(F.log2(F.count(F.lit(1)) / bucket_rows)))).cast("int")
+    widths = written(stats.groupBy(F.col("source").alias("of")).agg(bits.alias("bits")), "bucket_widths")
+    per_bucket = written(stats.join(widths, F.col("source").eqNullSafe(F.col("of")))
+                         .groupBy("source", _bucket(F.col("key"), F.col("bits")).alias("bucket"))
                          .agg(F.sum("size").alias("size")), "bucket_sizes")
+    discard(stats)
     aim = targets(per_bucket.groupBy("source").agg(F.sum("size").alias("source_size")), weights, repeats)
     before = F.coalesce(F.sum("size").over(
         Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = per_bucket.select("source", "bucket", before.alias("before"))
-    starts = written(starts.join(aim.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
-                     .select(F.col("source").alias(_ID), F.col("bucket").alias(f"{_BUCKET}_of"), "before",
-                             *[F.col(c).alias(f"{RESERVED}{c}") for c in ("source_size", "weight", "target", "need")]),
-                     "bucket_starts").withColumnRenamed("before", f"{RESERVED}before")
+    starts = written(per_bucket.select(F.col("source").alias(f"{_ID}_in"), F.col("bucket").alias(f"{_BUCKET}_of"),
+                                       before.alias(f"{RESERVED}before")), "bucket_starts")
+    aims = written(aim.join(widths, F.col("source").eqNullSafe(F.col("of"))).select(
+        F.col("source").alias(_ID), *[F.col(c).alias(f"{RESERVED}{c}") for c in (
+            "bits", "source_size", "weight", "target", "need")]), "targets")
+    discard(per_bucket, widths)
     within = Window.partitionBy(source, _BUCKET).orderBy(_KEY, doc_id, size)
     need, whole, words = (F.col(f"{RESERVED}{c}") for c in ("need", "source_size", "size"))
     start = F.col(f"{RESERVED}before") + F.coalesce(F.sum(size).over(
@@ -143,8 +160,9 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
                         time_of(share, F.col(f"{RESERVED}weight"), schedules).alias("position"))
 
     return (
-        docs.withColumn(_KEY, order).withColumn(_BUCKET, bucket(F.col(_KEY)))
-        .join(starts, F.col(source).eqNullSafe(F.col(_ID)) & (F.col(_BUCKET) == F.col(f"{_BUCKET}_of")))
+        docs.withColumn(_KEY, order).join(aims, F.col(source).eqNullSafe(F.col(_ID)))
+        .withColumn(_BUCKET, _bucket(F.col(_KEY), F.col(f"{RESERVED}bits")))
+        .join(starts, F.col(source).eqNullSafe(F.col(f"{_ID}_in")) & (F.col(_BUCKET) == F.col(f"{_BUCKET}_of")))
         .withColumn(f"{RESERVED}start", start)
         .withColumn(f"{RESERVED}size", F.col(size))
         .withColumn("placements", F.filter(
@@ -155,8 +173,8 @@ def plan(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size:
             "source_size": F.col(f"{RESERVED}source_size").cast("long"),
             "target": F.col(f"{RESERVED}target"),
         })
-        .drop(_KEY, _BUCKET, f"{_BUCKET}_of", _ID,
-              *[f"{RESERVED}{c}" for c in ("before", "start", "size", "source_size", "weight", "target", "need")])
+        .drop(_KEY, _BUCKET, f"{_BUCKET}_of", _ID, f"{_ID}_in",
+              *[f"{RESERVED}{c}" for c in ("before", "start", "size", "bits", "source_size", "weight", "target", "need")])
     )
 
 
@@ -164,16 +182,24 @@ def n_words(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def by_position(planned: DataFrame, doc_id: str = "doc_id") -> DataFrame:
+    """Planned documents range-sorted by their first ``position``, those not taken last."""
+    out = planned.withColumn("position", F.get(F.col("placements")["position"], 0))
+    order = [F.col("position").asc_nulls_last(), F.col(doc_id)]
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: str = "text", **options) -> DataFrame:
     """The mixed corpus: one row per copy taken, range-sorted by training position.
 
     Copies are whole: of the copy that crosses its source's target at least
     half must be wanted. Columns are those of ``docs``.
     """
-    size, copy = f"{RESERVED}words", f"{RESERVED}copy"
+    size, copy, apart = f"{RESERVED}words", f"{RESERVED}copy", f"{RESERVED}apart"
     names = {c: f"{RESERVED}in_{i}" for i, c in enumerate(docs.columns)}
     inner = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in names.items()])
-    planned = plan(inner.withColumn(size, n_words(F.col(names[text]))), names[doc_id], names[source], size, **options)
+    sized = inner.withColumns({size: n_words(F.col(names[text])), apart: F.md5(F.col(names[text]).cast("binary"))})
+    planned = plan(sized, names[doc_id], names[source], size, apart, **options)
     copies = (planned.select(*names.values(), size, F.explode("placements").alias(copy))
               .where(2 * F.col(f"{copy}.words") >= F.col(size)))
     order = [F.col(f"{copy}.position"), F.col(names[doc_id]), F.col(f"{copy}.epoch")]

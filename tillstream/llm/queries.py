@@ -184,9 +184,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of every document, and when it first does."""
     docs = table(spark, sf_dir, "documents", "doc_id", "source", "text")
-    sized = written(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size")), "sized")
-    return mixing.plan(sized).select("doc_id", "size", "source_size", "target", "taken",
-                                     F.get(F.col("placements.position"), 0).alias("position"))
+    sized = written(docs.select("doc_id", "source", mixing.n_words(F.col("text")).alias("size"),
+                                F.md5(F.col("text").cast("binary")).alias("text_md5")), "sized")
+    planned = written(mixing.plan(sized, apart="text_md5"), "planned")
+    return mixing.by_position(planned).select("doc_id", "size", "source_size", "target", "taken", "position")
 
 
 def _time_sql(share: str, weight: str) -> str:
@@ -204,7 +205,7 @@ def _op6_sql() -> str:
     n, r = len(mixing.WEIGHTS), mixing.MOST_REPEATS
     taken = " + ".join(f"greatest(0, least(size, need - ({e} * source_size + start)))" for e in range(r))
     return f"""
-WITH RECURSIVE sized AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size FROM documents),
+WITH RECURSIVE sized AS (SELECT doc_id, source, len({WORDS})::BIGINT AS size, coalesce(md5(text), 'null') AS apart FROM documents),
 sources AS (
   SELECT source, source_size, [{', '.join(map(str, mixing.WEIGHTS))}][((k - 1) % {n}) + 1] AS weight
   FROM (SELECT source, sum(size)::BIGINT AS source_size,
@@ -222,7 +223,7 @@ aims AS (
   FROM sources),
 placed AS (
   SELECT s.*, a.source_size, a.weight, a.target, floor(a.target + 0.5)::BIGINT AS need,
-         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, 'null')), s.doc_id, s.size
+         coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY md5(coalesce(s.doc_id::VARCHAR, 'null') || ':' || s.apart), s.doc_id, s.size
                                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
   FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source),
 shares AS (SELECT *, ({taken})::BIGINT AS taken, start / nullif(need, 0) AS share FROM placed)

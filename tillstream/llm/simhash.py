@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RESERVED, written
+from .common import RESERVED, discard, written
 
 SEED = 42
 #: Cells with more nodes than this are split by the quarters of the other half.
@@ -154,9 +154,11 @@ def components(edges: DataFrame) -> DataFrame:
                   .groupBy("node").agg(F.min("low").alias("component")))
         hooked = written(hooked, "hooked")
         up = hooked.select(F.col("node").alias("p"), F.col("component").alias("pc"))
-        labels = written(hooked.join(up, hooked.component == up.p)
-                         .select("node", F.least("component", "pc").alias("component")), "labels")
+        old, labels = labels, written(hooked.join(up, hooked.component == up.p)
+                                      .select("node", F.least("component", "pc").alias("component")), "labels")
+        discard(old, hooked)
         before, now = now, total(labels)
+    discard(both)
     return labels
 
 
@@ -168,8 +170,10 @@ def fingerprint_components(prints: DataFrame, doc_id: str, fp: str, max_bits: in
     label = components(edges).select(F.col("node").alias("fp"), "component")
     labelled = nodes.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = labelled.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    return written(labelled.join(smallest, "component").select("fp", "component", "component_id"),
-                   "fingerprint_components")
+    out = written(labelled.join(smallest, "component").select("fp", "component", "component_id"),
+                  "fingerprint_components")
+    discard(nodes, edges)
+    return out
 
 
 def hexadecimal(fp: Column) -> Column:
@@ -191,21 +195,27 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
              shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One document of each component: the one of the smallest id (of repeated rows, one).
 
-    Only ids and fingerprints are stored and compared; the documents move once,
-    to meet the ids kept. An id that several rows have is told apart by the
-    fingerprint of those rows, which is then taken again.
+    Only ids and fingerprints are stored and compared; of the documents, those that go are
+    named (fewer than those that stay), so that the texts move at most once. Ids that several
+    rows have are told apart by the fingerprint of those rows, which is then taken again.
     """
     fp = f"{RESERVED}fp"
     prints = written(docs.select(F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
     of = fingerprint_components(prints, "id", "fp", max_bits)
     pairs = prints.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n"))
-    rows = pairs.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("rows"))
+    placed = written(pairs.join(of, "fp").select("id", "fp", "n", "component"), "placed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fp").alias("fp")))
-    kept = pairs.join(of, "fp").groupBy("component").agg(first.alias("first")).select("first.id", "first.fp")
-    kept = written(kept.join(rows, F.col("id").eqNullSafe(F.col("of_id"))).select("id", "fp", "rows"), "kept")
-    alone = written(kept.where("rows = 1").select("id"), "kept_ids")
-    shared = written(kept.where("rows > 1"), "kept_of_repeated_ids")
-    out = docs.join(alone, docs[doc_id].eqNullSafe(alone["id"]), "left_semi")
+    kept = placed.groupBy(F.col("component").alias("c")).agg(first.alias("first"))
+    rows = placed.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("rows")).where("rows > 1")
+    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("fp") == F.col("first.fp"))
+    judged = written(placed.join(kept, F.col("component") == F.col("c"))
+                     .join(rows, F.col("id").eqNullSafe(F.col("of_id")), "left")
+                     .select("id", "fp", stays.alias("stays"), F.col("rows").isNotNull().alias("shared"))
+                     .where("shared or not stays"), "judged")
+    discard(prints, of, placed)
+    gone = judged.select("id").distinct()
+    out = docs.join(gone, docs[doc_id].eqNullSafe(gone["id"]), "left_anti")
+    shared = judged.where("shared and stays").select("id", "fp")
     if shared.isEmpty():
         return out
     again = docs.join(shared, docs[doc_id].eqNullSafe(shared["id"]), "left_semi").withColumn(

@@ -112,6 +112,22 @@ def test_groups_against_all_pairs(spark, crowded):
     assert found(M.near_duplicates(df, crowded=crowded)) == fix
 
 
+@pytest.mark.parametrize("percent", [50, 80, 95])
+def test_rarest_shingles_meet(spark, percent):
+    """Every pair of different labels that reaches the similarity shares one of its rarest shingles."""
+    rnd = random.Random(percent)
+    rows = [(k, t, k % 7) for k, t in family(rnd, 0, 60, 60, 14) + family(rnd, 100, 40, 25, 6)]
+    rows += [(200 + i, " ".join(t.split()[:rnd.randrange(5, 60)]), i % 5) for i, (_, t, _) in enumerate(rows[:40])]
+    unique = {frozenset(shingle_set(t)): (k, t, label) for k, t, label in rows}
+    sets = {k: (s, t, label) for s, (k, t, label) in unique.items()}
+    df = spark.createDataFrame([(k, len(s), label, t.encode()) for k, (s, t, label) in sets.items()],
+                               "nid long, n long, label int, text binary")
+    got = {(r.a, r.b) for r in M.prefix_pairs(df, 4, percent).collect()}
+    want = {(a, b) for a in sets for b in sets if a < b and sets[a][2] != sets[b][2]
+            and 100 * len(sets[a][0] & sets[b][0]) >= percent * len(sets[a][0] | sets[b][0])}
+    assert want and want <= got and all(sets[a][2] != sets[b][2] for a, b in got)
+
+
 def test_query_against_all_pairs(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF001}/documents.parquet").collect()]
     want = Counter()

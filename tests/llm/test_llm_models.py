@@ -112,6 +112,32 @@ def test_large_tables_of_few_distinct_vectors(spark, n, distinct):
     assert got == brute_neighbours(x.astype(np.float64), np.arange(n))
 
 
+def test_repeated_ids_missing_ids_and_lengths(spark):
+    """Every row is a candidate: those that repeat an id or have none, and each length among its own."""
+    one = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (1, [5.0, 5.0])], "vec_id long, embedding array<float>")
+    got = A.search(one, lambda i: i % 20 == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(1, 5.0), (1, 0.5)]
+    rng = np.random.default_rng(9)
+    data = []
+    for width in (3, 6):
+        for _ in range(150):
+            data.append((None if rng.random() < 0.2 else int(rng.integers(60)), [float(np.float32(c)) for c in rng.normal(size=width)]))
+    data += data[:40] + [(7, [])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<float>").withColumns({"row": F.lit(1), "score": F.lit("s")})
+    got = {}
+    for r in A.search(df, lambda i: i % 20 == 0, block_rows=30, block_queries=4).collect():
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, round(r.score, 9)))
+    want = {}
+    for i, (key, v) in enumerate(data):
+        if key is None or key % 20:
+            continue
+        others = [(k, float((np.array(o) * np.array(v)).sum())) for j, (k, o) in enumerate(data) if j != i and len(o) == len(v)]
+        others.sort(key=lambda o: (-o[1], o[0] is None, o[0] or 0))
+        want.setdefault(key, []).extend((n + 1, k, round(s, 9)) for n, (k, s) in enumerate(others[:20]))
+    order = lambda rows: sorted(rows, key=str)
+    assert {q: order(v) for q, v in got.items()} == {q: order(v) for q, v in want.items()}
+
+
 def test_ties_copies_and_unusable_vectors(spark):
     rng = np.random.default_rng(4)
     x = np.repeat(rng.normal(size=(3, 8)).astype(np.float32), 100, axis=0)

@@ -71,11 +71,13 @@ def test_packing_round_trip(spark, exact):
     assert P.pack(df.limit(0), token_file()).count() == 0
 
 
-def test_units_give_the_tokenizers_ids(exact):
+def test_pieces_give_the_tokenizers_ids(exact):
     rnd = random.Random(8)
-    units = P.UnitTokenizer(token_file(), cache=50)
+    units = P.PieceTokenizer(token_file(), cache=50)
     pieces = ["word", "Ünï", " ", "  ", "\n", "\t", ".", ",", "'s", "12", "<|endoftext|>", "日", " ", " ", "é"]
     texts = ODD + ["".join(rnd.choice(pieces) for _ in range(rnd.randrange(1, 12))) for _ in range(1500)]
+    texts += ["".join(chr(c) for c in range(a, a + 7)) + " " + chr(a) * 2 for a in range(0, 0x2C0)]
+    texts += ["".join(chr(rnd.choice([rnd.randrange(0x250), rnd.randrange(0xD000), 32, 10])) for _ in range(9)) for _ in range(3000)]
     for t in texts:
         assert units.encode(t).tolist() == exact.encode(t, add_special_tokens=False).ids, t[:80]
 

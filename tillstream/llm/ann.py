@@ -14,11 +14,16 @@ split by id, so copies of one vector (all in one partition) are spread over
 tasks, and its queries are split likewise. A task holds one block of each. Only
 each block's best ``k`` per query leave it.
 
-Defined results: vectors that are null, zero, or hold null or non-finite
-components take no part, nor do null ids and vectors of another length than
-the most frequent one; rows repeating an id are one vector (the smallest in
-array order); ties go to the smaller id; a table with fewer candidates than
-``k`` returns all of them; an empty table gives an empty result.
+Every row takes part on its own: rows that repeat an id, and rows without one,
+are candidates like any other, and only a query's own row is left out of its
+answer. Vectors of different lengths have no inner product; each length is an
+index of its own.
+
+Defined results: vectors that are null, empty, zero, or hold null or non-finite
+components take no part; a row without an id is never a query; of rows that
+repeat a query's id each has its own answer; ties go to the smaller id (null
+last); a query with fewer candidates than ``k`` gets all of them; an empty table
+gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -175,14 +180,10 @@ def fit_router(sample: np.ndarray, parts: int, recall: float = RECALL, seed: int
 
 
 def usable(rows: DataFrame, vec_id: str, vector: str) -> DataFrame:
-    """(id, vec): the vectors that take part, one row an id."""
+    """(row, id, vec): the vectors that take part, with a number for each row (fixed once written)."""
     fine = F.forall("vec", lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
-    found = (rows.select(F.col(vec_id).alias("id"), F.col(vector).alias("vec"))
-             .where(F.col("id").isNotNull() & fine & F.exists("vec", lambda x: x != 0)))
-    length = (found.groupBy(F.size("vec").alias("n")).count()
-              .orderBy(F.desc("count"), F.desc("n")).limit(1).collect())
-    return (found.where(F.size("vec") == (length[0]["n"] if length else 0))
-            .groupBy("id").agg(F.min("vec").alias("vec")))
+    return (rows.select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).alias("id"), F.col(vector).alias("vec"))
+            .where(fine & F.exists("vec", lambda x: x != 0)))
 
 
 def _stack(vectors: pd.Series) -> np.ndarray:
@@ -195,39 +196,39 @@ def _matrix(table: pa.Table, width: int) -> np.ndarray:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, width)
 
 
-def best_in_block(queries: np.ndarray, query_ids: np.ndarray, bounds: np.ndarray, rows: np.ndarray,
-                  row_ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(query id, ids, scores) of each query's best ``k`` rows that reach its bound, ties to the smaller id.
+def best_in_block(queries: np.ndarray, own_rows: np.ndarray, bounds: np.ndarray, vectors: np.ndarray,
+                  row_numbers: np.ndarray, id_ranks: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(places, scores) of each query's best ``k`` of ``vectors`` that reach its bound, ties to the smaller id.
 
     A matrix product preselects; whatever lies within rounding of the k-th best
     is scored again in one fixed order of summation, so equal vectors tie.
     """
     for a in range(0, len(queries), STEP):
-        rough = queries[a:a + STEP] @ rows.T
-        for q, own, bound, score in zip(queries[a:a + STEP], query_ids[a:a + STEP], bounds[a:a + STEP], rough):
-            score[row_ids == own] = -np.inf
+        rough = queries[a:a + STEP] @ vectors.T
+        for q, own, bound, score in zip(queries[a:a + STEP], own_rows[a:a + STEP], bounds[a:a + STEP], rough):
+            score[row_numbers == own] = -np.inf
             limit = max(bound, np.partition(score, -k)[-k] if len(score) > k else -np.inf)
             pick = np.flatnonzero((score >= limit - 1e-9 * max(1.0, abs(limit))) & (score > -np.inf)) \
                 if limit > -np.inf else np.flatnonzero(score > -np.inf)
-            exact = (rows[pick] * q).sum(axis=1)
-            order = np.lexsort((row_ids[pick], -exact))[:k]
-            yield own, row_ids[pick][order], exact[order]
+            exact = (vectors[pick] * q).sum(axis=1)
+            order = np.lexsort((row_numbers[pick], id_ranks[pick], -exact))[:k]
+            yield pick[order], exact[order]
 
 
 def probes_over_all(router: Router, filed: DataFrame, unseen: DataFrame, k: int, recall: float) -> int:
-    """Partitions to probe so that ``unseen`` rows (id, vec) find that share of their ``k`` nearest of all rows."""
+    """Partitions to probe so that ``unseen`` rows (row, vec) find that share of their ``k`` nearest of all rows."""
     asked = unseen.toPandas()
     if asked.empty:
         return 1
-    x, place = _stack(asked["vec"]).astype(np.float32), {key: i for i, key in enumerate(asked["id"])}
-    keys = asked["id"].to_numpy()
+    x, place = _stack(asked["vec"]).astype(np.float32), {key: i for i, key in enumerate(asked["row"])}
+    keys = asked["row"].to_numpy()
 
     def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = np.full((len(x), k), -np.inf, dtype=np.float32)
         part = np.full((len(x), k), -1, dtype=np.int32)
         for batch in batches:
             table = pa.Table.from_batches([batch])
-            rows, ids = _matrix(table, x.shape[1]).astype(np.float32), table.column("id").to_numpy()
+            rows, ids = _matrix(table, x.shape[1]).astype(np.float32), table.column("row").to_numpy()
             own = table.column("part").to_numpy()
             for a in range(0, len(rows), BLOCK_QUERIES):
                 s = x @ rows[a:a + BLOCK_QUERIES].T
@@ -242,7 +243,7 @@ def probes_over_all(router: Router, filed: DataFrame, unseen: DataFrame, k: int,
         yield pa.record_batch({"asker": asker.astype(np.int32), "score": score[asker, at], "part": part[asker, at]})
 
     best = Window.partitionBy("asker").orderBy(F.desc("score"), "part")
-    found = (filed.select("id", "vec", "part").mapInArrow(nearest, "asker int, score float, part int")
+    found = (filed.select("row", "vec", "part").mapInArrow(nearest, "asker int, score float, part int")
              .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
              .select("asker", "part").toPandas())  # at most k rows of each
     when = np.argsort(router.ranked(x), axis=1)[found["asker"], found["part"]]
@@ -260,12 +261,23 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
     """
     kind = rows.schema[vec_id].dataType.simpleString()
     base = written(usable(rows, vec_id, vector), "vectors")
-    n = base.count()
+    out = None
+    for r in base.groupBy(F.size("vec").alias("width")).count().orderBy("width").collect():  # one row a vector length
+        found = _search(base.where(F.size("vec") == r["width"]), int(r["count"]), r["width"], kind, is_query, k, recall,
+                        partition_rows, sample_rows, block_rows, block_queries)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return rows.sparkSession.createDataFrame([], f"query_id {kind}, rank int, `{vec_id}` {kind}, score double")
+    return out.select("query_id", "rank", F.col("id").alias(vec_id), "score")
+
+
+def _search(base: DataFrame, n: int, width: int, kind: str, is_query, k: int, recall: float,
+            partition_rows: int, sample_rows: int, block_rows: int, block_queries: int) -> DataFrame:
+    """(query_id, rank, id, score) among the ``n`` vectors (row, id, vec) of one length."""
     parts = min(MOST_PARTITIONS, 1 << max(0, (max(n, 1) - 1) // partition_rows).bit_length())
-    width = len(base.first()["vec"]) if n else 0
     if parts > 1:
         grain = 1 << 30
-        drawn = F.pmod(F.xxhash64("id"), F.lit(grain))
+        drawn = F.pmod(F.xxhash64("row"), F.lit(grain))
         chosen = base.where(drawn < int(grain * min(1 - HELD_OUT, sample_rows / n)))
         unseen = base.where(drawn >= int(grain * (1 - min(HELD_OUT, CALIBRATION_ROWS / n))))
         router, probes = fit_router(_stack(chosen.select("vec").toPandas()["vec"]), parts, recall)
@@ -280,7 +292,7 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
 
     filed = written(base.withColumn("part", file_under("vec")), "filed")
     if parts > 1:
-        probes = max(probes, probes_over_all(router, filed, unseen, k, recall))
+        probes = max(probes, probes_over_all(router, filed, unseen.select("row", "vec"), k, recall))
     sizes = np.zeros(parts, dtype=np.int64)
     for r in filed.groupBy("part").count().collect():  # at most MOST_PARTITIONS rows
         sizes[r["part"]] = r["count"]
@@ -297,23 +309,29 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
                      "routed")
     row_blocks = np.maximum(1, -(-sizes // block_rows))
     many = lambda counts: F.element_at(F.array(*[F.lit(int(c)) for c in counts]), F.col("part") + 1)
-    own = lambda counts: F.pmod(F.xxhash64("id"), many(counts)).cast("int")
+    own = lambda counts: F.pmod(F.xxhash64("row"), many(counts)).cast("int")
     every = lambda counts: F.explode(F.sequence(F.lit(0), many(counts) - 1))
     keys = ["part", "row_block", "query_block"]
 
     def rerank(q: pa.Table, v: pa.Table) -> pa.Table:
+        import pyarrow.compute as pc
+
+        ids, numbers = v.column("id").combine_chunks(), v.column("row").to_numpy()
+        ranks = pc.rank(ids, null_placement="at_end", tiebreaker="dense").to_numpy() if v.num_rows else numbers
         found = list(best_in_block(
-            _matrix(q, width), q.column("id").to_numpy(), q.column("bound").to_numpy(),
-            _matrix(v, width), v.column("id").to_numpy(), k)) if q.num_rows and v.num_rows else []
+            _matrix(q, width), q.column("row").to_numpy(), q.column("bound").to_numpy(),
+            _matrix(v, width), numbers, ranks, k)) if q.num_rows and v.num_rows else []
+        asker = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]), type=pa.int64())
+        place = np.concatenate([f[0] for f in found]) if found else np.zeros(0, dtype=np.int64)
         return pa.table({
-            "query_id": pa.array(np.repeat([f[0] for f in found], [len(f[1]) for f in found]) if found else [],
-                                 type=q.schema.field("id").type),
-            vec_id: pa.array(np.concatenate([f[1] for f in found]) if found else [], type=q.schema.field("id").type),
-            "score": pa.array(np.concatenate([f[2] for f in found]) if found else [], type=pa.float64()),
+            "query": q.column("row").combine_chunks().take(asker),
+            "query_id": q.column("id").combine_chunks().take(asker),
+            "row": pa.array(numbers[place], type=pa.int64()), "id": ids.take(pa.array(place)),
+            "score": pa.array(np.concatenate([f[1] for f in found]) if found else [], type=pa.float64()),
         })
 
     def best_of(queries: DataFrame) -> DataFrame:
-        """Candidates of (id, vec, part, bound) rows, from blocks of their partitions."""
+        """Candidates of (row, id, vec, part, bound) rows, from blocks of their partitions."""
         asked = np.zeros(parts, dtype=np.int64)
         for r in queries.groupBy("part").count().collect():
             asked[r["part"]] = r["count"]
@@ -324,15 +342,15 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
         tasks = min(MOST_TASKS, int((row_blocks * query_blocks).sum()))
         spread = lambda df: df.repartition(tasks, *keys).groupBy(*keys)
         return (spread(query_side).cogroup(spread(row_side))
-                .applyInArrow(rerank, f"query_id {kind}, {vec_id} {kind}, score double"))
+                .applyInArrow(rerank, f"query long, query_id {kind}, row long, id {kind}, score double"))
 
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), vec_id)
+    best = Window.partitionBy("query").orderBy(F.desc("score"), F.col("id").asc_nulls_last(), "row")
     top = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     nothing = F.lit(float("-inf"))
-    first = written(top(best_of(routed.where(F.col("pos") < FIRST).select("id", "vec", "part", nothing.alias("bound")))),
+    first = written(top(best_of(routed.where(F.col("pos") < FIRST).select("row", "id", "vec", "part", nothing.alias("bound")))),
                     "first_found")
     # The other partitions return only what can still be among a query's k best.
-    bounds = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), F.col("score").alias("bound"))
-    rest = best_of(written(routed.where(F.col("pos") >= FIRST).drop("pos").join(bounds, "id", "left")
-                           .select("id", "vec", "part", F.coalesce("bound", nothing).alias("bound")), "bounded"))
-    return top(first.drop("rank").unionByName(rest)).select("query_id", "rank", vec_id, "score")
+    bounds = first.where(F.col("rank") == k).select(F.col("query").alias("row"), F.col("score").alias("bound"))
+    rest = best_of(written(routed.where(F.col("pos") >= FIRST).drop("pos").join(bounds, "row", "left")
+                           .select("row", "id", "vec", "part", F.coalesce("bound", nothing).alias("bound")), "bounded"))
+    return top(first.drop("rank").unionByName(rest)).select("query_id", "rank", "id", "score")

@@ -10,14 +10,15 @@ Documents with the same set are one node. Slots are cut into bands of four;
 nodes that agree in a band share a bucket. At a similarity of 0.8, a pair shares
 no bucket with a probability of (1 - 0.8 ^ 4) ^ 32 = 5e-8. Buckets are never
 expanded into all their pairs: in a few rounds every node is held against one
-node that stands for its bucket (another one each round), and what is confirmed
-is united, so that a group of near copies, however large, melts into one
-component at a linear cost. Then only buckets are left that hold different
-components; their pairs across components are compared, in crowded buckets only
-those which agree in a second band (a pair at 0.8 has fewer than two with 1e-6).
-A pair is dismissed unread where the signatures agree in less than 0.6 of the
-slots (six standard deviations below 0.8), else both texts' full shingle sets
-decide, as strings.
+node that stands for its bucket (first the one that shares most buckets, then
+another one each round), and what is confirmed is united, so that a group of
+near copies, however large, melts into one component at a linear cost. Then only
+buckets are left that hold different components. Small ones are compared across
+components. Nodes of crowded ones meet exactly: of two similar sets, the rarest
+shingles (as many as may differ) have one in common, so they meet there, by size
+classes, and components only with others. A pair is dismissed unread where the
+signatures agree in less than 0.6 of the slots (six standard deviations below
+0.8), else both texts' full shingle sets decide, as strings.
 
 Defined results: shingles are case-folded for A-Z only; a document of fewer
 words than a shingle is one shingle; null, empty and white-space texts have an
@@ -32,7 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import discard, written
@@ -45,8 +46,10 @@ SLOTS, BAND = 128, 4
 ROUNDS = 3
 #: Pairs whose signatures agree in a smaller share of the slots are dismissed.
 LEAST_AGREEMENT = 0.6
-#: Nodes in a bucket from which pairs must agree in a second band; rows of one representative a task.
-CROWDED, SALT_ROWS = 64, 1_000
+#: Nodes in a bucket up to which its pairs are compared as they are; rows of one representative a task.
+CROWDED, SALT_ROWS = 32, 1_000
+#: Ratio between size classes.
+CLASS = 1.05
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BLOCK = 1 << 15  # shingles walked at once
@@ -192,10 +195,11 @@ class _Verifier:
 
 
 def _open_buckets(live: DataFrame, turn: int) -> DataFrame:
-    """Buckets of ``live`` (bucket, nid, label) with different labels; ``rep`` changes with the turn."""
+    """Buckets of ``live`` (bucket, nid, degree, label) with different labels; ``rep`` changes with the turn."""
+    first = F.struct(-F.col("degree"), "nid") if turn == 0 else F.xxhash64(F.col("nid"), F.lit(turn))
     return (live.groupBy("bucket").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("size"),
-        F.min_by(F.struct("nid", "label"), F.xxhash64(F.col("nid"), F.lit(turn))).alias("rep"))
+        F.min_by(F.struct("nid", "label"), first).alias("rep"))
         .where("low != high").select("bucket", "size", "rep"))
 
 
@@ -205,6 +209,51 @@ def _across(live: DataFrame, keys: list[str]) -> DataFrame:
     return side("a").join(side("b"), keys).where("a < b and l_a != l_b").select("a", "b")
 
 
+def prefix_pairs(sets: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Pairs (a, b), a < b, of different labels among ``sets`` (nid, n, label, text): all that
+    reach the similarity, and others that share one of their rarest shingles.
+
+    Shingles are ordered by how many of the sets have them. Sets of sizes x >= y that reach the
+    similarity share t = percent * (x + y) / (100 + percent) shingles, hence one among the first
+    x - t + 1 and y - t + 1. The smaller one is filed under its size class, the larger one asks
+    every class within reach. Under a shingle, the most frequent label meets only the others.
+    """
+    @F.pandas_udf("array<long>")
+    def hashes(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_hashes(words(t), shingle).view(np.int64) for t in texts], dtype=object)
+
+    need = lambda both: F.ceil(F.lit(percent) * both / F.lit(100 + percent))
+    n, at, size_class = F.col("n"), F.col("at"), lambda v: F.floor(F.log(v.cast("double")) / float(np.log(CLASS)))
+    tokens = written(sets.select("nid", "n", "label", F.explode(hashes("text")).alias("token")), "shingles")
+    common = tokens.groupBy("token").count().where("count > 1")
+    of_node = Window.partitionBy("nid")
+    least = F.ceil(F.lit(percent) * n / 100)
+    ranked = written(
+        tokens.join(common, "token")
+        .withColumn("at", n - F.count(F.lit(1)).over(of_node) + F.row_number().over(of_node.orderBy("count", "token")) - 1)
+        .where(at <= n - least).drop("count"), "rare_shingles")
+    filed = ranked.where(at <= n - need(2 * n)).withColumn("class", size_class(n))
+    asked = (ranked.withColumn("class", F.explode(F.sequence(size_class(F.greatest(least, F.lit(1))), size_class(n))))
+             .withColumn("from", F.greatest(F.floor(F.pow(F.lit(CLASS), F.col("class"))), least))
+             .where(at <= n - need(n + F.col("from"))).drop("from"))
+    posted = filed.select("token", "class", "label").unionByName(asked.select("token", "class", "label"))
+    labels = posted.groupBy("token", "class", "label").count()
+    major = written(labels.groupBy("token", "class").agg(F.count(F.lit(1)).alias("labels"), F.max_by("label", "count").alias("major"))
+                    .where("labels > 1").select("token", "class", "major"), "shared_shingles")
+    side = lambda df, p: df.join(major, ["token", "class"]).select(
+        "token", "class", (F.col("label") == F.col("major")).alias(f"major_{p}"),
+        *[F.col(c).alias(f"{c}_{p}") for c in ("nid", "n", "label", "at")])
+    y, x = written(side(filed, "y"), "filed_shingles"), written(side(asked, "x"), "asked_shingles")
+    enough = 1 + F.least(F.col("n_x") - F.col("at_x") - 1, F.col("n_y") - F.col("at_y") - 1) >= need(F.col("n_x") + F.col("n_y"))
+    fits = (F.col("n_y") <= F.col("n_x")) & (F.col("label_x") != F.col("label_y")) & enough
+    meet = lambda u, v: u.join(v, ["token", "class"]).where(fits).select(
+        F.least("nid_x", "nid_y").alias("a"), F.greatest("nid_x", "nid_y").alias("b"))
+    out = written(meet(x.where("not major_x"), y).unionByName(meet(x.where("major_x"), y.where("not major_y"))).distinct(),
+                  "rare_pairs")
+    discard(tokens, ranked, major, x, y)
+    return out
+
+
 def link_components(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, shingle: int, percent: int,
                     band: int = BAND, rounds: int = ROUNDS, crowded: int = CROWDED) -> DataFrame:
     """(nid, label): the smallest node reachable, for the nodes that have a link.
@@ -216,9 +265,12 @@ def link_components(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, s
         F.sequence(F.lit(0), F.lit(SLOTS // band - 1)),
         lambda i: F.xxhash64(i, F.substring(F.col("sig"), i * width + 1, F.lit(width))))).alias("bucket"))
     bands = written(bands, "bands")
-    shared = bands.groupBy("bucket").count().where("count > 1").select("bucket")
-    members = written(bands.join(shared, "bucket"), "bucket_members")
+    shared = bands.groupBy("bucket").count().where("count > 1")
+    members = written(bands.join(shared, "bucket"), "shared_buckets")
     discard(bands)
+    degrees = members.groupBy("nid").agg(F.sum("count").alias("degree"))
+    bare, members = members, written(members.select("bucket", "nid").join(degrees, "nid"), "bucket_members")
+    discard(bare)
     asked = members.select("nid").distinct().join(nodes.select("nid", "id", "th"), "nid")
     found = docs.select(F.col(doc_id).alias("doc"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).cast("binary").alias("text"))
     texts = written(found.join(asked, F.col("doc").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("th")))
@@ -256,11 +308,12 @@ def link_components(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, s
     now = written(live(), "bucket_labels")
     buckets = written(_open_buckets(now, rounds), "open_buckets")
     left = now.join(buckets.select("bucket", "size"), "bucket")
-    dense = left.where(F.col("size") > crowded)
-    seconds = now.select(F.col("nid"), F.col("bucket").alias("second"))
-    twice = dense.join(seconds, "nid").where("bucket != second").select("bucket", "second", "nid", "label")
-    pairs = written(_across(left.where(F.col("size") <= crowded), ["bucket"])
-                    .unionByName(_across(twice, ["bucket", "second"])).distinct(), "pairs_across")
+    dense = (left.where(F.col("size") > crowded).select("nid", "label").distinct()
+             .join(nodes.select("nid", "n"), "nid").join(texts, "nid"))
+    small = _across(left.where(F.col("size") <= crowded), ["bucket"])
+    rare = prefix_pairs(dense, shingle, percent)
+    pairs = written(small.unionByName(rare).distinct(), "pairs_across")
+    discard(rare)
     unite(verifier.confirmed(pairs))
     discard(members, texts, now, buckets, pairs, *edges)
     return labels

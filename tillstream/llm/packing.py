@@ -12,12 +12,15 @@ shuffled, and a task holds at most ``pool`` tails, however large or skewed the
 input; a lost task is packed anew from its own input partition.
 
 Defined results: a null text is an empty one (its document is the end id
-alone); null ids pass through; repeated rows are packed each on its own; an
-empty table gives an empty result.
+alone); null ids pass through; repeated rows are packed each on its own; very
+long texts are cut into windows as a whole; an empty table gives an empty
+result; other columns, also of the result's names, are not read.
 """
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -34,15 +37,27 @@ from .common import per_process
 CAPACITY = 2048
 END_ID = 1
 POOL = 4096
-#: Units of text in each of a worker's two cache generations.
+#: Pieces of text in each of a worker's two cache generations.
 CACHE = 400_000
 #: Sequences that one task can number.
 TASK_SHIFT = 36
 
-_NEWLINE = "\n"
-_STOPS = (".", ",")
-#: Letters below are letters in every version of Unicode.
+#: Characters below are letters, digits or white space in every version of Unicode alike.
 _LATIN_END = "\u0250"
+#: Units up to this length are cached whole where they hold other characters.
+_SHORT = 32
+
+
+def _latin_pieces() -> re.Pattern:
+    """The byte-level pre-tokenizer's pattern, its classes spelled out for characters below ``_LATIN_END``.
+
+    Fixed value: 's|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+
+    """
+    chars = [chr(c) for c in range(ord(_LATIN_END))]
+    of = lambda kind: "".join(re.escape(c) for c in chars if unicodedata.category(c)[0] == kind)
+    letter, digit, space = of("L"), of("N"), r"\t-\r \x85\xa0"
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^{space}{letter}{digit}]+"
+                      rf"|[{space}]+(?![^{space}])|[{space}]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -52,16 +67,17 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
-class UnitTokenizer:
-    """Token ids of whole texts, through a cache of their space-separated units.
+class PieceTokenizer:
+    """Token ids of whole texts, through a cache of their pieces.
 
-    The byte-level pattern never joins text across a single space between two
-    non-space characters: the space begins the next piece. So a text's ids are
-    the concatenated ids of its units (a space and the characters up to the
-    next one). Units repeat like words do, so nearly all come from the cache.
-    Where white space touches a boundary, units are merged until it does not.
-    The cache has two generations of ``cache`` units: what is used again moves
-    to the young one, and the old one is dropped when the young one is full.
+    A text's ids are the concatenated ids of the pieces that the byte-level
+    pattern cuts, and a piece's ids are its merges alone. Pieces repeat like
+    words do, so most come from the cache. Texts with characters whose class
+    depends on the version of Unicode, or that spell a special token, are cut at
+    single spaces between other characters (there the pattern always cuts), and
+    their units of that kind go to the tokenizer itself. The cache has two
+    generations of ``cache`` pieces: what is used again moves to the young one,
+    and the old one is dropped when the young one is full.
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -69,65 +85,54 @@ class UnitTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
+        self.pieces = _latin_pieces().findall
         self.limit = cache
-        self.young: dict[str, bytes] = {}  # by the unit without its space
+        self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.newline = self._exact(_NEWLINE)
-        self.stops = {s: self._exact(s) for s in _STOPS}
-
-    def _exact(self, text: str) -> bytes:
-        word = text[1:] if text[0] == " " else text
-        if word.isalpha() and max(word) < _LATIN_END:  # one piece of the pattern: the merges alone
-            mapped = text.encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in self.model.tokenize(mapped)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u2").tobytes()
 
-    def _spaced(self, unit: str) -> bytes:
-        """Ids of a space and ``unit`` (no white space at its ends), cached."""
-        ids = self.young.get(unit)
+    def _keep(self, text: str, ids: bytes) -> bytes:
+        if len(self.young) >= self.limit:
+            self.old, self.young = self.young, {}
+        self.young[text] = ids
+        return ids
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.young.get(piece)
         if ids is None:
-            ids = self.old.get(unit)
+            ids = self.old.get(piece)
             if ids is None:
-                ids = self._unit(unit)
-            if len(self.young) >= self.limit:
-                self.old, self.young = self.young, {}
-            self.young[unit] = ids
+                mapped = piece.encode().decode("latin-1").translate(self.letters)
+                ids = np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u2").tobytes()
+            self._keep(piece, ids)
         return ids
 
+    def _plain(self, text: str) -> bool:
+        return max(text) < _LATIN_END and not any(s in text for s in self.special)
+
+    def _latin(self, text: str) -> bytes:
+        pieces = self.pieces(text)
+        found = list(map(self.young.get, pieces))
+        if None in found:
+            found = [self._piece(p) if ids is None else ids for p, ids in zip(pieces, found)]
+        return b"".join(found)
+
     def _unit(self, unit: str) -> bytes:
-        """A lone line break inside a unit, and one full stop or comma after a
-        letter or digit at its end, are pieces of their own."""
-        if _NEWLINE in unit:
-            lines = unit.split(_NEWLINE)
-            if all(x and x == x.strip() for x in lines):
-                return self._spaced(lines[0]) + b"".join(self.newline + self._exact(x) for x in lines[1:])
-        elif len(unit) > 1 and unit[-1] in self.stops and unit[-2].isalnum() and unit[-2] < _LATIN_END:
-            return self._spaced(unit[:-1]) + self.stops[unit[-1]]
-        return self._exact(" " + unit)
+        if self._plain(unit):
+            return self._latin(unit)
+        ids = self.young.get(unit) or self.old.get(unit)
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, dtype="<u2").tobytes()
+        return self._keep(unit, ids) if len(unit) <= _SHORT else ids
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as an array of unsigned 32-bit integers."""
         if not text:
             return np.empty(0, dtype="<u4")
-        units = text.split(" ")
-        out, cached = [self._exact(units[0])] if units[0] and units[0] == units[0].strip() else None, self.young.get
-        if out is not None:
-            for u in units[1:]:
-                ids = cached(u)
-                if ids is None:
-                    if not u or u != u.strip():
-                        out = None
-                        break
-                    ids = self._spaced(u)
-                    cached = self.young.get
-                out.append(ids)
-        if out is None:
-            out = [self._spaced(u) if s and u and u == u.strip() else self._exact(s + u)
-                   for s, u in _merged(units)]
-        return np.frombuffer(b"".join(out), dtype="<u2").astype("<u4")
+        ids = self._latin(text) if self._plain(text) else b"".join(
+            [self._unit(space + unit) for space, unit in _merged(text.split(" ")) if space or unit])
+        return np.frombuffer(ids, dtype="<u2").astype("<u4")
 
 
 def _merged(units: list[str]) -> Iterator[tuple[str, str]]:
@@ -256,7 +261,7 @@ def pack(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "t
     schema = T.StructType([T.StructField(n, t) for n, t in fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = per_process(("units", tokenizer), lambda: UnitTokenizer(tokenizer)).encode
+        encode = per_process(("pieces", tokenizer), lambda: PieceTokenizer(tokenizer)).encode
         packer = Packer(capacity, pool, TaskContext.get().partitionId() << TASK_SHIFT)
         id_type = None
 

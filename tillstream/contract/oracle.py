@@ -102,16 +102,18 @@ SELECT CAST(COALESCE(SUM(total_transactions), 0) AS BIGINT) AS total_transaction
 FROM summary WHERE {where}"""
 
 
-def _cards() -> str:
+def _cards(where: str | None = None, cols: str = """transactions_per_minute, revenue_per_hour, active_customers,
+       events_per_second""") -> str:
     return f"""WITH {SUMMARY},
 t AS (SELECT CAST(COALESCE(SUM(total_transactions), 0) AS BIGINT) AS n,
              CAST(COALESCE(SUM(total_revenue), 0) AS DOUBLE) AS revenue,
              CAST(COALESCE(SUM(unique_customers), 0) AS BIGINT) AS customers
-      FROM summary WHERE {_hour()})
-SELECT CAST((2 * n + 60) // 120 AS BIGINT) AS transactions_per_minute,
-       revenue AS revenue_per_hour, customers AS active_customers,
-       CAST((2 * n + 3600) // 7200 AS BIGINT) AS events_per_second
-FROM t"""
+      FROM summary WHERE {where or _hour()})
+SELECT {cols} FROM (
+  SELECT CAST((2 * n + 60) // 120 AS BIGINT) AS transactions_per_minute,
+         revenue AS revenue_per_hour, customers AS active_customers,
+         CAST((2 * n + 3600) // 7200 AS BIGINT) AS events_per_second
+  FROM t)"""
 
 
 def _top_stores() -> str:
@@ -160,6 +162,70 @@ MERGE_SIDES = (f"WITH {TX},\n" + _tumbling("existing", _in("event_time", None, P
 
 _day_names = ", ".join(f"'{d}'" for d in ["Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun"])
 
+CLOSED = "window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'"
+
+ROLLUP = """SELECT COUNT(*) AS windows_processed, CAST(SUM(total_transactions) AS BIGINT) AS all_transactions,
+       CAST(SUM(total_revenue) AS DOUBLE) AS total_revenue, COUNT(DISTINCT store_id) AS active_stores,
+       MAX(window_start) AS latest_window"""
+
+
+def _polled() -> str:
+    """Trailing totals at every poll by a range join of polls and windows."""
+    n = int((P.POLL_END - P.POLL_START).total_seconds()) // P.POLL_SECONDS
+    return f"""WITH {SUMMARY},
+polls AS (SELECT i, {sql_ts(P.POLL_START)} + to_seconds(CAST(i * {P.POLL_SECONDS} AS BIGINT)) AS poll_time FROM range({n}) t(i)),
+near AS (SELECT window_start, SUM(total_transactions) AS n, SUM(total_revenue) AS r FROM summary
+         WHERE {_in('window_start', P.POLL_START - dt.timedelta(hours=1), P.POLL_END)} GROUP BY 1),
+polled AS (SELECT i, poll_time, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS transactions,
+              CAST(COALESCE(SUM(r), 0) AS DECIMAL(38,2)) AS revenue
+       FROM polls LEFT JOIN near ON window_start >= poll_time - INTERVAL '1 hour' AND window_start < poll_time
+       GROUP BY 1, 2),
+steps AS (SELECT *, lag(transactions) OVER (ORDER BY i) AS pt, lag(revenue) OVER (ORDER BY i) AS pr FROM polled)
+SELECT poll_time, transactions, CAST(revenue AS DOUBLE) AS revenue, pt AS prev_transactions,
+       CAST(pr AS DOUBLE) AS prev_revenue,
+       {ratio_sql('abs(transactions - pt) * 100', 'pt', 1)} AS transactions_change_pct,
+       {ratio_sql('abs(CAST(revenue * 100 AS BIGINT) - CAST(pr * 100 AS BIGINT)) * 100', 'CAST(pr * 100 AS BIGINT)', 1)}
+         AS revenue_change_pct
+FROM steps"""
+
+
+# Gaps and islands: a session starts where the customer's last event is more than a gap away.
+SESSIONS = f"""e AS (SELECT CAST(user_id AS VARCHAR) AS customer_id, ts, event_id, event_type,
+             's' || (event_id % 10) AS store, event_id % 5 AS views,
+             CASE WHEN ts - lag(ts) OVER c <= INTERVAL '{P.SESSION_GAP_MINUTES} minutes' THEN 0 ELSE 1 END AS first
+      FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL WINDOW c AS (PARTITION BY user_id ORDER BY ts)),
+i AS (SELECT *, SUM(first) OVER (PARTITION BY customer_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS island FROM e),
+sessions AS (
+  SELECT customer_id, MIN(ts) AS session_start, MAX(ts) AS session_end,
+         CAST(epoch_us(MAX(ts)) - epoch_us(MIN(ts)) AS BIGINT) AS duration_us, COUNT(*) AS events,
+         CAST(SUM(views) AS BIGINT) AS page_views,
+         first(store ORDER BY ts, CAST(event_id AS VARCHAR)) AS first_store,
+         last(event_type ORDER BY ts, CAST(event_id AS VARCHAR)) AS last_event_type
+  FROM i GROUP BY customer_id, island)"""
+
+STOCK = """WITH m AS (
+  SELECT CAST(l_suppkey % 20 AS VARCHAR) AS store_id, CAST(l_partkey AS VARCHAR) AS product_id,
+         l_shipdate + to_hours(CAST(l_linenumber AS BIGINT)) AS updated_at,
+         l_orderkey || '-' || l_linenumber AS event_id,
+         CAST((l_orderkey * 7 + l_linenumber) % 500 AS INTEGER) AS current_stock,
+         CAST(l_partkey % 100 AS INTEGER) AS reorder_level
+  FROM lineitem),
+k AS (SELECT *, row_number() OVER (PARTITION BY store_id, product_id
+                                   ORDER BY updated_at DESC, event_id COLLATE "binary" DESC) AS k FROM m)
+SELECT store_id, product_id, updated_at, event_id, current_stock, reorder_level, current_stock <= reorder_level AS reorder
+FROM k WHERE k = 1"""
+
+# What the events' messages, with an item each, leave in the streams' tables: closed windows only.
+TABLE_FIGURES = f"""WITH {SUMMARY},
+mark AS (SELECT MAX(ts) - INTERVAL '1 minute' AS t FROM events),
+r AS (SELECT time_bucket(INTERVAL '30 seconds', event_time) AS b, COUNT(*) AS n FROM tx GROUP BY 1),
+p AS (SELECT time_bucket(INTERVAL '5 minutes', ts) AS b, user_id % 50 AS product, SUM(event_id % 4 + 1) AS n
+      FROM events GROUP BY 1, 2)
+SELECT 'transactions_summary' AS table_name, COUNT(*) AS rows, CAST(SUM(total_transactions) AS BIGINT) AS total
+FROM summary, mark WHERE window_end <= t
+UNION ALL SELECT 'product_performance', COUNT(*), CAST(SUM(n) AS BIGINT) FROM p, mark WHERE b + INTERVAL '5 minutes' <= t
+UNION ALL SELECT 'realtime_metrics', 3 * COUNT(*), CAST(SUM(n) AS BIGINT) FROM r, mark WHERE b + INTERVAL '30 seconds' <= t"""
+
 ORACLE: dict[str, str] = {
     "store_window_summary": f"WITH {SUMMARY} SELECT {SUMMARY_COLS} FROM summary",
 
@@ -360,12 +426,12 @@ FROM d""",
 SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start,
        strftime(window_end, '%Y-%m-%d %H:%M:%S') AS window_end, store_id, total_transactions,
        CAST(total_revenue AS DOUBLE) AS total_revenue,
-       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, unique_customers
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, unique_customers, TRUE AS created_at
 FROM summary WHERE {_hour(span=dt.timedelta(hours=24))}""",
 
     "exported_json": f"""WITH {STAR_ITEMS}
 SELECT strftime(window_start, '%Y-%m-%d %H:%M:%S') AS window_start, product_id, product_name, category,
-       quantity_sold, CAST(revenue AS DOUBLE) AS revenue
+       quantity_sold, CAST(revenue AS DOUBLE) AS revenue, TRUE AS created_at
 FROM pp WHERE {_hour(P.STAR_AS_OF, dt.timedelta(hours=24))}""",
 
     "export_manifest": f"""WITH {SUMMARY}, {STAR_ITEMS},
@@ -408,4 +474,59 @@ FROM tx WHERE {_hour(col='event_time')} GROUP BY store_id""",
        CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS DOUBLE) AS discount_applied,
        CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS final_amount
 FROM events""",
+
+    "stream_raw_transactions_other_days": """SELECT CAST(event_id AS VARCHAR) AS transaction_id, ts AS "timestamp",
+       event_type AS store_id, CAST(user_id AS VARCHAR) AS customer_id,
+       CAST(CAST(value AS DECIMAL(10,2)) AS DOUBLE) AS final_amount
+FROM events""",
+
+    "stream_store_summary_panes": f"""WITH {SUMMARY}
+SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
+FROM summary WHERE {CLOSED}""",
+
+    "versioned_summary": f"""{MERGE_SIDES}
+SELECT {TUMBLING_COLS} FROM existing e
+WHERE NOT EXISTS (SELECT 1 FROM batch b WHERE e.window_start = b.window_start AND e.store_id = b.store_id)
+UNION ALL
+SELECT {TUMBLING_COLS} FROM batch""",
+
+    "merged_latency": """WITH d AS (
+  SELECT date_diff('day', o_orderdate, l_shipdate) AS x FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT COUNT(x) AS rows, CAST((2 * SUM(x) + COUNT(x)) // (2 * COUNT(x)) AS BIGINT) AS avg_latency,
+       CAST(MIN(x) AS BIGINT) AS least_latency, CAST(MAX(x) AS BIGINT) AS most_latency,
+       TRUE AS p95_within, TRUE AS p99_within
+FROM d""",
+
+    "rollup_totals_all_time": f"WITH {SUMMARY} {ROLLUP} FROM summary",
+
+    "rollup_totals_of_range": f"WITH {SUMMARY} {ROLLUP} FROM summary WHERE {_in('window_start', P.ROLLUP_START, P.ROLLUP_END)}",
+
+    "polled_change": _polled(),
+
+    "late_rows_repaired": f"""WITH {SUMMARY}
+SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
+FROM summary WHERE {CLOSED}""",
+
+    "customer_sessions": f"WITH {SESSIONS} SELECT * FROM sessions",
+
+    "stream_customer_sessions": f"""WITH {SESSIONS}
+SELECT * FROM sessions
+WHERE session_end + INTERVAL '{P.SESSION_GAP_MINUTES} minutes' <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
+
+    "stock_levels": STOCK,
+
+    "stream_stock_levels": STOCK,
+
+    "stream_open_windows": f"""WITH {SUMMARY}
+SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenue AS DOUBLE) AS total_revenue,
+       CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value, {CLOSED} AS closed
+FROM summary""",
+
+    "streams_from_decoded": TABLE_FIGURES,
+
+    "all_streams": f"{TABLE_FIGURES} UNION ALL SELECT 'transactions', COUNT(*), COUNT(*) FROM events",
+
+    "rates_of_whole_range": _cards(_in("window_start", P.WHOLE_RANGE_START, P.WHOLE_RANGE_END), "transactions_per_minute, events_per_second"),
 }

@@ -35,3 +35,16 @@ EMPTY_AS_OF = dt.datetime(2024, 3, 1, 0, 0, 0)
 # The incremental stream query stages the events in time slices at these
 # bounds and restarts the stream from its checkpoint after each slice.
 STREAM_SLICE_BOUNDS = (dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 16), dt.datetime(2024, 1, 24))
+
+# The slice between these bounds reaches the streams last, long after the watermark has passed it.
+LATE_START, LATE_END = dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 12)
+
+# A range that starts and ends off every coarse pre-aggregate's bounds.
+ROLLUP_START, ROLLUP_END = dt.datetime(2024, 1, 3, 5, 17), dt.datetime(2024, 1, 27, 21, 43)
+
+# Polls of the trailing hour over one day.
+POLL_START, POLL_END, POLL_SECONDS = dt.datetime(2024, 1, 15), dt.datetime(2024, 1, 16), 5
+
+SESSION_GAP_MINUTES = 30
+# A day, and the whole range, over which the per-second figures are not 0.
+WHOLE_RANGE_START, WHOLE_RANGE_END = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)

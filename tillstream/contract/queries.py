@@ -16,10 +16,10 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from tillstream.contract import params as P
 from tillstream.functions.timebounds import TimeRange, in_range, trailing
-from tillstream.operators import insight, keyed, rollups, windows
-from tillstream.schemas import (PRODUCT_PERFORMANCE, REALTIME_METRICS, SPARSE_PRODUCTS, TRANSACTIONS,
+from tillstream.operators import hierarchy, insight, keyed, latest, rollups, sessions, trailing as polls, windows
+from tillstream.schemas import (CUSTOMER_SESSIONS, PRODUCT_PERFORMANCE, REALTIME_METRICS, SPARSE_PRODUCTS, TRANSACTIONS,
                                 TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY)
-from tillstream.session import configure, default_parallelism, scratch_path
+from tillstream.session import configure, default_parallelism, scratch_path, temporary_conf
 from tillstream.sinks.contracts import REJECT_REASON, conform
 from tillstream.sinks.export import export_csv, export_json
 from tillstream.sinks.metrics import metrics_long
@@ -28,7 +28,8 @@ from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
 from tillstream.sources.streams import text_stream
 from tillstream.sources.tables import read_products, read_summary, read_table
-from tillstream.streaming import jobs, progress
+from tillstream.sinks.versioned import VersionedTable
+from tillstream.streaming import decoded, jobs, open_windows, progress, repair
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -337,10 +338,17 @@ def q_stored_sketch_customers(spark, sf):
 def q_exported_csv(spark, sf):
     """K8: the 24-hour CSV export, read back (times are text)."""
     rng, path = _hour(span="24h"), scratch_path(spark, "exports", "csv")
-    rows = rollups.export_transactions(event_summary(spark, sf, rng), rng)
+    rows = rollups.export_transactions(_stamped(event_summary(spark, sf, rng)), rng)
     export_csv(rows, path)
-    ddl = ", ".join(f"{f.name} {'string' if f.name.startswith('window') else _plain_type(f)}" for f in rows.schema)
-    return spark.read.schema(ddl).option("header", True).csv(path)
+    times = ("window_start", "window_end", "created_at")
+    ddl = ", ".join(f"{f.name} {'string' if f.name in times else _plain_type(f)}" for f in rows.schema)
+    read = spark.read.schema(ddl).option("header", True).csv(path)
+    return read.withColumn("created_at", F.col("created_at").isNotNull())
+
+
+def _stamped(rows: DataFrame) -> DataFrame:
+    """Rows as the table holds them, with the time of writing."""
+    return rows.withColumn("created_at", F.current_timestamp())
 
 
 def _plain_type(field) -> str:
@@ -350,16 +358,17 @@ def _plain_type(field) -> str:
 def _exported_json(spark, sf) -> str:
     path = scratch_path(spark, "exports", "json")
     day, star = _hour(span="24h"), _hour(P.STAR_AS_OF, "24h")
-    export_json(rollups.export_transactions(event_summary(spark, sf, day), day),
-                rollups.export_products(star_products(spark, sf, star), star), path)
+    export_json(rollups.export_transactions(_stamped(event_summary(spark, sf, day)), day),
+                rollups.export_products(_stamped(star_products(spark, sf, star)), star), path)
     return path
 
 
 def q_exported_json(spark, sf):
     """K9: the product rows of the 24-hour JSON export, read back."""
     return spark.read.schema("window_start string, product_id string, product_name string, category string, "
-                             "quantity_sold bigint, revenue double").json(
-                                 f"{_exported_json(spark, sf)}/product_performance")
+                             "quantity_sold bigint, revenue double, created_at string").json(
+                                 f"{_exported_json(spark, sf)}/product_performance").withColumn(
+                                     "created_at", F.col("created_at").isNotNull())
 
 
 def q_export_manifest(spark, sf):
@@ -450,6 +459,201 @@ def q_stream_raw_transactions(spark, sf):
     return plain(read_table(spark, paths.table(TRANSACTIONS.name), TRANSACTIONS.name).select(*cols))
 
 
+def q_stream_raw_transactions_other_days(spark, sf):
+    """Every seventh message is delivered again later, its time on another day; every
+    transaction is stored once, as it came first."""
+    paths = _paths(spark, "raw_other_days")
+    again = testdata.event_messages(spark, sf, where=F.col("event_id") % 7 == 0, days_later=3)
+    for messages in (testdata.event_messages(spark, sf), again):
+        messages.select("value").repartition(2).write.mode("append").text(f"{paths.root}/in")
+        jobs.catch_up(jobs.raw_transactions_stream(text_stream(spark, f"{paths.root}/in")), paths, TRANSACTIONS, "raw_transactions")
+    stored = read_table(spark, paths.table(TRANSACTIONS.name), TRANSACTIONS.name)
+    return plain(stored.select("transaction_id", "timestamp", "store_id", "customer_id", "final_amount"))
+
+
+def q_stream_store_summary_panes(spark, sf):
+    """The incremental summary stream from panes (two chained window aggregations)."""
+    paths = _paths(spark, "store_panes")
+    _in_slices(spark, paths, lambda rng: testdata.event_messages(spark, sf, rng),
+               jobs.store_panes_stream, TRANSACTIONS_SUMMARY, "store_panes")
+    return plain(read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name)).select(
+        "window_start", "window_end", "store_id", "total_transactions", "total_revenue", "avg_transaction_value"))
+
+
+def q_versioned_summary(spark, sf):
+    """K7, atomic: earlier windows, then the batch, each one commit; read through the pointer."""
+    existing, batch = _merge_sides(spark, sf)
+    table = VersionedTable(spark, scratch_path(spark, "tables", "versioned_summary"), TUMBLING_SUMMARY)
+    table.merge(existing)
+    table.merge(batch)
+    table.vacuum(keep=1)
+    cols = [c.name for c in TUMBLING_SUMMARY.columns if c.name not in ("created_at", "customer_sketch")]
+    return plain(table.read().select(*cols))
+
+
+def q_merged_latency(spark, sf):
+    """X1 from mergeable sketches, one a shipping month (average exact, P95 and P99 checked
+    against the exact ranks of all rows)."""
+    rows = _order_lines(spark, sf)
+    path = scratch_path(spark, "sketches")
+    progress.latency_sketches(rows, "o_orderdate", "l_shipdate", {"month": F.date_trunc("month", "l_shipdate")},
+                              unit_ms=86_400_000).write.parquet(path)
+    merged = progress.merged_latency(spark.read.parquet(path))
+    found = merged.first()
+    latency = F.datediff("l_shipdate", "o_orderdate")
+
+    def within(value, p):
+        """Whether the value's rank among all rows is ``p``, give or take the error."""
+        rank = lambda cond: F.avg(F.coalesce(cond, F.lit(False)).cast("int"))
+        return ((rank(latency < F.lit(value)) - progress.RANK_ERROR <= p)
+                & (rank(latency <= F.lit(value)) + progress.RANK_ERROR >= p))
+
+    return rows.agg(*[F.lit(v).cast("bigint").alias(n) for n, v in (
+                        ("rows", found.rows), ("avg_latency", found.avg_latency),
+                        ("least_latency", found.least), ("most_latency", found.most))],
+                    within(found.p95_latency, 0.95).alias("p95_within"), within(found.p99_latency, 0.99).alias("p99_within"))
+
+
+def _rollups(spark, sf) -> hierarchy.RollupLog:
+    """Pre-aggregates of the summary, added in two batches."""
+    log = hierarchy.RollupLog(scratch_path(spark, "rollups"))
+    middle = P.STREAM_SLICE_BOUNDS[1]
+    for batch_id, rng in enumerate((TimeRange(None, middle), TimeRange(middle, None))):
+        log.add(event_summary(spark, sf, rng), batch_id)
+    return log
+
+
+def q_rollup_totals_all_time(spark, sf):
+    """Q12, Q14, Q15 over all time, from month nodes."""
+    return plain(hierarchy.totals(hierarchy.nodes_of(_rollups(spark, sf).read(spark))))
+
+
+def q_rollup_totals_of_range(spark, sf):
+    """The same over a range: minutes and hours at its edges, days within, after a compaction."""
+    log = _rollups(spark, sf)
+    log.compact(spark, 2, scratch_path(spark, "staging", "rollups"))
+    return plain(hierarchy.totals(hierarchy.nodes_of(log.read(spark), TimeRange(P.ROLLUP_START, P.ROLLUP_END))))
+
+
+def q_polled_change(spark, sf):
+    """U4: trailing-hour figures at every 5-second poll of a day, against the poll before."""
+    rng = TimeRange(P.POLL_START, P.POLL_END)
+    summary = event_summary(spark, sf, rng.widen(before=dt.timedelta(hours=1)))
+    return plain(polls.polled_totals(summary, rng, dt.timedelta(seconds=P.POLL_SECONDS)))
+
+
+def q_late_rows_repaired(spark, sf):
+    """Two days reach the streams after the watermark has passed them. The summary
+    drops them, the raw table keeps them, and the repair mends only their windows."""
+    summary, raw = _paths(spark, "late_summary"), _paths(spark, "late_raw")
+    late = testdata.event_time_between(P.LATE_START, P.LATE_END)
+    for where in (~late, late):
+        testdata.event_messages(spark, sf, where=where).select("value").write.mode("append").text(f"{summary.root}/in")
+        source = lambda: text_stream(spark, f"{summary.root}/in")
+        jobs.catch_up(jobs.store_summary_stream(source()), summary, TRANSACTIONS_SUMMARY, "store_window_summary",
+                      state_partitions=default_parallelism(spark))
+        jobs.catch_up(jobs.raw_transactions_stream(source()), raw, TRANSACTIONS, "raw_transactions")
+    path = summary.table(TRANSACTIONS_SUMMARY.name)
+    closed = read_summary(spark, path).agg(F.max("window_end")).first()[0]
+    repair.repair_late_rows(spark, raw.table(TRANSACTIONS.name), path, closed)
+    return plain(read_summary(spark, path).select(
+        "window_start", "window_end", "store_id", "total_transactions", "total_revenue", "avg_transaction_value"))
+
+
+def q_customer_sessions(spark, sf):
+    """Sessions of every customer, from the customer-events messages as a table."""
+    events = parse_messages(testdata.customer_messages(spark, sf), "customer_events")
+    return plain(sessions.customer_sessions(events, f"{P.SESSION_GAP_MINUTES} minutes"))
+
+
+def q_stream_customer_sessions(spark, sf):
+    """S5 as an incremental stream: the sessions that the watermark has closed, from their table."""
+    paths = _paths(spark, "customer_sessions")
+    _in_slices(spark, paths, lambda rng: testdata.customer_messages(spark, sf, rng),
+               lambda raw: jobs.session_stream(raw, f"{P.SESSION_GAP_MINUTES} minutes"), CUSTOMER_SESSIONS, "customer_sessions")
+    cols = [c.name for c in CUSTOMER_SESSIONS.columns if c.name != "created_at"]
+    return plain(read_table(spark, paths.table(CUSTOMER_SESSIONS.name), CUSTOMER_SESSIONS.name).select(*cols))
+
+
+_STOCK_COLUMNS = ("store_id", "product_id", "updated_at", "event_id", "current_stock", "reorder_level", "reorder")
+
+
+def q_stock_levels(spark, sf):
+    """The latest stock of every store and product, from the inventory messages as a table."""
+    events = parse_messages(testdata.inventory_messages(spark, sf), "inventory")
+    return plain(latest.stock_levels(events).select(*_STOCK_COLUMNS))
+
+
+def q_stream_stock_levels(spark, sf):
+    """S4 as a stream in update mode: unordered files, a tenth of the messages again, one file a
+    micro-batch; the keyed table read through its pointer."""
+    paths = _paths(spark, "stock_levels")
+    messages = testdata.inventory_messages(spark, sf).select("value")
+    again = testdata.inventory_messages(spark, sf).where(F.col("key").cast("bigint") % 10 == 0).select("value")
+    messages.unionByName(again).repartition(3).write.text(f"{paths.root}/in")
+    with temporary_conf(spark, {"spark.sql.shuffle.partitions": str(default_parallelism(spark))}):
+        query = jobs.run_stock(text_stream(spark, f"{paths.root}/in", max_files_per_trigger=1), paths,
+                               {"availableNow": True}, buckets=8)
+        query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    return plain(jobs.stock_table(spark, paths, 8).read().select(*_STOCK_COLUMNS))
+
+
+def q_stream_open_windows(spark, sf):
+    """Closed windows from the table and open ones from the stream's state; together all events."""
+    paths = _paths(spark, "open_windows")
+    testdata.event_messages(spark, sf).select("value").write.text(f"{paths.root}/in")
+    jobs.catch_up(jobs.store_summary_stream(text_stream(spark, f"{paths.root}/in")), paths, TRANSACTIONS_SUMMARY,
+                  "store_window_summary", state_partitions=default_parallelism(spark))
+    stored = read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name))
+    return plain(open_windows.with_open_windows(
+        stored, open_windows.open_store_windows(spark, paths.checkpoint(TRANSACTIONS_SUMMARY.name))))
+
+
+def q_streams_from_decoded(spark, sf):
+    """Messages are parsed once; the three aggregating streams run on the decoded table, all at
+    once on processing-time triggers. Rows and main figure of every table."""
+    paths = _paths(spark, "decoded")
+    testdata.event_messages(spark, sf, items=True).select("value").write.text(f"{paths.root}/in")
+    every = {name: {"processingTime": "1 second"} for name in jobs.TRIGGERS}
+    with temporary_conf(spark, {"spark.sql.shuffle.partitions": str(default_parallelism(spark))}):
+        jobs.run_to_parquet(decoded.decode_stream(text_stream(spark, f"{paths.root}/in")), paths.table("decoded"),
+                            paths.checkpoint("decoded"), query_name="decoded").awaitTermination()
+        jobs.drain(jobs.start_from_decoded(spark, paths, every))
+    return _table_figures(spark, paths)
+
+
+def q_all_streams(spark, sf):
+    """All streams at once on processing-time triggers, each on the topic; the same figures."""
+    paths = _paths(spark, "all_streams")
+    testdata.event_messages(spark, sf, items=True).select("value").write.text(f"{paths.root}/in")
+    every = {name: {"processingTime": "1 second"} for name in (*jobs.TRIGGERS, "raw_transactions")}
+    with temporary_conf(spark, {"spark.sql.shuffle.partitions": str(default_parallelism(spark))}):
+        jobs.drain(jobs.start_retail_streams(spark, lambda: text_stream(spark, f"{paths.root}/in"), paths, every,
+                                             raw_transactions=True))
+    raw = read_table(spark, paths.table(TRANSACTIONS.name), TRANSACTIONS.name)
+    return _table_figures(spark, paths).unionByName(raw.agg(
+        F.lit(TRANSACTIONS.name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.count("transaction_id").alias("total")))
+
+
+def _table_figures(spark, paths) -> DataFrame:
+    figure = lambda name, rows, total: rows.agg(
+        F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum(total).cast("bigint").alias("total"))
+    metrics = read_table(spark, paths.table(REALTIME_METRICS.name), REALTIME_METRICS.name)
+    counted = F.when(F.col("metric_name") == "transactions_per_window", F.col("metric_value")).otherwise(0)
+    return (figure(TRANSACTIONS_SUMMARY.name, read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name)), "total_transactions")
+            .unionByName(figure(PRODUCT_PERFORMANCE.name, read_products(spark, paths.table(PRODUCT_PERFORMANCE.name)), "quantity_sold"))
+            .unionByName(figure(REALTIME_METRICS.name, metrics, counted)))
+
+
+def q_rates_of_whole_range(spark, sf):
+    """U1, U5 over the whole range, where the figures (transactions by the fixed 60 and 3,600) are not 0."""
+    rng = TimeRange(P.WHOLE_RANGE_START, P.WHOLE_RANGE_END)
+    return plain(rollups.dashboard_cards(event_summary(spark, sf, rng), rng)).select(
+        "transactions_per_minute", "events_per_second")
+
+
 def q_streamed_then_backfilled_summary(spark, sf):
     """K7 over a streamed table: a third of one day's events reach the stream
     not at all; a re-load of that day puts its windows right."""
@@ -472,10 +676,13 @@ def q_stream_progress(spark, sf):
 
 def q_processing_latency(spark, sf):
     """X1 on two stored times, here the order's and its lines' shipping: average, P95 and P99 in days."""
+    return progress.processing_latency(_order_lines(spark, sf), "o_orderdate", "l_shipdate", unit_ms=86_400_000)
+
+
+def _order_lines(spark, sf) -> DataFrame:
     orders = testdata.table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     lines = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
-    rows = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-    return progress.processing_latency(rows, "o_orderdate", "l_shipdate", unit_ms=86_400_000)
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
 _QUERIES: dict[str, Query] = {

@@ -173,8 +173,42 @@ TRANSACTIONS = TableContract(
     key=("transaction_id",),
 )
 
+# What the streams over the customer and inventory topics keep.
+CUSTOMER_SESSIONS = TableContract(
+    "customer_sessions",
+    (
+        Column("customer_id", "string", False, max_length=50),
+        Column("session_start", "timestamp", False),
+        Column("session_end", "timestamp", False),
+        Column("duration_us", "bigint", default="0"),
+        Column("events", "bigint", default="0"),
+        Column("page_views", "bigint", default="0"),
+        Column("first_store", "string", max_length=50),
+        Column("last_event_type", "string", max_length=50),
+        Column("created_at", "timestamp", default="current_timestamp()"),
+    ),
+    key=("customer_id", "session_start"),
+)
+
+STOCK_LEVELS = TableContract(
+    "stock_levels",
+    (
+        Column("store_id", "string", False, max_length=50),
+        Column("product_id", "string", False, max_length=50),
+        Column("updated_at", "timestamp", False),
+        Column("event_id", "string", False, max_length=50),
+        Column("product_name", "string", max_length=100),
+        Column("event_type", "string", max_length=50),
+        Column("current_stock", "int"),
+        Column("reorder_level", "int"),
+        Column("reorder", "boolean", default="false"),
+        Column("created_at", "timestamp", default="current_timestamp()"),
+    ),
+    key=("store_id", "product_id"),
+)
+
 # The product table of sparse data: a month a partition instead of many tiny days.
 SPARSE_PRODUCTS = replace(PRODUCT_PERFORMANCE, partition_unit="month")
 
 CONTRACTS = {c.name: c for c in (TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY, PRODUCT_PERFORMANCE,
-                                 REALTIME_METRICS, TRANSACTIONS)}
+                                 REALTIME_METRICS, TRANSACTIONS, CUSTOMER_SESSIONS, STOCK_LEVELS)}

@@ -84,8 +84,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "local")
         if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="tillstream-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        # The setting cannot be changed while a session runs; its context remembers the folder.
+        root = (context.getCheckpointDir() if context is not None else None) or tempfile.mkdtemp(prefix="tillstream-ckpt-")
     if context is not None and context.getCheckpointDir() is None:
         context.setCheckpointDir(root)
     return root.rstrip("/")

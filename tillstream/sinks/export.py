@@ -39,9 +39,16 @@ def _write_counted(df: DataFrame, writer) -> int:
 
 def export_csv(summary: DataFrame, path: str) -> int:
     """K8: the transactions summary as CSV with a header row (none without rows,
-    as the files of an empty table are empty); returns rows."""
-    header = not summary.isEmpty()
-    return _write_counted(summary, lambda d: d.write.mode("overwrite").option("header", header).csv(path))
+    as the files of an empty table are empty); returns rows.
+
+    The plan runs once. Only an export without rows, whose header is then not
+    wanted, is written again, from nothing.
+    """
+    n = _write_counted(summary, lambda d: d.write.mode("overwrite").option("header", True).csv(path))
+    if not n:
+        nothing = summary.sparkSession.createDataFrame([], export_frame(summary).schema)
+        nothing.write.mode("overwrite").option("header", False).csv(path)
+    return n
 
 
 def export_json(summary: DataFrame, products: DataFrame, path: str) -> DataFrame:

@@ -91,34 +91,41 @@ class IdempotentBatchWriter:
     ``<path>_rejects`` (which exists once there are any). Writing the same batch
     twice leaves the table as it was.
 
-    ``insert_only``: rows whose key an earlier batch stored on the same day are
-    left out (raw messages delivered twice, however late).
+    ``insert_only``: rows whose key an earlier batch stored are left out (raw
+    messages delivered twice, however late and whatever their time); the keys
+    stored are indexed in ``<path>_keys``. ``also``: called with each batch's rows
+    as stored and its id (rollups, latency), after they are written.
     """
 
-    def __init__(self, path: str, contract: TableContract, insert_only: bool = False):
-        self.path, self.contract, self.insert_only = path, contract, insert_only
+    def __init__(self, path: str, contract: TableContract, insert_only: bool = False, also: tuple = ()):
+        self.path, self.contract, self.insert_only, self.also = path, contract, insert_only, also
 
-    def _new(self, good: DataFrame, batch_id: int) -> DataFrame:
-        from tillstream.operators.keyed import insert_if_absent
-        spark, date_col = good.sparkSession, _date_col(self.contract)
-        if not exists(spark, self.path):
-            return good.dropDuplicates(list(self.contract.key))
-        days = [r[0] for r in good.select(date_col).distinct().collect()]
-        stored = stored_rows(spark, self.path, self.contract.name).where(
-            F.col(date_col).isin(days) & (F.col(BATCH_ID) != batch_id))
-        return insert_if_absent(stored, good, self.contract.key).select(*good.columns)
+    def keys(self, spark: SparkSession):
+        from tillstream.sinks.key_index import KeyIndex
+        [key] = self.contract.key
+        return KeyIndex(spark, f"{self.path}_keys", key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             good, bad = prepare(batch, self.contract)
             if self.insert_only:
-                good = self._new(good, batch_id)
+                from tillstream.operators.keyed import one_per_key
+                keys = self.keys(batch.sparkSession)
+                good = keys.absent(one_per_key(good, self.contract.key, (TIME_COLUMN[self.contract.name][0],)), batch_id).persist()
             tagged = good.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
             # By day, rebalanced by size: one file a day (or a few), not one for each state partition.
             by_day = tagged.hint("rebalance", _date_col(self.contract)).sortWithinPartitions(
                 _date_col(self.contract), *self.contract.key)
             overwrite_partitions(by_day, self.path, _date_col(self.contract), BATCH_ID)
+            if self.insert_only:  # after the rows: a batch cut short here is replayed and finds its keys absent
+                keys.add(good, batch_id)
+                good.unpersist()
+            if self.also:
+                date_col = _date_col(self.contract)
+                stored = batch.sparkSession.read.schema(tagged.schema).parquet(self.path).where(F.col(BATCH_ID) == batch_id)
+                for follow in self.also:
+                    follow(stored.drop(date_col, BATCH_ID), batch_id)
             if not bad.isEmpty():
                 rejects = bad.withColumn(BATCH_ID, F.lit(batch_id).cast("bigint"))
                 row_cols = [c for c in self.contract.names if c in bad.columns and c != "created_at"]
@@ -131,13 +138,13 @@ class IdempotentBatchWriter:
 
 def stream_to_table(df: DataFrame, path: str, checkpoint: str, contract: TableContract,
                     trigger: dict | None = None, query_name: str | None = None,
-                    insert_only: bool = False, progress=None) -> StreamingQuery:
+                    insert_only: bool = False, progress=None, also: tuple = ()) -> StreamingQuery:
     """Append a stream to a stored table, its rejects to the
     reject table, and (``progress``, a ``streaming.progress.ProgressLog``) its
-    progress reports to the progress table."""
+    progress reports to the progress table. ``also``: see ``IdempotentBatchWriter``."""
     from tillstream.session import configure_streaming
     configure_streaming(df.sparkSession)
-    writer = IdempotentBatchWriter(path, contract, insert_only)
+    writer = IdempotentBatchWriter(path, contract, insert_only, also)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         writer(batch, batch_id)
@@ -190,7 +197,7 @@ def merge_into_table(batch: DataFrame, path: str, contract: TableContract, stagi
     The batch is computed once, into ``staging/batch``; its distinct days (at
     most one value a day) select the partitions that are read and replaced.
     """
-    from tillstream.operators.keyed import upsert
+    from tillstream.operators.keyed import one_per_key, upsert
 
     spark = batch.sparkSession
     date_col = _date_col(contract)
@@ -201,7 +208,7 @@ def merge_into_table(batch: DataFrame, path: str, contract: TableContract, stagi
     days = [r[0] for r in staged.select(date_col).distinct().collect()]
     if not days:
         return bad
-    merged, old = staged.dropDuplicates(list(contract.key)), []
+    merged, old = one_per_key(staged, contract.key), []
     if exists(spark, path):
         stored, old = _days_of(spark, path, contract, days)
         merged = upsert(stored.select(*staged.columns), staged, contract.key)

@@ -13,7 +13,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tillstream.functions.timebounds import TimeRange, in_range
-from tillstream.schemas import PRODUCT_PERFORMANCE, REALTIME_METRICS, TRANSACTIONS, TRANSACTIONS_SUMMARY
+from tillstream.schemas import (CUSTOMER_SESSIONS, PRODUCT_PERFORMANCE, REALTIME_METRICS, TRANSACTIONS,
+                                TRANSACTIONS_SUMMARY)
 
 TIME_COLUMN = {
     TRANSACTIONS_SUMMARY.name: ("window_start", "window_date"),
@@ -21,6 +22,7 @@ TIME_COLUMN = {
     PRODUCT_PERFORMANCE.name: ("window_start", "window_date"),
     REALTIME_METRICS.name: ("metric_time", "metric_date"),
     TRANSACTIONS.name: ("timestamp", "event_date"),
+    CUSTOMER_SESSIONS.name: ("session_start", "session_date"),
 }
 
 

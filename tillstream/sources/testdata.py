@@ -70,25 +70,34 @@ def event_time_between(start: dt.datetime, end: dt.datetime) -> Column:
 
 
 def event_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None,
-                   bad: bool = False, where: Column | None = None) -> DataFrame:
+                   bad: bool = False, where: Column | None = None, days_later: int = 0,
+                   items: bool = False) -> DataFrame:
     """The events (of ``rng``) as retail-transactions topic messages (``key``, ``value``).
 
     ``bad``: every 97th id has an unreadable timestamp, every 89th no store.
+    ``days_later``: the time in the message is that much later than the event's.
+    ``items``: each message has one item, its product and quantity from the ids.
     """
     ev = table(spark, sf_dir, "events")
     if rng is not None:
         ev = ev.where(_raw_range(F.col("ts"), rng))
     if where is not None:
         ev = ev.where(where)
-    time, store = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("event_type")
+    told = F.timestamp_add("DAY", F.lit(days_later), F.col("ts")) if days_later else F.col("ts")
+    time, store = F.date_format(told, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.col("event_type")
     if bad:
         time = F.when(F.col("event_id") % 97 == 0, F.lit("nope")).otherwise(time)
         store = F.when(F.col("event_id") % 89 != 0, store)
+    product = F.pmod("user_id", F.lit(50))
+    item = F.struct(F.concat(F.lit("p"), product).alias("product_id"), F.concat(F.lit("product "), product).alias("product_name"),
+                    F.lit("all").alias("category"), (F.pmod("event_id", F.lit(4)) + 1).cast("int").alias("quantity"),
+                    F.col("value").alias("total"))
     payload = F.struct(
         F.col("event_id").cast("string").alias("transaction_id"),
         time.alias("timestamp"),
         store.alias("store_id"),
         F.col("user_id").cast("string").alias("customer_id"),
+        *([F.array(item).alias("items")] if items else []),
         F.col("value").alias("total_amount"),
         F.col("value").alias("final_amount"),
     )
@@ -96,6 +105,41 @@ def event_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = Non
                      F.to_json(payload).alias("value"))
 
 
+def customer_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None = None) -> DataFrame:
+    """The events as customer-events topic messages: user_id -> customer_id, page_views and
+    session_duration from the id."""
+    ev = table(spark, sf_dir, "events")
+    if rng is not None:
+        ev = ev.where(_raw_range(F.col("ts"), rng))
+    payload = F.struct(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+        F.col("user_id").cast("string").alias("customer_id"),
+        F.col("event_type"),
+        F.concat(F.lit("s"), F.pmod("event_id", F.lit(10))).alias("store_id"),
+        F.pmod("event_id", F.lit(600)).cast("int").alias("session_duration"),
+        F.pmod("event_id", F.lit(5)).cast("int").alias("page_views"),
+    )
+    return ev.select(F.col("event_id").cast("string").alias("key"), F.to_json(payload).alias("value"))
+
+
+def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as inventory-updates topic messages: l_suppkey % 20 -> store_id, l_partkey -> product_id,
+    shipping date plus line number in hours -> timestamp, the quantity sold leaves the stock."""
+    lines = table(spark, sf_dir, "lineitem")
+    payload = F.struct(
+        F.format_string("%d-%d", "l_orderkey", "l_linenumber").alias("event_id"),
+        F.date_format(F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
+        F.pmod("l_suppkey", F.lit(20)).cast("string").alias("store_id"),
+        F.col("l_partkey").cast("string").alias("product_id"),
+        F.lit("sale").alias("event_type"),
+        (-F.col("l_quantity")).cast("int").alias("quantity_change"),
+        F.pmod(F.col("l_orderkey") * 7 + F.col("l_linenumber"), F.lit(500)).cast("int").alias("current_stock"),
+        F.pmod("l_partkey", F.lit(100)).cast("int").alias("reorder_level"),
+    )
+    return lines.select(F.col("l_orderkey").cast("string").alias("key"), F.to_json(payload).alias("value"))
+
+
 # --- star schema -> transactions with items --------------------------------
 
 def _order_time(orderkey: Column, orderdate: Column) -> Column:

@@ -14,13 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillstream.operators import windows
+from tillstream.operators import latest, sessions, windows
 from tillstream.session import configure_streaming
 from tillstream.functions.timebounds import TimeRange, in_range, parse_event_time, ts_literal
-from tillstream.schemas import PRODUCT_PERFORMANCE, REALTIME_METRICS, REQUIRED, TRANSACTIONS, TRANSACTIONS_SUMMARY, TableContract
+from tillstream.schemas import (PRODUCT_PERFORMANCE, REALTIME_METRICS, REQUIRED, STOCK_LEVELS, TRANSACTIONS,
+                                TRANSACTIONS_SUMMARY, TableContract)
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import stream_to_table
-from tillstream.sources.decode import transactions_from_messages
+from tillstream.sinks.versioned import VersionedTable
+from tillstream.sources.decode import parse_messages, transactions_from_messages
+from tillstream.streaming.decoded import decode_stream, decoded_source
 from tillstream.streaming.progress import ProgressLog
 
 # Trigger intervals of the three queries (store summary, products, metrics).
@@ -45,6 +48,12 @@ class StreamPaths:
     def progress(self, name: str) -> str:
         return f"{self.root}/progress/{name}"
 
+    def rollups(self, name: str) -> str:
+        return f"{self.root}/rollups/{name}"
+
+    def latency(self, name: str) -> str:
+        return f"{self.root}/latency/{name}"
+
 
 # What each stream decodes of a message (the store summary also checks all required fields).
 PRODUCT_FIELDS = ("timestamp", "items")
@@ -66,6 +75,45 @@ def metrics_stream(raw: DataFrame, watermark: str | None = windows.DEFAULT_WATER
                                            watermark=watermark)
 
 
+def store_panes_stream(raw: DataFrame, watermark: str | None = windows.DEFAULT_WATERMARK) -> DataFrame:
+    """The store summary from panes: two chained windowed aggregations (``pane_window_summary``)."""
+    tx = transactions_from_messages(raw, fields=REQUIRED["transactions"])
+    return windows.pane_window_summary(tx, watermark=watermark)
+
+
+def session_stream(raw: DataFrame, gap: str = sessions.DEFAULT_GAP, watermark: str = "1 minute") -> DataFrame:
+    """Customer sessions of the customer-events topic."""
+    return sessions.customer_sessions(parse_messages(raw, "customer_events"), gap, watermark)
+
+
+def stock_stream(raw: DataFrame) -> DataFrame:
+    """Latest stock of every store and product of the inventory topic (update mode)."""
+    return latest.stock_levels(parse_messages(raw, "inventory"))
+
+
+#: Hash buckets of the stock table.
+STOCK_BUCKETS = 64
+
+
+def stock_table(spark: SparkSession, paths: StreamPaths, buckets: int = STOCK_BUCKETS) -> VersionedTable:
+    """The keyed stock table: a key's bucket is rewritten when its stock has changed."""
+    part = F.format_string("%04d", F.pmod(F.xxhash64(*STOCK_LEVELS.key), F.lit(buckets)))
+    return VersionedTable(spark, paths.table(STOCK_LEVELS.name), STOCK_LEVELS, part)
+
+
+def run_stock(raw: DataFrame, paths: StreamPaths, trigger: dict | None = None, name: str = "stock_levels",
+              buckets: int = STOCK_BUCKETS) -> StreamingQuery:
+    """Keep the stock table up to date: each micro-batch's changed keys replace their rows, in
+    one commit that also names the batch, so a replayed batch changes nothing."""
+    spark = raw.sparkSession
+    configure_streaming(spark)
+    table = stock_table(spark, paths, buckets)
+    return (stock_stream(raw).writeStream.outputMode("update").queryName(name)
+            .option("checkpointLocation", paths.checkpoint(name))
+            .foreachBatch(lambda batch, batch_id: table.merge(batch, name, batch_id) and None)
+            .trigger(**(trigger or TRIGGERS["store_window_summary"])).start())
+
+
 RAW_COLUMNS = ("transaction_id", "timestamp", "store_id", "customer_id", "customer_type",
                "total_amount", "payment_method", "discount_applied", "final_amount")
 
@@ -163,22 +211,57 @@ def start_retail_streams(spark: SparkSession, source: Callable[[], DataFrame], p
     return [log.query for log in started]
 
 
+def start_decoded_streams(raw: DataFrame, paths: StreamPaths, triggers: dict[str, dict] | None = None,
+                          logs: list[ProgressLog] | None = None) -> list[StreamingQuery]:
+    """T9 with one parse: a decoding stream over the topic, and the three aggregating
+    streams on its table, each with its own checkpoint and the same outputs as
+    ``start_retail_streams``."""
+    spark = raw.sparkSession
+    triggers = {**TRIGGERS, **(triggers or {})}
+    first = run_to_parquet(decode_stream(raw), paths.table("decoded"), paths.checkpoint("decoded"),
+                           triggers.get("decoded", TRIGGERS["store_window_summary"]), query_name="decoded")
+    return [first, *start_from_decoded(spark, paths, triggers, logs)]
+
+
+def start_from_decoded(spark: SparkSession, paths: StreamPaths, triggers: dict[str, dict],
+                       logs: list[ProgressLog] | None = None) -> list[StreamingQuery]:
+    """The three aggregating streams on the decoded table."""
+    jobs = [
+        ("store_window_summary", windows.store_window_summary, TRANSACTIONS_SUMMARY),
+        ("product_window_performance", lambda tx: windows.product_window_performance(windows.explode_items(tx)), PRODUCT_PERFORMANCE),
+        ("realtime_window_metrics", lambda tx: metrics_long(windows.realtime_window_metrics(tx)), REALTIME_METRICS),
+    ]
+    started = [start_stream(build(decoded_source(spark, paths.table("decoded"))), paths, contract, name, triggers[name])
+               for name, build, contract in jobs]
+    if logs is not None:
+        logs.extend(started)
+    return [log.query for log in started]
+
+
+def drain(queries: list[StreamingQuery]) -> None:
+    """Wait until running queries have handled everything available (their closing windows included), then stop them."""
+    for query in queries:
+        query.processAllAvailable()
+    for query in queries:
+        query.stop()
+
+
 def start_stream(df: DataFrame, paths: StreamPaths, contract: TableContract, name: str,
-                 trigger: dict | None = None) -> ProgressLog:
+                 trigger: dict | None = None, also: tuple = ()) -> ProgressLog:
     """One stream into its stored table, with its progress log (whose ``query`` it is)."""
     log = ProgressLog(df.sparkSession, paths.progress(contract.name))
     stream_to_table(df, paths.table(contract.name), paths.checkpoint(contract.name), contract, trigger,
-                    name, insert_only=contract is TRANSACTIONS, progress=log)
+                    name, insert_only=contract is TRANSACTIONS, progress=log, also=also)
     return log
 
 
 def catch_up(df: DataFrame, paths: StreamPaths, contract: TableContract, name: str,
-             state_partitions: int | None = None) -> ProgressLog:
+             state_partitions: int | None = None, also: tuple = ()) -> ProgressLog:
     """``start_stream`` over everything available now, to its end (see ``run_until_caught_up``)."""
     from tillstream.session import temporary_conf
     conf = {"spark.sql.shuffle.partitions": str(state_partitions)} if state_partitions else {}
     with temporary_conf(df.sparkSession, conf):
-        log = start_stream(df, paths, contract, name, {"availableNow": True})
+        log = start_stream(df, paths, contract, name, {"availableNow": True}, also)
         log.finish()
     return log
 

@@ -55,6 +55,38 @@ def test_rules_are_filed_under_their_rarest_token():
     assert U.Rule("", "||a.b/cd", "block").tokens == ["a", "b"]  # 'cd' may go on
 
 
+PATTERNS = ["||a.b/cd", "|http", "end|", "||x.y|", "*.gif^", "^ads^", "a+b(c)[d]{e}$f?g", "||", "|", "*", "^", "sp ace~é", "||net/", "-x-|"]
+
+
+def test_table_rules_compile_like_listed_ones(spark):
+    rules = [U.Rule(p, p, "block") for p in PATTERNS]
+    made = U.rule_frame(spark, rules).select("pattern", U.regex_of(U.F.col("pattern")).alias("regex"), U.tokens_of(U.F.col("pattern")).alias("tokens"))
+    subjects = ["a.b/cd", "x.a.b/cde", "http", "the end", "x.y", "z.x.y", "q.x.y/", "p.gif", "p.gifx", "ads", "my-ads/", "a+b(c)[d]{e}$f?g",
+                "", "sp ace~é", "a.net/", "-x-", "-x-y", "http//|end"]
+    for r in made.collect():
+        rule = U.Rule(r.pattern, r.pattern, "block")
+        assert r.tokens == rule.tokens, r.pattern
+        for x in subjects:
+            assert bool(re.search(r.regex, x)) == bool(re.search(rule.regex, x)), (r.pattern, x)
+
+
+def test_ties_and_a_table_of_thousands(spark):
+    """Equal lengths go to the greater rule; the joined form finds what every rule by itself finds."""
+    listed = [U.Rule(f"||h{i % 90}.ex/{d}^", f"||h{i % 90}.ex/{d}^", "block" if i % 3 else "allow") for i, d in enumerate(range(2500))]
+    listed += [U.Rule(t, t, "block") for t in ("||t.ex/a*", "||t.ex/*b", "||t.ex/ab", "*zz*")]
+    urls = [f"http://s.h{i % 90}.ex/{i}" for i in range(0, 2500, 50)] + ["http://t.ex/ab", "http://u.ex/zzz", "http://h1.ex/12", None, "x"]
+    got = {r.page_id: (r.pattern, r.verdict) for r in U.judge_urls(
+        frame(spark, urls), pattern_rules=(), rule_table=U.rule_frame(spark, listed + listed[:5])).collect()}
+    nothing = U.rule_frame(spark, [U.Rule(None, None, "block"), U.Rule("x", None, "block")])
+    assert U.judge_urls(frame(spark, urls), pattern_rules=(), rule_table=nothing).where("pattern is not null").count() == 0
+    for i, url in enumerate(urls):
+        subject = "".join(expected(url)[:2])
+        fits = [r for r in listed if re.search(r.regex, subject)]
+        best = max(fits, key=lambda r: (len(r.text), r.text), default=None)
+        assert got[i] == ((best.text, best.action) if best else (None, "allow")), url
+    assert got[urls.index("http://t.ex/ab")][0] == "||t.ex/ab"
+
+
 def brute(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
     lines = [x for x in (text or "").split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]

@@ -36,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import temporary_conf
 from .common import discard, written
 from .simhash import components
 
@@ -48,6 +49,8 @@ ROUNDS = 3
 LEAST_AGREEMENT = 0.6
 #: Nodes in a bucket up to which its pairs are compared as they are; rows of one representative a task.
 CROWDED, SALT_ROWS = 32, 1_000
+#: Pairs of texts that a worker is handed at once.
+TEXT_ROWS = 200
 #: Ratio between size classes.
 CLASS = 1.05
 
@@ -188,8 +191,9 @@ class _Verifier:
         held = copies.join(text("b"), "b").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
         met = (likely.join(copies, "b").withColumn("salt", F.pmod(F.xxhash64("a"), F.col("copies")).cast("int"))
                .select("a", "b", "salt").join(text("a"), "a").join(held.select("b", "salt", "text_b"), ["b", "salt"]))
-        out = written(met.sortWithinPartitions("b")
-                      .where(_linked(F.col("text_a"), F.col("text_b"), self.shingle, self.percent)).select("a", "b"), "linked")
+        with temporary_conf(pairs.sparkSession, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(TEXT_ROWS)}):
+            out = written(met.sortWithinPartitions("b")
+                          .where(_linked(F.col("text_a"), F.col("text_b"), self.shingle, self.percent)).select("a", "b"), "linked")
         discard(likely, copies)
         return out
 

@@ -20,6 +20,7 @@ result; other columns, also of the result's names, are not read.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict
@@ -44,6 +45,7 @@ TASK_SHIFT = 36
 
 #: Characters below are letters, digits or white space in every version of Unicode alike.
 _LATIN_END = "\u0250"
+_OTHER = re.compile(f"[{_LATIN_END}-\U0010ffff]")
 #: Units up to this length are cached whole where they hold other characters.
 _SHORT = 32
 
@@ -67,6 +69,30 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(rest)}
 
 
+def _two_bytes(ids: list[int]) -> bytes:
+    """Little-endian unsigned 16-bit ids."""
+    return struct.pack(f"<{len(ids)}H", *ids)
+
+
+class _Pieces(dict):
+    """Ids by piece, made where they are missing; two generations bound its size."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        self[piece] = ids
+        return ids
+
+    def turn(self) -> None:
+        self.old = dict(self)
+        self.clear()
+
+
 class PieceTokenizer:
     """Token ids of whole texts, through a cache of their pieces.
 
@@ -75,9 +101,9 @@ class PieceTokenizer:
     words do, so most come from the cache. Texts with characters whose class
     depends on the version of Unicode, or that spell a special token, are cut at
     single spaces between other characters (there the pattern always cuts), and
-    their units of that kind go to the tokenizer itself. The cache has two
-    generations of ``cache`` pieces: what is used again moves to the young one,
-    and the old one is dropped when the young one is full.
+    their units of that kind go to the tokenizer itself. What is used again moves
+    to the cache's young generation; the old one is dropped once the young one
+    holds ``cache`` pieces (and those of one text).
     """
 
     def __init__(self, path: str, cache: int = CACHE):
@@ -87,49 +113,41 @@ class PieceTokenizer:
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
+        self.space = self.letters[ord(" ")]
         self.pieces = _latin_pieces().findall
         self.limit = cache
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.known, self.units = _Pieces(self._merges), _Pieces(self._exact)
 
-    def _keep(self, text: str, ids: bytes) -> bytes:
-        if len(self.young) >= self.limit:
-            self.old, self.young = self.young, {}
-        self.young[text] = ids
-        return ids
+    def _exact(self, text: str) -> bytes:
+        return _two_bytes(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.young.get(piece)
-        if ids is None:
-            ids = self.old.get(piece)
-            if ids is None:
-                mapped = piece.encode().decode("latin-1").translate(self.letters)
-                ids = np.array([t.id for t in self.model.tokenize(mapped)], dtype="<u2").tobytes()
-            self._keep(piece, ids)
-        return ids
+    def _merges(self, piece: str) -> bytes:
+        """Ids of one piece of the pattern."""
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isascii() and word.isalnum():  # these bytes are written as themselves
+            mapped = piece if word is piece else self.space + word
+        else:
+            mapped = piece.encode().decode("latin-1").translate(self.letters)
+        return _two_bytes([t.id for t in self.model.tokenize(mapped)])
 
     def _plain(self, text: str) -> bool:
-        return max(text) < _LATIN_END and not any(s in text for s in self.special)
+        return (text.isascii() or not _OTHER.search(text)) and not any(s in text for s in self.special)
 
     def _latin(self, text: str) -> bytes:
-        pieces = self.pieces(text)
-        found = list(map(self.young.get, pieces))
-        if None in found:
-            found = [self._piece(p) if ids is None else ids for p, ids in zip(pieces, found)]
-        return b"".join(found)
+        return b"".join(map(self.known.__getitem__, self.pieces(text)))
 
     def _unit(self, unit: str) -> bytes:
         if self._plain(unit):
             return self._latin(unit)
-        ids = self.young.get(unit) or self.old.get(unit)
-        if ids is None:
-            ids = np.array(self.tokenizer.encode(unit, add_special_tokens=False).ids, dtype="<u2").tobytes()
-        return self._keep(unit, ids) if len(unit) <= _SHORT else ids
+        return self.units[unit] if len(unit) <= _SHORT else self._exact(unit)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as an array of unsigned 32-bit integers."""
         if not text:
             return np.empty(0, dtype="<u4")
+        for cache in (self.known, self.units):
+            if len(cache) >= self.limit:
+                cache.turn()
         ids = self._latin(text) if self._plain(text) else b"".join(
             [self._unit(space + unit) for space, unit in _merged(text.split(" ")) if space or unit])
         return np.frombuffer(ids, dtype="<u2").astype("<u4")

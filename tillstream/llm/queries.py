@@ -20,17 +20,33 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict of the host list and the pattern rules on every page's URL."""
+    """Verdict of the host list and the pattern rules on every page's URL.
+
+    The pattern rules are data: next to the fixed list, one rule for every
+    directory and number that the pages' paths begin with (thousands), of
+    which those of a hundredth block.
+    """
     pages = table(spark, sf_dir, "pages", "page_id", "url")
-    return url_filter.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "pattern")
+    return url_filter.judge_urls(pages, rule_table=directory_rules(pages)).select(
+        "page_id", "host", "path", "rule", "verdict", "pattern")
+
+
+def directory_rules(pages: DataFrame) -> DataFrame:
+    """Rules ``*/directory/number^`` (at the end of a word) for the paths of ``pages``."""
+    _, path = url_filter.url_parts(F.col("url"))
+    begins = F.regexp_extract(path, "^/[A-Za-z]+/[0-9]+", 0)
+    text = F.concat(F.lit("*"), F.col("begins"), F.lit("^"))
+    return (pages.select(begins.alias("begins")).where("begins <> ''").distinct()
+            .select(text.alias("text"), text.alias("pattern"),
+                    F.when(F.crc32(F.col("begins").cast("binary")) % 100 == 0, "block").otherwise("allow").alias("action"),
+                    F.lit(1).alias("tier")))
 
 
 def _op1_sql() -> str:
     rules = ", ".join(f"('{r.text}', '{r.regex[4:]}', '{r.action}', {r.tier})"
                       for r in (*url_filter.HOST_RULES, *url_filter.PATTERN_RULES))
     return rf"""
-WITH rules(txt, rx, action, tier) AS (VALUES {rules}),
-parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, row_number() OVER () AS rid,
          CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
   FROM pages),
@@ -39,6 +55,19 @@ split AS (
          translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
          regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
   FROM parts),
+begins AS (SELECT DISTINCT regexp_extract(path, '^/[A-Za-z]+/[0-9]+') AS b FROM split),
+bits AS (
+  SELECT b, 0 AS i, 4294967295::UBIGINT AS crc FROM begins WHERE b <> ''
+  UNION ALL
+  SELECT b, i + 1, list_reduce([xor(crc, ascii(b[i + 1])::UBIGINT), 1, 2, 3, 4, 5, 6, 7, 8]::UBIGINT[],
+                               lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::UBIGINT) ELSE c >> 1 END)
+  FROM bits WHERE i < length(b)),
+rules(txt, rx, action, tier) AS (
+  VALUES {rules}
+  UNION ALL
+  SELECT '*' || b || '^', '.*' || b || '(?:^|$|[^A-Za-z0-9])',
+         CASE WHEN xor(crc, 4294967295::UBIGINT) % 100 = 0 THEN 'block' ELSE 'allow' END, 1
+  FROM bits WHERE i = length(b)),
 hits AS (
   SELECT rid, tier, txt, action,
          row_number() OVER (PARTITION BY rid, tier ORDER BY length(txt) DESC, txt DESC) AS k

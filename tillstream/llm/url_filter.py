@@ -4,15 +4,18 @@ A rule is a pattern over ``host + path``. Its *literal tokens* are the
 alphanumeric runs that any matching URL must contain whole. Each rule is filed
 under the one of them that is rarest in the corpus (counted by a grouped
 aggregation), a URL's own tokens fetch the candidate rules, and only those run
-their regular expressions.
+their regular expressions. Rules come as a short list (compiled into one
+projection) or as a table of any size, whose patterns are compiled by column
+functions and which is joined by token.
 
 Pattern syntax: ``||`` anchors at a host label, ``|`` at the start or end,
 ``*`` matches anything, ``^`` a separator or an end; all else is literal.
 
 Defined results: a null URL or one without ``://`` has an empty host and path
 (no rule fits, verdict ``allow``); repeated rows are judged alike; longest rule
-wins, equal lengths go to the greater rule in code point order; an empty table
-or rule list is fine; clashing input columns are replaced by result columns.
+wins, equal lengths go to the greater rule in code point order; very long URLs
+are matched whole; an empty table or rule list is fine; rules without a text or
+pattern are left out; clashing input columns are replaced by result columns.
 """
 
 from __future__ import annotations
@@ -133,16 +136,52 @@ def _hits_inline(df: DataFrame, subject: str, index) -> DataFrame:
                          F.filter(fetched, lambda r: F.regexp_like(F.col(subject), r["regex"])))
 
 
-def _hits_joined(df: DataFrame, subject: str, index) -> DataFrame:
-    """Candidates by a join of the distinct subjects' tokens with the index table.
+#: ASCII punctuation to escape in a pattern (not ``*`` and ``^``).
+_SPECIAL = r"([\x20-\x29\x2B-\x2F\x3A-\x40\x5B-\x5D\x5F\x60\x7B-\x7E])"
+
+
+def regex_of(pattern: Column) -> Column:
+    """``Rule.regex`` as a column function."""
+    head = F.when(pattern.startswith("||"), F.lit(r"^(?:[^/]*\.)?")).when(pattern.startswith("|"), F.lit("^")).otherwise("")
+    body = F.regexp_replace(F.regexp_replace(pattern, r"^\|\|?", ""), r"\|$", "")
+    body = F.regexp_replace(F.regexp_replace(body, _SPECIAL, r"\\$1"), r"\*", ".*")
+    body = F.regexp_replace(body, r"\^", r"(?:^|\$|[^A-Za-z0-9])")
+    ends = pattern.endswith("|") & (F.length(F.regexp_replace(pattern, r"^\|\|?", "")) > 0)
+    return F.concat(F.lit("(?s)"), head, body, F.when(ends, "$").otherwise(""))
+
+
+def tokens_of(pattern: Column) -> Column:
+    """``Rule.tokens`` as a column function."""
+    bounded = F.regexp_replace(pattern, r"^\|\|", "|")
+    return F.regexp_extract_all(bounded, F.lit("(?<=[^*A-Za-z0-9])[A-Za-z0-9]+(?=[^*A-Za-z0-9])"), F.lit(0))
+
+
+def rule_frame(spark, rules) -> DataFrame:
+    """A list of rules as a table (text, pattern, action, tier)."""
+    return spark.createDataFrame([(r.text, r.pattern, r.action, r.tier) for r in rules],
+                                 "text string, pattern string, action string, tier int")
+
+
+def filed_rules(rules: DataFrame, urls: DataFrame, subject: str) -> DataFrame:
+    """(token, size, text, action, tier, regex): each rule under its rarest token in ``urls``."""
+    pattern = F.col("pattern")
+    made = (rules.where(F.col("text").isNotNull() & pattern.isNotNull()).distinct()
+            .select(F.length("text").alias("size"), "text", "action", "tier", regex_of(pattern).alias("regex"),
+                    tokens_of(pattern).alias("tokens")))
+    counts = (urls.select(F.explode(_tokens(F.col(subject))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")))
+    own = made.select("text", "tier", "action", "regex", "size", F.explode_outer("tokens").alias("token"))
+    return (own.join(counts, own.token == counts.t, "left").groupBy("size", "text", "action", "tier", "regex")
+            .agg(F.coalesce(F.min(F.when(F.col("token").isNotNull(), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")))["token"],
+                            F.lit("")).alias("token")))
+
+
+def _hits_joined(df: DataFrame, subject: str, filed: DataFrame) -> DataFrame:
+    """Candidates by a join of the distinct subjects' tokens with the filed rules.
 
     Only tokens that some rule is filed under survive the join. The best hits
     are maxima per subject (combined map-side), joined back by subject: the
     right side is unique and AQE splits a hot subject on the left.
     """
-    spark = df.sparkSession
-    rows = [(t, len(r.text), r.text, r.action, r.tier, r.regex) for t, rs in index.items() for r in rs]
-    filed = spark.createDataFrame(rows, "token string, size int, text string, action string, tier int, regex string")
     hit = F.struct("size", "text", "action", "tier", "regex")
     best = (
         df.select(F.col(subject).alias(f"{RESERVED}key")).distinct()
@@ -157,17 +196,24 @@ def _hits_joined(df: DataFrame, subject: str, index) -> DataFrame:
 
 
 def judge_urls(pages: DataFrame, url: str = "url", host_rules=HOST_RULES,
-               pattern_rules=PATTERN_RULES, inline_rules: int = INLINE_RULES) -> DataFrame:
+               pattern_rules=PATTERN_RULES, inline_rules: int = INLINE_RULES,
+               rule_table: DataFrame | None = None) -> DataFrame:
     """``pages`` with ``host``, ``path``, ``rule`` (host rule that won, or null),
     ``pattern`` (pattern rule that fits, or null) and ``verdict``: the host
-    rule's action, else the pattern's, else ``allow``."""
+    rule's action, else the pattern's, else ``allow``. ``rule_table``: further
+    rules (text, pattern, action, tier), of any number."""
     rules = [*host_rules, *pattern_rules]
     host, path = url_parts(F.col(url))
     subject = f"{RESERVED}subject"
     parts = pages.withColumns({f"{RESERVED}host": host, f"{RESERVED}path": path}) \
         .withColumn(subject, F.concat(f"{RESERVED}host", f"{RESERVED}path"))
-    index = build_index(rules, token_counts(parts, subject, rules))
-    hits = (_hits_inline if len(rules) <= inline_rules else _hits_joined)(parts, subject, index)
+    if rule_table is None and len(rules) <= inline_rules:
+        hits = _hits_inline(parts, subject, build_index(rules, token_counts(parts, subject, rules)))
+    else:
+        table = rule_frame(pages.sparkSession, rules)
+        if rule_table is not None:
+            table = table.unionByName(rule_table.select("text", "pattern", "action", F.col("tier").cast("int").alias("tier")))
+        hits = _hits_joined(parts, subject, filed_rules(table, parts, subject))
     best = lambda tier: F.array_max(F.filter(F.col(f"{RESERVED}hits"), lambda r: r["tier"] == tier))
     return (
         hits.withColumns({f"{RESERVED}rule": best(0), f"{RESERVED}pattern": best(1)})

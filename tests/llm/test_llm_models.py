@@ -1,6 +1,7 @@
 """Language ID, nearest neighbours and token counts: held-out accuracy, recall, exactness."""
 
 import random
+from decimal import ROUND_HALF_UP, Decimal
 
 import numpy as np
 import pytest
@@ -51,6 +52,62 @@ def test_evidence_is_fused(spark, trained):
     assert L.train(spark.createDataFrame([], "doc_id long, text string, lang string"))[0] == []
 
 
+def recomputed(pages, languages, model):
+    """Every page's log-posteriors from plain loops: counts without its own, each level leaning on the one above."""
+    import re
+    m, strength = L.MILLION, L.STRENGTH
+    seen = []
+    for key, url, html in pages:
+        rest = url.split("://", 1)[1] if url and "://" in url else ""
+        host = re.sub(r":\d*$", "", re.match("[^/?#]*", rest)[0].lower())
+        found = re.search(L._DECLARED, html or "")
+        text = L.TEXT_WEIGHT * model[L.trigrams(L.visible(html or ""))].sum(axis=0)
+        p = np.exp(text - text.max())
+        share = [int(Decimal(float(x) * m).quantize(Decimal(1), rounding=ROUND_HALF_UP)) for x in p / p.sum()]
+        seen.append((key, host, ".".join(host.split(".")[-2:]), host.split(".")[-1],
+                     found[1].lower() if found else "", text, np.array(share, dtype=float)))
+    total = sum(x[6] for x in seen)
+    sums = [{}, {}, {}, {}]
+    for x in seen:
+        for table, value in zip(sums, x[1:5]):
+            table[value] = table.get(value, 0) + x[6]
+    out = []
+    for key, host, domain, suffix, declared, text, own in seen:
+        whole = total - own
+        everything = whole.sum()
+        level = (whole + m) / (everything + m * len(languages))
+        for table, value in ((sums[1], domain), (sums[0], host)):
+            n = table[value] - own
+            level = (n + strength * m * level) / (n.sum() + strength * m)
+        logs = text + np.log(level)
+        for table, value in ((sums[3], declared), (sums[2], suffix)):
+            n = table[value] - own
+            usual = (n.sum() + m) / (everything + 2 * m)
+            logs = logs + np.log((n + strength * m * usual) / (whole + strength * m))
+        p = np.exp(logs - logs.max())
+        out.append((key, host, declared, languages[int(logs.argmax())], float((p / p.sum()).max()), float(np.sort(logs)[-1] - np.sort(logs)[-2])))
+    return out
+
+
+def test_fusion_against_plain_loops(spark):
+    """Priors, likelihoods and posteriors, leave-one-out included, on whole small tables and on ties."""
+    docs, df = (spark.read.parquet(f"{SF001}/{t}.parquet") for t in ("documents", "pages"))
+    languages, model = L.train(docs)
+    pages = [(r.page_id, r.url, r.html) for r in df.collect()]
+    pages += [(9000, None, None), (9001, "http://b.x.org:8080/", ""), (9001, "http://b.x.org:8080/", ""), (None, "x", "<HTML lang=FR>")]
+    made = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3).withColumns(
+        {c: F.lit(1) for c in ("id", "scores", "domain", "lang", "probability")})
+    got = sorted((str(r.page_id), r.host, r.declared, r.lang, r.probability) for r in L.identify(made, languages, model).collect())
+    want = sorted(((str(k), h, d, lang, p, gap) for k, h, d, lang, p, gap in recomputed(pages, languages, model)), key=lambda x: x[:3])
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g[:3] == w[:3] and g[4] == pytest.approx(w[4], rel=1e-6)
+        assert g[3] == w[3] or w[5] < 1e-9
+    flat = np.zeros_like(model)  # nothing speaks for any language: a tie goes to the first one
+    tied = L.identify(made.where("page_id = 9000"), languages, flat).collect()
+    assert [r.lang for r in tied] == [languages[0]] and tied[0].probability == pytest.approx(1 / len(languages))
+
+
 def brute_neighbours(x, ids, k=20):
     out = {}
     for i in np.flatnonzero(ids % 20 == 0):

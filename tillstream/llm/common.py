@@ -46,9 +46,13 @@ def discard(*tables: DataFrame) -> None:
     For what a function has itself superseded; what its result reads must stay.
     """
     for df in tables:
-        spark, path = df.sparkSession, df._ts_path
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        remove(df.sparkSession, df._ts_path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

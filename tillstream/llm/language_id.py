@@ -16,7 +16,9 @@ Defined results: a null or empty page has no text evidence and is judged by
 the rest; a null address has an empty host, domain and suffix; no declaration
 is a declaration of its own ('') with its own likelihoods; repeated rows are
 judged alike; ties go to the language first in code point order; without
-labelled texts the language is null; an empty table gives an empty result.
+labelled texts the language is null; very long pages are read whole; an empty
+table gives an empty result; other columns, also of the result's names, are not
+read.
 """
 
 from __future__ import annotations

@@ -315,9 +315,12 @@ def link_components(docs: DataFrame, nodes: DataFrame, doc_id: str, text: str, s
     dense = (left.where(F.col("size") > crowded).select("nid", "label").distinct()
              .join(nodes.select("nid", "n"), "nid").join(texts, "nid"))
     small = _across(left.where(F.col("size") <= crowded), ["bucket"])
-    rare = prefix_pairs(dense, shingle, percent)
-    pairs = written(small.unionByName(rare).distinct(), "pairs_across")
-    discard(rare)
+    if dense.isEmpty():
+        pairs = written(small.distinct(), "pairs_across")
+    else:
+        rare = prefix_pairs(dense, shingle, percent)
+        pairs = written(small.unionByName(rare).distinct(), "pairs_across")
+        discard(rare)
     unite(verifier.confirmed(pairs))
     discard(members, texts, now, buckets, pairs, *edges)
     return labels

@@ -16,7 +16,8 @@ quarters of the other half, so no cell is compared whole.
 Defined results: a null or empty text has fingerprint zero, linked like any
 other; repeated rows share a fingerprint and a component; a null doc_id takes
 part but is never a component's id (a component of null ids only has a null
-id); an empty table gives an empty result.
+id); very long texts are hashed block by block; an empty table gives an empty
+result; near_duplicates reads no other columns, keep_one passes them through.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ the vocabulary has all byte pieces (else runs of unknowns are one piece).
 Text is cut at spaces as the metaspace rule does, so a segment is a word.
 
 Defined results: a null or empty text has 0 tokens and score 0; repeated rows
-are counted alike; null ids pass through; an empty table gives an empty result.
+are counted alike; null ids pass through; very long texts are counted whole, in
+memory proportional to one text; an empty table gives an empty result; the count
+is a column function, so other columns stay as they are.
 """
 
 from __future__ import annotations

@@ -17,7 +17,8 @@ Defined results: a null payload is an empty one; a null id is written empty
 and read back as null, and such a record is always a response; of rows that
 repeat id and payload, the first in archive order is the response and the
 others revisit it; control characters of a URL are percent-encoded and a null
-URL has no header; an empty table gives no archive and an empty result.
+URL has no header; a very long payload is one record, held whole; an
+empty table gives no archive and an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import written
+from .common import discard, remove, written
 
 #: Bytes of records, before compression, at which an archive is closed.
 ARCHIVE_BYTES = 32 << 20
@@ -294,11 +295,15 @@ def read(index: DataFrame) -> DataFrame:
 def store_and_read(df: DataFrame, record_id: str, url: str, payload: str, out_dir: str | None = None) -> DataFrame:
     """Dump, normalise with revisits, and read back through the index."""
     spark: SparkSession = df.sparkSession
-    out_dir = out_dir or scratch_path(spark, "llm", "warc")
+    scratch = None if out_dir else scratch_path(spark, "llm", "warc")
+    out_dir = out_dir or scratch
     kind = df.schema[record_id].dataType.simpleString()
     manifest = written(dump(df, f"{out_dir}/raw", record_id, url, payload), "manifest")
     index = written(normalise(manifest.select("archive").distinct(), f"{out_dir}/records",
                               revisits(manifest, order=kind)), "warc_index")
+    discard(manifest)
+    if scratch:  # the index is written: nothing reads the archives as they came any more
+        remove(spark, f"{scratch}/raw")
     back: Column = F.col("id").cast(kind).alias(record_id)
     return read(index).select(back, "payload_bytes", "payload_digest", "record_type",
                               F.col("refers_to").cast(kind).alias("refers_to"))

@@ -15,7 +15,7 @@ from tillstream.operators.keyed import upsert
 from tillstream.schemas import TRANSACTIONS_SUMMARY
 from tillstream.sinks.contracts import conform
 from tillstream.sinks.export import export_csv, export_json
-from tillstream.sinks.jdbc import JdbcBatchWriter, jdbc_append, jdbc_insert_if_absent, jdbc_options, jdbc_read
+from tillstream.sinks.jdbc import _execute, JdbcBatchWriter, jdbc_append, jdbc_insert_if_absent, jdbc_options, jdbc_read
 from tillstream.sinks.parquet import IdempotentBatchWriter, write_table
 from tillstream.sources.tables import read_summary
 from tillstream.plans import plan_text
@@ -95,13 +95,17 @@ def test_jdbc_insert_if_absent_on_embedded_derby(spark, scratch):
     opts = jdbc_options(url, "TRANSACTIONS_SUMMARY", driver="org.apache.derby.jdbc.EmbeddedDriver")
     base = _summary(spark, [(T0, T0, "s", 1, 1.0, 1.0, 1)]).select(
         "window_start", "store_id", F.col("total_transactions"))
+    _execute(spark, opts, 'CREATE TABLE TRANSACTIONS_SUMMARY ("window_start" TIMESTAMP, "store_id" VARCHAR(50), '
+                          '"total_transactions" BIGINT, PRIMARY KEY ("window_start", "store_id"))')
     jdbc_append(base, opts)
     batch = _summary(spark, [(T0, T0, "s", 9, 1.0, 1.0, 1), (T0, T0, "u", 2, 1.0, 1.0, 1)]).select(
         "window_start", "store_id", "total_transactions")
-    JdbcBatchWriter(opts, ["window_start", "store_id"], time_column="window_start")(batch, 0)
-    jdbc_insert_if_absent(batch, opts, ["window_start", "store_id"], time_column="window_start")
-    rows = {r.store_id: r.total_transactions for r in jdbc_read(spark, opts).collect()}
-    assert rows == {"s": 1, "u": 2}
+    JdbcBatchWriter(opts, ["window_start", "store_id"])(batch, 0)
+    jdbc_insert_if_absent(batch, opts, ["window_start", "store_id"])
+    twice = batch.unionByName(batch.where("store_id = 'u'").withColumn("store_id", F.lit("v"))).unionByName(batch)
+    jdbc_insert_if_absent(twice.repartition(4), opts, ["window_start", "store_id"])
+    stored = jdbc_read(spark, opts).collect()
+    assert sorted((r.store_id, r.total_transactions) for r in stored) == [("s", 1), ("u", 2), ("v", 2)]
 
 
 def test_merge_touches_only_batch_days_and_is_idempotent(spark, scratch):

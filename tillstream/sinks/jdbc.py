@@ -3,18 +3,20 @@
 Errors are not swallowed: a failed write fails the micro-batch, and the
 stream retries it from its checkpoint. A JDBC table has no partition
 overwrite, so a replay-safe batch write appends only the keys the table does
-not hold yet (the stored keys are read back for the batch's time range only,
-with the range pushed into the database query).
+not hold yet: all tasks write the batch into a staging table, and one statement
+inserts from there what is absent. The database compares the keys (no stored key
+is read back), and the statement is one transaction, so of two writers the
+table's own key decides.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from tillstream.functions.timebounds import TimeRange, in_range
-from tillstream.operators.keyed import insert_if_absent
+from tillstream.operators.keyed import one_per_key
 
 
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
@@ -52,30 +54,48 @@ def jdbc_read(spark: SparkSession, options: dict[str, str], partition_column: st
     return reader.load()
 
 
-def jdbc_insert_if_absent(batch: DataFrame, options: dict[str, str], key: Sequence[str],
-                          time_column: str | None = None) -> None:
-    """Append the batch rows whose key is not in the table yet."""
-    spark = batch.sparkSession
-    existing = jdbc_read(spark, options)
-    if time_column is not None:
-        bounds = batch.agg(F.min(time_column).alias("lo"), F.max(time_column).alias("hi")).first()
-        if bounds["lo"] is None:
-            return
-        rng = TimeRange(bounds["lo"], None)
-        existing = existing.where(in_range(time_column, rng) & (F.col(time_column) <= F.lit(bounds["hi"])))
-    existing = existing.select(*key)
-    jdbc_append(insert_if_absent(existing, batch, key), options)
+def _execute(spark: SparkSession, options: dict[str, str], *statements: str) -> None:
+    """Run statements one after the other over one connection of the driver."""
+    jvm = spark._jvm
+    if "driver" in options:
+        jvm.java.lang.Class.forName(options["driver"])
+    properties = jvm.java.util.Properties()
+    for name in ("user", "password"):
+        if name in options:
+            properties.setProperty(name, options[name])
+    connection = jvm.java.sql.DriverManager.getConnection(options["url"], properties)
+    try:
+        statement = connection.createStatement()
+        for sql in statements:
+            statement.executeUpdate(sql)
+        statement.close()
+    finally:
+        connection.close()
+
+
+def jdbc_insert_if_absent(batch: DataFrame, options: dict[str, str], key: Sequence[str]) -> None:
+    """Append the batch rows (one a key) whose key is not in the table yet.
+
+    The staging table takes its column types from the table, so keys compare as they do there.
+    """
+    spark, table = batch.sparkSession, options["dbtable"]
+    staging = f"{table}_staging_{uuid.uuid4().hex[:12]}"
+    quoted = lambda names: ", ".join(f'"{c}"' for c in names)
+    same = " AND ".join(f't."{c}" = s."{c}"' for c in key)
+    _execute(spark, options, f"CREATE TABLE {staging} AS SELECT {quoted(batch.columns)} FROM {table} WITH NO DATA")
+    try:
+        jdbc_append(one_per_key(batch, key), {**options, "dbtable": staging})
+        _execute(spark, options, f"INSERT INTO {table} ({quoted(batch.columns)}) SELECT {quoted(batch.columns)} FROM {staging} s "
+                                 f"WHERE NOT EXISTS (SELECT 1 FROM {table} t WHERE {same})")
+    finally:
+        _execute(spark, options, f"DROP TABLE {staging}")
 
 
 class JdbcBatchWriter:
     """``foreachBatch`` target: replay-safe insert-if-absent into a JDBC table."""
 
-    def __init__(self, options: dict[str, str], key: Sequence[str], time_column: str | None = None):
-        self.options, self.key, self.time_column = options, list(key), time_column
+    def __init__(self, options: dict[str, str], key: Sequence[str]):
+        self.options, self.key = options, list(key)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            jdbc_insert_if_absent(batch, self.options, self.key, self.time_column)
-        finally:
-            batch.unpersist()
+        jdbc_insert_if_absent(batch, self.options, self.key)

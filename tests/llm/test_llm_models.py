@@ -152,6 +152,27 @@ def test_recall_on_rows_outside_the_sample(spark):
     assert np.mean([len(set(got[q]) & set(truth[q])) / 20 for q in truth]) >= 0.94
 
 
+def test_partitions_keep_their_size_as_the_table_grows(spark, monkeypatch):
+    """Clustered vectors at two sizes, far more leaves than one level has: recall holds, and so does the work a query."""
+    rng = np.random.default_rng(5)
+    seen = []
+    for n in (4000, 16_000):
+        centres = rng.normal(size=(n // 100, 16))
+        x = centres[rng.integers(len(centres), size=n)] + 0.15 * rng.normal(size=(n, 16))
+        x = (x / np.linalg.norm(x, axis=1, keepdims=True)).astype(np.float32)
+        ids = np.arange(n)
+        filed = []
+        monkeypatch.setattr(A, "probes_over_all", lambda router, *rest, f=A.probes_over_all: filed.append(router.parts) or f(router, *rest))
+        df = table(spark, x, ids).repartition(4)
+        got = found(A.search(df, lambda i: i % 20 == 0, partition_rows=100, most_partitions=8, sample_rows=1500, second_rows=1000))
+        monkeypatch.undo()
+        truth = brute_neighbours(x.astype(np.float64), ids)
+        assert np.mean([len(set(got[q]) & set(truth[q])) / 20 for q in truth]) >= 0.9
+        assert filed[0] > 8 and filed[0] >= n / 400
+        seen.append(filed[0])
+    assert seen[1] > 1.5 * seen[0]
+
+
 def test_clustered_vectors_need_few_partitions(spark):
     rng = np.random.default_rng(1)
     centres = rng.normal(size=(16, 24))

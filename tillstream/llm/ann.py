@@ -9,6 +9,11 @@ many partitions are probed is calibrated to a recall target: on held-out
 sample vectors, and by rows that the router has not seen against all rows of
 the table; the larger number counts.
 
+Partitions keep their size as the table grows: beyond ``MOST_PARTITIONS`` of
+them, each is cut again, by the same method on a bounded sample of its own rows
+(fitted in parallel, one task each), and a vector is routed to leaves by the
+product of both levels' probabilities.
+
 Partitions are scored in blocks: a partition of more rows than a block is
 split by id, so copies of one vector (all in one partition) are spread over
 tasks, and its queries are split likewise. A task holds one block of each. Only
@@ -28,6 +33,7 @@ gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -37,10 +43,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
-#: Rows the index is fitted on (about; all rows of smaller tables), and rows a partition is meant to have.
-SAMPLE_ROWS, PARTITION_ROWS, MOST_PARTITIONS = 16_384, 640, 256
+#: Rows the index is fitted on (about; all rows of smaller tables), rows a partition is meant to have,
+#: partitions of a level, and rows that a partition's second level is fitted on (about).
+SAMPLE_ROWS, PARTITION_ROWS, MOST_PARTITIONS, SECOND_ROWS = 16_384, 640, 256, 8_192
 #: Graph neighbours, share of the sample held out, recall aimed at on it.
 NEIGHBOURS, HELD_OUT, RECALL = 20, 0.1, 0.95
 #: Rows outside the sample (about) whose neighbours among all rows calibrate the search.
@@ -149,6 +156,65 @@ class Router:
         return np.argsort(-self.scores(x), axis=1, kind="stable")
 
 
+def _log_softmax(z: np.ndarray) -> np.ndarray:
+    z = z - z.max(1, keepdims=True)
+    return z - np.log(np.exp(z).sum(1, keepdims=True))
+
+
+@dataclass
+class Tree:
+    """A router, and one within each of its partitions; leaves are numbered through."""
+    coarse: Router
+    within: list[Router]
+
+    @staticmethod
+    def flat(router: Router) -> Tree:
+        return Tree(router, [Router.single(len(router.layers[0]))] * router.parts)
+
+    @property
+    def firsts(self) -> np.ndarray:
+        """Number of each partition's first leaf, and the number of leaves."""
+        return np.concatenate([[0], np.cumsum([r.parts for r in self.within])])
+
+    @property
+    def parts(self) -> int:
+        return int(self.firsts[-1])
+
+    def file(self, x: np.ndarray) -> np.ndarray:
+        """The leaf of each vector: the most probable one of its most probable partition."""
+        part, firsts = self.coarse.scores(x).argmax(1), self.firsts
+        out = firsts[part]
+        for p in np.unique(part):
+            if self.within[p].parts > 1:
+                out[part == p] += self.within[p].scores(x[part == p]).argmax(1)
+        return out
+
+    def ranked(self, x: np.ndarray) -> np.ndarray:
+        """Leaves by falling probability."""
+        coarse = _log_softmax(self.coarse.scores(x))
+        leaves = [coarse[:, p:p + 1] + (_log_softmax(r.scores(x)) if r.parts > 1 else 0) for p, r in enumerate(self.within)]
+        return np.argsort(-np.concatenate(leaves, axis=1), axis=1, kind="stable")
+
+
+def second_level(filed: DataFrame, sizes: dict[int, int], parts: int, width: int, partition_rows: int,
+                 second_rows: int, recall: float) -> list[Router]:
+    """A router within each of ``parts`` partitions of ``filed`` (part, vec, row), from a bounded sample of its rows."""
+    spark, grain = filed.sparkSession, 1 << 30
+    wanted = {p: min(MOST_PARTITIONS, 1 << max(0, (n - 1) // partition_rows).bit_length()) for p, n in sizes.items()}
+    share = spark.createDataFrame([(p, int(grain * min(1.0, second_rows / n))) for p, n in sizes.items()], "part int, share long")
+
+    def fit(rows: pa.Table) -> pa.Table:
+        part = rows.column("part")[0].as_py()
+        router, _ = fit_router(_matrix(rows, width).astype(np.float32), wanted[part], recall)
+        return pa.table({"part": [part], "layers": [pickle.dumps(router.layers)]},
+                        schema=pa.schema([("part", pa.int32()), ("layers", pa.binary())]))
+
+    drawn = filed.join(F.broadcast(share), "part").where(F.pmod(F.xxhash64("row", F.lit(1)), F.lit(grain)) < F.col("share"))
+    found = drawn.select("part", "vec").groupBy("part").applyInArrow(fit, "part int, layers binary").collect()  # one a partition
+    made = {r["part"]: Router(pickle.loads(r["layers"])) for r in found}
+    return [made.get(p, Router.single(width)) for p in range(parts)]
+
+
 def fit_router(sample: np.ndarray, parts: int, recall: float = RECALL, seed: int = 7) -> tuple[Router, int]:
     """(router, partitions to probe) from a sample of vectors, one per row.
 
@@ -215,7 +281,7 @@ def best_in_block(queries: np.ndarray, own_rows: np.ndarray, bounds: np.ndarray,
             yield pick[order], exact[order]
 
 
-def probes_over_all(router: Router, filed: DataFrame, unseen: DataFrame, k: int, recall: float) -> int:
+def probes_over_all(router: Tree, filed: DataFrame, unseen: DataFrame, k: int, recall: float) -> int:
     """Partitions to probe so that ``unseen`` rows (row, vec) find that share of their ``k`` nearest of all rows."""
     asked = unseen.toPandas()
     if asked.empty:
@@ -254,7 +320,8 @@ def probes_over_all(router: Router, filed: DataFrame, unseen: DataFrame, k: int,
 def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str = "vec_id",
            vector: str = "embedding", k: int = 20, recall: float = RECALL,
            partition_rows: int = PARTITION_ROWS, sample_rows: int = SAMPLE_ROWS,
-           block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES) -> DataFrame:
+           block_rows: int = BLOCK_ROWS, block_queries: int = BLOCK_QUERIES,
+           most_partitions: int = MOST_PARTITIONS, second_rows: int = SECOND_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: nearest found of every query row's vector.
 
     ``is_query``: condition on the id column that makes a row a query.
@@ -264,7 +331,7 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
     out = None
     for r in base.groupBy(F.size("vec").alias("width")).count().orderBy("width").collect():  # one row a vector length
         found = _search(base.where(F.size("vec") == r["width"]), int(r["count"]), r["width"], kind, is_query, k, recall,
-                        partition_rows, sample_rows, block_rows, block_queries)
+                        partition_rows, sample_rows, block_rows, block_queries, most_partitions, second_rows)
         out = found if out is None else out.unionByName(found)
     if out is None:
         return rows.sparkSession.createDataFrame([], f"query_id {kind}, rank int, `{vec_id}` {kind}, score double")
@@ -272,45 +339,59 @@ def search(rows: DataFrame, is_query: Callable[[Column], Column], vec_id: str =
 
 
 def _search(base: DataFrame, n: int, width: int, kind: str, is_query, k: int, recall: float,
-            partition_rows: int, sample_rows: int, block_rows: int, block_queries: int) -> DataFrame:
+            partition_rows: int, sample_rows: int, block_rows: int, block_queries: int,
+            most_partitions: int, second_rows: int) -> DataFrame:
     """(query_id, rank, id, score) among the ``n`` vectors (row, id, vec) of one length."""
-    parts = min(MOST_PARTITIONS, 1 << max(0, (max(n, 1) - 1) // partition_rows).bit_length())
-    if parts > 1:
+    leaves = 1 << max(0, (max(n, 1) - 1) // partition_rows).bit_length()
+    if leaves > 1:
         grain = 1 << 30
         drawn = F.pmod(F.xxhash64("row"), F.lit(grain))
         chosen = base.where(drawn < int(grain * min(1 - HELD_OUT, sample_rows / n)))
         unseen = base.where(drawn >= int(grain * (1 - min(HELD_OUT, CALIBRATION_ROWS / n))))
-        router, probes = fit_router(_stack(chosen.select("vec").toPandas()["vec"]), parts, recall)
-        parts = router.parts
+        coarse, probes = fit_router(_stack(chosen.select("vec").toPandas()["vec"]), min(leaves, most_partitions), recall)
+        router = Tree.flat(coarse)
     else:
-        router, probes = Router.single(width), 1
-
-    @F.pandas_udf("int")
-    def file_under(vectors: pd.Series) -> pd.Series:
-        return pd.Series(router.scores(_stack(vectors)).argmax(1).astype(np.int32)) if len(vectors) \
-            else pd.Series([], dtype="int32")
-
-    filed = written(base.withColumn("part", file_under("vec")), "filed")
+        router, probes = Tree.flat(Router.single(width)), 1
+
+    def filed_by(tree: Tree) -> DataFrame:
+        @F.pandas_udf("int")
+        def file_under(vectors: pd.Series) -> pd.Series:
+            return pd.Series(tree.file(_stack(vectors)).astype(np.int32)) if len(vectors) else pd.Series([], dtype="int32")
+
+        return written(base.withColumn("part", file_under("vec")), "filed")
+
+    def counted(df: DataFrame, parts: int) -> np.ndarray:
+        counts = np.zeros(parts, dtype=np.int64)
+        for r in df.groupBy("part").count().collect():  # one row a leaf
+            counts[r["part"]] = r["count"]
+        return counts
+
+    filed = filed_by(router)
+    if leaves > most_partitions and router.parts > 1:
+        by_part = counted(filed, router.parts)
+        held = {p: int(c) for p, c in enumerate(by_part) if c > partition_rows}
+        if held:
+            within = second_level(filed, held, router.parts, width, partition_rows, second_rows, recall)
+            router = Tree(coarse, within)
+            discard(filed)
+            filed = filed_by(router)
+    parts = router.parts
     if parts > 1:
         probes = max(probes, probes_over_all(router, filed, unseen.select("row", "vec"), k, recall))
-    sizes = np.zeros(parts, dtype=np.int64)
-    for r in filed.groupBy("part").count().collect():  # at most MOST_PARTITIONS rows
-        sizes[r["part"]] = r["count"]
+    sizes = counted(filed, parts)
 
     @F.pandas_udf("array<int>")
     def route(vectors: pd.Series) -> pd.Series:
         out = []
-        for order in router.ranked(_stack(vectors)) if len(vectors) else ():
-            enough = int(np.searchsorted(np.cumsum(sizes[order]), k + 1)) + 1
-            out.append(order[:max(probes, enough)].astype(np.int32))
+        for a in range(0, len(vectors), STEP):
+            for order in router.ranked(_stack(vectors[a:a + STEP])):
+                enough = int(np.searchsorted(np.cumsum(sizes[order]), k + 1)) + 1
+                out.append(order[:max(probes, enough)].astype(np.int32))
         return pd.Series(out, dtype=object)
 
     routed = written(base.where(is_query(F.col("id"))).select("*", F.posexplode(route("vec")).alias("pos", "part")),
                      "routed")
     row_blocks = np.maximum(1, -(-sizes // block_rows))
-    many = lambda counts: F.element_at(F.array(*[F.lit(int(c)) for c in counts]), F.col("part") + 1)
-    own = lambda counts: F.pmod(F.xxhash64("row"), many(counts)).cast("int")
-    every = lambda counts: F.explode(F.sequence(F.lit(0), many(counts) - 1))
     keys = ["part", "row_block", "query_block"]
 
     def rerank(q: pa.Table, v: pa.Table) -> pa.Table:
@@ -332,12 +413,14 @@ def _search(base: DataFrame, n: int, width: int, kind: str, is_query, k: int, re
 
     def best_of(queries: DataFrame) -> DataFrame:
         """Candidates of (row, id, vec, part, bound) rows, from blocks of their partitions."""
-        asked = np.zeros(parts, dtype=np.int64)
-        for r in queries.groupBy("part").count().collect():
-            asked[r["part"]] = r["count"]
-        query_blocks = np.maximum(1, -(-asked // block_queries))
-        row_side = filed.withColumn("row_block", own(row_blocks)).withColumn("query_block", every(query_blocks))
-        query_side = queries.withColumn("query_block", own(query_blocks)).withColumn("row_block", every(row_blocks))
+        query_blocks = np.maximum(1, -(-counted(queries, parts) // block_queries))
+        blocks = base.sparkSession.createDataFrame(  # one row a leaf
+            pd.DataFrame({"part": np.arange(parts, dtype=np.int32), "row_blocks": row_blocks, "query_blocks": query_blocks}))
+        own = lambda of: F.pmod(F.xxhash64("row"), F.col(of)).cast("int")
+        every = lambda of: F.explode(F.sequence(F.lit(0), F.col(of).cast("int") - 1))
+        row_side, query_side = (df.join(blocks, "part").withColumn(mine, own(f"{mine}s")).withColumn(other, every(f"{other}s"))
+                                .drop("row_blocks", "query_blocks")
+                                for df, mine, other in ((filed, "row_block", "query_block"), (queries, "query_block", "row_block")))
         # A stated number of partitions: few bytes make much work here, so blocks are not merged into few tasks.
         tasks = min(MOST_TASKS, int((row_blocks * query_blocks).sum()))
         spread = lambda df: df.repartition(tasks, *keys).groupBy(*keys)

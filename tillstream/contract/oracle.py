@@ -409,9 +409,9 @@ SELECT window_start, window_end, store_id, total_transactions, CAST(total_revenu
        CAST(avg_transaction_value AS DOUBLE) AS avg_transaction_value
 FROM summary WHERE window_end <= (SELECT MAX(ts) FROM events) - INTERVAL '1 minute'""",
 
-    "stream_progress": """SELECT 'store_window_summary' AS query_name, COUNT(*) AS input_rows, COUNT(*) AS total_records,
+    "stream_progress": f"""SELECT 'store_window_summary' AS query_name, COUNT(*) AS input_rows, COUNT(*) AS total_records,
        COUNT(*) FILTER (WHERE event_id % 97 <> 0 AND event_id % 89 <> 0) AS valid_records,
-       CAST(0 AS BIGINT) AS rows_dropped_by_watermark
+       COUNT(*) FILTER (WHERE {_in('ts', P.LATE_START, P.LATE_END)}) > 0 AS late_rows_dropped
 FROM events""",
 
     "processing_latency": """WITH d AS (

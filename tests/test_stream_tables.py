@@ -227,3 +227,24 @@ def test_open_windows_complete_the_table(spark, scratch):
     rows = {(r.window_start - T0, r.total_transactions, float(r.total_revenue), r.closed) for r in both.collect()}
     s = lambda n: dt.timedelta(seconds=n)
     assert rows == {(s(-30), 1, 2.0, True), (s(0), 2, 5.0, True), (s(30), 1, 3.0, True), (s(570), 1, 4.0, False), (s(600), 1, 4.0, False)}
+
+
+def test_entry_point_with_all_topics(spark, scratch):
+    from tillstream.streaming import run
+    items = [{"product_id": "p", "product_name": "n", "category": "c", "quantity": 2, "total": 2.0}]
+    put(f"{scratch}/sales", [sale("a", T0, 2.0, items=items)], [sale("z", T0 + dt.timedelta(hours=1), items=items)])
+    put(f"{scratch}/people", [{"event_id": e, "timestamp": (T0 + dt.timedelta(minutes=m)).isoformat(), "customer_id": "c", "page_views": 1}
+                              for e, m in (("1", 0), ("2", 5), ("3", 600))])
+    put(f"{scratch}/stock", [{"event_id": "1", "timestamp": T0.isoformat(), "store_id": "s", "product_id": "p", "current_stock": 1, "reorder_level": 2}])
+    base = ["--source", "files", "--input", f"{scratch}/sales", "--root", f"{scratch}/out", "--once"]
+    queries = run.main([*base, "--decode-once", "--customer-events", f"{scratch}/people", "--inventory", f"{scratch}/stock"], spark)
+    assert len(queries) == 6 and not any(q.isActive for q in queries)
+    paths = jobs.StreamPaths(f"{scratch}/out")
+    assert read_summary(spark, paths.table(TRANSACTIONS_SUMMARY.name)).count() == 2
+    assert read_table(spark, paths.table("product_performance"), "product_performance").first().quantity_sold == 2
+    [session] = read_table(spark, paths.table(CUSTOMER_SESSIONS.name), CUSTOMER_SESSIONS.name).collect()
+    assert (session.events, session.duration_us) == (2, 300_000_000)
+    assert [r.reorder for r in jobs.stock_table(spark, paths).read().collect()] == [True]
+    for wrong in ([*base, "--inventory"], [*base, "--decode-once", "--raw-transactions"]):
+        with pytest.raises(SystemExit):
+            run.main(wrong, spark)

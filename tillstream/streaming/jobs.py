@@ -218,14 +218,19 @@ def start_decoded_streams(raw: DataFrame, paths: StreamPaths, triggers: dict[str
     ``start_retail_streams``."""
     spark = raw.sparkSession
     triggers = {**TRIGGERS, **(triggers or {})}
-    first = run_to_parquet(decode_stream(raw), paths.table("decoded"), paths.checkpoint("decoded"),
-                           triggers.get("decoded", TRIGGERS["store_window_summary"]), query_name="decoded")
+    trigger = triggers.get("decoded", TRIGGERS["store_window_summary"])
+    first = run_to_parquet(decode_stream(raw), paths.table("decoded"), paths.checkpoint("decoded"), trigger, query_name="decoded")
+    if "availableNow" in trigger:  # the others see what is decoded when they start
+        first.awaitTermination()
     return [first, *start_from_decoded(spark, paths, triggers, logs)]
 
 
 def start_from_decoded(spark: SparkSession, paths: StreamPaths, triggers: dict[str, dict],
                        logs: list[ProgressLog] | None = None) -> list[StreamingQuery]:
-    """The three aggregating streams on the decoded table."""
+    """The three aggregating streams on the decoded table (whose folder may still be empty)."""
+    from tillstream.sinks.parquet import _file_system
+    place, files = _file_system(spark, paths.table("decoded"))
+    files.mkdirs(place)
     jobs = [
         ("store_window_summary", windows.store_window_summary, TRANSACTIONS_SUMMARY),
         ("product_window_performance", lambda tx: windows.product_window_performance(windows.explode_items(tx)), PRODUCT_PERFORMANCE),

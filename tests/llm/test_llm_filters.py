@@ -48,6 +48,13 @@ def test_long_and_no_urls(spark):
     assert U.judge_urls(frame(spark, ["http://a.net/"]), host_rules=(), pattern_rules=()).first().verdict == "allow"
 
 
+def test_no_python_in_the_joined_form(spark):
+    from conftest import SF001
+    from tillstream.llm.queries import QUERIES
+    plan = QUERIES["op1_url_filters"](spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ExistingRDD" not in plan
+
+
 def test_rules_are_filed_under_their_rarest_token():
     rules = [U.Rule("||common.rare.example/", "||common.rare.example/", "block"), U.Rule("*x*", "*x*", "block")]
     index = U.build_index(rules, {"common": 9, "rare": 1, "example": 5})

@@ -206,12 +206,13 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     pairs = prints.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n"))
     placed = written(pairs.join(of, "fp").select("id", "fp", "n", "component"), "placed")
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id").alias("id"), F.col("fp").alias("fp")))
-    kept = placed.groupBy(F.col("component").alias("c")).agg(first.alias("first"))
+    kept = placed.groupBy("component").agg(first.alias("first")).select(
+        F.col("first.id").alias("kept_id"), F.col("first.fp").alias("kept_fp"))
     rows = placed.groupBy(F.col("id").alias("of_id")).agg(F.sum("n").alias("rows")).where("rows > 1")
-    stays = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("fp") == F.col("first.fp"))
-    judged = written(placed.join(kept, F.col("component") == F.col("c"))
+    # Met by row, not by component: a large component is not one task's.
+    judged = written(placed.join(kept, F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("fp") == F.col("kept_fp")), "left")
                      .join(rows, F.col("id").eqNullSafe(F.col("of_id")), "left")
-                     .select("id", "fp", stays.alias("stays"), F.col("rows").isNotNull().alias("shared"))
+                     .select("id", "fp", F.col("kept_fp").isNotNull().alias("stays"), F.col("rows").isNotNull().alias("shared"))
                      .where("shared or not stays"), "judged")
     discard(prints, of, placed)
     gone = judged.select("id").distinct()

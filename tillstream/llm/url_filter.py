@@ -31,6 +31,8 @@ from .common import RESERVED
 
 #: Up to this many rules the index is a literal of the projection; beyond, a joined table.
 INLINE_RULES = 64
+#: Tasks that the rows of one token are spread over.
+SALTS = 16
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TOKEN_SPLIT = "[^A-Za-z0-9]+"
 
@@ -158,8 +160,19 @@ def tokens_of(pattern: Column) -> Column:
 
 def rule_frame(spark, rules) -> DataFrame:
     """A list of rules as a table (text, pattern, action, tier)."""
-    return spark.createDataFrame([(r.text, r.pattern, r.action, r.tier) for r in rules],
-                                 "text string, pattern string, action string, tier int")
+    fields = "text string, pattern string, action string, tier int"
+    rows = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in (
+        ("text", r.text), ("pattern", r.pattern), ("action", r.action), ("tier", r.tier))]) for r in rules])
+    return spark.range(1).select(F.explode(rows.cast(f"array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>"))
+                                 .alias("rule")).select("rule.*")
+
+
+def _spread(many: DataFrame, few: DataFrame, token: str, unique: str, how: str) -> DataFrame:
+    """``many`` joined with ``few`` by ``token``; a token's rows of ``many`` are dealt to several tasks by ``unique``."""
+    salt = f"{RESERVED}salt"
+    dealt = many.withColumn(salt, F.pmod(F.xxhash64(unique), F.lit(SALTS)).cast("int"))
+    copied = few.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return dealt.join(copied, [token, salt], how).drop(salt)
 
 
 def filed_rules(rules: DataFrame, urls: DataFrame, subject: str) -> DataFrame:
@@ -168,9 +181,10 @@ def filed_rules(rules: DataFrame, urls: DataFrame, subject: str) -> DataFrame:
     made = (rules.where(F.col("text").isNotNull() & pattern.isNotNull()).distinct()
             .select(F.length("text").alias("size"), "text", "action", "tier", regex_of(pattern).alias("regex"),
                     tokens_of(pattern).alias("tokens")))
-    counts = (urls.select(F.explode(_tokens(F.col(subject))).alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")))
     own = made.select("text", "tier", "action", "regex", "size", F.explode_outer("tokens").alias("token"))
-    return (own.join(counts, own.token == counts.t, "left").groupBy("size", "text", "action", "tier", "regex")
+    counts = (urls.select(F.explode(_tokens(F.col(subject))).alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+              .join(own.select("token").distinct(), "token"))
+    return (_spread(own, counts, "token", "regex", "left").groupBy("size", "text", "action", "tier", "regex")
             .agg(F.coalesce(F.min(F.when(F.col("token").isNotNull(), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token")))["token"],
                             F.lit("")).alias("token")))
 
@@ -183,10 +197,10 @@ def _hits_joined(df: DataFrame, subject: str, filed: DataFrame) -> DataFrame:
     right side is unique and AQE splits a hot subject on the left.
     """
     hit = F.struct("size", "text", "action", "tier", "regex")
+    fetching = df.select(F.col(subject).alias(f"{RESERVED}key")).distinct().withColumn(
+        "token", F.explode(_tokens(F.col(f"{RESERVED}key"))))
     best = (
-        df.select(F.col(subject).alias(f"{RESERVED}key")).distinct()
-        .withColumn("token", F.explode(_tokens(F.col(f"{RESERVED}key"))))
-        .join(filed, "token")
+        _spread(fetching, filed, "token", f"{RESERVED}key", "inner")
         .where(F.regexp_like(F.col(f"{RESERVED}key"), F.col("regex")))
         .groupBy(f"{RESERVED}key")
         .agg(F.array_compact(F.array(F.max(F.when(F.col("tier") == 0, hit)),

@@ -23,7 +23,7 @@ from tillstream.session import configure, default_parallelism, scratch_path, tem
 from tillstream.sinks.contracts import REJECT_REASON, conform
 from tillstream.sinks.export import export_csv, export_json
 from tillstream.sinks.metrics import metrics_long
-from tillstream.sinks.parquet import merge_into_table, write_table
+from tillstream.sinks.parquet import IdempotentBatchWriter, merge_into_table, write_table
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
 from tillstream.sources.streams import text_stream
@@ -515,11 +515,12 @@ def q_merged_latency(spark, sf):
 
 
 def _rollups(spark, sf) -> hierarchy.RollupLog:
-    """Pre-aggregates of the summary, added in two batches."""
+    """Pre-aggregates of the summary, kept by the table's writer over two batches."""
     log = hierarchy.RollupLog(scratch_path(spark, "rollups"))
+    writer = IdempotentBatchWriter(scratch_path(spark, "tables", "with_rollups"), TRANSACTIONS_SUMMARY, also=(log,))
     middle = P.STREAM_SLICE_BOUNDS[1]
     for batch_id, rng in enumerate((TimeRange(None, middle), TimeRange(middle, None))):
-        log.add(event_summary(spark, sf, rng), batch_id)
+        writer(event_summary(spark, sf, rng), batch_id)
     return log
 
 

@@ -5,7 +5,7 @@ file, with a Parquet bloom filter on the key. A micro-batch reads the buckets of
 its own keys; these are pushed to the scans in lists that the Parquet reader can
 take, and it skips every row group whose bloom filter holds none of them: a probe
 costs what may match, not what is stored, and no day plays a part. Only a batch
-of more keys than all lists hold (about 25,000) reads its buckets whole; such
+of more keys than all lists hold (about 6,000) reads its buckets whole; such
 backlogs are rare, and triggers bound them.
 
 A replayed micro-batch leaves its own entries out and writes them again. Keys
@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tillstream.session import temporary_conf
 
-BUCKETS = 64
+BUCKETS = 32
 #: Keys pushed to one scan (the reader nests them, so a list must stay short), and scans a probe is made of.
-PUSHED_KEYS, SCANS = 200, 128
+PUSHED_KEYS, SCANS = 200, 32
 #: Distinct keys a bloom filter is sized for (about 1 % false positives).
 KEYS_PER_FILE = 1_000_000
 BASE = -1

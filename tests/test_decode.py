@@ -96,3 +96,12 @@ def test_reject_reasons(spark):
     ])
     got = {r.reason: r.messages for r in reject_reasons(parsed).collect()}
     assert got == {"unparseable": 3, "missing customer_id": 1, "bad timestamp": 1}
+
+
+def test_a_condition_on_decoded_columns_does_not_parse_the_text_again(spark):
+    raw = spark.createDataFrame([('{"event_id": "1", "timestamp": "2024-01-01T00:00:00", "store_id": "s", "product_id": "p"}',),
+                                 ("{bad",), (None,), ("",), ("[1]",)], "value string")
+    told = parse_messages(raw, "inventory").where("store_id IS NOT NULL AND product_id IS NOT NULL AND event_time IS NOT NULL")
+    assert told._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert [r.event_id for r in told.collect()] == ["1"]
+    assert [r.event_id for r in parse_messages(raw, "inventory").collect()] == ["1", None, None, None, None]

@@ -20,9 +20,13 @@ from tillstream.schemas import MESSAGE_SCHEMAS, REQUIRED
 
 def decode(raw: DataFrame, schema: StructType, value_col: str = "value",
            keep: tuple[str, ...] = ()) -> DataFrame:
-    """bytes/text ``value`` -> typed columns of ``schema`` (plus ``keep``)."""
-    data = F.from_json(F.col(value_col).cast("string"), schema).alias("data")
-    return raw.select(*keep, data).select(*keep, "data.*")
+    """bytes/text ``value`` -> typed columns of ``schema`` (plus ``keep``).
+
+    The parsed struct becomes columns through ``inline``: a condition on them is not
+    pushed below it, where every column it names would parse the text once more.
+    """
+    data = F.from_json(F.col(value_col).cast("string"), schema)
+    return raw.select(*keep, F.inline(F.array(data)))
 
 
 def validity(required: tuple[str, ...]) -> Column:

@@ -248,3 +248,38 @@ def test_entry_point_with_all_topics(spark, scratch):
     for wrong in ([*base, "--inventory"], [*base, "--decode-once", "--raw-transactions"]):
         with pytest.raises(SystemExit):
             run.main(wrong, spark)
+
+
+# --- input of any size ---
+
+def star_tables(spark, folder, orders=300):
+    """Orders of unordered times with up to four lines each, a few without a time or a part."""
+    rnd = random.Random(5)
+    day = lambda k: dt.datetime(2024, 1, 1) + dt.timedelta(days=k)
+    dates = [None if k % 97 == 0 else day(rnd.randrange(120)) for k in range(orders)]
+    lines = [(k, rnd.randrange(45), rnd.randrange(60), n, float(rnd.randrange(1, 9)), round(rnd.uniform(1, 99), 2), day(rnd.randrange(120)))
+             for k in range(orders) for n in range(1, rnd.randrange(2, 6))]
+    tables = {"orders": ([(k, k, d) for k, d in enumerate(dates)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz"),
+              "part": ([(k, f"name {k}", f"type {k % 7}") for k in range(40)], "p_partkey bigint, p_name string, p_type string"),
+              "lineitem": (lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                                  "l_extendedprice double, l_shipdate timestamp_ntz")}
+    for name, (rows, schema) in tables.items():
+        spark.createDataFrame(rows, schema).repartition(3).write.parquet(f"{folder}/{name}.parquet")
+    return len(lines)
+
+
+def files_and_batches(root, name):
+    import os
+    parts = [f for f in os.listdir(f"{root}/in") if f.startswith("part-")]
+    return len(parts), len([f for f in os.listdir(f"{root}/checkpoints/{name}/commits") if f.isdigit()])
+
+
+def test_stock_messages_are_dealt_to_files_of_bounded_size(spark, scratch, monkeypatch):
+    from tillstream.contract import queries as Q
+    lines = star_tables(spark, f"{scratch}/sf")
+    monkeypatch.setattr(Q, "FILE_LINES", 20, raising=False)
+    monkeypatch.setattr(Q, "_paths", lambda spark, name: jobs.StreamPaths(f"{scratch}/{name}"))
+    streamed = sorted(Q.q_stream_stock_levels(spark, f"{scratch}/sf").collect())
+    files, batches = files_and_batches(f"{scratch}/stock_levels", "stock_levels")
+    assert files >= lines / 20 and batches == 3
+    assert streamed == sorted(Q.q_stock_levels(spark, f"{scratch}/sf").collect()) and streamed

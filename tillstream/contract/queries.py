@@ -585,15 +585,24 @@ def q_stock_levels(spark, sf):
     return plain(latest.stock_levels(events).select(*_STOCK_COLUMNS))
 
 
+#: Line items in a file of messages.
+FILE_LINES = 500_000
+
+
+def _lines(spark, sf) -> int:
+    return testdata.table(spark, sf, "lineitem").count()  # of the Parquet footers
+
+
 def q_stream_stock_levels(spark, sf):
-    """S4 as a stream in update mode: unordered files, a tenth of the messages again, one file a
-    micro-batch; the keyed table read through its pointer."""
+    """S4 as a stream in update mode: unordered files of bounded size, a tenth of the messages again, a
+    third of the files a micro-batch; the keyed table read through its pointer."""
     paths = _paths(spark, "stock_levels")
     messages = testdata.inventory_messages(spark, sf).select("value")
     again = testdata.inventory_messages(spark, sf).where(F.col("key").cast("bigint") % 10 == 0).select("value")
-    messages.unionByName(again).repartition(3).write.text(f"{paths.root}/in")
+    thirds = max(1, -(-_lines(spark, sf) // (3 * FILE_LINES)))
+    messages.unionByName(again).repartition(3 * thirds).write.text(f"{paths.root}/in")
     with temporary_conf(spark, {"spark.sql.shuffle.partitions": str(default_parallelism(spark))}):
-        query = jobs.run_stock(text_stream(spark, f"{paths.root}/in", max_files_per_trigger=1), paths,
+        query = jobs.run_stock(text_stream(spark, f"{paths.root}/in", max_files_per_trigger=thirds), paths,
                                {"availableNow": True}, buckets=8)
         query.awaitTermination()
     if query.exception() is not None:

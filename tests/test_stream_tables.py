@@ -283,3 +283,31 @@ def test_stock_messages_are_dealt_to_files_of_bounded_size(spark, scratch, monke
     files, batches = files_and_batches(f"{scratch}/stock_levels", "stock_levels")
     assert files >= lines / 20 and batches == 3
     assert streamed == sorted(Q.q_stock_levels(spark, f"{scratch}/sf").collect()) and streamed
+
+
+def test_product_messages_arrive_in_order_in_bounded_batches(spark, scratch, monkeypatch):
+    from tillstream.contract import queries as Q
+    lines = star_tables(spark, f"{scratch}/sf")
+    monkeypatch.setattr(Q, "FILE_LINES", 10, raising=False)
+    monkeypatch.setattr(Q, "BATCH_LINES", 400, raising=False)
+    monkeypatch.setattr(Q, "_paths", lambda spark, name: jobs.StreamPaths(f"{scratch}/{name}"))
+    streamed = sorted(Q.q_stream_product_performance(spark, f"{scratch}/sf").collect())
+    _, batches = files_and_batches(f"{scratch}/product_window_performance", "product_performance")
+    assert batches >= lines / 400 > 1
+    # No message is late: all windows of the batch result but those that the watermark has not passed.
+    table = Q.q_product_window_performance(spark, f"{scratch}/sf").where("window_start IS NOT NULL").collect()
+    latest = max(r.window_start for r in table)
+    assert streamed == sorted(r for r in table if r.window_start < latest) and streamed
+    assert "HDFSBacked" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass", "")  # other streams keep theirs
+
+
+def test_files_are_dated_in_the_order_of_their_names(spark, scratch):
+    import os
+    from tillstream.sources.streams import date_in_order
+    spark.range(40).selectExpr("CAST(id AS string) AS value").repartition(5).write.text(f"{scratch}/in")
+    parts = sorted(f for f in os.listdir(f"{scratch}/in") if f.startswith("part-"))
+    for k, name in enumerate(parts):
+        os.utime(f"{scratch}/in/{name}", (1e9 - k, 1e9 - k))
+    date_in_order(spark, f"{scratch}/in")
+    dates = [os.path.getmtime(f"{scratch}/in/{name}") for name in parts]
+    assert len(parts) == 5 and dates == sorted(set(dates))

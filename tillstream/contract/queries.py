@@ -19,14 +19,14 @@ from tillstream.functions.timebounds import TimeRange, in_range, trailing
 from tillstream.operators import hierarchy, insight, keyed, latest, rollups, sessions, trailing as polls, windows
 from tillstream.schemas import (CUSTOMER_SESSIONS, PRODUCT_PERFORMANCE, REALTIME_METRICS, SPARSE_PRODUCTS, TRANSACTIONS,
                                 TRANSACTIONS_SUMMARY, TUMBLING_SUMMARY)
-from tillstream.session import configure, default_parallelism, scratch_path, temporary_conf
+from tillstream.session import BOUNDED_STATE, configure, default_parallelism, scratch_path, temporary_conf
 from tillstream.sinks.contracts import REJECT_REASON, conform
 from tillstream.sinks.export import export_csv, export_json
 from tillstream.sinks.metrics import metrics_long
 from tillstream.sinks.parquet import IdempotentBatchWriter, merge_into_table, write_table
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages
-from tillstream.sources.streams import text_stream
+from tillstream.sources.streams import date_in_order, text_stream
 from tillstream.sources.tables import read_products, read_summary, read_table
 from tillstream.sinks.versioned import VersionedTable
 from tillstream.streaming import decoded, jobs, open_windows, progress, repair
@@ -427,12 +427,27 @@ def q_stream_rejected_rows(spark, sf):
                  F.sum(F.get_json_object("row", "$.total_transactions").cast("bigint")).alias("transactions")))
 
 
+#: Line items in a file of messages, and in a micro-batch of the product stream.
+FILE_LINES, BATCH_LINES = 500_000, 6_000_000
+
+
+def _lines(spark, sf) -> int:
+    return testdata.table(spark, sf, "lineitem").count()  # of the Parquet footers
+
+
 def q_stream_product_performance(spark, sf):
-    """K2: orders with all their items, through the stored product table."""
+    """K2: orders with all their items, through the stored product table. The messages arrive in
+    order of time, a bounded number a micro-batch, so that the state holds no more than one batch's windows."""
     paths = _paths(spark, "product_window_performance")
-    testdata.item_messages(spark, sf).select("value").write.text(f"{paths.root}/in")
-    jobs.catch_up(jobs.product_stream(text_stream(spark, f"{paths.root}/in")), paths, SPARSE_PRODUCTS,
-                  "product_window_performance", state_partitions=default_parallelism(spark))
+    lines = _lines(spark, sf)
+    files = max(default_parallelism(spark), -(-lines // FILE_LINES))
+    batches = max(1, -(-lines // BATCH_LINES))
+    testdata.item_messages(spark, sf, in_order=files).select("value").write.text(f"{paths.root}/in")
+    date_in_order(spark, f"{paths.root}/in")
+    raw = text_stream(spark, f"{paths.root}/in", max_files_per_trigger=-(-files // batches))
+    with temporary_conf(spark, BOUNDED_STATE):
+        jobs.catch_up(jobs.product_stream(raw), paths, SPARSE_PRODUCTS, "product_window_performance",
+                      state_partitions=default_parallelism(spark))
     cols = [c.name for c in PRODUCT_PERFORMANCE.columns if c.name != "created_at"]
     return plain(read_products(spark, paths.table(PRODUCT_PERFORMANCE.name)).select(*cols))
 
@@ -585,14 +600,6 @@ def q_stock_levels(spark, sf):
     return plain(latest.stock_levels(events).select(*_STOCK_COLUMNS))
 
 
-#: Line items in a file of messages.
-FILE_LINES = 500_000
-
-
-def _lines(spark, sf) -> int:
-    return testdata.table(spark, sf, "lineitem").count()  # of the Parquet footers
-
-
 def q_stream_stock_levels(spark, sf):
     """S4 as a stream in update mode: unordered files of bounded size, a tenth of the messages again, a
     third of the files a micro-batch; the keyed table read through its pointer."""

@@ -200,10 +200,16 @@ def product_key_as_id(df: DataFrame) -> DataFrame:
     return df.withColumn("product_id", F.col("product_id").cast("string"))
 
 
-def item_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def item_messages(spark: SparkSession, sf_dir: str, in_order: int | None = None) -> DataFrame:
     """Each order as one transaction message with all its line items (an order
-    has a handful of lines, so its array is small)."""
+    has a handful of lines, so its array is small).
+
+    ``in_order``: so many partitions, each later in event time than the one before it.
+    The lines are dealt by that range once, which also brings an order's lines together.
+    """
     items = product_key_as_id(star_item_rows(spark, sf_dir))
+    if in_order:
+        items = items.repartitionByRange(in_order, "event_time", "transaction_id")
     item = F.struct("product_id", "product_name", "category", "quantity",
                     "unit_price", F.col("revenue").alias("total"))
     orders = items.groupBy("transaction_id", "event_time").agg(

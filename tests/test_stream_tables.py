@@ -16,6 +16,7 @@ from tillstream.functions.timebounds import TimeRange
 from tillstream.operators import sessions, windows
 from tillstream.plans import plan_text
 from tillstream.schemas import CUSTOMER_SESSIONS, TRANSACTIONS, TRANSACTIONS_SUMMARY
+from tillstream.session import checkpoint_root
 from tillstream.sources import testdata
 from tillstream.sources.decode import parse_messages, transactions_from_messages
 from tillstream.sources.streams import text_stream
@@ -285,6 +286,54 @@ def test_stock_messages_are_dealt_to_files_of_bounded_size(spark, scratch, monke
     assert streamed == sorted(Q.q_stock_levels(spark, f"{scratch}/sf").collect()) and streamed
 
 
+def shuffle_files(spark):
+    return {f for d in spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+            for f in glob.glob(f"{d}/*/shuffle_*.data")}
+
+
+def test_stock_stream_leaves_no_more_on_disk_than_it_needs(spark, scratch, monkeypatch):
+    from tillstream.contract import queries as Q
+    lines = star_tables(spark, f"{scratch}/sf")
+    monkeypatch.setattr(Q, "_paths", lambda spark, name: jobs.StreamPaths(f"{scratch}/{name}"))
+    staged = f"{checkpoint_root(spark)}/staging/stock_levels/*"
+    old_staged, old_shuffles = set(glob.glob(staged)), shuffle_files(spark)
+    streamed = Q.q_stream_stock_levels(spark, f"{scratch}/sf")
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - old_shuffles) and time.time() < until:  # they are removed in the background
+        time.sleep(0.2)
+    assert not left and set(glob.glob(staged)) <= old_staged
+    assert not [f for f in glob.glob(f"{scratch}/stock_levels/in/part-*") if not f.endswith(".gz")]
+    parts = [f.split("/")[-1] for f in glob.glob(f"{scratch}/stock_levels/tables/stock_levels/data/*/part=*")]
+    assert sorted(parts) == sorted(set(parts)) and len(parts) == 8  # one version of each bucket
+    assert len(glob.glob(f"{scratch}/stock_levels/tables/stock_levels/commits/0*")) == 1
+    messages = spark.read.text(f"{scratch}/stock_levels/in")
+    assert messages.count() == lines + spark.read.parquet(f"{scratch}/sf/lineitem.parquet").where("l_orderkey % 10 = 0").count() > lines
+    assert sorted(streamed.collect()) == sorted(Q.q_stock_levels(spark, f"{scratch}/sf").collect())
+
+
+def test_what_is_dealt_are_the_lines_not_their_messages(spark, scratch):
+    star_tables(spark, f"{scratch}/sf")
+    again = F.col("l_orderkey") % 10 == 0
+    dealt = testdata.inventory_messages(spark, f"{scratch}/sf", again=again, unordered=5).select("value")
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJson") == 1 and plan.index("StructsToJson") < plan.index("Repartition") and "l_extendedprice" not in plan.split("Relation")[0]
+    once = testdata.inventory_messages(spark, f"{scratch}/sf")
+    twice = once.unionByName(once.where(F.col("key").cast("bigint") % 10 == 0)).select("value")
+    assert sorted(dealt.collect()) == sorted(twice.collect()) and dealt.rdd.getNumPartitions() == 5
+
+
+def test_stock_stream_keeps_as_many_versions_as_asked_for(spark, scratch):
+    for keep, commits in ((None, 3), (2, 2)):
+        paths = jobs.StreamPaths(f"{scratch}/{keep}")
+        for n in range(3):
+            put(f"{paths.root}/in", [{"event_id": str(n), "timestamp": (T0 + dt.timedelta(minutes=n)).isoformat(),
+                                      "store_id": "s", "product_id": "p", "current_stock": n, "reorder_level": 5}])
+            jobs.run_stock(text_stream(spark, f"{paths.root}/in"), paths, {"availableNow": True}, buckets=4, keep=keep).awaitTermination()
+        assert [r.current_stock for r in jobs.stock_table(spark, paths, 4).read().collect()] == [2]
+        assert len(glob.glob(f"{paths.root}/tables/stock_levels/commits/0*")) == commits
+        assert len(glob.glob(f"{paths.root}/tables/stock_levels/data/*/part=*")) == commits
+
+
 def test_product_messages_arrive_in_order_in_bounded_batches(spark, scratch, monkeypatch):
     from tillstream.contract import queries as Q
     lines = star_tables(spark, f"{scratch}/sf")

@@ -94,6 +94,42 @@ def test_replayed_batches_change_nothing_and_repeats_are_decided(spark, scratch)
     assert content(table.read()) == [(1, 0, "a", 3)] and table.current().batches == {"s": 0}
 
 
+def stock(spark, rows):
+    """rows: (store, product, minute, stock)"""
+    return spark.createDataFrame([(s, p, DAY + dt.timedelta(minutes=m), f"e{m}", n) for s, p, m, n in rows],
+                                 "store_id string, product_id string, updated_at timestamp, event_id string, current_stock int")
+
+
+@pytest.mark.parametrize("by_key", [True, False])
+def test_partitions_are_merged_some_at_a_time(spark, scratch, monkeypatch, by_key):
+    from tillstream.sinks import versioned
+    monkeypatch.setattr(versioned, "STEP_BYTES", 1e-3, raising=False)
+    part = F.format_string("%d", F.pmod(F.xxhash64(*STOCK_LEVELS.key), F.lit(4)))
+    table = VersionedTable(spark, f"{scratch}/t", STOCK_LEVELS, part, by_key)
+    rnd, want, stored = random.Random(1), {}, []
+    inner = VersionedTable._store
+    monkeypatch.setattr(VersionedTable, "_store", lambda self, rows: stored.append(rows.select("part").distinct().count()) or inner(self, rows))
+    for batch in range(3):
+        rows = {(f"s{rnd.randrange(5)}", f"p{rnd.randrange(30)}"): (batch, rnd.randrange(99)) for _ in range(60)}
+        want |= rows
+        table.merge(stock(spark, [(*k, *v) for k, v in rows.items()]), "stock", batch)
+    assert {(r.store_id, r.product_id): r.current_stock for r in table.read().collect()} == {k: n for k, (_, n) in want.items()}
+    assert table.read().count() == len(want) and table.current().number == 3
+    assert stored == ([1] * 12 if by_key else [4] * 3)
+
+
+def test_the_staged_batch_is_removed_also_if_the_merge_fails(spark, scratch, monkeypatch):
+    from tillstream.sinks import versioned
+    monkeypatch.setattr(versioned, "scratch_path", lambda spark, *parts: f"{scratch}/staged")
+    table = VersionedTable(spark, f"{scratch}/t", TUMBLING_SUMMARY)
+    rejects = table.merge(summary(spark, [(0, 0, "a", 1), (0, 1, None, 2)]))
+    assert not glob.glob(f"{scratch}/staged") and rejects.count() == 1 and content(table.read()) == [(1, 0, "a", 1)]
+    monkeypatch.setattr(VersionedTable, "publish", lambda self, commit: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.merge(summary(spark, [(0, 0, "a", 5)]))
+    assert not glob.glob(f"{scratch}/staged") and content(table.read()) == [(1, 0, "a", 1)]
+
+
 @pytest.mark.parametrize("parts", [1, 3])
 def test_one_row_a_key_whatever_the_order(spark, parts):
     rows = [(i % 5, i * 7 % 11, i % 3) for i in range(60)]

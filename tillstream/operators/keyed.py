@@ -39,7 +39,11 @@ def table_after_insert(existing: DataFrame, new: DataFrame, key: Sequence[str])
 
 def upsert(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
     """Keyed upsert: table state where the batch's row wins on conflict."""
+    return replace_rows(existing, one_per_key(batch, key), key)
+
+
+def replace_rows(existing: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+    """``upsert`` of a batch that has one row a key."""
     key = list(key)
-    batch = one_per_key(batch, key)
     kept = existing.join(batch.select(*key), key, "left_anti")
     return kept.unionByName(batch.select(*existing.columns))

@@ -44,6 +44,18 @@ BOUNDED_STATE = {
 }
 
 
+# Shuffle files go when the action that made them ends. Otherwise they stay until the driver
+# happens to collect its garbage, and those of many micro-batches add up on the disks.
+SHUFFLES_DROPPED = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+# For a stream with much state: its changelogs and files, and the tables written beside it, in the denser codec.
+DENSE_FILES = {
+    "spark.sql.streaming.stateStore.compression.codec": "zstd",
+    "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+    "spark.sql.parquet.compression.codec": "zstd",
+}
+
+
 def configure_streaming(spark: SparkSession) -> SparkSession:
     """Fill in streaming state settings the cluster has not chosen itself."""
     for key, value in STREAMING_SQL_CONF.items():

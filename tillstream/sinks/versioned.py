@@ -18,18 +18,21 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tillstream.operators.keyed import one_per_key, upsert
+from tillstream.operators.keyed import one_per_key, replace_rows
 from tillstream.schemas import TableContract
-from tillstream.session import scratch_path
+from tillstream.session import default_parallelism, scratch_path
 from tillstream.sinks.contracts import conform
 
 PART = "part"
 
+#: Bytes of partitions a core that one step of a merge reads: its shuffles are as large as they, not as the table.
+STEP_BYTES = 16 << 20
+
 
 @dataclass
 class Commit:
@@ -40,17 +43,22 @@ class Commit:
 
 
 class VersionedTable:
-    """Rows of a table contract; ``part`` is the partition of a row (text), by default the day of its time column."""
+    """Rows of a table contract; ``part`` is the partition of a row (text), by default the day of its time column.
+
+    ``by_key``: ``part`` follows from the table key alone. Then partitions are merged some at a time."""
 
-    def __init__(self, spark: SparkSession, path: str, contract: TableContract, part: Column | None = None):
+    def __init__(self, spark: SparkSession, path: str, contract: TableContract, part: Column | None = None,
+                 by_key: bool = False):
         from tillstream.sources.tables import TIME_COLUMN
-        self.spark, self.path, self.contract = spark, path, contract
+        self.spark, self.path, self.contract, self.by_key = spark, path, contract, by_key
         self.part = part if part is not None else F.date_format(TIME_COLUMN[contract.name][0], "yyyy-MM-dd")
 
     # --- the pointer ---
 
     def _at(self, *names: str):
-        path = "/".join([self.path, *names])
+        return self._place("/".join([self.path, *names]))
+
+    def _place(self, path: str):
         place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return place, place.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
@@ -118,21 +126,48 @@ class VersionedTable:
             return None
         good, bad = conform(batch, self.contract, stamp=stamp)
         staged = scratch_path(self.spark, "staging", self.contract.name)
-        one_per_key(good, self.contract.key, order).withColumn(PART, self.part).write.parquet(staged)
-        rows = self.spark.read.parquet(staged)
-        parts = [r[0] for r in rows.select(PART).distinct().collect()]  # one value a partition
-        columns = [c for c in self.contract.names if stamp or c != "created_at"]
-        stored = self.read(parts, commit).select(*columns)
-        merged = upsert(stored, rows.select(*columns), self.contract.key)
-        return self._publish(commit, merged.withColumn(PART, self.part) if parts else None, parts, stream, batch_id, bad)
-
-    def _publish(self, commit: Commit, merged: DataFrame | None, parts, stream, batch_id, bad):
+        try:
+            one_per_key(good, self.contract.key, order).withColumn(PART, self.part).write.parquet(staged)
+            rows = self.spark.read.parquet(staged)
+            parts = {r[0]: r[1] for r in rows.groupBy(PART).count().collect()}  # one row a partition
+            columns = [c for c in self.contract.names if stamp or c != "created_at"]
+
+            def merged(some: list[str]) -> DataFrame:
+                mine = rows if len(some) == len(parts) else rows.where(F.col(PART).isin(some))
+                stored = self.read(some, commit).select(*columns)
+                return replace_rows(stored, mine.select(*columns), self.contract.key).withColumn(PART, self.part)
+
+            return self._publish(commit, merged, self._steps(commit, parts, staged), stream, batch_id, bad)
+        finally:
+            place, files = self._place(staged)
+            files.delete(place, True)
+
+    def _steps(self, commit: Commit, parts: dict[str, int], staged: str) -> list[list[str]]:
+        """The partitions of a batch (with its rows in each) that are merged together: all of them,
+        or with ``by_key`` as many as ``STEP_BYTES`` allows, and one at least."""
+        if not (self.by_key and parts):
+            return [list(parts)] if parts else []
+        length = lambda place, files: files.getContentSummary(place).getLength()
+        a_row = length(*self._place(staged)) / sum(parts.values())
+        steps, room = [], 0.0
+        for part, count in sorted(parts.items()):
+            size = a_row * count
+            if part in commit.versions:
+                size += length(*self._at("data", commit.versions[part], f"{PART}={part}"))
+            if not steps or size > room:
+                steps.append([])
+                room = STEP_BYTES * default_parallelism(self.spark)
+            steps[-1].append(part)
+            room -= size
+        return steps
+
+    def _publish(self, commit: Commit, merged: Callable[[list[str]], DataFrame], steps: list[list[str]], stream, batch_id, bad):
         versions, batches = dict(commit.versions), dict(commit.batches)
-        if merged is not None:
-            versions |= dict.fromkeys(parts, self._store(merged))
+        for some in steps:
+            versions |= dict.fromkeys(some, self._store(merged(some)))
         if batch_id is not None:
             batches[stream] = batch_id
-        if merged is not None or batch_id is not None:
+        if steps or batch_id is not None:
             self.publish(Commit(commit.number + 1, versions, batches))
         return bad
 

@@ -123,10 +123,20 @@ def customer_messages(spark: SparkSession, sf_dir: str, rng: TimeRange | None =
     return ev.select(F.col("event_id").cast("string").alias("key"), F.to_json(payload).alias("value"))
 
 
-def inventory_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def inventory_messages(spark: SparkSession, sf_dir: str, again: Column | None = None,
+                       unordered: int | None = None) -> DataFrame:
     """Line items as inventory-updates topic messages: l_suppkey % 20 -> store_id, l_partkey -> product_id,
-    shipping date plus line number in hours -> timestamp, the quantity sold leaves the stock."""
-    lines = table(spark, sf_dir, "lineitem")
+    shipping date plus line number in hours -> timestamp, the quantity sold leaves the stock.
+
+    ``again``: the messages of these lines come twice. ``unordered``: the messages are dealt to so many
+    partitions; what is dealt is the lines' few columns, not the text made of them.
+    """
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_shipdate")
+    if again is not None:
+        lines = lines.unionByName(lines.where(again))
+    if unordered:
+        lines = lines.repartition(unordered)
     payload = F.struct(
         F.format_string("%d-%d", "l_orderkey", "l_linenumber").alias("event_id"),
         F.date_format(F.timestamp_add("HOUR", F.col("l_linenumber"), F.col("l_shipdate")), "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),

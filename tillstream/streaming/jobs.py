@@ -98,19 +98,28 @@ STOCK_BUCKETS = 64
 def stock_table(spark: SparkSession, paths: StreamPaths, buckets: int = STOCK_BUCKETS) -> VersionedTable:
     """The keyed stock table: a key's bucket is rewritten when its stock has changed."""
     part = F.format_string("%04d", F.pmod(F.xxhash64(*STOCK_LEVELS.key), F.lit(buckets)))
-    return VersionedTable(spark, paths.table(STOCK_LEVELS.name), STOCK_LEVELS, part)
+    return VersionedTable(spark, paths.table(STOCK_LEVELS.name), STOCK_LEVELS, part, by_key=True)
 
 
 def run_stock(raw: DataFrame, paths: StreamPaths, trigger: dict | None = None, name: str = "stock_levels",
-              buckets: int = STOCK_BUCKETS) -> StreamingQuery:
+              buckets: int = STOCK_BUCKETS, keep: int | None = None) -> StreamingQuery:
     """Keep the stock table up to date: each micro-batch's changed keys replace their rows, in
-    one commit that also names the batch, so a replayed batch changes nothing."""
+    one commit that also names the batch, so a replayed batch changes nothing.
+
+    ``keep``: after each micro-batch, versions that the last ``keep`` commits do not name are
+    removed (unset: none are); readers of older commits must be done by then."""
     spark = raw.sparkSession
     configure_streaming(spark)
     table = stock_table(spark, paths, buckets)
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch, name, batch_id)
+        if keep is not None:
+            table.vacuum(keep)
+
     return (stock_stream(raw).writeStream.outputMode("update").queryName(name)
             .option("checkpointLocation", paths.checkpoint(name))
-            .foreachBatch(lambda batch, batch_id: table.merge(batch, name, batch_id) and None)
+            .foreachBatch(merge)
             .trigger(**(trigger or TRIGGERS["store_window_summary"])).start())
 
 
